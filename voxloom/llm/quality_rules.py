@@ -29,9 +29,9 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 #: measure -> (value per thousand or per hundred as a long, least distance of a fence from the middle half, which fences count).
 MEASURES = {
-    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 100, "high"),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 300, "high"),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 200, "high"),
+    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 60, "high"),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 500, "high"),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 290, "high"),
     "word_length": ("100 * word_chars div greatest(n_words, 1)", 200, "both"),
 }
 #: Fences lie this many times the width of the middle half away from it.
