@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import language_id, mixing, near_dedup, packing, quality_rules
+from voxloom.llm import bm25, chat, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
 from voxloom.llm.common import crc_mod, documents, materialise
 
 
@@ -27,6 +27,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"), ids=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(d, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.with_toxicity(d, model).select("doc_id", F.col("p_junk").alias("junk_score"), F.col("p_toxic").alias("toxic_score"), F.col("is_toxic").alias("toxic"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
     counted = materialise(quality_rules.with_counts(d).drop("text"))
@@ -35,6 +45,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in names])
 
 
+def op6_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every document whose id is divisible by 100, its whole text as the query."""
+    return bm25.search_rows(documents(spark, sf_dir), F.col("doc_id") % 100 == 0, k=10)
+
+
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir)
+    back = sstable.read(spark, sstable.write(d, vocabulary_path("word_bpe_49k.json")))
+    return back.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language_id.fit(d.where(crc_mod("doc_id", 5) != 0), vocabulary_path("piece_bpe_32k.model"))
@@ -42,6 +63,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality_classifier.fit(d, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = quality_classifier.with_score(d, model)
+    return found.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality_classifier.LEAST_SCORE).cast("int").alias("predicted"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
 
@@ -49,9 +77,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
+    "op6_bm25_search": op6_bm25_search,
+    "op7_token_shards": op7_token_shards,
     "op8_language_id": op8_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_near_dedup": op10_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_chat_formatting": chat.SQL}
