@@ -6,7 +6,9 @@ earlier categories' probabilities. For training these are out-of-fold: each
 document's come from models fitted without its fold, so later models learn
 from predictions as uncertain as the ones they will get.
 
-Words are runs of letters in lower case. Word choice needs document counts of
+Words are runs of letters in lower case; the stems of longer words count as
+words of their own. Only words whose frequency in a category lies LEAST_Z
+standard deviations off are used. Word choice needs document counts of
 all words of the sample, which are summed in Spark; only the most telling
 WORDS per category, and which of them each sampled document holds, reach the
 driver. The sample has about TRAIN_ROWS labelled documents; scoring covers
@@ -33,14 +35,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from voxloom.llm.common import crc_mod
 
-TRAIN_ROWS, WORDS, LEAST_DOCS, FOLDS = 12_000, 400, 5, 4
+TRAIN_ROWS, WORDS, LEAST_DOCS, LEAST_Z, STEM, FOLDS = 12_000, 400, 4, 5.0, 5, 4
 #: category -> SQL condition on the labels; in chain order, the last decides.
 CHAIN = {"junk": "quality = 0", "toxic": "toxic = 1"}
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(LETTERS.findall(text.lower())) if text else set()
+    """Distinct words and word stems: the first STEM letters of longer words, marked with *."""
+    words = set(LETTERS.findall(text.lower())) if text else set()
+    return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
 
 
 @dataclass
@@ -136,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, text:
     for k in range(len(names)):
         p = (size[k + 1] or 0) / size[0]
         z = F.abs(F.col(f"h{k}") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)) + 1e-9)
-        chosen |= {r[0] for r in counts.orderBy(z.desc(), "word").limit(WORDS).collect()}
+        chosen |= {r[0] for r in counts.where(z >= LEAST_Z).orderBy(z.desc(), "word").limit(WORDS).collect()}
     words = {w: i for i, w in enumerate(sorted(chosen))}
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
