@@ -39,7 +39,7 @@ LONGEST = 40
 TRAIN_DOCS = 250
 ROUNDS = 2
 #: Words remembered by a Python worker before it starts over.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 UND = "und"
 
 
@@ -60,41 +60,92 @@ def letter_runs(token: str) -> list[str]:
     return out
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BITS = 18
+
+
+class Pieces:
+    """Hash table from the polynomial hash of a piece's letters to its number; looked up for whole arrays of hashes."""
+
+    def __init__(self, vocab: list[str]):
+        self.keys, self.number = np.zeros(1 << _BITS, np.uint64), np.full(1 << _BITS, -1)
+        self.probes = 1
+        for i, p in enumerate(vocab):
+            h = np.zeros(1, np.uint64)
+            for c in p:
+                h = h * _BASE + np.uint64(ord(c))
+            at = int(self._slot(h)[0])
+            for n in range(1, 1 << _BITS):
+                if self.number[at] < 0:
+                    break
+                if self.keys[at] == h[0]:
+                    raise ValueError("two pieces with one hash")
+                at, self.probes = (at + 1) & (1 << _BITS) - 1, max(self.probes, n + 1)
+            self.keys[at], self.number[at] = h[0], i
+
+    @staticmethod
+    def _slot(h: np.ndarray) -> np.ndarray:
+        return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _BITS)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1 where there is none."""
+        at = self._slot(h)
+        key, out = self.keys[at], self.number[at]
+        miss = np.flatnonzero((key != h) & (out >= 0))
+        out[key != h] = -1
+        for _ in range(1, self.probes):
+            if not len(miss):
+                break
+            at[miss] = (at[miss] + 1) & (1 << _BITS) - 1
+            key, n = self.keys[at[miss]], self.number[at[miss]]
+            hit = (key == h[miss]) & (n >= 0)
+            out[miss[hit]] = n[hit]
+            miss = miss[~hit & (n >= 0)]
+        return out
+
+
+Part = tuple[np.ndarray, np.ndarray]
+
+
 @dataclass
 class Model:
-    """langs in sorted order; piece -> row of prob (rows by languages); the last row is for letters that are no piece."""
+    """langs in sorted order; prob has a row per piece and one, the last, for single letters that are no piece; columns are languages."""
 
     langs: list[str]
-    piece: dict[str, int]
+    pieces: Pieces
     prob: np.ndarray
     longest: int
 
-    def _rows(self, words: list[str], i: int, j: int) -> np.ndarray | None:
-        """Row of each word's part [i, j): -1 where it is no piece, the last row where it is a single other letter."""
-        get, other = self.piece.get, len(self.prob) - 1 if j - i == 1 else -1
-        rows = np.fromiter((get(w[i:j], other) for w in words), np.int64, len(words))
-        return rows if (rows >= 0).any() else None
-
-    def forward(self, words: list[str]) -> tuple[list[np.ndarray], dict[tuple[int, int], np.ndarray]]:
-        """alpha[j]: probability of the first j letters, a row per word, for words of one length; the rows of all parts."""
+    def parts(self, words: list[str]) -> dict[tuple[int, int], Part]:
+        """For words of one length: (i, j) -> (which words, rows of prob) where letters i to j are a piece."""
         n = len(words[0])
-        alpha = [np.ones((len(words), len(self.langs)))]
-        parts: dict[tuple[int, int], np.ndarray] = {}
-        for j in range(1, n + 1):
-            a = np.zeros_like(alpha[0])
-            for i in range(max(0, j - self.longest), j):
-                rows = self._rows(words, i, j)
-                if rows is not None:
-                    parts[i, j] = rows
-                    a += alpha[i] * self.prob[rows] * (rows >= 0)[:, None]
-            alpha.append(a)
-        return alpha, parts
+        code = np.array(words, f"<U{n}").view(np.uint32).reshape(len(words), n).astype(np.uint64)
+        out = {}
+        for i in range(n):
+            h = np.zeros(len(words), np.uint64)
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                h = h * _BASE + code[:, j - 1]
+                rows = self.pieces.find(h)
+                if j == i + 1:
+                    rows = np.where(rows < 0, len(self.prob) - 1, rows)
+                who = np.flatnonzero(rows >= 0)
+                if len(who):
+                    out[i, j] = who, rows[who]
+        return out
+
+    def forward(self, count: int, n: int, parts: dict[tuple[int, int], Part]) -> list[np.ndarray]:
+        """alpha[j]: probability of the first j letters, a row per word."""
+        alpha = [np.ones((count, len(self.langs)))] + [np.zeros((count, len(self.langs))) for _ in range(n)]
+        for (i, j), (who, rows) in sorted(parts.items()):  # by start: alpha[i] is whole when its pieces are added
+            alpha[j][who] += alpha[i][who] * self.prob[rows]
+        return alpha
 
     def log_prob(self, words: list[str]) -> np.ndarray:
         """Log probability of each word, a column per language."""
         out = np.zeros((len(words), len(self.langs)))
         for at in _by_length(words):
-            out[at] = np.log(self.forward([words[i] for i in at])[0][-1])
+            ws = [words[i] for i in at]
+            out[at] = np.log(self.forward(len(ws), len(ws[0]), self.parts(ws))[-1])
         return out
 
     def expected(self, words: list[str], weight: np.ndarray) -> np.ndarray:
@@ -102,21 +153,17 @@ class Model:
         got = np.zeros_like(self.prob)
         for at in _by_length(words):
             ws, wt = [words[i] for i in at], weight[at]
-            alpha, parts = self.forward(ws)
-            n = len(ws[0])
+            n, parts = len(ws[0]), self.parts(ws)
+            alpha = self.forward(len(ws), n, parts)
             beta = [np.zeros_like(alpha[0]) for _ in range(n)] + [np.ones_like(alpha[0])]
-            for i in range(n - 1, -1, -1):
-                for j in range(i + 1, min(n, i + self.longest) + 1):
-                    if (rows := parts.get((i, j))) is not None:
-                        beta[i] += beta[j] * self.prob[rows] * (rows >= 0)[:, None]
-            for (i, j), rows in parts.items():
-                share = alpha[i] * self.prob[rows] * beta[j] / alpha[n] * wt
-                ok = rows >= 0
-                np.add.at(got, rows[ok], share[ok])
+            for (i, j), (who, rows) in sorted(parts.items(), reverse=True):
+                beta[i][who] += beta[j][who] * self.prob[rows]
+            for (i, j), (who, rows) in parts.items():
+                np.add.at(got, rows, alpha[i][who] * self.prob[rows] * beta[j][who] / alpha[n][who] * wt[who])
         return got
 
 
-def _by_length(words: list[str], most: int = 20_000) -> Iterator[np.ndarray]:
+def _by_length(words: list[str], most: int = 8_000) -> Iterator[np.ndarray]:
     groups: dict[int, list[int]] = defaultdict(list)
     for i, w in enumerate(words):
         groups[len(w)].append(i)
@@ -130,16 +177,11 @@ def fit_counts(counts: dict[str, dict[str, int]], vocab: list[str]) -> Model:
     langs = sorted(counts)
     words = sorted({w for c in counts.values() for w in c})
     weight = np.array([[counts[x].get(w, 0) for x in langs] for w in words], float).reshape(len(words), len(langs))
-    m = Model(langs, {p: i for i, p in enumerate(vocab)}, np.zeros((0, 0)), max(map(len, vocab)))
     got = np.zeros((len(vocab) + 1, len(langs)))
-    m.prob = got
+    m = Model(langs, Pieces(vocab), got, max(map(len, vocab)))
     for at in _by_length(words):
-        ws = [words[i] for i in at]
-        for i in range(len(ws[0])):
-            for j in range(i + 1, min(len(ws[0]), i + m.longest) + 1):
-                if (rows := m._rows(ws, i, j)) is not None:
-                    ok = rows >= 0
-                    np.add.at(got, rows[ok], weight[at][ok])
+        for who, rows in m.parts([words[i] for i in at]).values():
+            np.add.at(got, rows, weight[at[who]])
     for k in range(ROUNDS + 1):
         got = got + 0.1
         m.prob = got / got.sum(axis=0)
@@ -176,38 +218,49 @@ def fit(train: DataFrame, vocab_path: str, text: str = "text", lang: str = "lang
     return fit_counts(counts, vocabulary(vocab_path)) if counts else None
 
 
+class _Rows(dict):
+    """token -> its row; a new token gets the next row and waits in `new` to be worked out."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        self.new.append(token)
+        self[token] = row = len(self)
+        return row
+
+
 class Scorer:
-    """Scores texts word by word, with a cache of token -> row of log probabilities."""
+    """Scores texts token by token, with a cache of tokens' log probabilities and numbers of words."""
 
     def __init__(self, model: Model):
-        self.model, self.at = model, {}
-        self.table = np.zeros((0, len(model.langs) + 1))
-
-    def learn(self, tokens: set[str]) -> None:
-        if len(self.at) + len(tokens) > CACHE_WORDS:
-            self.at, self.table = {}, self.table[:0]
-        new = list(tokens)
+        self.model, self.rows = model, _Rows()
+        self.table = np.zeros((1024, len(model.langs) + 1))
+
+    def learn(self) -> None:
+        """Work out the waiting tokens' rows."""
+        new, n = self.rows.new, len(self.rows)
+        if n > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(n, 2 * len(self.table)) - len(self.table), self.table.shape[1]))])
         runs = [letter_runs(t) for t in new]
         words = list({w for r in runs for w in r})
         row = {w: i for i, w in enumerate(words)}
-        lp = self.model.log_prob(words)
-        add = np.zeros((len(new), lp.shape[1] + 1))
-        who = np.repeat(np.arange(len(new)), [len(r) for r in runs])
-        np.add.at(add[:, :-1], who, lp[[row[w] for r in runs for w in r]] if len(who) else lp[:0])
-        add[:, -1] = [len(r) for r in runs]
-        self.at.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
-        self.table = np.concatenate([self.table, add])
+        who = np.repeat(np.arange(n - len(new), n), [len(r) for r in runs])
+        self.table[n - len(new) : n] = 0
+        np.add.at(self.table[:, :-1], who, self.model.log_prob(words)[[row[w] for r in runs for w in r]] if len(who) else np.zeros((0, len(self.model.langs))))
+        self.table[n - len(new) : n, -1] = [len(r) for r in runs]
+        self.rows.new = []
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        docs = [(t or "").split() for t in texts]
-        missing = {w for d in docs for w in d if w not in self.at} if sum(map(len, docs)) else set()
-        if missing:
-            if len(self.at) + len(missing) > CACHE_WORDS:
-                missing = {w for d in docs for w in d}
-            self.learn(missing)
+        if len(self.rows) > CACHE_WORDS:
+            self.rows = _Rows()
+        get = self.rows.__getitem__
+        docs = [np.array([*map(get, t.split())], np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        if self.rows.new:
+            self.learn()
         out = []
         for d in docs:
-            total = self.table[[self.at[w] for w in d]].sum(axis=0) if d else np.zeros(len(self.model.langs) + 1)
+            total = self.table[d].sum(axis=0)
             if not total[-1]:
                 out.append((UND, 0.0))
                 continue
