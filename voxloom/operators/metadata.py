@@ -74,7 +74,7 @@ def checked_pixels(table: DataFrame) -> DataFrame:
     j = s.join(F.broadcast(step("x")), F.lit(True)).join(F.broadcast(step("y")), F.lit(True))
     lap = lambda a, b: F.col(f"p{b}") * F.col(f"s{a}") - F.coalesce(F.col(f"d{a}"), F.lit(0.0))
     bad, mended = (lap("x", "x") < 0) | (lap("y", "y") < 0), (lap("x", "y") >= 0) & (lap("y", "x") >= 0)
-    swap = j.select(((F.col("nx") == 1) != (F.col("ny") == 1)).alias("one"), (bad & mended).alias("fix")).select((F.col("one") | F.coalesce("fix", F.lit(False))).alias("swap_"))
+    swap = j.select(((F.col("nx") == 1) | (F.col("ny") == 1)).alias("one"), (bad & mended).alias("fix")).select((F.col("one") | F.coalesce("fix", F.lit(False))).alias("swap_"))
     t = table.join(F.broadcast(swap), F.lit(True))  # one row
     x, y = F.col("x_n_pixels"), F.col("y_n_pixels")
     return t.select(*[c for c in table.columns if c not in ("x_n_pixels", "y_n_pixels")], F.when(F.col("swap_"), y).otherwise(x).alias("x_n_pixels"), F.when(F.col("swap_"), x).otherwise(y).alias("y_n_pixels"))
