@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +81,19 @@ def running_total(df: DataFrame, part: Sequence[str], bucket: str, order: Sequen
     return rows.join(sums.select(*part, bucket, "rt_off"), [*part, bucket]).withColumn(out, F.col("rt_in") + F.col("rt_off")).drop("rt_in", "rt_off")
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept_in_worker(key: str, make: Callable[[], object]) -> object:
+    """make(), kept by this Python worker from task to task. Only the last key is kept: a worker that goes on to another operator gives its memory back."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def crc_mod(doc_id: str | Column, m: int) -> Column:
     """crc32 of doc_id as text, modulo m; null for a null doc_id."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

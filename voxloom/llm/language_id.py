@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from voxloom.llm.common import crc_mod, kept_in_worker
+
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: Longest letter run scored as one word; longer runs are scored in parts of this length, all of them.
@@ -39,7 +41,7 @@ LONGEST = 40
 TRAIN_DOCS = 250
 ROUNDS = 2
 #: Words remembered by a Python worker before it starts over.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 UND = "und"
 
 
@@ -276,7 +278,7 @@ def with_language(docs: DataFrame, model: Model | None, text: str = "text", out:
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(name, shared)
+        scorer = kept_in_worker(f"language {name}", lambda: Scorer(shared.value) if shared.value is not None else None)
         for b in batches:
             texts = b.column(text).to_pylist()
             got = []
@@ -288,21 +290,8 @@ def with_language(docs: DataFrame, model: Model | None, text: str = "text", out:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out[0], StringType()), StructField(out[1], DoubleType())]))
 
 
-_SCORERS: dict[str, Scorer | None] = {}
-
-
-def _scorer(name: str, shared) -> Scorer | None:
-    """The worker's scorer of this broadcast model, kept with its cache from task to task."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(shared.value) if shared.value is not None else None
-    return _SCORERS[name]
-
-
 def filter_documents(docs: DataFrame, vocab_path: str, least_score: float = 0.5) -> DataFrame:
     """The documents whose language is told with at least this score, with the columns of docs; `und` goes."""
-    from voxloom.llm.common import crc_mod
-
     model = fit(docs.where(crc_mod("doc_id", 5) != 0), vocab_path)
     found = with_language(docs, model, out=("l_pred", "l_score"))
     return found.where((F.col("l_pred") != UND) & (F.col("l_score") >= least_score)).select(*docs.columns)

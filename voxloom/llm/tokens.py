@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from voxloom.llm.common import kept_in_worker
+
 #: Words, and parts of words, remembered by a Python worker before it starts over.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 END_ID = 1
 SIMPLE = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # without < and >, so no special mark
 #: Fixed value: the file's splitting pattern for lower-case simple words.
@@ -75,14 +77,9 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder of the file, kept with its cache from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return kept_in_worker(f"tokens {path}", lambda: WordEncoder(path))
 
 
 def encode_column(path: str, column: pa.Array, step: int = 128) -> Iterator[list[bytes]]:
