@@ -496,7 +496,8 @@ def test_pipeline_of_odd_documents(spark, docs, none, tmp_path):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_registered_sql(spark, name):
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW conversations AS SELECT * FROM '{DIR}/conversations.parquet'")
+    for t in ("documents", "conversations"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = c.sql(SQL[name])
     df = QUERIES[name](spark, DIR).select(want.columns)
     assert rows_of(df) == sorted(want.fetchall(), key=repr)
