@@ -6,6 +6,8 @@ white space, which is the word rule of this subpackage.
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 
 WINDOW = 8
@@ -41,13 +43,13 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(marks)[:-1] > 0).sum())
 
 
-def measure(text: bytes | None) -> tuple[int, int, int, int, int, int]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines): lines are those with a word. Null: zeros."""
+def measure(text: bytes | None) -> tuple[int, int, int, int, int, int, int]:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_echoes): lines are those with a word, echoes words equal to the one before. Null: zeros."""
     if not text:
-        return 0, 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0, 0
     words = text.split()
     joined = b"".join(words)
     chars = len(joined) if joined.isascii() else len(joined.decode("utf-8", "replace"))
     symbols = sum(joined.count(c) for c in SYMBOLS)
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines)
+    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines), sum(map(eq, words, words[1:]))

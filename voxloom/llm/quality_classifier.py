@@ -26,7 +26,7 @@ from voxloom.llm.profile import measure
 
 TRAIN_ROWS = 20_000
 LEAST_SCORE = 0.7
-FEATURES = ["log_words", "word_length", "longest_word", "distinct_words", "symbols", "dup_lines", "repeats", "words_a_line", "upper", "digits", "punctuation", "bangs", "bars", "non_ascii"]
+FEATURES = ["log_words", "word_length", "longest_word", "distinct_words", "symbols", "dup_lines", "repeats", "echoes", "words_a_line", "upper", "digits", "punctuation", "bangs", "bars", "non_ascii"]
 
 _UPPER, _DIGIT, _PUNCT, _BANG, _BAR, _HIGH = range(1, 7)
 _KIND = np.zeros(256, np.uint8)
@@ -37,12 +37,12 @@ _KIND[ord("!")], _KIND[ord("|")] = _BANG, _BAR
 
 def features(text: bytes | None) -> list[float]:
     """The numbers named in FEATURES."""
-    n, chars, symbols, dup, rep, lines = measure(text)
+    n, chars, symbols, dup, rep, lines, echoes = measure(text)
     if not n:
         return [0.0] * len(FEATURES)
     words, size = text.split(), len(text)
     kinds = np.bincount(_KIND[np.frombuffer(text, np.uint8)], minlength=7) / size
-    mean = [np.log1p(n), chars / n, min(max(map(len, words)), 200), len(set(words)) / n**0.8, symbols / chars, dup / max(lines, 1), rep / n, min(n / max(lines, 1), 500)]
+    mean = [np.log1p(n), chars / n, min(max(map(len, words)), 200), len(set(words)) / n**0.8, symbols / chars, dup / max(lines, 1), rep / n, echoes / n, min(n / max(lines, 1), 500)]
     return [*map(float, mean), *(float(kinds[k]) for k in (_UPPER, _DIGIT, _PUNCT, _BANG, _BAR, _HIGH))]
 
 

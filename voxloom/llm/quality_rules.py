@@ -25,13 +25,14 @@ from pyspark.sql.window import Window
 from voxloom.llm.common import keyed_join, materialise
 from voxloom.llm.profile import measure
 
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echoes"]
 
 #: measure -> (value per thousand or per hundred as a long, least distance of a fence from the middle half, which fences count).
 MEASURES = {
     "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 60, "high"),
     "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 500, "high"),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 290, "high"),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 300, "high"),
+    "echoes": ("1000 * n_echoes div greatest(n_words, 1)", 200, "high"),
     "word_length": ("100 * word_chars div greatest(n_words, 1)", 200, "both"),
 }
 #: Fences lie this many times the width of the middle half away from it.
@@ -43,7 +44,7 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 
 
 def with_counts(docs: DataFrame, text: str = "text", prefix: str = "q_") -> DataFrame:
-    """docs with the six counts of `profile.measure` as long columns named prefix + name; all columns of docs stay."""
+    """docs with the counts of `profile.measure` as long columns named prefix + name; all columns of docs stay."""
     schema = pa.schema([(prefix + c, pa.int64()) for c in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -110,7 +110,7 @@ g AS (SELECT row, i, array_to_string(words[i : i + 7], ' ') AS gram FROM w, rang
 again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, gram) AS n FROM g) WHERE n > 1),
 rep AS (SELECT row, count(DISTINCT i + k) AS n FROM again, range(8) r(k) GROUP BY row),
 c0 AS (SELECT row, doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
-       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN rep USING (row)),
+       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(range(1, greatest(len(words), 1)), lambda i: words[i] = words[i + 1])) AS n_echoes FROM w LEFT JOIN rep USING (row)),
 c AS (SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed FROM c0),
 m AS ({values}),
 sketch AS (SELECT lang, source, measure, 16 * e + (v >> CAST(e AS INT)) AS bin, count(*) AS n FROM (SELECT *, greatest(length(bin(v)) - 5, 0) AS e FROM m) GROUP BY ALL),
