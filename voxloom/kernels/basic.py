@@ -38,11 +38,15 @@ def shrunk(x: np.ndarray, t: np.ndarray | float) -> np.ndarray:
 def _split(d: np.ndarray, w: np.ndarray, p: BasicParams, smooth: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(flat, dark, b, residual) of planes d with weights w."""
     n = len(d)
-    flat, dark = np.ones(d.shape[1:]), np.zeros(d.shape[1:])
-    b = d.mean(axis=(1, 2))
-    r, y = np.zeros_like(d), np.zeros_like(d)
+    dark, y = np.zeros(d.shape[1:]), np.zeros_like(d)
     norm = np.linalg.norm(d.reshape(n, -1), 2) or 1.0
     mu, top, scale = 12.5 / norm, 12.5 / norm * 1e7, np.linalg.norm(d) or 1.0
+    # medians start the split near the background, so that objects begin in the residual
+    b = np.median(d, axis=(1, 2))
+    b = np.where(b > 0, b, d.mean(axis=(1, 2)))
+    flat = np.median(d / np.where(b > 0, b, 1)[:, None, None], axis=0)
+    flat /= flat.mean() or 1.0
+    r = shrunk(d - b[:, None, None] * flat, w * p.sparsity / mu)
     for _ in range(p.most_steps):
         target = d - r - dark + y / mu
         bb = float((b**2).sum()) or 1.0
