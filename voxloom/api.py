@@ -308,7 +308,7 @@ def correct_illumination(spark: SparkSession, path: str, out: str, z_correction:
     """Equalise tiles by their overlaps and, if asked, planes by the smoothed z profile; statistics come from the full level's overlaps and the lowest level's planes."""
     img = Image.open(spark, path)
     t, _ = _tile_voxels(img)
-    stats = illumination.overlap_stats(t, img.tiles(), img.attrs["scale"]["y"])
+    stats = illumination.overlap_stats(t, img.tiles(), img.attrs["scale"]["y"], len(img.attrs["channels"]))
     gain = illumination.gains(illumination.gain_edges(stats, img.shape["z"]), img.tiles())
     profile = None
     if z_correction:

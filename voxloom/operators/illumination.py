@@ -15,12 +15,13 @@ from voxloom.operators.slicing import with_tile
 SIGMA, RADIUS = 15.0, 60
 
 
-def overlap_stats(tile_voxels: DataFrame, tiles: DataFrame, pixel: float) -> DataFrame:
+def overlap_stats(tile_voxels: DataFrame, tiles: DataFrame, pixel: float, channels: int | None = None) -> DataFrame:
     """(c, i, j, s1, n1, s2, n2, area): sums and counts of voxels above 0 in each pair's overlap, seen in either tile.
 
     tile_voxels: (tile_id, c, z, y, x, v), coordinates within the tile. The
     pair table is small and known to be (pairs of neighbours), so it is
-    broadcast; voxels are summed map-side by (c, pair, side).
+    broadcast; voxels are summed map-side by (c, pair, side). Give the number of
+    channels where it is known: else the voxels are scanned for it.
     """
     t = tiles.select("tile_id", F.bround(F.col("y_orig_um") / pixel).cast("int").alias("sy"), F.bround(F.col("x_orig_um") / pixel).cast("int").alias("sx"), F.bround(F.col("len_y_um") / pixel).cast("int").alias("hy"), F.bround(F.col("len_x_um") / pixel).cast("int").alias("hx"))
     p = overlap_pairs(tiles, pixel)
@@ -33,7 +34,8 @@ def overlap_stats(tile_voxels: DataFrame, tiles: DataFrame, pixel: float) -> Dat
     g = j.groupBy("c", "i", "j", "side").agg(F.sum(F.col("v").cast("long")).alias("s"), F.count("*").alias("n"))
     pick = lambda c, k: F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}")
     g = g.groupBy("c", "i", "j").agg(pick("s", 1), pick("n", 1), pick("s", 2), pick("n", 2))
-    every = tile_voxels.select("c").distinct().join(overlap_pairs(tiles, pixel).select("i", "j", (F.col("oy") * F.col("ox")).alias("area")), F.lit(True))
+    known = tile_voxels.select("c").distinct() if channels is None else tiles.sparkSession.range(channels).select(F.col("id").cast("int").alias("c"))
+    every = known.join(overlap_pairs(tiles, pixel).select("i", "j", (F.col("oy") * F.col("ox")).alias("area")), F.lit(True))
     return every.join(g, ["c", "i", "j"], "left").fillna(0, ["s1", "n1", "s2", "n2"])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom import derive
-from voxloom.derive import DUCK, NX, NY, NZ
+from voxloom.derive import DUCK, NC, NX, NY, NZ
 from voxloom.functions import text as tx
 from voxloom.functions.numeric import truncated
 from voxloom.operators import contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
@@ -227,18 +227,18 @@ def pair_prune_alternating(spark, d):
 
 @query(STATS + " SELECT c, i, j, s1, n1, s2, n2 FROM stats")
 def overlap_stats(spark, d):
-    return illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL).drop("area")
+    return illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL, NC).drop("area")
 
 
 @query(EDGES + " SELECT c, i, j, round(gain, 6) AS gain FROM edges")
 def gain_edges(spark, d):
-    e = illumination.gain_edges(illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL), NZ)
+    e = illumination.gain_edges(illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL, NC), NZ)
     return e.withColumn("gain", F.round("gain", 6))
 
 
 @query()
 def gain_solve(spark, d):
-    e = illumination.gain_edges(illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL), NZ)
+    e = illumination.gain_edges(illumination.overlap_stats(tile_voxels(spark, d), derive.tiles(spark, d), PIXEL, NC), NZ)
     return illumination.gains(e, derive.tiles(spark, d))
 
 
