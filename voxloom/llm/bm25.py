@@ -22,7 +22,8 @@ doc_id. Only documents that share a term with the query are found.
 
 Edge cases: null and empty texts hold no term, count as documents of length 0
 and find nothing as queries; repeated rows are found as often as they occur; a
-null identifier can be found, first among ties, but is no query; an empty
+null identifier can be found, first among ties, but is no query; queries that
+share an identifier are one query of all their terms; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -53,42 +54,53 @@ def terms_of(text: str | None) -> Counter:
     return Counter(TERM.findall(text.lower())) if text else Counter()
 
 
+class _Numbers(dict):
+    """term -> number, in the order of first use."""
+
+    def __missing__(self, term: str) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def shard_of(ids: list, texts: list[np.ndarray], numbers: _Numbers) -> dict[str, list]:
+    """One index row: postings of all terms in term order; texts are the documents' terms by number."""
+    lengths = np.array([len(t) for t in texts])
+    words = sorted(numbers)
+    place = np.empty(len(words), np.int64)  # number -> place in term order
+    place[[numbers[w] for w in words]] = np.arange(len(words))
+    key = place[np.concatenate(texts)] << 16 | np.repeat(np.arange(len(ids)), lengths) if lengths.any() else np.zeros(0, np.int64)
+    key, tf = np.unique(key, return_counts=True)
+    return {
+        "n_docs": [len(ids)],
+        "n_terms": [int(lengths.sum())],
+        "ids": [ids],
+        "lengths": [lengths.tolist()],
+        "words": ["\n".join(words)],
+        "df": [np.bincount(key >> 16, minlength=len(words)).astype("<i4").tobytes()],
+        "docs": [(key & 0xFFFF).astype("<u2").tobytes()],
+        "tf": [tf.astype("<i4").tobytes()],
+    }
+
+
 def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The stored index, a row per shard: (n_docs, n_terms, ids, lengths, words, df, docs, tf)."""
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary(), pa.binary())
 
-    def shard(ids: list, lengths: list[int], postings: dict[str, tuple[list[int], list[int]]]) -> pa.RecordBatch:
-        words = sorted(postings)
-        one = {
-            "n_docs": [len(ids)],
-            "n_terms": [sum(lengths)],
-            "ids": [ids],
-            "lengths": [lengths],
-            "words": ["\n".join(words)],
-            "df": [np.array([len(postings[w][0]) for w in words], "<i4").tobytes()],
-            "docs": [np.fromiter((d for w in words for d in postings[w][0]), "<u2").tobytes()],
-            "tf": [np.fromiter((t for w in words for t in postings[w][1]), "<i4").tobytes()],
-        }
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one.values(), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=list(one))
+    def batch(ids: list, texts: list[np.ndarray], numbers: _Numbers) -> pa.RecordBatch:
+        one = shard_of(ids, texts, numbers)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one.values(), kinds, strict=True)], names=list(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, lengths, postings = [], [], {}
+        ids, texts, numbers = [], [], _Numbers()
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                n = len(ids)
-                c = terms_of(t)
-                for w, f in c.items():
-                    p = postings.get(w)
-                    if p is None:
-                        postings[w] = p = ([], [])
-                    p[0].append(n)
-                    p[1].append(f)
                 ids.append(i)
-                lengths.append(c.total())
+                texts.append(np.array([*map(numbers.__getitem__, TERM.findall(t.lower()))], np.int32) if t else np.zeros(0, np.int32))
                 if len(ids) == SHARD_DOCS:
-                    yield shard(ids, lengths, postings)
-                    ids, lengths, postings = [], [], {}
+                    yield batch(ids, texts, numbers)
+                    ids, texts, numbers = [], [], _Numbers()
         if ids:
-            yield shard(ids, lengths, postings)
+            yield batch(ids, texts, numbers)
 
     schema = "n_docs long, n_terms long, ids array<long>, lengths array<int>, words string, df binary, docs binary, tf binary"
     return materialise(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema))
@@ -188,7 +200,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     spark = index.sparkSession
     n, length = index.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     terms = materialise(query_terms(queries))
-    df = frequencies(index).join(terms.select("term").distinct(), "term", "left_semi")
+    df = frequencies(index)
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(df, "term").select("query_id", "term", (F.col("n") * idf).alias("w"))
     folder = f"{shared_dir(spark)}/queries"
