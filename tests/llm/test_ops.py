@@ -355,8 +355,10 @@ def test_components_of_a_chain(spark):
     n = list(range(200))
     rng.shuffle(n)
     links = [(n[i], n[i + 1]) for i in range(150)] + [(n[160], n[161])]
-    got = {r["node"]: r["label"] for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r["node"]: r["label"] for r in components.connected(df, few=0).collect()}
     assert {got[x] for x in n[:151]} == {min(n[:151])} and got[n[161]] == min(n[160:162]) and len(got) == 153
+    assert {r["node"]: r["label"] for r in components.connected(df).collect()} == got
 
 
 # --- 3 and 9
@@ -454,13 +456,9 @@ def test_search_is_brute_force(spark, docs, none):
 def test_pruning_scores_fewer_documents():
     rng = random.Random(12)
     texts = [prose(rng, 50, "abcd") for _ in range(3000)] + ["needle in hay " + prose(rng, 5, "abcd")] * 3
-    post = {}
-    for i, t in enumerate(texts):
-        for w, f in bm25.terms_of(t).items():
-            post.setdefault(w, ([], []))[0].append(i)
-            post[w][1].append(f)
-    words = sorted(post)
-    row = {"ids": list(range(len(texts))), "lengths": [len(t.split()) for t in texts], "words": "\n".join(words), "df": np.array([len(post[w][0]) for w in words], "<i4").tobytes(), "docs": np.array([d for w in words for d in post[w][0]], "<u2").tobytes(), "tf": np.array([f for w in words for f in post[w][1]], "<i4").tobytes()}
+    numbers = bm25._Numbers()
+    at = [np.array([numbers[w] for w in bm25.TERM.findall(t)], np.int32) for t in texts]
+    row = {k: v[0] for k, v in bm25.shard_of(list(range(len(texts))), at, numbers).items()}
     s = bm25.Searcher(row, 50.0)
     got = s.answer([["ab", "hay", "needle"]], [np.array([0.2, 7.0, 7.0])], 3)
     assert [g[0] for g in got[0]] == [3000, 3001, 3002] and s.scored < 300
