@@ -343,6 +343,36 @@ def test_near_duplicates_are_brute_force(spark, seed):
     assert rows_of(near_dedup.near_duplicates(df, words=4)) == brute_groups(rows, 4)
 
 
+def test_links_in_a_crowd_are_all_found(spark):
+    """Texts on one template, 79 % alike, and among them pairs that are 81 % alike."""
+    rng = random.Random(7)
+    template, rows = prose(rng, 63).split(), []
+    for k in range(1500):
+        own = ["k%d_%d" % (k, x) for x in range(8)]
+        rows.append((k, " ".join(template + own)))
+        if k < 60:
+            rows.append((10_000 + k, " ".join(template + own[:1] + ["m%d_%d" % (k, x) for x in range(7)])))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(near_dedup.near_duplicates(df, words=4)) == sorted(((i, 68, i % 10_000, i < 10_000) for i, _ in rows), key=repr)
+
+
+@pytest.mark.parametrize("sides", [False, True])
+def test_links_between_are_brute_force(sides):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(60)]
+    label, side = rng.integers(0, 9, 60), rng.integers(0, 2, 60) if sides else None
+    mine, true = label.copy(), label.copy()
+    for i, j in near_dedup.links_between(sets, label, side, 55):
+        mine[mine == mine[i]] = mine[j]
+    for i in range(60):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 55 * (len(sets[i]) + len(sets[j]) - both) and (not sides or side[i] != side[j]):
+                true[true == true[i]] = true[j]
+    assert len(set(true)) < len(set(label)) and all((mine[i] == mine[j]) == (true[i] == true[j]) for i in range(60) for j in range(i))
+
+
 def test_one_row_of_each_group(docs, none):
     out = near_dedup.one_of_each(docs)
     ids = [r["doc_id"] for r in out.select("doc_id").collect()]

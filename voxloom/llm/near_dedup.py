@@ -9,11 +9,15 @@
    common prefix, so in a crowded region the depth that counts grows by itself.
    Order borders between partitions are compared too.
 3. Candidates are confirmed on whole sets: first each class's best one; then,
-   with those linked into components, regions are swept again, much farther,
-   for neighbours in other components, until a sweep links nothing new. Texts
-   of classes with neighbours are set aside once; a text is only ever compared
-   with the base text of its group, streamed.
-4. Classes linked into components keep their smallest doc_id.
+   with those linked into components, a few orders are swept again for near
+   neighbours in other components. Texts of classes with neighbours are set
+   aside once; a text is only ever compared with the base text of its group,
+   streamed.
+4. At last every region (all rows of an order that share LEAST_DEPTH leading
+   values) that still holds more than one component is gone through whole: all
+   its pairs of different components are compared, however many they are.
+   Large regions are dealt into blocks, a task compares two of them.
+5. Classes linked into components keep their smallest doc_id.
 
 A pair at similarity 0.8 shares LEAST_DEPTH leading values in none of the TREES
 orders with probability (1 - 0.8 ** 4) ** 24, about 3 in a million.
@@ -37,8 +41,8 @@ from voxloom.llm.common import BROADCAST_ROWS, materialise
 from voxloom.llm.components import connected
 
 TREES, DEPTH, LEAST_DEPTH, REACH = 24, 7, 4, 2
-#: Later sweeps over crowded regions: orders of the first, then how far, and how many neighbours of other components at most.
-NARROW_TREES, WIDE_REACH, WIDE_MOST = 6, 96, 10
+#: Orders of the sweep that joins up what is dense before whole regions are compared, and shingles to a block of a region.
+NARROW_TREES, BLOCK = 6, 200_000
 PERCENT = 80
 _C = np.array([pow(0xD1342543DE82EF95, 2 * j + 1, 2**64) | 1 for j in range(16)], np.uint64)
 _A = (np.array([pow(0x9E3779B1, k + 1, 2**32) for k in range(TREES * DEPTH)], np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -264,10 +268,91 @@ def confirmed(pairs: DataFrame, pool: DataFrame, words: int, percent: int) -> Da
     return materialise(dealt.mapInArrow(run, "a binary, b binary").distinct())
 
 
+def links_between(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """(i, j) of sets similar enough that join all components (label) which any such pair joins; with side only pairs of different sides count.
+
+    For a set, the sets that share each of its values are counted at once, so
+    all its pairs cost one pass over the postings of its values.
+    """
+    n, size, label, found = len(sets), np.array([len(s) for s in sets]), np.unique(label, return_inverse=True)[1], []
+    dominant = np.bincount(label).argmax() if n else 0
+    turn = np.flatnonzero(label != dominant)  # two rows of one component need no comparison, so none of the largest has a turn
+    if not len(turn):
+        return found
+    values, row = np.concatenate(sets), np.repeat(np.arange(n), size)
+    order = np.argsort(values, kind="stable")
+    by_value, sorted_values = row[order], values[order]
+    start = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+    count = np.diff(np.append(start, len(values)))
+    group = np.empty(len(values), np.int64)
+    group[order] = np.repeat(np.arange(len(start)), count)
+    at = np.concatenate([[0], np.cumsum(size)])
+    todo = np.ones(n, bool)
+    for j in turn.tolist():
+        todo[j] = False
+        open_ = todo & (label != label[j])
+        if side is not None:
+            open_ &= side != side[j]
+        if not open_.any():
+            continue
+        g = group[at[j] : at[j + 1]]
+        g = g[count[g] > 1]
+        c = count[g]
+        both = np.bincount(by_value[np.repeat(start[g] - np.cumsum(c) + c, c) + np.arange(c.sum())], minlength=n)
+        for i in np.flatnonzero(open_ & (100 * both >= percent * (size + size[j] - both))).tolist():
+            if label[i] != label[j]:
+                found.append((i, j))
+                label[label == label[i]] = label[j]
+    return found
+
+
+def crossing(crowd: DataFrame, classes: DataFrame, pool: DataFrame, words: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between components over all pairs of crowd's regions; crowd: (tree, k, digest, label).
+
+    A region with more than `block` shingles is dealt into blocks, each pair of
+    which is compared by one task; nothing is left out.
+    """
+    rows = crowd.join(classes.select("digest", "n"), "digest").select("tree", F.substring("k", 1, 4 * LEAST_DEPTH).alias("p"), "digest", "label", "n")
+    mixed = rows.groupBy("tree", "p").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.sum("n") / block).alias("blocks")).where("lo <> hi").select("tree", "p", "blocks")
+    side = F.pmod(F.xxhash64("digest"), F.col("blocks"))
+    dealt = materialise(rows.join(mixed, ["tree", "p"]).select("tree", "p", "digest", "label", "blocks", side.alias("side")))
+    texts = dealt.join(pool, "digest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = ["tree", "p", "x", "y"]
+    texts = texts.select("tree", "p", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "digest", "label", "side", F.col("text").alias("d_text"))
+    spread = texts.repartition(*cell).sortWithinPartitions(*cell, "digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        def linked(rows: list[tuple]) -> pa.RecordBatch:
+            label = np.unique([x[1] for x in rows], return_inverse=True)[1]
+            sides = np.array([x[2] for x in rows])
+            pairs = links_between([x[3] for x in rows], label, sides if sides.min() != sides.max() else None, percent)
+            ends = [sorted((rows[i][0], rows[j][0])) for i, j in pairs]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in ends], pa.binary()) for k in range(2)], names=["a", "b"])
+
+        now, held = None, []
+        for b in batches:
+            for *at, digest, label, side, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != now:
+                    if len(held) > 1:
+                        yield linked(held)
+                    now, held = at, []
+                if held and held[-1][0] == digest:  # the text of a repeated row
+                    continue
+                s = shingles(t.encode() if t else b"", words)
+                if xxhash.xxh3_128_digest(s.tobytes()) == digest:  # else another row with the same doc_id
+                    held.append((digest, label, side, s))
+        if len(held) > 1:
+            yield linked(held)
+
+    return materialise(spread.mapInArrow(run, "a binary, b binary").distinct())
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row per row of docs; component_id is the smallest doc_id of its group."""
     rows = materialise(digests(docs, words, text, key))
-    classes = materialise(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
+    classes = materialise(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
     found = _sweep(orders(classes), REACH, 2 * REACH, crowded=True)
     pool = candidate_texts(found, classes, docs, text, key)
     pairs = summed(found)
@@ -277,17 +362,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, tex
     links = confirmed(first, pool, words, percent)
     labels, tried = connected(links), first.select("a", "b")
     crowd = materialise(found.where(F.col("kind") == _CROWDED).select("tree", "k", F.col("a").alias("digest")))
-    narrow = True
-    while True:
-        # a narrow sweep of a few orders joins up what is dense; then wide ones of all orders look for the rest
-        own = (crowd.where(F.col("tree") < NARROW_TREES) if narrow else crowd).join(labels, F.col("digest") == F.col("node"), "left").select("tree", "k", "digest", F.coalesce("label", "digest").alias("label"))
-        rest = materialise(summed(_sweep(own, *((REACH, REACH) if narrow else (WIDE_REACH, WIDE_MOST)), crowded=False)).join(tried, ["a", "b"], "left_anti"))
-        more = confirmed(rest, pool, words, percent)
-        some = not more.isEmpty()
-        if not some and not narrow:
-            break
-        narrow, tried = False, tried.union(rest.select("a", "b"))
-        if some:
+    labelled = lambda rows: rows.join(labels, F.col("digest") == F.col("node"), "left").select("tree", "k", "digest", F.coalesce("label", "digest").alias("label"))
+    near = _sweep(labelled(crowd.where(F.col("tree") < NARROW_TREES)), REACH, REACH, crowded=False)
+    more = confirmed(materialise(summed(near).join(tried, ["a", "b"], "left_anti")), pool, words, percent)
+    for last in (False, True):
+        if last:
+            more = crossing(labelled(crowd), classes, pool, words, percent)
+        if not more.isEmpty():
             links = materialise(links.union(more))
             labels = connected(links)
     ids = classes.select("digest", "rep")
