@@ -37,3 +37,10 @@ def test_same_rows(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_has_rows(spark, name):
     assert QUERIES[name](spark, DIR).count() > 0
+
+
+def test_image2d_has_every_embedding(spark):
+    from voxloom import derive
+
+    want = spark.read.parquet(f"{DIR}/embeddings.parquet").count()
+    assert derive.image2d(spark, DIR).select("y").distinct().count() == want > 64

@@ -78,6 +78,6 @@ def acq_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 64 by 64 image from the first embeddings."""
-    e = table(spark, sf_dir, "embeddings").where("vec_id < 64").select(F.col("vec_id").cast("int").alias("y"), F.posexplode("embedding").alias("x", "e"))
+    """An image with a row per embedding."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("y"), F.posexplode("embedding").alias("x", "e"))
     return e.select("y", "x", F.floor((F.col("e") + 4) * 1000).cast("int").alias("v"))
