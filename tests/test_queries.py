@@ -44,3 +44,17 @@ def test_image2d_has_every_embedding(spark):
 
     want = spark.read.parquet(f"{DIR}/embeddings.parquet").count()
     assert derive.image2d(spark, DIR).select("y").distinct().count() == want > 64
+
+
+def test_fuse_affine_has_every_channel(spark):
+    assert {r["c"] for r in QUERIES["fuse_affine"](spark, DIR).select("c").distinct().collect()} == {0, 1, 2}
+
+
+def test_basic_fit_takes_every_plane(spark, monkeypatch):
+    from voxloom.operators import flatfield
+    from voxloom.plans import queries
+
+    taken = []
+    monkeypatch.setattr(queries.flatfield, "sampled_planes", lambda *a, f=flatfield.sampled_planes, **k: taken.append(f(*a, **k)) or taken[-1])
+    QUERIES["basic_fit"](spark, DIR)
+    assert taken[0].select("tile_id", "z").distinct().count() == 175

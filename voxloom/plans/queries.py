@@ -342,7 +342,7 @@ def basic_fit(spark, d):
         return pd.DataFrame({"c": int(g["c"].iloc[0]), "y": y.ravel().astype("int32"), "x": x.ravel().astype("int32"), "flat": flat.ravel(), "dark": dark.ravel()})
 
     t = tile_voxels(spark, d)
-    planes = flatfield.sampled_planes(t.select("tile_id", "z").distinct(), 100)  # bounds the group that is fitted in one task
+    planes = flatfield.sampled_planes(t.select("tile_id", "z").distinct(), 200)  # bounds the group that is fitted in one task
     return t.join(F.broadcast(planes), ["tile_id", "z"]).groupBy("c").applyInPandas(one, "c int, y int, x int, flat double, dark double")
 
 
@@ -495,7 +495,7 @@ def phase_corr(spark, d):
 def fuse_affine(spark, d):
     import numpy as np
 
-    t = tile_voxels(spark, d).where("c = 0")
+    t = tile_voxels(spark, d)
     return fuse.affine_fused(t, {k: np.array([[1, 0, 8.0 * (k % 5)], [0, 1, 8.0 * (k // 5)]]) for k in range(25)}, (42, 42))
 
 
