@@ -13,13 +13,13 @@ of bounded size.
 
 Edge cases: null text, empty text and text without a letter give `und` with
 score 0; a null language never teaches; without any labelled text everything
-is `und`; ties go to the language that sorts first; repeated rows get equal
-results; other columns are untouched.
+is `und`; numerals are no letters; ties go to the language that sorts first;
+repeated rows get equal results; other columns are untouched, but for those
+that have the names of the results, which are replaced.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -27,13 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from voxloom.llm.common import crc_mod, kept_in_worker
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
 #: Longest letter run scored as one word; longer runs are scored in parts of this length, all of them.
 LONGEST = 40
@@ -43,6 +44,8 @@ ROUNDS = 2
 #: Words remembered by a Python worker before it starts over.
 CACHE_WORDS = 400_000
 UND = "und"
+#: Probabilities are carried times this for each letter, so that a run of LONGEST letters that no language knows does not vanish.
+SCALE = 1e6
 
 
 def vocabulary(path: str) -> list[str]:
@@ -136,10 +139,10 @@ class Model:
         return out
 
     def forward(self, count: int, n: int, parts: dict[tuple[int, int], Part]) -> list[np.ndarray]:
-        """alpha[j]: probability of the first j letters, a row per word."""
+        """alpha[j]: probability of the first j letters times SCALE ** j, a row per word."""
         alpha = [np.ones((count, len(self.langs)))] + [np.zeros((count, len(self.langs))) for _ in range(n)]
         for (i, j), (who, rows) in sorted(parts.items()):  # by start: alpha[i] is whole when its pieces are added
-            alpha[j][who] += alpha[i][who] * self.prob[rows]
+            alpha[j][who] += alpha[i][who] * self.prob[rows] * SCALE ** (j - i)
         return alpha
 
     def log_prob(self, words: list[str]) -> np.ndarray:
@@ -147,7 +150,7 @@ class Model:
         out = np.zeros((len(words), len(self.langs)))
         for at in _by_length(words):
             ws = [words[i] for i in at]
-            out[at] = np.log(self.forward(len(ws), len(ws[0]), self.parts(ws))[-1])
+            out[at] = np.log(self.forward(len(ws), len(ws[0]), self.parts(ws))[-1]) - len(ws[0]) * np.log(SCALE)
         return out
 
     def expected(self, words: list[str], weight: np.ndarray) -> np.ndarray:
@@ -159,9 +162,9 @@ class Model:
             alpha = self.forward(len(ws), n, parts)
             beta = [np.zeros_like(alpha[0]) for _ in range(n)] + [np.ones_like(alpha[0])]
             for (i, j), (who, rows) in sorted(parts.items(), reverse=True):
-                beta[i][who] += beta[j][who] * self.prob[rows]
+                beta[i][who] += beta[j][who] * self.prob[rows] * SCALE ** (j - i)
             for (i, j), (who, rows) in parts.items():
-                np.add.at(got, rows, alpha[i][who] * self.prob[rows] * beta[j][who] / alpha[n][who] * wt[who])
+                np.add.at(got, rows, alpha[i][who] * self.prob[rows] * SCALE ** (j - i) * beta[j][who] / alpha[n][who] * wt[who])
         return got
 
 
@@ -273,7 +276,8 @@ class Scorer:
 
 
 def with_language(docs: DataFrame, model: Model | None, text: str = "text", out: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
-    """docs with the predicted language and its score; all columns of docs stay."""
+    """docs with the predicted language and its score; all other columns of docs stay."""
+    docs = docs.drop(*out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary by languages: its size is bounded
     name = uuid.uuid4().hex
 
@@ -290,8 +294,9 @@ def with_language(docs: DataFrame, model: Model | None, text: str = "text", out:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out[0], StringType()), StructField(out[1], DoubleType())]))
 
 
-def filter_documents(docs: DataFrame, vocab_path: str, least_score: float = 0.5) -> DataFrame:
+def filter_documents(docs: DataFrame, vocab_path: str, least_score: float = 0.5, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
     """The documents whose language is told with at least this score, with the columns of docs; `und` goes."""
-    model = fit(docs.where(crc_mod("doc_id", 5) != 0), vocab_path)
-    found = with_language(docs, model, out=("l_pred", "l_score"))
-    return found.where((F.col("l_pred") != UND) & (F.col("l_score") >= least_score)).select(*docs.columns)
+    d = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("doc_id"))
+    model = fit(d.select("text", "lang", "doc_id").where(crc_mod("doc_id", 5) != 0), vocab_path)
+    found = with_language(d.select("row", "text"), model)
+    return found.where((F.col("lang_pred") != UND) & (F.col("lang_score") >= least_score)).select("row.*")
