@@ -7,7 +7,9 @@ looking up its measurements' bins and adding table entries, a batch at a time.
 Edge cases: a null text counts as empty and is scored like any other text;
 a document labelled more than once teaches its mean label, rounded up from a
 half; null labels teach nothing; without labels every score is 0.5; repeated
-rows get equal scores; other columns are untouched.
+rows get equal scores; documents that share an identifier teach as one; other
+columns are untouched, but for one that has the name of the score, which is
+replaced.
 """
 
 from __future__ import annotations
@@ -60,10 +62,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [features(t) for t in b.column(0).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(rows, pa.list_(pa.float64()))], names=["label", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(rows, pa.list_(pa.float64()))], names=["s_key", "label", "x"])
 
     # the sample's size is bounded by train_rows, so it is broadcast and its measurements are collected
-    got = docs.join(F.broadcast(sample), F.col(key) == F.col("s_key")).select(text, "s_label").mapInArrow(run, "label int, x array<double>").collect()
+    d = docs.select(F.col(key).alias("d_key"), F.col(text).alias("d_text"))
+    drawn = d.join(F.broadcast(sample), F.col("d_key") == F.col("s_key")).select("d_text", "s_key", F.col("s_label").cast("int"))
+    schema = StructType([drawn.schema["s_key"], *StructType.fromDDL("label int, x array<double>").fields])
+    got = drawn.mapInArrow(run, schema).groupBy("s_key").agg(F.min("label").alias("label"), F.min("x").alias("x")).collect()
     if not got:
         return None
     got = sorted((r["x"], r["label"]) for r in got)  # so that the order of rows changes nothing
@@ -71,7 +76,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
 
 
 def with_score(docs: DataFrame, model: gam.Additive | None, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with a score from 0 to 1; all columns of docs stay."""
+    """docs with a score from 0 to 1; all other columns of docs stay."""
+    docs = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -17,7 +17,9 @@ every word of every text.
 Edge cases: a null or empty text has no words and gets the models' intercepts;
 null labels teach nothing; a document labelled more than once teaches its mean
 label, rounded up from a half; without labels every probability is 0 and
-nothing is toxic; repeated rows get equal results; other columns are untouched.
+nothing is toxic; documents that share an identifier teach as one, the first by
+text; repeated rows get equal results; other columns are untouched, but for
+those that have the names of the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from voxloom.llm.common import crc_mod
+from voxloom.llm.common import crc_mod, materialise, release
 
 TRAIN_ROWS, WORDS, LEAST_DOCS, LEAST_Z, STEM, FOLDS = 12_000, 400, 4, 5.0, 5, 4
 #: category -> SQL condition on the labels; in chain order, the last decides.
@@ -115,8 +117,11 @@ def fit(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, text:
     one = labels.where(crc_mod(key, 4) != 2).groupBy(F.col(key).alias("s_key")).agg(*marks).dropna()
     n = one.count()
     sample = one.where(F.pmod(F.xxhash64(F.lit("toxicity"), "s_key"), F.lit(1_000_000)) < min(1.0, train_rows / max(n, 1)) * 1_000_000)
-    # bounded by train_rows, so it is broadcast
-    drawn = docs.join(F.broadcast(sample), F.col(key) == F.col("s_key")).select(F.col("s_key"), F.col(text).alias("t"), *[f"y_{c}" for c in names])
+    # bounded by train_rows, so it is broadcast; stored, since it is gone through more than once, and an identifier's rows count once
+    d = docs.select(F.col(key).alias("d_key"), F.col(text).alias("t"))
+    ys = [f"y_{c}" for c in names]
+    drawn = d.join(F.broadcast(sample), F.col("d_key") == F.col("s_key")).groupBy("s_key", *ys).agg(F.min("t").alias("t"))
+    drawn = materialise(drawn.select("s_key", "t", *ys))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, hits = Counter(), [Counter() for _ in names]
@@ -135,6 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, text:
     counts = counts.groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(F.col("hits")[k]).alias(f"h{k}") for k in range(len(names))]).where(F.col("n") >= LEAST_DOCS)
     size = drawn.agg(F.count("*"), *[F.sum(f"y_{c}") for c in names]).first()
     if not size[0]:
+        release(drawn)
         return None
     chosen: set[str] = set()
     for k in range(len(names)):
@@ -150,13 +156,15 @@ def fit(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, text:
 
     kind = drawn.schema["s_key"].dataType.simpleString()
     got = sorted(tuple(r) for r in drawn.mapInArrow(hold, f"s_key {kind}, at array<int>, " + ", ".join(f"y_{c} int" for c in names)).collect())
+    release(drawn)
     return fit_chain([np.array(g[1], np.int64) for g in got], np.array([g[2:] for g in got], float), words, names)
 
 
 def with_toxicity(docs: DataFrame, model: Chain | None, names: list[str] | None = None, text: str = "text") -> DataFrame:
-    """docs with p_<category> for each category and the boolean is_toxic; all columns of docs stay."""
+    """docs with p_<category> for each category and the boolean is_toxic; all other columns of docs stay."""
     names = names or list(CHAIN)
     out = [f"p_{c}" for c in names]
+    docs = docs.drop(*out, "is_toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
