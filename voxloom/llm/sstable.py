@@ -19,7 +19,8 @@ attempts leave no wrong shard behind.
 
 Edge cases: a null or empty text has the end id alone; a null identifier sorts
 first; documents that share an identifier stay separate entries, ordered by a
-hash of their text; an empty table gives no shard; other columns are ignored.
+hash of their text; an id that does not fit in the bytes given to each is an
+error; an empty table gives no shard; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -100,6 +101,8 @@ class ShardWriter:
     def add(self, key: bytes, ids: bytes) -> None:
         """ids: little-endian unsigned 32-bit; stored in id_bytes bytes each."""
         value = np.frombuffer(ids, "<u4")
+        if len(value) and int(value.max()) >> 8 * self.id_bytes:
+            raise ValueError(f"id {value.max()} needs more than {self.id_bytes} bytes")
         self.n_docs += 1
         self.n_ids += len(value)
         if not self.block:

@@ -90,7 +90,8 @@ def encode_column(path: str, column: pa.Array, step: int = 128) -> Iterator[list
 
 
 def with_ids(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """docs without their text, with the binary column `out`."""
+    """docs without their text, with the binary column `out`, which replaces one of that name."""
+    docs = docs.drop(out) if out != text else docs
     keep = [f for f in docs.schema.fields if f.name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
