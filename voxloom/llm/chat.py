@@ -16,7 +16,8 @@ first turn is one row.
 Edge cases: turns are ordered by turn (nulls first), equal ones by the md5 of
 role and text; a null role renders as `unknown` and a null text as empty, and
 both compare so; a null conv_id is a conversation of its own; repeated rows
-are turns of their own; an empty table gives an empty result; other columns
+are turns of their own; an empty table gives an empty result; a turn is its
+role and its text, wherever line breaks are in them; other columns
 are ignored.
 """
 
@@ -38,7 +39,7 @@ def turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, position, role, text, digest): turns numbered from 1 in each conversation."""
     role, text = F.coalesce("role", F.lit("unknown")), F.coalesce("text", F.lit(""))
     t = conversations.select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), role.alias("role"), text.alias("text"))
-    t = t.withColumn("digest", F.md5(F.concat("role", F.lit("\n"), "text").cast("binary")))
+    t = t.withColumn("digest", F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text").cast("binary")))  # the length tells where the role ends
     # a null conv_id can't be joined on: it goes by a flag and a stand-in
     t = t.withColumn("c_null", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", F.lit(0)))
     t = t.withColumn("c_bucket", F.floor(F.col("turn") / BUCKET)).withColumn("c_one", F.lit(1).cast("long"))
@@ -75,20 +76,21 @@ def rendered(role: Column, text: Column) -> Column:
 def format_chats(conversations: DataFrame) -> DataFrame:
     """(conv_id, segment, n_turns, text): maximal conversations; n_turns counts the turns of the segment."""
     numbered = materialise(turns(conversations))
-    kept = numbered.join(maximal(numbered).drop("n"), ["c_null", "conv_id"], "left_semi")
-    segment = F.floor((F.col("position") - 1) / SEGMENT).alias("segment")
-    g = kept.groupBy("c_null", "conv_id", segment).agg(F.count("*").alias("n_turns"), F.array_sort(F.collect_list(F.struct("position", rendered(F.col("role"), F.col("text")).alias("t")))).alias("ts"))
+    # a row per segment of what stays, so that no conversation's turns meet in one task
+    keep = maximal(numbered).withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / SEGMENT)))).drop("n")
+    kept = numbered.withColumn("segment", F.floor((F.col("position") - 1) / SEGMENT)).join(keep, ["c_null", "conv_id", "segment"], "left_semi")
+    g = kept.groupBy("c_null", "conv_id", "segment").agg(F.count("*").alias("n_turns"), F.array_sort(F.collect_list(F.struct("position", rendered(F.col("role"), F.col("text")).alias("t")))).alias("ts"))
     return g.select(F.when(~F.col("c_null"), F.col("conv_id")).alias("conv_id"), "segment", "n_turns", F.array_join(F.transform("ts", lambda x: x["t"]), "").alias("text"))
 
 
 SQL = f"""
 WITH t AS (
     SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-           row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, -1), md5(coalesce(role, 'unknown') || chr(10) || coalesce(text, ''))) AS position
+           row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, -1), md5(length(coalesce(role, 'unknown')) || ':' || coalesce(role, 'unknown') || coalesce(text, ''))) AS position
     FROM conversations
 ), p AS (
     SELECT conv_id, position, role, text,
-           string_agg(md5(role || chr(10) || text), ',') OVER (PARTITION BY conv_id ORDER BY position) AS prefix
+           string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY conv_id ORDER BY position) AS prefix
     FROM t
 ), w AS (
     SELECT conv_id, max(position) AS n, arg_max(prefix, position) AS whole FROM p GROUP BY conv_id
