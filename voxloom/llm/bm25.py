@@ -1,6 +1,7 @@
 """Exact top-k search by BM25 over a sharded inverted index with block-max WAND pruning.
 
-Every partition of documents becomes shards of at most SHARD_DOCS documents:
+Every partition of documents becomes shards of at most SHARD_DOCS documents,
+and of SHARD_TERMS words but for the last document:
 postings by term, stored as one row each. Document frequencies, the number of
 documents and their mean length are summed over all shards, so scores are
 global. Each shard answers all queries, read from shared storage in blocks:
@@ -44,7 +45,7 @@ from voxloom.llm.common import materialise, shared_dir
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
-SHARD_DOCS, BLOCK, QUERY_BLOCK = 16_384, 128, 256
+SHARD_DOCS, SHARD_TERMS, BLOCK, QUERY_BLOCK = 16_384, 6_000_000, 128, 256
 #: Lists that are not essential: at most so many of a shard's terms, each in an eighth of its documents at least.
 FREQUENT, FREQUENT_SHARE = 256, 8
 _ONE = float(1 << 32)
@@ -91,14 +92,15 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one.values(), kinds, strict=True)], names=list(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, numbers = [], [], _Numbers()
+        ids, texts, numbers, n_terms = [], [], _Numbers(), 0
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids.append(i)
                 texts.append(np.array([*map(numbers.__getitem__, TERM.findall(t.lower()))], np.int32) if t else np.zeros(0, np.int32))
-                if len(ids) == SHARD_DOCS:
+                n_terms += len(texts[-1])
+                if len(ids) == SHARD_DOCS or n_terms >= SHARD_TERMS:
                     yield batch(ids, texts, numbers)
-                    ids, texts, numbers = [], [], _Numbers()
+                    ids, texts, numbers, n_terms = [], [], _Numbers(), 0
         if ids:
             yield batch(ids, texts, numbers)
 
