@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.numeric import gained_value
-from voxloom.operators.layout import overlap_pairs
-from voxloom.operators.slicing import with_tile
+from voxloom.operators.layout import overlap_pairs, overlap_sides
 
 SIGMA, RADIUS = 15.0, 60
 
@@ -23,19 +22,19 @@ def overlap_stats(tile_voxels: DataFrame, tiles: DataFrame, pixel: float, channe
     broadcast; voxels are summed map-side by (c, pair, side). Give the number of
     channels where it is known: else the voxels are scanned for it.
     """
-    t = tiles.select("tile_id", F.bround(F.col("y_orig_um") / pixel).cast("int").alias("sy"), F.bround(F.col("x_orig_um") / pixel).cast("int").alias("sx"), F.bround(F.col("len_y_um") / pixel).cast("int").alias("hy"), F.bround(F.col("len_x_um") / pixel).cast("int").alias("hx"))
-    p = overlap_pairs(tiles, pixel)
-    a, b = (t.select(*[F.col(c).alias(f"{c}{k}") for c in t.columns]) for k in "12")
-    p = p.join(a, F.col("i") == F.col("tile_id1")).join(b, F.col("j") == F.col("tile_id2"))
-    sides = [p.selectExpr("i", "j", f"{k} AS side", f"tile_id{k} AS tile_id", f"sy{k} AS sy", f"sx{k} AS sx", "greatest(sy1, sy2) AS gy0", "least(sy1 + hy1, sy2 + hy2) AS gy1", "greatest(sx1, sx2) AS gx0", "least(sx1 + hx1, sx2 + hx2) AS gx1") for k in (1, 2)]
-    s = sides[0].union(sides[1]).withColumnRenamed("tile_id", "s_tile")
-    inside = (F.col("tile_id") == F.col("s_tile")) & F.expr("y + sy >= gy0 AND y + sy < gy1 AND x + sx >= gx0 AND x + sx < gx1")
+    s = overlap_sides(tiles, pixel).withColumnRenamed("tile_id", "s_tile").withColumnsRenamed({c: f"s_{c}" for c in ("y0", "y1", "x0", "x1")})
+    inside = (F.col("tile_id") == F.col("s_tile")) & F.expr("y >= s_y0 AND y < s_y1 AND x >= s_x0 AND x < s_x1")
     j = tile_voxels.where("v > 0").join(F.broadcast(s), inside)
     g = j.groupBy("c", "i", "j", "side").agg(F.sum(F.col("v").cast("long")).alias("s"), F.count("*").alias("n"))
-    pick = lambda c, k: F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}")
-    g = g.groupBy("c", "i", "j").agg(pick("s", 1), pick("n", 1), pick("s", 2), pick("n", 2))
     known = tile_voxels.select("c").distinct() if channels is None else tiles.sparkSession.range(channels).select(F.col("id").cast("int").alias("c"))
-    every = known.join(overlap_pairs(tiles, pixel).select("i", "j", (F.col("oy") * F.col("ox")).alias("area")), F.lit(True))
+    return both_sides(g, tiles, pixel, known)
+
+
+def both_sides(sums: DataFrame, tiles: DataFrame, pixel: float, channels: DataFrame) -> DataFrame:
+    """(c, i, j, s1, n1, s2, n2, area), for every pair and channel (c), of sums (c, i, j, side, s, n)."""
+    pick = lambda c, k: F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}")
+    g = sums.groupBy("c", "i", "j").agg(pick("s", 1), pick("n", 1), pick("s", 2), pick("n", 2))
+    every = channels.join(overlap_pairs(tiles, pixel).select("i", "j", (F.col("oy") * F.col("ox")).alias("area")), F.lit(True))
     return every.join(g, ["c", "i", "j"], "left").fillna(0, ["s1", "n1", "s2", "n2"])
 
 
@@ -111,9 +110,3 @@ def apply_illumination(tile_voxels: DataFrame, gain: DataFrame, profile: DataFra
     if profile is not None:
         j, p = j.join(F.broadcast(profile), ["c", "z"], "left"), F.coalesce("profile", F.lit(1.0))
     return j.withColumn("v", gained_value(F.col("v"), F.coalesce("gain", F.lit(1.0)), p)).select(*tile_voxels.columns)
-
-
-def corrected_image(voxels: DataFrame, boxes: DataFrame, side: tuple[int, int], gain: DataFrame, profile: DataFrame | None = None) -> DataFrame:
-    """A fused image corrected tile by tile, by the boxes its voxels lie in."""
-    t = with_tile(voxels, boxes, side).select("c", "z", "y", "x", "v", "tile_id")
-    return apply_illumination(t, gain, profile)

@@ -59,6 +59,17 @@ def overlap_pairs(tiles: DataFrame, pixel: float) -> DataFrame:
     return p.where("oy > 0 AND ox > 0 AND oy <= hy1 AND ox <= hx1").select(F.col("tile_id1").alias("i"), F.col("tile_id2").alias("j"), "oy", "ox")
 
 
+def overlap_sides(tiles: DataFrame, pixel: float) -> DataFrame:
+    """(i, j, side, tile_id, y0, y1, x0, x1): each pair's overlap seen in either tile (side 1 is tile i), in the tile's pixels; two rows a pair."""
+    px = lambda c, n: F.bround(F.col(c) / pixel).cast("int").alias(n)
+    t = tiles.select("tile_id", px("y_orig_um", "sy"), px("x_orig_um", "sx"), px("len_y_um", "hy"), px("len_x_um", "hx"))
+    a, b = (t.select(*[F.col(c).alias(f"{c}{k}") for c in t.columns]) for k in "12")
+    p = overlap_pairs(tiles, pixel).join(a, F.col("i") == F.col("tile_id1")).join(b, F.col("j") == F.col("tile_id2"))
+    ends = lambda k: [e for n in "yx" for e in (f"greatest(s{n}1, s{n}2) - s{n}{k} AS {n}0", f"least(s{n}1 + h{n}1, s{n}2 + h{n}2) - s{n}{k} AS {n}1")]
+    one, two = (p.selectExpr("i", "j", f"{k} AS side", f"tile_id{k} AS tile_id", *ends(k)) for k in (1, 2))
+    return one.union(two)
+
+
 def axis_aligned(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
     """Pairs that differ along exactly one axis."""
     t = tiles.select("tile_id", "y_orig_um", "x_orig_um")
@@ -67,6 +78,55 @@ def axis_aligned(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
     return p.where("(y_orig_um1 <> y_orig_um2) <> (x_orig_um1 <> x_orig_um2)").select("i", "j")
 
 
+def shortest_paths(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Pairs (i, j) that lie on the shortest paths from a reference tile to all others, of pairs (i, j, oy, ox); a step costs less the more its tiles overlap.
+
+    The reference is the tile whose farthest tile is nearest. Each connected
+    group has one of its own. Pairs are neighbours, so they are few.
+    """
+    import heapq
+
+    near: dict[int, list[tuple[int, float]]] = {}
+    for i, j, oy, ox in pairs:
+        cost = 1.0 / max(1, oy * ox)
+        near.setdefault(i, []).append((j, cost))
+        near.setdefault(j, []).append((i, cost))
+
+    def tree(start: int) -> tuple[float, dict[int, int]]:
+        far, by, todo, done = 0.0, {}, [(0.0, start, start)], set()
+        while todo:
+            d, t, before = heapq.heappop(todo)
+            if t in done:
+                continue
+            done.add(t)
+            far, by[t] = d, before
+            for k, c in near[t]:
+                if k not in done:
+                    heapq.heappush(todo, (d + c, k, t))
+        return far, by
+
+    left, out = set(near), []
+    while left:
+        group = tree(min(left))[1]
+        by = min((tree(t) for t in sorted(group)), key=lambda x: x[0])[1] if len(group) <= 512 else group
+        out += [(min(t, p), max(t, p)) for t, p in by.items() if t != p]
+        left -= set(group)
+    return sorted(out)
+
+
+def large_overlaps(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Pairs whose overlap's area is above the threshold that best splits all areas in two; all of them where they are alike."""
+    from voxloom.kernels.transforms import otsu
+
+    import numpy as np
+
+    area = np.array([oy * ox for _, _, oy, ox in pairs], float)
+    if len(set(area.tolist())) < 2:
+        return [(i, j) for i, j, *_ in pairs]
+    least = otsu(area)
+    return [(i, j) for (i, j, *_), a in zip(pairs, area, strict=True) if a >= least]
+
+
 def without_every_other(pairs: DataFrame, tiles: DataFrame, pixel: float) -> DataFrame:
     """Pruning that keeps pairs of neighbours of different parity of (row + column)."""
     t = tiles.select("tile_id", (F.dense_rank().over(Window.orderBy("y_orig_um")) + F.dense_rank().over(Window.orderBy("x_orig_um"))).alias("p"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from voxloom.functions.numeric import half_even
 from voxloom.functions.text import cleaned, key_of, rest_of, value_of
 
 #: Metadata key -> column.
@@ -14,21 +15,21 @@ KEYS = {
     "pixelsize": "pixelsize", "z_stepsize": "z_scale", "x_pos": "x_pos", "y_pos": "y_pos",
     "x_pixels": "x_n_pixels", "y_pixels": "y_n_pixels", "z_planes": "z_n_pixels",
 }
-REQUIRED = ["channel", "x_scale", "y_scale", "z_scale", "x_pos", "y_pos", "x_n_pixels", "y_n_pixels", "z_n_pixels"]
+REQUIRED = ["channel", "filter", "x_scale", "y_scale", "z_scale", "x_pos", "y_pos", "x_n_pixels", "y_n_pixels", "z_n_pixels"]
 
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
-    """(path, block, key, value) of metadata lines (path, line_no, line); a block starts at each `[Metadata for file]`. A file is one small group."""
+    """(path, line_no, block, key, value) of metadata lines (path, line_no, line); a block starts at each `[Metadata for file]`. A file is one small group."""
     c = cleaned(F.col("line"))
     t = lines.select("path", "line_no", c.alias("c")).where(F.col("c") != "").select("path", "line_no", key_of(F.col("c")).alias("key"), F.when(key_of(F.col("c")) == "filter", rest_of(F.col("c"))).otherwise(value_of(F.col("c"))).alias("value"))
     w = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = t.withColumn("block", F.sum((F.col("key") == "metadata").cast("int")).over(w) - 1)
-    return t.where(F.col("key").isin(list(KEYS))).select("path", "block", "key", "value")
+    return t.where(F.col("key").isin(list(KEYS))).select("path", "line_no", "block", "key", "value")
 
 
 def acquisition_table(lines: DataFrame) -> DataFrame:
-    """One typed row per block, numbered over all files in order; null where a key is missing."""
-    p = parsed_lines(lines).groupBy("path", "block").pivot("key", list(KEYS)).agg(F.first("value"))
+    """One typed row per block, numbered over all files in order; null where a key is missing, the last value where it is repeated."""
+    p = parsed_lines(lines).groupBy("path", "block").pivot("key", list(KEYS)).agg(F.max_by("value", "line_no"))
     for k, name in KEYS.items():
         if k != name:
             p = p.withColumnRenamed(k, name)
@@ -67,17 +68,19 @@ def flagged(table: DataFrame, excluded: dict[str, list[int]]) -> DataFrame:
 
 
 def checked_pixels(table: DataFrame) -> DataFrame:
-    """x and y pixel counts swapped where a single row or column of tiles shows, or where overlaps are negative and swapping mends that."""
-    s = table.agg(F.count_distinct("x_pos").alias("nx"), F.count_distinct("y_pos").alias("ny"), F.max("x_n_pixels").alias("px"), F.max("y_n_pixels").alias("py"), F.max("x_scale").alias("sx"), F.max("y_scale").alias("sy"))
-    w = lambda a: Window.orderBy(f"{a}_pos")
-    step = lambda a: table.select(f"{a}_pos").distinct().select((F.col(f"{a}_pos") - F.lag(f"{a}_pos").over(w(a))).alias("d")).agg(F.min("d").alias(f"d{a}"))
-    j = s.join(F.broadcast(step("x")), F.lit(True)).join(F.broadcast(step("y")), F.lit(True))
-    lap = lambda a, b: F.col(f"p{b}") * F.col(f"s{a}") - F.coalesce(F.col(f"d{a}"), F.lit(0.0))
-    bad, mended = (lap("x", "x") < 0) | (lap("y", "y") < 0), (lap("x", "y") >= 0) & (lap("y", "x") >= 0)
-    swap = j.select(((F.col("nx") == 1) | (F.col("ny") == 1)).alias("one"), (bad & mended).alias("fix")).select((F.col("one") | F.coalesce("fix", F.lit(False))).alias("swap_"))
-    t = table.join(F.broadcast(swap), F.lit(True))  # one row
-    x, y = F.col("x_n_pixels"), F.col("y_n_pixels")
-    return t.select(*[c for c in table.columns if c not in ("x_n_pixels", "y_n_pixels")], F.when(F.col("swap_"), y).otherwise(x).alias("x_n_pixels"), F.when(F.col("swap_"), x).otherwise(y).alias("y_n_pixels"))
+    """x and y pixel counts swapped where a single row or column of tiles shows, or where tiles of the first row's size do not meet and swapping mends that.
+
+    The first step between positions counts, in whole pixels. Where the counts
+    are swapped, all rows get the first row's.
+    """
+    first = table.agg(*[F.min_by(c, "row").alias(n) for c, n in (("x_n_pixels", "px"), ("y_n_pixels", "py"), ("x_scale", "sx"), ("y_scale", "sy"))], *[F.slice(F.array_sort(F.collect_set(f"{a}_pos")), 1, 2).alias(f"at_{a}") for a in "xy"])
+    step = {a: half_even(F.abs(F.col(f"at_{a}")[1] - F.col(f"at_{a}")[0]) / F.col(f"s{a}")) for a in "xy"}
+    lap = lambda a, b: F.col(f"p{b}") - step[a]
+    apart, mended = (lap("x", "x") < 0) | (lap("y", "y") < 0), (lap("x", "y") >= 0) & (lap("y", "x") >= 0)
+    one = (F.size("at_x") == 1) | (F.size("at_y") == 1)
+    t = table.join(F.broadcast(first.select("px", "py", F.when(one, True).otherwise(apart & mended).alias("swap_"))), F.lit(True))  # one row
+    x, y = (F.when(F.col("swap_"), F.col(f"p{b}")).otherwise(F.col(f"{a}_n_pixels")).alias(f"{a}_n_pixels") for a, b in ("xy", "yx"))
+    return t.select(*[c for c in table.columns if c not in ("x_n_pixels", "y_n_pixels")], x, y)
 
 
 def with_channel_settings(table: DataFrame, settings: DataFrame) -> DataFrame:

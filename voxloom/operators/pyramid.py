@@ -7,7 +7,6 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.functions.numeric import truncated
 
 
 def _weight(axis: str, size: int, factor: int):
@@ -39,16 +38,16 @@ def pyramid(voxels: DataFrame, shape: dict[str, int], factors: list[dict[str, in
     return out
 
 
-def pyramid_plan(spark: SparkSession, shape: dict[str, int], scale: dict[str, float], levels: int | None = None, most_bytes: int = 1 << 30) -> DataFrame:
+def pyramid_plan(spark: SparkSession, shape: dict[str, int], scale: dict[str, float], levels: int | None = None, most_bytes: int = 1 << 30, channels: int = 1) -> DataFrame:
     """(level, scale_z, scale_y, scale_x, factor_z, factor_yx, nz, ny, nx); the factors lead from this level to the next.
 
     y and x halve at each level, z too while it is finer than y. Without
-    `levels`, levels are added until one has at most most_bytes at 2 bytes a voxel.
+    `levels`, levels are added until one has at most most_bytes over all channels at 2 bytes a voxel.
     """
     rows, level, s, sc = [], 0, dict(shape), dict(scale)
     while True:
         fz = 2 if sc["z"] < sc["y"] and s["z"] > 1 else 1
-        last = level + 1 >= levels if levels else 2 * math.prod(s.values()) <= most_bytes
+        last = level + 1 >= levels if levels else 2 * channels * math.prod(s.values()) <= most_bytes
         rows.append((level, sc["z"], sc["y"], sc["x"], 1 if last else fz, 1 if last else 2, s["z"], s["y"], s["x"]))
         if last:
             break
@@ -82,6 +81,3 @@ def label_upscale(labels: DataFrame, factor: dict[str, int], shape: dict[str, in
         out = out.withColumn(a, F.explode(F.sequence(F.col(a) * f, F.least(last, size - 1))))
     return out
 
-
-def clipped_cast(voxels: DataFrame) -> DataFrame:
-    return voxels.withColumn("v", truncated(F.col("v")))

@@ -73,31 +73,35 @@ def to_voxels(chunks: DataFrame, zeros: bool = False) -> DataFrame:
     return chunks.mapInArrow(run, "image string, level int, c int, z int, y int, x int, v int")
 
 
-def rechunked(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, int]) -> DataFrame:
-    """The same image in chunks of another size. Parts of chunks move, not voxels: a chunk is cut at the new borders and each new chunk is put together from its parts."""
+def cut(image: str, level: int, c: int, at: tuple[int, int, int], a: np.ndarray, size: tuple[int, int, int]) -> Iterator[tuple]:
+    """Chunk rows of the parts of a block (its corner at `at`) that fall into chunks of `size`; each part keeps its own corner. Parts of zeros are left out."""
+    first = [o // s for o, s in zip(at, size, strict=True)]
+    last = [(o + n - 1) // s for o, n, s in zip(at, a.shape, size, strict=True)]
+    for k in np.ndindex(*(j - i + 1 for i, j in zip(first, last, strict=True))):
+        to = [i + d for i, d in zip(first, k, strict=True)]
+        lo = [max(o, t * s) for o, t, s in zip(at, to, size, strict=True)]
+        hi = [min(o + n, (t + 1) * s) for o, n, t, s in zip(at, a.shape, to, size, strict=True)]
+        p = a[tuple(slice(i - o, j - o) for i, j, o in zip(lo, hi, at, strict=True))]
+        if p.any():
+            yield (image, level, c, *map(int, to), *map(int, lo), *p.shape, p.astype("<u2").tobytes())
+
+
+def block(row: dict) -> np.ndarray:
+    """The voxels of a chunk row."""
+    return np.frombuffer(row["data"], "<u2").reshape(row["nz"], row["ny"], row["nx"])
+
+
+def assembled(parts: DataFrame, size: tuple[int, int, int], shape: dict[str, int]) -> DataFrame:
+    """Whole chunks of parts (chunk rows of `cut`): one shuffle of parts by chunk, a chunk at a time."""
     cz, cy, cx = size
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                a = np.frombuffer(r["data"], "<u2").reshape(r["nz"], r["ny"], r["nx"])
-                out = []
-                for z in range(r["z0"] // cz, (r["z0"] + r["nz"] - 1) // cz + 1):
-                    for y in range(r["y0"] // cy, (r["y0"] + r["ny"] - 1) // cy + 1):
-                        for x in range(r["x0"] // cx, (r["x0"] + r["nx"] - 1) // cx + 1):
-                            lo = [max(o, k * s) for o, k, s in zip((r["z0"], r["y0"], r["x0"]), (z, y, x), size, strict=True)]
-                            hi = [min(o + n, (k + 1) * s) for o, n, k, s in zip((r["z0"], r["y0"], r["x0"]), (r["nz"], r["ny"], r["nx"]), (z, y, x), size, strict=True)]
-                            p = a[tuple(slice(i - o, j - o) for i, j, o in zip(lo, hi, (r["z0"], r["y0"], r["x0"]), strict=True))]
-                            out.append((r["image"], r["level"], r["c"], z, y, x, *lo, *p.shape, p.tobytes()))
-                yield _rows(out)
-
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, block = None, None
+        key, held = None, None
 
         def row() -> tuple:
             image, level, c, z, y, x = key
             dims = [min(s, n - k * s) for k, s, n in zip((z, y, x), size, (shape["z"], shape["y"], shape["x"]), strict=True)]
-            return (*key, z * cz, y * cy, x * cx, *dims, block[: dims[0], : dims[1], : dims[2]].astype("<u2").tobytes())
+            return (*key, z * cz, y * cy, x * cx, *dims, held[: dims[0], : dims[1], : dims[2]].astype("<u2").tobytes())
 
         for b in batches:
             for r in b.to_pylist():
@@ -105,14 +109,25 @@ def rechunked(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, in
                 if now != key:
                     if key is not None:
                         yield _rows([row()])
-                    key, block = now, np.zeros(size, np.uint16)
+                    key, held = now, np.zeros(size, np.uint16)
                 o = [r["z0"] - r["cz"] * cz, r["y0"] - r["cy"] * cy, r["x0"] - r["cx"] * cx]
-                block[tuple(slice(i, i + n) for i, n in zip(o, (r["nz"], r["ny"], r["nx"]), strict=True))] = np.frombuffer(r["data"], "<u2").reshape(r["nz"], r["ny"], r["nx"])
+                held[tuple(slice(i, i + n) for i, n in zip(o, (r["nz"], r["ny"], r["nx"]), strict=True))] = block(r)
         if key is not None:
             yield _rows([row()])
 
     keys = ["image", "level", "c", "cz", "cy", "cx"]
-    return chunks.mapInArrow(cut, CHUNKS).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, CHUNKS)
+    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, CHUNKS)
+
+
+def rechunked(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, int]) -> DataFrame:
+    """The same image in chunks of another size. Parts of chunks move, not voxels: a chunk is cut at the new borders and each new chunk is put together from its parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                yield _rows(list(cut(r["image"], r["level"], r["c"], (r["z0"], r["y0"], r["x0"]), block(r), size)))
+
+    return assembled(chunks.mapInArrow(run, CHUNKS), size, shape)
 
 
 def write_chunks(chunks: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd") -> None:

@@ -12,7 +12,7 @@ from voxloom import derive
 from voxloom.derive import DUCK, NC, NX, NY, NZ
 from voxloom.functions import text as tx
 from voxloom.functions.numeric import truncated
-from voxloom.operators import contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
+from voxloom.operators import blocks, contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,5 +553,103 @@ def clip_cast(spark, d):
     return derive.voxels(spark, d).withColumn("v", truncated(F.col("v") * F.lit(3.7) - 1000))
 
 
+# --- the same operators on chunks: the image is stored sparse, in chunks whose borders are not the tiles'
+
+CHUNK = (4, 16, 16)
+
+
+def chunked(spark: SparkSession, d: str) -> DataFrame:
+    return storage.to_chunks(derive.voxels_sparse(spark, d), CHUNK, SHAPE)
+
+
+def unchunked(chunks: DataFrame) -> DataFrame:
+    return storage.to_voxels(chunks).select("c", "z", "y", "x", "v")
+
+
+def placed_sql(tiled: str) -> str:
+    """Tile voxels of a query back in the image, without zeros."""
+    return f"SELECT c, z, CAST(y + 10 * (tile_id % 5) AS INT) AS y, CAST(x + 10 * (tile_id // 5) AS INT) AS x, v FROM ({tiled}) WHERE v <> 0"
+
+
+def parts_of(name: str, select: str) -> tuple[str, str]:
+    """A query's SQL as (its WITH list after the derived views, its last SELECT, which begins so)."""
+    body = SQL[name].removeprefix(DUCK).lstrip(", ")
+    return body[: body.rindex(select)], body[body.rindex(select) :]
+
+
+_FLAT, _ILLUM = parts_of("flatfield_apply", "SELECT tile_id"), parts_of("illum_apply", "SELECT t.tile_id")
+
+
+@query(f"WITH {_FLAT[0]} {placed_sql(_FLAT[1])}")
+def flatfield_apply_chunks(spark, d):
+    p = blocks.profile_arrays(profile(spark, d), SIDE, SIDE)
+    return unchunked(blocks.apply_flatfield(chunked(spark, d), tile_boxes(spark, d), {c: (f, None, 100.0) for c, f in p.items()}))
+
+
+@query(f"WITH {_ILLUM[0]} {placed_sql(_ILLUM[1])}")
+def illum_apply_chunks(spark, d):
+    gains = {(c, t): 1.0 / (1 + (c + t) % 4) for c in range(NC) for t in range(25)}
+    prof = {(r["c"], r["z"]): r["profile"] for r in z_profile_smooth(spark, d).collect()}  # a row per plane
+    return unchunked(blocks.apply_illumination(chunked(spark, d), tile_boxes(spark, d), gains, prof))
+
+
+@query(STATS + " SELECT c, i, j, s1, n1, s2, n2 FROM stats")
+def overlap_stats_chunks(spark, d):
+    t = derive.tiles(spark, d)
+    sums = blocks.overlap_sums(chunked(spark, d), tile_boxes(spark, d), layout.overlap_sides(t, PIXEL))
+    return illumination.both_sides(sums, t, PIXEL, spark.range(NC).select(F.col("id").cast("int").alias("c"))).drop("area")
+
+
+@query(f"WITH level1 AS ({L1}), level2 AS ({L2}) SELECT * FROM (SELECT 1 AS level, * FROM level1 UNION ALL SELECT 2, * FROM level2) WHERE v <> 0")
+def pyramid_chunks(spark, d):
+    one = blocks.coarsened(chunked(spark, d), CHUNK, SHAPE, HALVE)
+    two = blocks.coarsened(one, CHUNK, L1_SHAPE, HALVE)
+    return storage.to_voxels(one.union(two)).select("level", "c", "z", "y", "x", "v")
+
+
+@query(contrast_sql(""))
+def contrast_chunks(spark, d):
+    got = blocks.contrast(blocks.coarsened(chunked(spark, d), CHUNK, SHAPE, HALVE), L1_SHAPE, NC)
+    return spark.createDataFrame([(c, *e) for c, e in got.items()], "c int, start int, end int")
+
+
+@query("SELECT c, CAST(z - 1 AS INT) AS z, CAST(y - 7 AS INT) AS y, CAST(x - 11 AS INT) AS x, v FROM voxels WHERE z >= 1 AND z < 6 AND y >= 7 AND y < 31 AND x >= 11 AND x < 44 AND v <> 0")
+def crop_chunks(spark, d):
+    return unchunked(blocks.cropped(chunked(spark, d), {"z": (1, 6), "y": (7, 31), "x": (11, 44)}, CHUNK))
+
+
+FUSED_SHAPE = {"z": NZ, "y": 42, "x": 42}
+
+
+def fused_sparse(spark: SparkSession, d: str, how: str) -> DataFrame:
+    parts = blocks.tile_parts(chunked(spark, d), tile_boxes(spark, d))
+    return unchunked(blocks.fused(parts, {k: (0, 8 * (k % 5), 8 * (k // 5)) for k in range(25)}, dict.fromkeys(range(25), (NZ, SIDE, SIDE)), CHUNK, FUSED_SHAPE, how))
+
+
+def without_zeros(name: str) -> str:
+    head, select = parts_of(name, "SELECT c, z")
+    return f"WITH {head} SELECT * FROM ({select}) WHERE v <> 0"
+
+
+@query(without_zeros("fuse_translation_mean"))
+def fuse_sparse_mean(spark, d):
+    return fused_sparse(spark, d, "mean")
+
+
+@query(without_zeros("fuse_blended"))
+def fuse_sparse_blended(spark, d):
+    return fused_sparse(spark, d, "blend")
+
+
+@query(without_zeros("fuse_max"))
+def fuse_sparse_max(spark, d):
+    return fused_sparse(spark, d, "max")
+
+
+@query(f"WITH {RAW} SELECT c, z, raw FROM raw_")
+def z_profile_chunks(spark, d):
+    return blocks.plane_medians(chunked(spark, d), SHAPE, NC)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gain_edges(spark, sf_dir)
