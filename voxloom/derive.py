@@ -35,7 +35,7 @@ voxels AS (SELECT g.c, g.z, g.y, g.x, coalesce(s.v, 0) AS v FROM grid g LEFT JOI
 tiles AS ({TILES}),
 acq_positions AS ({POSITIONS}),
 image2d AS (SELECT CAST(vec_id AS INT) AS y, CAST(i AS INT) AS x, CAST(floor((embedding[i + 1] + 4) * 1000) AS INT) AS v
-            FROM embeddings, range(64) t(i) WHERE vec_id < 64)
+            FROM embeddings, range(64) t(i))
 """
 
 
