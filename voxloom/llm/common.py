@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -28,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share; a temporary one where that is unset (local runs)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="voxloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/voxloom-{uuid.uuid4().hex}"
@@ -40,6 +43,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(StructType(df.schema.fields)).parquet(path)
 
 
+def release(*stored: DataFrame) -> None:
+    """Delete the tables behind DataFrames that only read what `materialise` wrote; nothing may read them afterwards."""
+    for df in stored:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if re.search(r"/voxloom-[0-9a-f]{32}$", folder):
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality of all keys; right has them under the names r_<key>."""
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[f"r_{k}"]) for k in keys))
@@ -81,6 +94,24 @@ def running_total(df: DataFrame, part: Sequence[str], bucket: str, order: Sequen
     return rows.join(sums.select(*part, bucket, "rt_off"), [*part, bucket]).withColumn(out, F.col("rt_in") + F.col("rt_off")).drop("rt_in", "rt_off")
 
 
+def ranged_total(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """df with `out`: the sum of `value` over the rows of the same `part` up to and including this one, in `order` (which begins with `part`, or part is empty).
+
+    Rows are range-partitioned by the whole order, so ranges hold about as many
+    rows each whatever the keys; a range's rows are summed by a window of its
+    own and the sums of the ranges before it are added. Which range a row is in
+    is stored before it is used, so a lost executor changes nothing. `order`
+    has to be total but for equal rows.
+    """
+    dealt = materialise(df.repartitionByRange(*order).withColumn("rt_range", F.spark_partition_id()))
+    sums = dealt.groupBy(*part, "rt_range").agg(F.sum(value).alias("rt_sum"))
+    w = Window.partitionBy(*part) if part else Window.partitionBy()  # a row per range, and per part in it
+    sums = sums.withColumn("rt_off", F.coalesce(F.sum("rt_sum").over(w.orderBy("rt_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.sum(value).over(Window.partitionBy(*part, "rt_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = dealt.withColumn("rt_in", inside)
+    return rows.join(sums.select(*part, "rt_range", "rt_off"), [*part, "rt_range"]).withColumn(out, F.col("rt_in") + F.col("rt_off")).drop("rt_in", "rt_off", "rt_range")
+
+
 _KEPT: dict[str, object] = {}
 
 

@@ -1,48 +1,63 @@
 """Near-duplicate groups by MinHash in an LSH forest, with every link confirmed on full shingle sets.
 
-1. Each text becomes its set of distinct word shingles, a digest of the set and
-   a MinHash signature. Texts with equal sets collapse to one class; only
-   classes go on, so exact copies cost one comparison however many they are.
+1. Each text becomes its set of distinct word shingles, a digest of the set, a
+   MinHash signature and a sketch of one bit per signature value. Texts with
+   equal sets collapse to one class; only classes go on, so exact copies cost
+   one comparison however many they are.
 2. The signature is dealt into TREES orders of DEPTH values each. Every order is
-   range-sorted; neighbours that share at least LEAST_DEPTH leading values are
-   candidates. A doc's neighbours in sorted order are those with the longest
-   common prefix, so in a crowded region the depth that counts grows by itself.
-   Order borders between partitions are compared too.
-3. Candidates are confirmed on whole sets: first each class's best one; then,
-   with those linked into components, a few orders are swept again for near
-   neighbours in other components. Texts of classes with neighbours are set
-   aside once; a text is only ever compared with the base text of its group,
-   streamed.
-4. At last every region (all rows of an order that share LEAST_DEPTH leading
-   values) that still holds more than one component is gone through whole: all
-   its pairs of different components are compared, however many they are.
-   Large regions are dealt into blocks, a task compares two of them.
+   range-sorted. Rows that share LEAST_DEPTH leading values are a region; a
+   row's neighbours in it are those with the longest common prefix, so in a
+   crowded region the depth that counts grows by itself. Each row names the
+   likeliest of its neighbours; order borders between partitions are compared
+   too. A pair counts only if its sketches agree in enough bits (`least_bits`).
+3. Each class's best pair is confirmed on whole sets and links become
+   components. Then every region that still holds more than one component is
+   gone through whole, in blocks, by sketches: each component names its best
+   pair with another one, these are confirmed and linked as well.
+4. At last the regions are gone through whole once more: all rows that are like
+   a row of another component, grouped into clusters, are compared on whole
+   sets, all pairs of different components, however many they are.
 5. Classes linked into components keep their smallest doc_id.
 
 A pair at similarity 0.8 shares LEAST_DEPTH leading values in none of the TREES
-orders with probability (1 - 0.8 ** 4) ** 24, about 3 in a million.
+orders with probability (1 - 0.8 ** 4) ** 24, about 3 in a million; its
+sketches agree in too few bits in one case of a million. Nothing else is left
+to chance and nothing is capped.
+
+Whole texts are shuffled only for classes with a likely partner: which texts
+those are goes to the scan of the texts as a set of BUCKETS hash values at most.
 
 Edge cases: a null or empty text has no shingles and is linked with nothing; a
 text with fewer words than a shingle is one shingle; rows with the same doc_id
-and text fall into one class; a null doc_id never becomes a component's id
-while another is there; an empty table gives an empty result.
+and text fall into one class; rows with the same doc_id and different texts are
+rows of their own; a null doc_id is compared like any other and becomes a
+component's id only where no other is there; an empty table gives an empty
+result; columns besides text and doc_id are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from voxloom.llm.common import BROADCAST_ROWS, materialise
+from voxloom.llm.common import SALTS, materialise, release
 from voxloom.llm.components import connected
 
-TREES, DEPTH, LEAST_DEPTH, REACH = 24, 7, 4, 2
-#: Orders of the sweep that joins up what is dense before whole regions are compared, and shingles to a block of a region.
-NARROW_TREES, BLOCK = 6, 200_000
+TREES, DEPTH, LEAST_DEPTH = 24, 7, 4
+#: 64-bit numbers of a sketch; rows to either side that a row is compared with in the sweep, and at the borders of partitions.
+SKETCH, REACH, BORDER = -(-TREES * DEPTH // 64), 64, 4
+#: Shingles to a block of a region, and the least that a row counts there (rows compare by sketches too).
+BLOCK, LEAST_WEIGHT = 200_000, 50
+#: Hash values of texts that are told to a scan at most: the bound of what is broadcast.
+BUCKETS = 1 << 21
+#: Texts that a task holds against one base text, and digests that a task remembers having given a signature.
+CELL, REMEMBERED = 256, 100_000
 PERCENT = 80
 _C = np.array([pow(0xD1342543DE82EF95, 2 * j + 1, 2**64) | 1 for j in range(16)], np.uint64)
 _A = (np.array([pow(0x9E3779B1, k + 1, 2**32) for k in range(TREES * DEPTH)], np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -77,27 +92,75 @@ def signature(s: np.ndarray) -> bytes:
     return low.astype(">u4").tobytes()
 
 
+def sketch(sig: bytes) -> bytes:
+    """One bit of each signature value, in 64-bit numbers."""
+    v = np.frombuffer(sig, ">u4").astype(np.uint32) * np.uint32(0x9E3779B1)
+    return np.packbits(np.concatenate([v >> np.uint32(31), np.zeros(64 * SKETCH - len(v), np.uint32)]).astype(np.uint8)).tobytes()
+
+
+def least_bits(percent: int, lost: float = 1e-6) -> int:
+    """Most bits that may be asked to agree, so that sketches of sets `percent` alike agree in fewer with probability `lost` at most."""
+    n, p = TREES * DEPTH, (100 + percent) / 200
+    total, k = 0.0, 0
+    while True:
+        total += comb(n, k) * p**k * (1 - p) ** (n - k)
+        if total > lost:
+            return k
+        k += 1
+
+
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes that stand for a text."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
 def digests(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, digest, sig): digest of the shingle set, null for an empty one."""
+    """(doc_id, h1, h2, n_shingles, digest, sig): hashes of the text, digest of the shingle set, null for an empty one.
+
+    sig is signature, sketch and size in 32 bits; a set that a task has met
+    before (as far as it remembers) gets none.
+    """
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[bytes] = set()
         for b in batches:
             n, dig, sig = [], [], []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
+            for t in b.column(3).cast(pa.binary()).to_pylist():
                 s = shingles(t, words)
                 n.append(len(s))
-                dig.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                sig.append(signature(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig"])
+                d = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+                dig.append(d)
+                if d is None or d in met:
+                    sig.append(None)
+                    continue
+                if len(met) >= REMEMBERED:
+                    met.clear()
+                met.add(d)
+                values = signature(s)
+                sig.append(values + sketch(values) + min(len(s), 0xFFFFFFFF).to_bytes(4, "big"))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "h1", "h2", "n_shingles", "digest", "sig"])
 
-    d = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sig binary")
+    d = docs.select(F.col(key).alias("doc_id"), *text_keys(F.col(text)), F.col(text).alias("text"))
+    return d.mapInArrow(run, StructType([d.schema["doc_id"], *StructType.fromDDL("h1 long, h2 long, n_shingles long, digest binary, sig binary").fields]))
 
 
-FOUND = "kind int, a binary, b binary, depth int, part int, nth int, tree int, k binary, label binary"
-_PAIR, _CROWDED, _HEAD, _TAIL = range(4)
+# A row of an order, as bytes that sort like (tree, values, digest): tree 1, values 4 * DEPTH, digest 16, sketch 8 * SKETCH, size 4.
+_KEY = slice(1, 1 + 4 * DEPTH)
+_NODE = slice(_KEY.stop, _KEY.stop + 16)
+_BITS = slice(_NODE.stop, _NODE.stop + 8 * SKETCH)
+_WIDTH = _BITS.stop + 4
+_REGION = 1 + 4 * LEAST_DEPTH
+FOUND = "kind int, r binary, o binary, agree int, part int, nth int"
+_ROW, _HEAD, _TAIL = range(3)
+
+
+def orders(rows: DataFrame) -> DataFrame:
+    """(r): every class in each of the forest's orders."""
+    width = 4 * DEPTH
+    classes = rows.where("digest is not null").groupBy("digest").agg(F.first("sig", ignorenulls=True).alias("sig"))
+    each = F.array(*[F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("sig", t * width + 1, width), "digest", F.substring("sig", TREES * width + 1, 8 * SKETCH + 4)) for t in range(TREES)])
+    return classes.select(F.explode(each).alias("r"))
 
 
 def _binary(x: np.ndarray) -> pa.Array:
@@ -106,166 +169,154 @@ def _binary(x: np.ndarray) -> pa.Array:
 
 
 def _bytes(column: pa.Array, width: int) -> np.ndarray:
-    """A binary column of one width as rows of bytes."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
-
-
-def _emit(kind: int, n: int, **cols: pa.Array | np.ndarray) -> pa.RecordBatch:
-    kinds = {"a": pa.binary(), "b": pa.binary(), "depth": pa.int32(), "part": pa.int32(), "nth": pa.int32(), "tree": pa.int32(), "k": pa.binary(), "label": pa.binary()}
-    out = [pa.array(np.full(n, kind, np.int32))]
-    for c, t in kinds.items():
-        x = cols.get(c)
-        out.append(pa.nulls(n, t) if x is None else _binary(x) if isinstance(x, np.ndarray) and x.ndim == 2 else pa.array(x, t))
-    return pa.RecordBatch.from_arrays(out, names=["kind", *kinds])
-
-
-class _Rows:
-    """Rows of sorted orders: tree, key (n, 4 * DEPTH bytes), node (n, 16 bytes), label (the same, or the node itself)."""
-
-    def __init__(self, tree: np.ndarray, key: np.ndarray, node: np.ndarray, label: np.ndarray):
-        self.tree, self.key, self.node, self.label = tree, key, node, label
-        self.value, self.mark = key.view(">u4").reshape(-1, DEPTH), label.view(">u8").reshape(-1, 2)
-
-    def shared(self, d: int) -> np.ndarray:
-        """Leading values that row i + d shares with row i, 0 in another order."""
-        eq = self.value[d:] == self.value[:-d]
-        return np.where(self.tree[d:] == self.tree[:-d], np.where(eq.all(axis=1), DEPTH, eq.argmin(axis=1)), 0)
-
-    def regions(self) -> np.ndarray:
-        """Number of each row's region: neighbours that share LEAST_DEPTH values are in one."""
-        return np.concatenate([[0], np.cumsum(self.shared(1) < LEAST_DEPTH)]) if len(self.tree) > 1 else np.zeros(len(self.tree), np.int64)
-
-    def pairs(self, reach: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows (i, j, depth) up to reach apart in one region and with different labels; each j with its `most` nearest i at most."""
-        n, got = len(self.tree), []
-        taken = np.zeros(n, np.int64)
-        region = self.regions()
-        for d in range(1, min(reach, n - 1) + 1):
-            ok = (region[d:] == region[:-d]) & (taken[d:] < most)
-            if not ok.any():
-                continue
-            j = np.flatnonzero(ok) + d
-            j = j[(self.mark[j] != self.mark[j - d]).any(axis=1)]
-            taken[j] += 1
-            eq = self.value[j] == self.value[j - d]
-            got.append((j - d, j, np.where(eq.all(axis=1), DEPTH, eq.argmin(axis=1))))
-        return tuple(np.concatenate([g[k] for g in got]) if got else np.zeros(0, np.int64) for k in range(3))
-
-    def batch(self, i: np.ndarray, j: np.ndarray, depth: np.ndarray) -> pa.RecordBatch:
-        """Pairs of nodes, the smaller first, with the label of the other."""
-        x, y = self.node[i], self.node[j]
-        u, v = x.view(">u8").reshape(-1, 2), y.view(">u8").reshape(-1, 2)
-        swap = ((u[:, 0] > v[:, 0]) | ((u[:, 0] == v[:, 0]) & (u[:, 1] > v[:, 1])))[:, None]
-        return _emit(_PAIR, len(i), a=np.where(swap, y, x), b=np.where(swap, x, y), depth=depth.astype(np.int32), label=np.where(swap, self.label[i], self.label[j]))
-
-
-def _sweep(rows: DataFrame, reach: int, most: int, crowded: bool) -> DataFrame:
-    """FOUND rows: pairs (a, b, depth, label) of `_Rows.pairs` over range-sorted (tree, k, digest, label); with crowded=True also the rows of regions with more than one row.
-
-    Rows at the borders of partitions come back too and are compared here;
-    their number goes with the partitions only.
+    """A binary column of one width, without nulls, as rows of bytes."""
+    column = column.cast(pa.binary())
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].reshape(-1, width) if len(column) else np.zeros((0, width), np.uint8)
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits of sketches (last axis) that agree."""
+    return TREES * DEPTH - np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int32)
+
+
+def _regions(r: np.ndarray) -> np.ndarray:
+    """Number of each sorted row's region."""
+    return np.concatenate([[0], np.cumsum((r[1:, :_REGION] != r[:-1, :_REGION]).any(axis=1))])
+
+
+def _likeliest(r: np.ndarray, region: np.ndarray, least: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each sorted row the row up to reach apart in its region whose sketch agrees best (-1: in `least` bits with none), and in how many bits."""
+    n = len(r)
+    bits = np.ascontiguousarray(r[:, _BITS]).view(np.uint64)
+    best, agree = np.full(n, -1), np.full(n, least - 1, np.int32)
+    j = np.arange(n)
+    for d in range(1, min(reach, n - 1) + 1):
+        j = j[j >= d]
+        j = j[region[j] == region[j - d]]
+        if not len(j):
+            break
+        got = _agree(bits[j], bits[j - d])
+        for x, y in ((j, j - d), (j - d, j)):  # no row is twice in x
+            more = got > agree[x]
+            best[x[more]], agree[x[more]] = y[more], got[more]
+    return best, agree
+
+
+def _found(kind: int, r: np.ndarray, **cols: pa.Array) -> pa.RecordBatch:
+    kinds = {"o": pa.binary(), "agree": pa.int32(), "part": pa.int32(), "nth": pa.int32()}
+    rest = [cols[c].cast(t) if c in cols else pa.nulls(len(r), t) for c, t in kinds.items()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(r), kind, np.int32)), _binary(r), *rest], names=["kind", "r", *kinds])
+
+
+def sweep(rows: DataFrame, percent: int) -> DataFrame:
+    """FOUND rows over range-sorted orders: rows that are alike some row of their region, each with its likeliest neighbour o.
+
+    A row without a likely neighbour comes back too (o null) where its region
+    is longer than REACH rows or goes up to a border of its partition. The
+    BORDER rows at each end of a partition come back as well and are compared
+    here; their number goes with the partitions only.
     """
-    spread = rows.repartitionByRange("tree", "k", "digest").sortWithinPartitions("tree", "k", "digest")
+    spread = rows.repartitionByRange("r").sortWithinPartitions("r")
+    least = least_bits(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        some = [b for b in batches if b.num_rows]
+        some = [_bytes(b.column(0), _WIDTH) for b in batches if b.num_rows]
         if not some:
             return
-        cat = lambda c, w: np.concatenate([_bytes(b.column(c), w) for b in some])
-        node = cat("digest", 16)
-        r = _Rows(np.concatenate([b.column("tree").to_numpy() for b in some]), cat("k", 4 * DEPTH), node, cat("label", 16) if "label" in some[0].schema.names else node)
-        n, part = len(r.tree), TaskContext.get().partitionId()
-        i, j, depth = r.pairs(reach, most)
-        for k in range(0, len(i), 50_000):
-            yield r.batch(i[k : k + 50_000], j[k : k + 50_000], depth[k : k + 50_000])
-        if crowded:
-            region = r.regions()
-            at = np.flatnonzero((np.bincount(region)[region] > 1) | (region == 0) | (region == region[-1]))  # those at the borders may go on
-            for k in range(0, len(at), 50_000):
-                x = at[k : k + 50_000]
-                yield _emit(_CROWDED, len(x), a=r.node[x], tree=r.tree[x], k=r.key[x])
-        for kind, x in ((_HEAD, np.arange(min(reach, n))), (_TAIL, np.arange(max(0, n - reach), n))):
-            yield _emit(kind, len(x), a=r.node[x], tree=r.tree[x], k=r.key[x], label=r.label[x], part=np.full(len(x), part, np.int32), nth=x.astype(np.int32))
+        r, part = np.concatenate(some), TaskContext.get().partitionId()
+        n, region = len(r), _regions(r)
+        best, agree = _likeliest(r, region, least, REACH)
+        size = np.bincount(region)[region]
+        at = np.flatnonzero((best >= 0) | (size > REACH) | (region == 0) | (region == region[-1]))
+        for k in range(0, len(at), 50_000):
+            x = at[k : k + 50_000]
+            there = best[x] >= 0
+            o = pa.array([v if ok else None for v, ok in zip(_binary(r[best[x], _NODE]).to_pylist(), there.tolist(), strict=True)], pa.binary())
+            yield _found(_ROW, r[x], o=o, agree=pa.array(agree[x]))
+        for kind, x in ((_HEAD, np.arange(min(BORDER, n))), (_TAIL, np.arange(max(0, n - BORDER), n))):
+            yield _found(kind, r[x], part=pa.array(np.full(len(x), part)), nth=pa.array(x))
 
     found = materialise(spread.mapInArrow(run, FOUND))
     edge: dict[int, dict[int, list]] = {}
-    for x in found.where(F.col("kind") >= _HEAD).select("part", "kind", "nth", "tree", "k", "a", "label").toLocalIterator():
-        edge.setdefault(x["part"], {_HEAD: [], _TAIL: []})[x["kind"]].append((x["nth"], x["tree"], bytes(x["k"]), bytes(x["a"]), bytes(x["label"])))
+    for x in found.where(F.col("kind") != _ROW).select("part", "kind", "nth", "r").collect():  # 2 * BORDER rows of a partition at most
+        edge.setdefault(x["part"], {_HEAD: [], _TAIL: []})[x["kind"]].append((x["nth"], bytes(x["r"])))
     parts, more = sorted(edge), []
-    for p, part in enumerate(parts[:-1]):
-        left, right = sorted(edge[part][_TAIL]), []
-        for q in parts[p + 1 :]:
-            right += sorted(edge[q][_HEAD])
-            if len(right) >= reach:  # else the next partition is short: look on
-                break
-        both = left + right[:reach]
-        as_bytes = lambda c, w, both=both: np.frombuffer(b"".join(x[c] for x in both), np.uint8).reshape(-1, w)
-        r = _Rows(np.array([x[1] for x in both]), as_bytes(2, 4 * DEPTH), as_bytes(3, 16), as_bytes(4, 16))
-        i, j, depth = r.pairs(reach, most)
-        cross = (i < len(left)) & (j >= len(left))
-        if cross.any():
-            more += zip(*(r.batch(i[cross], j[cross], depth[cross]).column(c).to_pylist() for c in ("a", "b", "depth", "label")), strict=True)
+    for k, p in enumerate(parts[:-1]):
+        left, right = sorted(edge[p][_TAIL]), sorted(edge[parts[k + 1]][_HEAD])
+        r = np.frombuffer(b"".join(x for _, x in left + right), np.uint8).reshape(-1, _WIDTH)
+        best, agree = _likeliest(r, _regions(r), least, 2 * BORDER)
+        more += [(bytearray(r[i, _NODE].tobytes()), bytearray(r[b, _NODE].tobytes()), int(agree[i])) for i, b in enumerate(best.tolist()) if b >= 0]
     if more:
-        extra = found.sparkSession.createDataFrame([(_PAIR, bytearray(x), bytearray(y), d, bytearray(z)) for x, y, d, z in more], "kind int, a binary, b binary, depth int, label binary")
-        found = found.unionByName(extra, allowMissingColumns=True)
-    return found
+        # without r: a pair alone, its rows are there already
+        extra = found.sparkSession.createDataFrame([(_ROW, None, x, y, d) for x, y, d in more], "kind int, r binary, a binary, o binary, agree int")
+        found = found.withColumn("a", node_of("r")).unionByName(extra, allowMissingColumns=True)
+        return found
+    return found.withColumn("a", node_of("r"))
 
 
-def orders(classes: DataFrame) -> DataFrame:
-    """(tree, k, digest): every class in each of the forest's orders."""
-    width = 4 * DEPTH
-    each = F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("sig", t * width + 1, width).alias("k")) for t in range(TREES)])
-    return classes.select("digest", F.explode(each).alias("o")).select("o.tree", "o.k", "digest")
+def node_of(r: str) -> Column:
+    return F.substring(r, _NODE.start + 1, 16)
 
 
-def summed(found: DataFrame) -> DataFrame:
-    """(a, b, depth, group): found pairs once each; depth sums the shared leading values over orders, group is b's component."""
-    return found.where(F.col("kind") == _PAIR).groupBy("a", "b").agg(F.sum("depth").alias("depth"), F.max("label").alias("group"))
+def pairs_of(named: DataFrame) -> DataFrame:
+    """(a, b), stored, each pair once: of named (who, agree, a, b) the pair that agrees best for each `who`."""
+    best = named.groupBy("who").agg(F.max(F.struct("agree", "b", "a")).alias("m")).select("m.a", "m.b")
+    u = best.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.max("b").alias("b"))
+    return materialise(u.select(F.col("b").alias("a"), F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")))  # the one that was named is the base
 
 
-def candidate_texts(found: DataFrame, classes: DataFrame, docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(digest, text) of the classes that have neighbours at all, stored: later steps never go through all texts again."""
-    need = materialise(found.where(F.col("kind") == _CROWDED).select(F.col("a").alias("digest")).distinct().join(classes.select("digest", "rep"), "digest"))
-    d = docs.select(F.col(key).alias("d_id"), F.col(text).alias("text"))
-    side = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
-    return materialise(d.join(side, F.col("d_id") == F.col("rep")).select("digest", "text"))
+def in_buckets(keys: DataFrame) -> DataFrame:
+    """Of keys (h1): the BUCKETS hash values at most that a scan is told, so broadcasting them is bounded."""
+    return F.broadcast(keys.select(F.pmod("h1", F.lit(BUCKETS)).alias("n_bucket")).distinct())
+
+
+def candidate_texts(found: DataFrame, rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """(digest, text) of the classes that are alike some other, stored: later steps never go through all texts again."""
+    like = found.where((F.col("kind") == _ROW) & F.col("r").isNotNull()).select(F.col("a").alias("digest")).distinct()
+    need = materialise(rows.where("digest is not null").join(like, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("h1", "h2")).alias("h")).select("digest", "h.h1", "h.h2"))
+    d = docs.select(F.col(text).alias("text")).where("text is not null").select(*text_keys(F.col("text")), "text")
+    near = d.join(in_buckets(need), F.pmod("h1", F.lit(BUCKETS)) == F.col("n_bucket"), "left_semi")
+    one = near.groupBy("h1", "h2").agg(F.first("text").alias("text"))  # copies go before the shuffle
+    out = materialise(one.join(need, ["h1", "h2"]).select("digest", "text"))
+    release(need)
+    return out
 
 
 def confirmed(pairs: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of pairs (a, b, depth, group) whose whole sets are similar enough; pool has the texts.
+    """The pairs (a, b) whose whole sets are similar enough; pool has the texts.
 
-    Each a is the base of a group; the texts of its b's stream past it, the
-    likeliest first. Once a is linked with one b of a component (`group`), the
-    others of that component add nothing and are passed over.
+    Each a is the base of a group; the texts of its b's stream past it. A base
+    with more than CELL partners is dealt over more groups.
     """
-    members = pairs.select("a", F.col("a").alias("m"), F.lit(None).cast("long").alias("depth"), F.lit(None).cast("binary").alias("group")).distinct().union(pairs.select("a", F.col("b").alias("m"), F.col("depth").cast("long"), "group"))
-    texts = members.join(pool, F.col("m") == F.col("digest")).select("a", "m", F.col("text").alias("d_text"), "depth", "group")
-    dealt = texts.repartition("a").sortWithinPartitions("a", F.col("depth").desc_nulls_first(), "m")
+    hot = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL).alias("salts")).where("salts > 1")
+    p = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).alias("salt"))
+    members = p.select("a", "salt", F.col("a").alias("m"), F.lit(0).alias("nth")).distinct().union(p.select("a", "salt", F.col("b").alias("m"), F.lit(1).alias("nth")))
+    texts = members.join(pool, F.col("m") == F.col("digest")).select("a", "salt", "nth", "m", F.col("text").alias("d_text"))
+    dealt = texts.repartition("a", "salt").sortWithinPartitions("a", "salt", "nth", "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        now, base, linked = None, None, set()
+        now, base = None, None
         for b in batches:
             out_a, out_b = [], []
-            for a, m, t, depth, group in zip(*(b.column(c).to_pylist() for c in ("a", "m", "d_text", "depth", "group")), strict=True):
-                if depth is not None and (now != a or group in linked):
-                    continue
-                s = shingles(t.encode() if t else b"", words)
-                if xxhash.xxh3_128_digest(s.tobytes()) != m:  # another row with the same doc_id
-                    continue
-                if depth is None:
-                    now, base, linked = a, s, set()
+            for a, salt, nth, m, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                s = shingles(t.encode(), words)
+                if xxhash.xxh3_128_digest(s.tobytes()) != m:
                     continue
-                small, large = sorted((len(s), len(base)))
-                both = int(np.isin(s, base, assume_unique=True).sum()) if small * 100 >= percent * large else 0
-                if 100 * both >= percent * (small + large - both):
-                    out_a.append(a), out_b.append(m), linked.add(group)
+                if not nth:
+                    now, base = (a, salt), s
+                elif now == (a, salt):
+                    small, large = sorted((len(s), len(base)))
+                    both = int(np.isin(s, base, assume_unique=True).sum()) if small * 100 >= percent * large else 0
+                    if 100 * both >= percent * (small + large - both):
+                        out_a.append(a), out_b.append(m)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
 
-    return materialise(dealt.mapInArrow(run, "a binary, b binary").distinct())
+    return materialise(dealt.mapInArrow(run, "a binary, b binary"))
 
 
 def links_between(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
@@ -306,20 +357,108 @@ def links_between(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray |
     return found
 
 
-def crossing(crowd: DataFrame, classes: DataFrame, pool: DataFrame, words: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between components over all pairs of crowd's regions; crowd: (tree, k, digest, label).
+def mixed_regions(crowd: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(region, digest, label, bits, blocks, side), stored: crowd's rows (r, a) in regions that hold more than one component. A region is dealt into blocks of about `block` shingles."""
+    rows = crowd.join(labels, F.col("a") == F.col("node"), "left")
+    size = F.greatest(F.conv(F.hex(F.substring("r", _BITS.stop + 1, 4)), 16, 10).cast("long"), F.lit(LEAST_WEIGHT))
+    rows = materialise(rows.select(F.substring("r", 1, _REGION).alias("region"), F.col("a").alias("digest"), F.coalesce("label", "a").alias("label"), F.substring("r", _BITS.start + 1, 8 * SKETCH).alias("bits"), size.alias("n")))
+    mark = F.xxhash64("label")
+    mixed = rows.groupBy("region").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.ceil(F.sum("n") / block).alias("blocks")).where("lo <> hi").select("region", "blocks")
+    out = materialise(rows.join(mixed, "region").select("region", "digest", "label", "bits", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).alias("side")))
+    release(rows)
+    return out
+
+
+def cells(mixed: DataFrame) -> DataFrame:
+    """(region, x, y, digest, label, side, bits): mixed rows once for each pair of blocks, a pair's rows together and sorted."""
+    d = mixed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    d = d.select("region", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "digest", "label", "side", "bits")
+    return d.repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "digest")
+
+
+class _Cell:
+    """A cell's rows and which of them are alike: rows of different components, and of different sides where there are two."""
+
+    def __init__(self, rows: list[tuple], least: int):
+        self.digest = [r[0] for r in rows]
+        self.label, self.number = [r[1] for r in rows], np.unique([r[1] for r in rows], return_inverse=True)[1]
+        self.side = np.array([r[2] for r in rows])
+        bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(-1, SKETCH)
+        two, n = self.side.min() != self.side.max(), len(rows)
+        self.agree = np.zeros((n, n), np.uint8)
+        for i in range(0, n, 256):
+            got = _agree(bits[i : i + 256, None], bits[None])
+            off = self.number[i : i + 256, None] == self.number[None]
+            if two:
+                off |= self.side[i : i + 256, None] == self.side[None]
+            self.agree[i : i + 256] = np.where((got < least) | off, 0, got)
+
+    def best(self) -> dict[bytes, tuple[int, bytes, bytes]]:
+        """label -> (agree, a, b): its row's best pair with another component."""
+        out: dict[bytes, tuple[int, bytes, bytes]] = {}
+        to = self.agree.argmax(axis=1)
+        for i, j in enumerate(to.tolist()):
+            if self.agree[i, j]:
+                out[self.label[i]] = max(out.get(self.label[i], (0, b"", b"")), (int(self.agree[i, j]), self.digest[i], self.digest[j]))
+        return out
+
+    def clusters(self) -> Iterator[np.ndarray]:
+        """Rows joined by likeness."""
+        todo = self.agree.any(axis=1)
+        while todo.any():
+            front = reached = np.eye(1, len(todo), int(todo.argmax()), dtype=bool)[0]
+            while front.any():
+                front = self.agree[front].any(axis=0) & ~reached
+                reached = reached | front
+            todo &= ~reached
+            yield np.flatnonzero(reached)
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[_Cell]:
+    now, held = None, []
+    for b in batches:
+        for *at, digest, label, side, bits in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if at != now:
+                if len(held) > 1:
+                    yield _Cell(held, least)
+                now, held = at, []
+            held.append((digest, label, side, bits))
+    if len(held) > 1:
+        yield _Cell(held, least)
+
+
+def best_between(mixed: DataFrame, percent: int) -> DataFrame:
+    """(a, b), stored: every component's likeliest pair with another one over whole regions."""
+    least = least_bits(percent)
 
-    A region with more than `block` shingles is dealt into blocks, each pair of
-    which is compared by one task; nothing is left out.
-    """
-    rows = crowd.join(classes.select("digest", "n"), "digest").select("tree", F.substring("k", 1, 4 * LEAST_DEPTH).alias("p"), "digest", "label", "n")
-    mixed = rows.groupBy("tree", "p").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.sum("n") / block).alias("blocks")).where("lo <> hi").select("tree", "p", "blocks")
-    side = F.pmod(F.xxhash64("digest"), F.col("blocks"))
-    dealt = materialise(rows.join(mixed, ["tree", "p"]).select("tree", "p", "digest", "label", "blocks", side.alias("side")))
-    texts = dealt.join(pool, "digest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cell = ["tree", "p", "x", "y"]
-    texts = texts.select("tree", "p", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "digest", "label", "side", F.col("text").alias("d_text"))
-    spread = texts.repartition(*cell).sortWithinPartitions(*cell, "digest")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_cell(batches, least):
+            got = [(who, *x) for who, x in cell.best().items()]
+            yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int32() if k == 1 else pa.binary()) for k in range(4)], names=["who", "agree", "a", "b"])
+
+    return pairs_of(cells(mixed).mapInArrow(run, "who binary, agree int, a binary, b binary"))
+
+
+def clusters_of(mixed: DataFrame, percent: int) -> DataFrame:
+    """(cluster, digest, label, side), stored: rows of whole regions that may be linked with another component; clusters that several regions hold are there once."""
+    least = least_bits(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for cell in _by_cell(batches, least):
+            two = cell.side.min() != cell.side.max()
+            for at in cell.clusters():
+                digest, side = [cell.digest[i] for i in at], [int(cell.side[i]) if two else 0 for i in at]
+                name = xxhash.xxh3_128_digest(b"".join(digest) + np.array(side, "<i8").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.binary()), pa.array(digest, pa.binary()), pa.array([cell.label[i] for i in at], pa.binary()), pa.array(side, pa.int64())], names=["cluster", "digest", "label", "side"])
+
+    return materialise(cells(mixed).mapInArrow(run, "cluster binary, digest binary, label binary, side long").dropDuplicates(["cluster", "digest"]))
+
+
+def crossing(clusters: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between components over all pairs of the clusters' rows, on whole sets; a cluster is two blocks of a region at most."""
+    spread = clusters.join(pool, "digest").select("cluster", "digest", "label", "side", F.col("text").alias("d_text")).repartition("cluster").sortWithinPartitions("cluster", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -328,64 +467,85 @@ def crossing(crowd: DataFrame, classes: DataFrame, pool: DataFrame, words: int,
             label = np.unique([x[1] for x in rows], return_inverse=True)[1]
             sides = np.array([x[2] for x in rows])
             pairs = links_between([x[3] for x in rows], label, sides if sides.min() != sides.max() else None, percent)
-            ends = [sorted((rows[i][0], rows[j][0])) for i, j in pairs]
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in ends], pa.binary()) for k in range(2)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([rows[p[k]][0] for p in pairs], pa.binary()) for k in range(2)], names=["a", "b"])
 
         now, held = None, []
         for b in batches:
-            for *at, digest, label, side, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for at, digest, label, side, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if at != now:
                     if len(held) > 1:
                         yield linked(held)
                     now, held = at, []
-                if held and held[-1][0] == digest:  # the text of a repeated row
-                    continue
-                s = shingles(t.encode() if t else b"", words)
-                if xxhash.xxh3_128_digest(s.tobytes()) == digest:  # else another row with the same doc_id
+                s = shingles(t.encode(), words)
+                if xxhash.xxh3_128_digest(s.tobytes()) == digest:
                     held.append((digest, label, side, s))
         if len(held) > 1:
             yield linked(held)
 
-    return materialise(spread.mapInArrow(run, "a binary, b binary").distinct())
+    return materialise(spread.mapInArrow(run, "a binary, b binary"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per row of docs; component_id is the smallest doc_id of its group."""
+def grouped(docs: DataFrame, words: int, percent: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, h1, h2, n_shingles, digest, label, component), a row per row of docs: label names the group, null where it is the row's class alone; component is its smallest doc_id."""
     rows = materialise(digests(docs, words, text, key))
-    classes = materialise(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")))
-    found = _sweep(orders(classes), REACH, 2 * REACH, crowded=True)
-    pool = candidate_texts(found, classes, docs, text, key)
-    pairs = summed(found)
-    both = pairs.select("a", "b", "depth").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "depth"))
-    best = both.groupBy("a").agg(F.max(F.struct("depth", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b"), "m.depth").distinct()
-    first = materialise(best.withColumn("group", F.col("b")))
+    found = sweep(orders(rows), percent)
+    pool = candidate_texts(found, rows, docs, text)
+    named = found.where((F.col("kind") == _ROW) & F.col("o").isNotNull()).select(F.col("a").alias("who"), "agree", "a", F.col("o").alias("b"))
+    first = pairs_of(named)
     links = confirmed(first, pool, words, percent)
-    labels, tried = connected(links), first.select("a", "b")
-    crowd = materialise(found.where(F.col("kind") == _CROWDED).select("tree", "k", F.col("a").alias("digest")))
-    labelled = lambda rows: rows.join(labels, F.col("digest") == F.col("node"), "left").select("tree", "k", "digest", F.coalesce("label", "digest").alias("label"))
-    near = _sweep(labelled(crowd.where(F.col("tree") < NARROW_TREES)), REACH, REACH, crowded=False)
-    more = confirmed(materialise(summed(near).join(tried, ["a", "b"], "left_anti")), pool, words, percent)
-    for last in (False, True):
-        if last:
-            more = crossing(labelled(crowd), classes, pool, words, percent)
-        if not more.isEmpty():
-            links = materialise(links.union(more))
-            labels = connected(links)
-    ids = classes.select("digest", "rep")
-    member = ids.join(labels, F.col("digest") == F.col("node"), "left").select("digest", "rep", F.coalesce("label", "digest").alias("label"))
-    smallest = member.groupBy("label").agg(F.min("rep").alias("component"))
-    linked = member.join(smallest, "label").where(~F.col("rep").eqNullSafe(F.col("component"))).select(F.col("digest").alias("g_digest"), "component")
-    own = ids.select("digest", "rep")
-    full = rows.select("doc_id", "n_shingles", "digest").join(own, "digest", "left").join(linked, F.col("digest") == F.col("g_digest"), "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
-    return full.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def one_of_each(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """docs with one row per group: the row whose doc_id names the group; of rows that repeat an id and text, one."""
-    found = materialise(near_duplicates(docs, words, percent))
-    kept = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n_same"))
-    repeated = not kept.where("n_same > 1").isEmpty()
-    ids = kept.select(F.col("doc_id").alias("k_doc_id"))
-    out = docs.join(ids, docs["doc_id"].eqNullSafe(ids["k_doc_id"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    labels = connected(links)
+    crowd = found.where((F.col("kind") == _ROW) & F.col("r").isNotNull()).select("r", "a")
+    mixed = mixed_regions(crowd, labels)
+    second = best_between(mixed, percent)
+    more = confirmed(second, pool, words, percent)
+    if not more.isEmpty():
+        links = materialise(links.union(more))
+        labels = connected(links)
+        release(mixed)
+        mixed = mixed_regions(crowd, labels)
+    clusters = clusters_of(mixed, percent)
+    more = crossing(clusters, pool, words, percent)
+    if not more.isEmpty():
+        labels = connected(materialise(links.union(more)))
+    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"))
+    member = materialise(classes.join(labels, F.col("digest") == F.col("node"), "left").where("n_rows > 1 or label is not null").select("digest", "rep", "label"))
+    smallest = member.where("label is not null").groupBy("label").agg(F.min("rep").alias("component"))
+    smallest = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = member.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
+    known = materialise(salted.join(smallest, ["label", "salt"], "left").select("digest", F.col("label").alias("k_label"), F.when(F.col("label").isNull(), F.col("rep")).otherwise(F.col("component")).alias("k_component"), F.lit(True).alias("there")))
+    out = rows.drop("sig").join(known, "digest", "left")
+    component = F.when(F.col("there"), F.col("k_component")).otherwise(F.col("doc_id"))
+    out = materialise(out.select("doc_id", "h1", "h2", "n_shingles", "digest", F.coalesce("k_label", "digest").alias("label"), component.alias("component")))
+    release(rows, found, pool, first, second, links, mixed, clusters, more, member, known)
+    return out
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row per row of docs; component_id is the smallest doc_id of its group."""
+    g = grouped(docs, words, percent, text, key)
+    return g.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one row per group: a row whose doc_id names the group. Rows without words are no copies of each other and all stay.
+
+    Only rows whose text has the hash of a row that goes are shuffled with
+    their texts; the scan is told BUCKETS hash values at most.
+    """
+    g = grouped(docs, words, percent, text, key)
+    ident = g.where("digest is not null").groupBy("doc_id", "h1", "h2", "digest", "label", "component").agg(F.count("*").alias("n_rows"))
+    ident = materialise(ident)
+    winner = ident.where(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy("label").agg(F.min(F.struct("digest", "h1", "h2")).alias("w"))
+    winner = winner.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    stays = F.col("doc_id").eqNullSafe(F.col("component")) & (F.struct("digest", "h1", "h2") == F.col("w"))
+    judged = ident.withColumn("salt", F.pmod(F.xxhash64("digest", "h1", "doc_id"), F.lit(SALTS)).cast("int")).join(winner, ["label", "salt"])
+    judged = materialise(judged.select(F.col("doc_id").alias("v_id"), F.col("h1").alias("v_h1"), F.col("h2").alias("v_h2"), stays.alias("stays"), "n_rows").where("NOT stays OR n_rows > 1"))
+    release(g, ident)
+    d = docs.select(F.struct("*").alias("row"), F.col(key).alias("v_key"), *text_keys(F.col(text)))
+    told = in_buckets(judged.select(F.col("v_h1").alias("h1")))
+    at = F.pmod(F.coalesce("h1", F.lit(0)), F.lit(BUCKETS)) == F.col("n_bucket")
+    free = d.join(told, at, "left_anti").select("row.*")
+    hit = d.join(told, at, "left_semi").join(judged, (F.col("h1") == F.col("v_h1")) & (F.col("h2") == F.col("v_h2")) & F.col("v_key").eqNullSafe(F.col("v_id")), "left")
+    once = hit.where("stays IS NULL").select("row.*")
+    again = hit.where("stays").groupBy("v_id", "h1", "h2").agg(F.first("row").alias("row")).select("row.*")
+    return free.unionByName(once).unionByName(again)
