@@ -7,50 +7,60 @@ at the total budget. A source that has given all its passes stops, and the
 others go on at their weights, so the cut falls where the targets, filled like
 water up to three times each source's size, meet the budget.
 
-Nothing is sorted in one task: running totals go bucket by bucket (see
-`common.running_total`), over hash buckets of each source and then over slices
-of virtual time. A source with a third of all rows is spread over as many
-buckets as its rows need.
+Nothing is sorted in one task: both orders, that of a source's documents and
+that of all copies, are dealt by range over rows of the whole sort key, which
+no two different rows share. So a source with a third of all rows, or rows that
+all finish at one time, are spread like any others, and running totals go
+range by range (see `common.ranged_total`).
+
+What is taken of a source is, pass by pass, the documents up to one place in
+its shuffled order. These cuts, a row per source, are all that the documents
+themselves are joined with, so mixing them moves no text.
 
 Edge cases: null text has size 0; sizes of 0 are taken with no words; a null
 source is a source, last in order; equal rows (same id, source and size) are
-taken together; ties in the hash order go by id, then size; an empty table
-gives an empty mix; other columns are untouched.
+taken together; ties in the hash order go by id (null first), then size; an
+empty table gives an empty mix; other columns are untouched, whatever their
+names.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voxloom.llm.common import WORD, keyed_join, materialise, running_total
+from voxloom.llm.common import WORD, keyed_join, materialise, ranged_total
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: Times that a document is taken at most.
 PASSES = 3
-#: Rows that a bucket of a running total holds, about.
-BUCKET_ROWS = 2_000
+#: Seed of the shuffle within sources.
+SEED = 17
 
 
 @dataclass
 class Mix:
-    """units: (doc_id, source, size, copies_in, source_size, target, m_rank, ...) one row per different document row;
-    order: their taken copies with virtual finish time and the running total of words, in mixing order within slices;
-    taken: units with `copies`, how often each is taken."""
+    """cuts: a row per source, with the last place taken in each pass (m_cuts); n_sources: their number;
+    order: the taken copies with virtual finish time and the running total of words;
+    taken: (doc_id, source, size, rows, source_size, target, copies), one row per different document row, and how often it is taken."""
 
-    units: DataFrame
+    cuts: DataFrame
+    n_sources: int
     order: DataFrame
     taken: DataFrame
 
 
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """(doc_id, source, size, rows): equal rows together; size counts words."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
+    return docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), _size(F.col(text)).alias("size")).groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
 
 
 def targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
@@ -73,40 +83,48 @@ def targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
     return s.select("source", "m_rank", "m_weight", "source_size", "m_level", F.least(full.cast("double"), F.col("m_level") * F.col("m_weight")).alias("target"))
 
 
-def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, seed: int = 17) -> Mix:
+def _place(key: Column, size: Column, seed: int) -> Column:
+    """A document's place in its source's shuffled order."""
+    return F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, size), 1).alias("m_hash"), key.alias("doc_id"), size.alias("size"))
+
+
+def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, seed: int = SEED) -> Mix:
     """Mix all documents; the total budget is their total size."""
     units = materialise(sized(docs, text, key, source))
     goal = materialise(targets(units, weights, passes))
-    n, n_sources = units.count(), goal.count()
-    slots = max(1, n // BUCKET_ROWS)
-    shuffled = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
+    n_sources = goal.count()
     u = keyed_join(units, goal, ["source"], n_sources)
-    u = u.withColumn("m_hash", shuffled).withColumn("m_slot", F.floor(F.shiftrightunsigned("m_hash", 1) / (2.0**63) * slots).cast("long")).withColumn("m_hash", F.shiftrightunsigned("m_hash", 1))
-    u = u.withColumn("m_words", F.col("size") * F.col("rows"))
-    u = running_total(u, ["m_rank"], "m_slot", ["m_hash", "doc_id", "size"], "m_words", "m_upto")
-    u = materialise(u.drop("m_hash"))
-    # virtual time of a copy: words of the source up to it, over all passes, divided by the weight; sliced so that a slice has BUCKET_ROWS copies at the mean
+    u = u.withColumn("m_place", _place(F.col("doc_id"), F.col("size"), seed)).withColumn("m_words", F.col("size") * F.col("rows"))
+    u = materialise(ranged_total(u, ["m_rank"], ["m_rank", "m_place"], "m_words", "m_upto"))
+    # virtual time of a copy: words of the source up to it, over all passes, divided by the weight
     c = u.withColumn("m_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
     c = c.withColumn("finish", (F.col("m_pass") * F.col("source_size") + F.col("m_upto")).cast("double") / F.col("m_weight"))
-    level = F.greatest(F.col("m_level"), F.lit(1e-9))
-    c = c.withColumn("m_slice", F.floor(F.col("finish") / level * slots).cast("long"))
-    c = running_total(c, [], "m_slice", ["finish", "m_rank", "m_upto", "doc_id", "size", "m_pass"], "m_words", "total")
+    c = materialise(ranged_total(c, [], ["finish", "m_rank", "m_pass", "m_place"], "m_words", "total"))
     budget = goal.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    c = c.withColumn("m_in", F.col("total") <= F.lit(budget))
-    taken = c.groupBy("doc_id", "source", "size", "rows", "source_size", "target").agg(F.sum(F.col("m_in").cast("long")).alias("copies"))
-    order = c.where("m_in").select("doc_id", "source", "size", "rows", F.col("m_pass").alias("pass"), "finish", "total")
-    return Mix(u, order, taken)
+    order = c.where(F.col("total") <= F.lit(budget))
+    last = order.groupBy("m_rank", "m_pass").agg(F.max("m_place").alias("m_last"))
+    cuts = last.groupBy("m_rank").agg(F.collect_list("m_last").alias("m_cuts"))  # `passes` places at most
+    cuts = materialise(goal.join(cuts, "m_rank", "left"))
+    copies = F.size(F.filter(F.coalesce("m_cuts", F.array()), lambda x: x >= F.col("m_place"))).cast("long")
+    taken = keyed_join(u, cuts.select("source", "m_cuts"), ["source"], n_sources).withColumn("copies", copies)
+    return Mix(
+        cuts,
+        n_sources,
+        order.select("doc_id", "source", "size", "rows", F.col("m_pass").alias("pass"), "finish", "total"),
+        taken.select("doc_id", "source", "size", "rows", "source_size", "target", "copies"),
+    )
 
 
 def in_mixing_order(m: Mix) -> DataFrame:
     """The mix as a globally range-sorted table of copies."""
-    return m.order.orderBy("finish", "total")
+    return m.order.orderBy("total", "finish")
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them (0 to 3 times), with the columns of docs."""
-    t = mix(docs).taken.where("copies > 0").select(F.col("doc_id").alias("m_doc_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"), "copies")
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    d = docs.withColumn("m_words", size)
-    j = d.join(t, d["doc_id"].eqNullSafe(t["m_doc_id"]) & d["source"].eqNullSafe(t["m_source"]) & (d["m_words"] == t["m_size"]))
-    return j.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
+    """The rows of docs as often as the mix takes them (0 to 3 times), with the columns of docs; a scan of docs beside the cuts."""
+    m = mix(docs, text, key, source, seed=seed)
+    size = _size(F.col(text))
+    d = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), _place(F.col(key), size, seed).alias("m_place"))
+    j = keyed_join(d, m.cuts.select("source", "m_cuts"), ["source"], m.n_sources)
+    copies = F.filter(F.coalesce("m_cuts", F.array()), lambda x: x >= F.col("m_place"))
+    return j.select("row", F.explode(copies)).select("row.*")
