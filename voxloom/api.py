@@ -11,6 +11,7 @@ import json
 import shutil
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -18,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.kernels.basic import BasicParams, fit_basic
-from voxloom.kernels.transforms import resampled_profile
-from voxloom.operators import contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
+from voxloom.kernels.transforms import gaussian_2d, resampled_profile
+from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
 from voxloom.sources import metafiles, planes
+from voxloom.sources.files import Store
 
 VERSION = "0.1"
 
@@ -79,11 +81,6 @@ class Profiles:
             return self
         return Profiles(resampled_profile(self.flat, shape), None if self.dark is None else resampled_profile(self.dark, shape), self.baseline)
 
-    def rows(self, spark: SparkSession, c: int) -> DataFrame:
-        y, x = np.indices(self.flat.shape)
-        dark = np.zeros_like(self.flat) if self.dark is None else self.dark
-        return spark.createDataFrame([(c, *map(int, p), float(f), float(k)) for p, f, k in zip(np.stack([y.ravel(), x.ravel()], 1), self.flat.ravel(), dark.ravel(), strict=True)], "c int, y int, x int, flat double, dark double")
-
 
 @dataclass
 class Image:
@@ -95,11 +92,17 @@ class Image:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Image:
-        return cls(spark, path, json.loads(Path(path, "attrs.json").read_text()))
+        store = Store(spark)
+        store.settle(f"{path}/chunks")
+        return cls(spark, path, store.read(f"{path}/attrs.json"))
+
+    @property
+    def store(self) -> Store:
+        return Store(self.spark)
 
     def save_attrs(self) -> None:
-        Path(self.path).mkdir(parents=True, exist_ok=True)
-        Path(self.path, "attrs.json").write_text(json.dumps(self.attrs))
+        self.store.folder(self.path)
+        self.store.write(f"{self.path}/attrs.json", self.attrs)
 
     @property
     def shape(self) -> dict[str, int]:
@@ -114,9 +117,27 @@ class Image:
         return self.attrs["levels"]
 
     def chunks(self, level: int | None = None) -> DataFrame:
+        """Chunks of a level, or of all; a virtual mosaic's are put together from its tiles' as they are read."""
+        if "manifest" in self.attrs:
+            if level is None:
+                return reduce(DataFrame.unionByName, (self.chunks(s["level"]) for s in self.levels))
+            return self._mosaic(level)
         c = storage.read_chunks(self.spark, f"{self.path}/chunks")
         return c if level is None else c.where(F.col("level") == level)
 
+    def _mosaic(self, level: int) -> DataFrame:
+        m = self.attrs["manifest"]
+        have = min(level, len(m["levels"]) - 1)
+        s, t = self.levels[have], m["levels"][have]
+        parts = storage.read_tiles(self.spark, {x["tile_id"]: x["path"] for x in m["tiles"]}, have)
+        places = {x["tile_id"]: (0, x["row"] * t["ny"], x["col"] * t["nx"]) for x in m["tiles"]}
+        shape = {a: s[f"n{a}"] for a in "zyx"}
+        c = blocks.fused(parts, places, dict.fromkeys(places, (t["nz"], t["ny"], t["nx"])), self.chunk, shape, "max").withColumn("level", F.lit(have))
+        plan = pyramid.pyramid_plan(self.spark, shape, {a: s[f"scale_{a}"] for a in "zyx"}, level - have + 1).orderBy("level").collect()
+        for p in plan[:-1]:  # levels that no tile has
+            c = blocks.coarsened(c, self.chunk, {a: p[f"n{a}"] for a in "zyx"}, {"z": p["factor_z"], "y": p["factor_yx"], "x": p["factor_yx"]})
+        return c
+
     def voxels(self, level: int = 0, zeros: bool = False) -> DataFrame:
         return storage.to_voxels(self.chunks(level), zeros).select("c", "z", "y", "x", "v")
 
@@ -126,29 +147,44 @@ class Image:
     def tiles(self) -> DataFrame:
         return self.table("tiles")
 
-    def dense(self, level: int) -> DataFrame:
-        """Voxels of a level with the zeros that are not stored."""
-        from voxloom.derive import densify
+    def boxes(self, level: int = 0) -> DataFrame:
+        """(tile_id, y0, y1, x0, x1) of the tiles in a level's pixels."""
+        scale = {"z": 1.0, "y": self.levels[level]["scale_y"], "x": self.levels[level]["scale_x"]} if level else self.attrs["scale"]
+        return slicing.roi_to_pixels(self.tiles(), scale).drop("z0", "z1")
 
+    def sample(self, level: int, **box: tuple[int, int]) -> DataFrame:
+        """Voxels of a box (axis=(start, end)) with physical coordinates z_um, y_um, x_um; only chunks that meet the box are read."""
         s = self.levels[level]
-        return densify(self.voxels(level), len(self.attrs["channels"]), s["nz"], s["ny"], s["nx"])
-
-    def write_level0(self, voxels: DataFrame) -> None:
-        storage.write_chunks(storage.to_chunks(voxels, self.chunk, self.shape), f"{self.path}/chunks")
+        v = slicing.box_slice(storage.to_voxels(slicing.chunk_slice(self.chunks(level), box)).select("c", "z", "y", "x", "v"), box)
+        return v.select("*", *[(F.col(a) * s[f"scale_{a}"]).alias(f"{a}_um") for a in "zyx"])
+
+    def write_level(self, chunks: DataFrame, level: int) -> None:
+        """Store a level in the place of what was there of it, channels that are all zeros now included."""
+        for image in self.store.names(f"{self.path}/chunks"):
+            if image.startswith("image="):
+                self.store.delete(f"{self.path}/chunks/{image}/level={level}")
+        storage.write_chunks(chunks, f"{self.path}/chunks")
+
+    def drop_levels(self, count: int) -> None:
+        """Delete levels from `count` on."""
+        for image in self.store.names(f"{self.path}/chunks"):
+            for name in self.store.names(f"{self.path}/chunks/{image}") if image.startswith("image=") else []:
+                if name.startswith("level=") and int(name[6:]) >= count:
+                    self.store.delete(f"{self.path}/chunks/{image}/{name}")
 
     def build(self, levels: int | None = None, start: int = 1) -> None:
-        """Pyramid from level start - 1 on, a level at a time from the one before, display limits and attributes."""
-        plan = [r.asDict() for r in pyramid.pyramid_plan(self.spark, self.shape, self.attrs["scale"], levels).orderBy("level").collect()]
+        """Pyramid from level start - 1 on, a level at a time from the one before, display limits and attributes; deeper levels go."""
+        plan = [r.asDict() for r in pyramid.pyramid_plan(self.spark, self.shape, self.attrs["scale"], levels, channels=len(self.attrs["channels"])).orderBy("level").collect()]
         self.attrs["levels"] = plan
         for k in range(start, len(plan)):
-            p, n = plan[k - 1], plan[k]
+            p = plan[k - 1]
             up = {"z": p["factor_z"], "y": p["factor_yx"], "x": p["factor_yx"]}
-            # zeros are not stored but count in the mean: the divisor is the block's padded size, so no dense grid is made
-            v = _coarse_sparse(self.voxels(k - 1), {"z": p["nz"], "y": p["ny"], "x": p["nx"]}, up)
-            storage.write_chunks(storage.to_chunks(v, self.chunk, {"z": n["nz"], "y": n["ny"], "x": n["nx"]}, level=k), f"{self.path}/chunks")
-        limits = contrast.contrast(self.dense(len(plan) - 1)).orderBy("c").collect()
-        for r in limits:
-            self.attrs["channels"][r["c"]]["window"] = {"min": 0, "max": min(65535, 10 * r["end"]), "start": r["start"], "end": r["end"]}
+            self.write_level(blocks.coarsened(self.chunks(k - 1), self.chunk, {"z": p["nz"], "y": p["ny"], "x": p["nx"]}, up), k)
+        self.drop_levels(len(plan))
+        top = plan[-1]
+        limits = blocks.contrast(self.chunks(len(plan) - 1), {"z": top["nz"], "y": top["ny"], "x": top["nx"]}, len(self.attrs["channels"]))
+        for c, (start_, end) in limits.items():
+            self.attrs["channels"][c]["window"] = {"min": 0, "max": min(65535, 10 * end), "start": start_, "end": end}
         self.save_attrs()
 
     def record(self, task: str, parameters: dict) -> None:
@@ -156,289 +192,463 @@ class Image:
         self.save_attrs()
 
     def channel(self, which: Channel) -> int:
+        for k, c in enumerate(self.attrs["channels"]):
+            if which.label == c["label"]:
+                return k
         for k, c in enumerate(self.attrs["channels"]):
             if which.wavelength_id is not None and c["wavelength_id"] == which.wavelength_id or which.label is not None and which.label.lower() in c["label"].lower():
                 return k
         raise ValueError(f"no channel {which}")
 
     def like(self, path: str, **changes) -> Image:
-        new = Image(self.spark, path, json.loads(json.dumps(self.attrs)) | changes)
+        new = Image(self.spark, path, json.loads(json.dumps({k: v for k, v in self.attrs.items() if k != "manifest"})) | changes)
         new.save_attrs()
         return new
 
 
-def _coarse_sparse(voxels: DataFrame, shape: dict[str, int], factor: dict[str, int]) -> DataFrame:
-    """Block means of sparse voxels: absent ones are zeros, edges are repeated."""
-    w = F.lit(1)
-    for a, f in factor.items():
-        w = w * pyramid._weight(a, shape[a], f)
-    size = factor["z"] * factor["y"] * factor["x"]
-    at = [F.floor(F.col(a) / factor[a]).cast("int").alias(a) for a in "zyx"]
-    return voxels.select("c", *at, (F.col("v").cast("long") * w).alias("wv")).groupBy("c", "z", "y", "x").agg(F.floor(F.sum("wv") / size).cast("int").alias("v"))
+TILE_TABLE = "tile_id int, x_um double, y_um double, z_um double, x_orig_um double, y_orig_um double, len_x_um double, len_y_um double, len_z_um double"
+
 
+def _one_tile(spark: SparkSession, shape: dict[str, int], scale: dict[str, float]) -> DataFrame:
+    """A tile table with one tile, the whole image."""
+    return spark.createDataFrame([(0, 0.0, 0.0, 0.0, 0.0, 0.0, *(shape[a] * scale[a] for a in "xyz"))], TILE_TABLE)
 
-def _boxes(tiles: DataFrame, scale: dict[str, float]) -> DataFrame:
-    return slicing.roi_to_pixels(tiles, scale).drop("z0", "z1")
 
+def _grid_tiles(cursor: DataFrame, positions: DataFrame, scale: dict[str, float], nz: int) -> DataFrame:
+    """The tile table of a mosaic by its cursor."""
+    size = [(F.col(f"{a}_n_pixels") * scale[a]).alias(f"len_{a}_um") for a in "xy"]
+    origin = [(F.col(f"{a}_px") * scale[a]).alias(f"{a}_um") for a in "xy"]
+    return cursor.join(positions, "tile_id").select("tile_id", *origin, F.lit(0.0).alias("z_um"), F.col("x_orig").cast("double").alias("x_orig_um"), F.col("y_orig").cast("double").alias("y_orig_um"), *size, F.lit(nz * scale["z"]).alias("len_z_um"))
 
-def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "", extension: str = "raw", settings: str | None = None, excluded: dict[str, list[int]] | None = None, chunk: Size = Size(64, 1024, 1024), levels: int | None = None, overwrite: bool = False) -> str:  # noqa: B008
-    """Stacks and their metadata files to an image: one stack per channel, in the order of the metadata."""
-    if Path(out).exists() and not overwrite:
-        raise FileExistsError(out)
+
+def stacks_of(files: list[str], channels: list[str]) -> list[str]:
+    """The file of each channel, by the channel's digits in the file's name; as many files as channels, else a ValueError."""
+    if len(files) != len(channels):
+        raise ValueError(f"{len(files)} image files for {len(channels)} rows of metadata")
+    out = []
+    for ch in channels:
+        digits = "".join(x for x in ch if x.isdigit()) or ch
+        named = [f for f in files if digits in Path(f).stem and f not in out]
+        if not named:
+            raise ValueError(f"no image file of channel {ch}")
+        out.append(named[0])
+    return out
+
+
+def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "", extension: str = "raw", settings: str | None = None, excluded: dict[str, list[int]] | None = None, chunk: Size = Size(64, 1024, 1024), levels: int | None = None, overwrite: bool = False, name: str | None = None) -> str:  # noqa: B008
+    """Stacks and their metadata files to an image: one stack per channel (raw, tif), or all tiles of all channels in one file (h5).
+
+    With a name, `out` is a group and the image is added to it as out/name;
+    other images of the group are left alone. Only an image that is there
+    already needs overwrite.
+    """
+    store, path = Store(spark), f"{out}/{name}" if name else out
+    if store.exists(path):
+        if not overwrite:
+            raise FileExistsError(path)
+        store.delete(path)
     planes.register(spark)
     files = metafiles.raw_files(spark, folder, pattern, extension)
-    meta = metadata.require(metafiles.read_metadata(spark, f"{folder}/*_meta.txt"))
-    meta = metadata.checked_pixels(metadata.flagged(meta, excluded or {}).where("NOT ignore"))
+    meta = metadata.require(metafiles.image_metadata(spark, folder, files, extension))
+    known = {r[0]: r[1] for r in meta.groupBy("channel").count().collect()}
+    for ch, at in (excluded or {}).items():
+        if ch not in known or [k for k in at if not 0 <= k < known[ch]]:
+            raise ValueError(f"excluded tiles {at} of channel {ch} are not in the metadata")
+    meta = metadata.checked_pixels(metadata.flagged(meta, excluded or {}))
     if settings:
-        meta = metadata.with_channel_settings(meta.withColumn("channel", F.regexp_extract("channel", r"(\d+)", 1)), metafiles.channel_settings(spark, settings).drop("laser_wavelength"))
+        meta = metadata.with_channel_settings(meta.withColumn("wave", F.regexp_extract("channel", r"(\d+)", 1)).withColumn("laser", F.col("channel")).withColumn("channel", F.col("wave")), metafiles.channel_settings(spark, settings).drop("laser_wavelength")).withColumn("channel", F.col("laser")).drop("wave", "laser")
     else:
         meta = meta.withColumn("label", F.col("channel")).withColumn("color", F.lit("FFFFFF"))
-    rows = meta.orderBy("row").collect()
+    rows = meta.orderBy("row").collect()  # a row per tile and channel
     first = rows[0]
-    shape = {"z": first["z_n_pixels"], "y": first["y_n_pixels"], "x": first["x_n_pixels"]}
     scale = {a: first[f"{a}_scale"] for a in "zyx"}
-    channels = [{"wavelength_id": r["channel"], "label": r["label"], "color": r["color"]} for r in rows]
-    img = Image(spark, out, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": channels})
+    shape = {a: first[f"{a}_n_pixels"] for a in "zyx"}
+    names = list(dict.fromkeys(r["channel"] for r in rows))
+    by = {r["channel"]: r for r in reversed(rows)}
+    img = Image(spark, path, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": [{"wavelength_id": n, "label": by[n]["label"], "color": by[n]["color"]} for n in names]})
+    local = lambda f: f.removeprefix("file:")
+    if extension == "h5":
+        if not planes.h5_available():
+            raise NotImplementedError("h5 stacks need h5py, which is not installed")
+        kept = [(c, k, d, r) for (c, k, d), r in zip(planes.h5_layout(len(rows), len(names)), sorted(rows, key=lambda r: (names.index(r["channel"]), r["row"])), strict=True) if not r["ignore"]]
+        order = {c: sorted((x for x in kept if x[0] == c), key=lambda x: (-x[3]["x_pos"], -x[3]["y_pos"])) for c in range(len(names))}
+        positions = spark.createDataFrame([(k, x[3]["x_pos"], x[3]["y_pos"], x[3]["x_n_pixels"], x[3]["y_n_pixels"]) for k, x in enumerate(order[0])], "tile_id int, x_pos double, y_pos double, x_n_pixels int, y_n_pixels int")
+        cursor, ext = layout.layout_cursor(positions), layout.mosaic_extent(positions).first()
+        img.attrs["shape"] = {"z": shape["z"], "y": int(ext["ny"]), "x": int(ext["nx"])}
+        sets = [[c, k, x[2]] for c in order for k, x in enumerate(order[c])]
+        parts = spark.read.format("voxh5").option("path", local(files[0])).option("datasets", json.dumps(sets)).option("chunk_y", chunk.y).option("chunk_x", chunk.x).load()
+        places = {r["tile_id"]: (0, r["y_px"], r["x_px"]) for r in cursor.collect()}
+        chunks = blocks.fused(parts.withColumn("tile_id", F.col("image").cast("int")), places, dict.fromkeys(places, (shape["z"], shape["y"], shape["x"])), img.chunk, img.shape, "max")
+        tile = _grid_tiles(cursor, positions, scale, shape["z"])
+    else:
+        rows = [r for r in rows if not r["ignore"]]
+        kind, parts = {"raw": "voxraw", "tif": "voxtiff", "tiff": "voxtiff"}[extension], None
+        for c, f in enumerate(stacks_of(files, [r["channel"] for r in rows])):
+            s = spark.read.format(kind).option("path", local(f)).option("channel", c).option("nz", shape["z"]).option("ny", shape["y"]).option("nx", shape["x"]).option("chunk_y", chunk.y).option("chunk_x", chunk.x).load()
+            parts = s if parts is None else parts.unionByName(s)
+        chunks = storage.rechunked(parts.withColumn("image", F.lit("image")), img.chunk, shape)
+        tile = _one_tile(spark, shape, scale)
     img.save_attrs()
-    kind = {"raw": "voxraw", "tif": "voxtiff", "tiff": "voxtiff"}.get(extension)
-    if kind is None:
-        raise NotImplementedError("h5 stacks need h5py, which is not installed" if not planes.h5_available() else "use planes.H5Reader")
-    parts = None
-    for c, r in enumerate(rows):
-        digits = "".join(ch for ch in r["channel"] if ch.isdigit())
-        path = next((f for f in files if digits and digits in Path(f).stem), files[min(c, len(files) - 1)])
-        s = spark.read.format(kind).option("path", path.removeprefix("file:")).option("channel", c).option("nz", shape["z"]).option("ny", shape["y"]).option("nx", shape["x"]).option("chunk_y", chunk.y).option("chunk_x", chunk.x).load()
-        parts = s if parts is None else parts.unionByName(s)
-    storage.write_chunks(storage.rechunked(parts.withColumn("image", F.lit("image")), img.chunk, shape), f"{out}/chunks")
-    tile = spark.createDataFrame([(0, 0.0, 0.0, 0.0, 0.0, 0.0, shape["x"] * scale["x"], shape["y"] * scale["y"], shape["z"] * scale["z"])], "tile_id int, x_um double, y_um double, z_um double, x_orig_um double, y_orig_um double, len_x_um double, len_y_um double, len_z_um double")
-    tile.write.mode("overwrite").parquet(f"{out}/tiles")
+    img.write_level(chunks, 0)
+    tile.write.mode("overwrite").parquet(f"{path}/tiles")
     img.build(levels)
     img.record("ingest", {"folder": folder, "pattern": pattern, "extension": extension})
-    return out
+    if name:
+        group = store.read(f"{out}/group.json") if store.exists(f"{out}/group.json") else {"images": []}
+        store.write(f"{out}/group.json", {"images": [*(i for i in group["images"] if i != name), name]})
+    return path
 
 
-def from_voxels(spark: SparkSession, voxels: DataFrame, tiles: DataFrame, out: str, shape: dict[str, int], scale: dict[str, float], channels: list[dict], chunk: Size = Size(64, 256, 256), levels: int | None = None) -> Image:  # noqa: B008
-    """An image from a voxel table (c, z, y, x, v) and a tile table."""
-    img = Image(spark, out, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": channels})
+def images_of(spark: SparkSession, group: str) -> list[str]:
+    """Names of a group's images, in the order they were added."""
+    return Store(spark).read(f"{group}/group.json")["images"]
+
+
+def from_chunks(spark: SparkSession, chunks: DataFrame, tiles: DataFrame, out: str, shape: dict[str, int], scale: dict[str, float], channels: list[dict], chunk: Size, levels: int | None = None) -> Image:
+    """An image from level-0 chunks of the given size and a tile table."""
+    img = Image(spark, out, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": json.loads(json.dumps(channels))})
     img.save_attrs()
-    img.write_level0(voxels)
+    img.write_level(chunks, 0)
     tiles.write.mode("overwrite").parquet(f"{out}/tiles")
     img.build(levels)
     return img
 
 
-def prepare_mosaic(spark: SparkSession, stores: dict[int, str], positions: DataFrame, out: str, levels: int | None = None) -> Image:
-    """One image over per-tile images by their stage positions (tile_id, x_pos, y_pos, x_n_pixels, y_n_pixels). Tiles go down columns first."""
-    cursor = layout.layout_cursor(positions)
-    ext = layout.mosaic_extent(positions).first()
-    images = {t: Image.open(spark, p) for t, p in stores.items()}
+def from_voxels(spark: SparkSession, voxels: DataFrame, tiles: DataFrame, out: str, shape: dict[str, int], scale: dict[str, float], channels: list[dict], chunk: Size = Size(64, 256, 256), levels: int | None = None) -> Image:  # noqa: B008
+    """An image from a voxel table (c, z, y, x, v) and a tile table."""
+    return from_chunks(spark, storage.to_chunks(voxels, (chunk.z, chunk.y, chunk.x), shape), tiles, out, shape, scale, channels, chunk, levels)
+
+
+def prepare_mosaic(spark: SparkSession, stores: dict[int, str], positions: DataFrame, out: str) -> Image:
+    """A virtual mosaic over per-tile images by their stage positions (tile_id, x_pos, y_pos, x_n_pixels, y_n_pixels): a manifest and a tile table, no voxels.
+
+    Tiles go down columns first. Its levels are the tiles'; a deeper one is
+    made of the deepest when it is read. The tiles' own images are told where
+    they lie.
+    """
+    store = Store(spark)
+    images = {t: Image.open(spark, p) for t, p in sorted(stores.items())}
     one = next(iter(images.values()))
-    parts = None
+    s, n_rows = one.attrs["scale"], positions.select("y_pos").distinct().count()
+    if len(images) != n_rows * positions.select("x_pos").distinct().count():
+        raise ValueError("the tiles do not fill a grid")
+    n_cols = len(images) // n_rows
+    grid = [{"tile_id": t, "path": stores[t], "row": t % n_rows, "col": t // n_rows} for t in images]
+    levels = [{**x, "ny": x["ny"] * n_rows, "nx": x["nx"] * n_cols} for x in one.levels]
+    shape = {"z": one.shape["z"], "y": one.shape["y"] * n_rows, "x": one.shape["x"] * n_cols}
+    img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": one.attrs["channels"], "levels": levels, "manifest": {"tiles": grid, "levels": one.levels}})
+    store.folder(out)
+    img.save_attrs()
+    _grid_tiles(layout.layout_cursor(positions), positions, s, shape["z"]).write.mode("overwrite").parquet(f"{out}/tiles")
+    place = {r["tile_id"]: (r["y_um"], r["x_um"]) for r in img.tiles().select("tile_id", "y_um", "x_um").collect()}
     for t, i in images.items():
-        v = i.voxels().withColumn("tile_id", F.lit(t))
-        parts = v if parts is None else parts.unionByName(v)
-    at = cursor.select("tile_id", F.lit(0).alias("sz"), F.col("y_px").alias("sy"), F.col("x_px").alias("sx"))
-    mosaic = fuse.placed(parts, at).select("c", "z", "y", "x", "v")
-    s = one.attrs["scale"]
-    tiles = cursor.join(positions, "tile_id").select("tile_id", (F.col("x_px") * s["x"]).alias("x_um"), (F.col("y_px") * s["y"]).alias("y_um"), F.lit(0.0).alias("z_um"), F.col("x_orig").cast("double").alias("x_orig_um"), F.col("y_orig").cast("double").alias("y_orig_um"), (F.col("x_n_pixels") * s["x"]).alias("len_x_um"), (F.col("y_n_pixels") * s["y"]).alias("len_y_um"), F.lit(one.shape["z"] * s["z"]).alias("len_z_um"))
-    return from_voxels(spark, mosaic, tiles, out, {"z": one.shape["z"], "y": int(ext["ny"]), "x": int(ext["nx"])}, s, one.attrs["channels"], Size(*one.chunk), levels)
-
+        i.attrs["translation"] = [0.0, *place[t]]
+        i.save_attrs()
+    return img
 
-def _tile_voxels(img: Image, level: int = 0) -> tuple[DataFrame, tuple[int, int]]:
-    """(tile_id, c, z, y, x, v) in tile coordinates and a tile's (height, width) at full resolution; stored voxels only."""
-    boxes = _boxes(img.tiles(), img.attrs["scale"])
-    side = boxes.agg(F.max(F.col("y1") - F.col("y0")), F.max(F.col("x1") - F.col("x0"))).first()
-    return slicing.tile_views(img.voxels(level), boxes, (side[0], side[1]), least=1), (side[0], side[1])
 
+def _parts(img: Image, level: int = 0) -> DataFrame:
+    return blocks.tile_parts(img.chunks(level), img.boxes(level))
 
-def _tiles_back(img: Image, tile_voxels: DataFrame) -> DataFrame:
-    boxes = _boxes(img.tiles(), img.attrs["scale"]).select("tile_id", F.lit(0).alias("sz"), F.col("y0").alias("sy"), F.col("x0").alias("sx"))
-    return fuse.placed(tile_voxels, boxes).select("c", "z", "y", "x", "v")
 
+def _tile_size(img: Image, level: int = 0) -> tuple[int, int]:
+    """(height, width) of the largest tile."""
+    return tuple(img.boxes(level).agg(F.max(F.col("y1") - F.col("y0")), F.max(F.col("x1") - F.col("x0"))).first())
 
-def correct_flatfield(spark: SparkSession, path: str, out: str, tiles: list[int] | None = None, z_levels: tuple[int, int] | None = None, n_planes: int = 200, params: BasicParams | None = None, empty_tiles: bool = False, profiles: dict[int, Profiles] | None = None, save: str | None = None, levels: int | None = None, erase: bool = False) -> str:
-    """Correct every tile by a profile per channel: given, the median of empty tiles, or fitted to sampled planes.
 
-    `tiles` defaults to all for the fit and to the corners for empty tiles.
-    Sampled planes (n_planes at most) are what one task per channel fits.
-    """
-    img = Image.open(spark, path)
-    t, (h, w) = _tile_voxels(img)
-    found = dict(profiles or {})
-    if not found:
-        ids = tiles or [r[0] for r in (layout.corner_tiles(img.tiles()) if empty_tiles else img.tiles()).select("tile_id").collect()]
-        every = img.tiles().where(F.col("tile_id").isin(ids)).select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(img.shape["z"] - 1))).alias("z"))
-        some = flatfield.bottom_top_planes(every, img.shape["z"], *z_levels) if z_levels else every
-        drawn = flatfield.sampled_planes(some, n_planes)
-        for c in range(len(img.attrs["channels"])):
-            rows = t.where(F.col("c") == c).join(F.broadcast(drawn), ["tile_id", "z"]).collect()  # n_planes planes of one tile at most
-            at = {k: i for i, k in enumerate(sorted((r["tile_id"], r["z"]) for r in drawn.collect()))}
-            stack = np.zeros((max(1, len(at)), h, w))
-            for r in rows:
-                stack[at[r["tile_id"], r["z"]], r["y"], r["x"]] = r["v"]
-            if empty_tiles:
-                m = np.median(stack, axis=0) + 1e-6
-                flat = spark.createDataFrame([(c, int(y), int(x), float(m[y, x])) for y, x in np.ndindex(m.shape)], "c int, y int, x int, m double")
-                f = np.ones((h, w))
-                for r in flatfield.normalised(flatfield.smoothed_2d(flat, "m", h, w)).collect():
-                    f[r["y"], r["x"]] = r["flat"]
-                found[c] = Profiles(f, None, float(np.round(np.percentile(stack[:, ::4, ::4] / (f[::4, ::4] + 1e-6), 1))))
-            else:
-                f, d, _ = fit_basic(stack, params)
-                found[c] = Profiles(f, d if (params or BasicParams()).dark else None)
-    table = None
-    for c, p in found.items():
-        p = p.resampled((h, w))
-        if save:
-            Path(save).mkdir(parents=True, exist_ok=True)
-            p.save(f"{save}/{img.attrs['channels'][c]['wavelength_id']}.npz")
-        table = p.rows(spark, c) if table is None else table.union(p.rows(spark, c))
-    base = spark.createDataFrame([(c, float(p.baseline)) for c, p in found.items()], "c int, baseline double")
+def _finish(img: Image, out: str, chunks: DataFrame, task: str, parameters: dict, erase: bool, levels: int | None = None) -> str:
+    """A new image of img's kind with these level-0 chunks; the source only goes when all is written."""
     new = img.like(out)
-    new.write_level0(_tiles_back(img, flatfield.apply_flatfield(t, table, base)))
+    new.write_level(chunks, 0)
     img.tiles().write.mode("overwrite").parquet(f"{out}/tiles")
     new.build(levels or len(img.levels))
-    new.record("correct_flatfield", {"tiles": tiles, "n_planes": n_planes, "empty_tiles": empty_tiles})
+    new.record(task, parameters)
     if erase:
-        shutil.rmtree(path)
+        img.store.delete(img.path)
     return out
 
 
+def fit_profiles(img: Image, tiles: list[int] | None = None, z_levels: tuple[int, int] | None = None, n_planes: int = 200, params: BasicParams | None = None, empty_tiles: bool = False, level: int = 0) -> dict[int, Profiles]:
+    """A profile per channel, fitted to sampled planes of a level, or their median where tiles are empty.
+
+    Planes are put together and resized in the tasks; a channel's fit gets
+    n_planes planes of the working size.
+    """
+    spark, (h, w), nz = img.spark, _tile_size(img, level), img.levels[level]["nz"]
+    ids = tiles or [r[0] for r in (layout.corner_tiles(img.tiles()) if empty_tiles else img.tiles()).select("tile_id").collect()]
+    known = {r[0] for r in img.tiles().select("tile_id").collect()}
+    if set(ids) - known:
+        raise ValueError(f"no tiles {sorted(set(ids) - known)}")
+    every = img.tiles().where(F.col("tile_id").isin(ids)).select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(nz - 1))).alias("z"))
+    drawn = flatfield.sampled_planes(flatfield.bottom_top_planes(every, nz, *z_levels) if z_levels else every, n_planes)
+    wanted = spark.createDataFrame(drawn.collect(), "tile_id int, z int")  # n_planes rows at most
+    n = wanted.count()
+    p = params or BasicParams()
+    side = (p.working_size,) * 2 if isinstance(p.working_size, int) else p.working_size
+    work = (h, w) if empty_tiles or side is None else (min(h, side[0]), min(w, side[1]))
+    found = blocks.planes(_parts(img, level), wanted, h, w, work)
+    channels = range(len(img.attrs["channels"]))
+    if empty_tiles:
+        out = {}
+        for c, m in blocks.plane_median(found, n, work).items():
+            f = gaussian_2d(m)
+            out[c] = f / f.mean() if f.mean() else np.ones(work)
+        low = blocks.low_percentile(found, n, work, out)
+        return {c: Profiles(out[c], None, low.get(c, 0.0)) if c in out else Profiles(np.ones(work)) for c in channels}
+
+    def one(batches):
+        import pyarrow as pa
+
+        def fitted() -> pa.RecordBatch:
+            stack = np.concatenate([np.stack(held), np.zeros((n - len(held), *work))])  # planes that are not stored are zeros
+            f, d, _ = fit_basic(stack, p)
+            return pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([f.astype("<f8").tobytes()]), pa.array([d.astype("<f8").tobytes() if p.dark else None], pa.binary())], names=["c", "flat", "dark"])
+
+        c, held = None, []
+        for b in batches:
+            for k, _, _, plane in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if c is not None and k != c:
+                    yield fitted()
+                    held = []
+                c = k
+                held.append(np.frombuffer(plane, "<f8").reshape(work))
+        if held:
+            yield fitted()
+
+    fits = found.repartition("c").sortWithinPartitions("c", "tile_id", "z").mapInArrow(one, "c int, flat binary, dark binary").collect()  # a row per channel
+    arr = lambda b: None if b is None else np.frombuffer(b, "<f8").reshape(work)
+    out = {r["c"]: Profiles(arr(r["flat"]), arr(r["dark"])) for r in fits}
+    return {c: out.get(c, Profiles(np.ones(work))) for c in channels}
+
+
+def correct_flatfield(spark: SparkSession, path: str, out: str, tiles: list[int] | None = None, z_levels: tuple[int, int] | None = None, n_planes: int = 200, params: BasicParams | None = None, empty_tiles: bool = False, profiles: dict[int, Profiles] | None = None, save: str | None = None, levels: int | None = None, erase: bool = False, level: int = 0) -> str:
+    """Correct every tile by a profile per channel: given, the median of empty tiles, or fitted to sampled planes of a level.
+
+    `tiles` defaults to all for the fit and to the corners for empty tiles.
+    """
+    img = Image.open(spark, path)
+    found = dict(profiles) if profiles else fit_profiles(img, tiles, z_levels, n_planes, params, empty_tiles, level)
+    h, w = _tile_size(img)
+    at = {c: p.resampled((h, w)) for c, p in found.items()}
+    if save:
+        Path(save).mkdir(parents=True, exist_ok=True)
+        for c, p in at.items():
+            p.save(f"{save}/{img.attrs['channels'][c]['wavelength_id']}.npz")
+    chunks = blocks.apply_flatfield(img.chunks(0), img.boxes(), {c: (p.flat, p.dark, p.baseline) for c, p in at.items()})
+    return _finish(img, out, chunks, "correct_flatfield", {"tiles": tiles, "n_planes": n_planes, "empty_tiles": empty_tiles}, erase, levels)
+
+
 def correct_illumination(spark: SparkSession, path: str, out: str, z_correction: bool = False, erase: bool = False) -> str:
     """Equalise tiles by their overlaps and, if asked, planes by the smoothed z profile; statistics come from the full level's overlaps and the lowest level's planes."""
     img = Image.open(spark, path)
-    t, _ = _tile_voxels(img)
-    stats = illumination.overlap_stats(t, img.tiles(), img.attrs["scale"]["y"], len(img.attrs["channels"]))
-    gain = illumination.gains(illumination.gain_edges(stats, img.shape["z"]), img.tiles())
+    n, pixel = len(img.attrs["channels"]), img.attrs["scale"]["y"]
+    sums = blocks.overlap_sums(img.chunks(0), img.boxes(), layout.overlap_sides(img.tiles(), pixel))
+    stats = illumination.both_sides(sums, img.tiles(), pixel, spark.range(n).select(F.col("id").cast("int").alias("c")))
+    gain = {(r["c"], r["tile_id"]): r["gain"] for r in illumination.gains(illumination.gain_edges(stats, img.shape["z"]), img.tiles()).collect()}  # a row per tile and channel
     profile = None
     if z_correction:
-        low = len(img.levels) - 1
-        p = illumination.smoothed_profile(illumination.z_profile(img.dense(low)))
-        f = img.shape["z"] / img.levels[low]["nz"]
-        z = spark.range(img.shape["z"]).select(F.col("id").cast("int").alias("z"), F.floor(F.col("id") / f).cast("int").alias("lz"))
-        profile = z.join(F.broadcast(p.withColumnRenamed("z", "lz")), "lz").select("c", "z", "profile")
-    new = img.like(out)
-    new.write_level0(_tiles_back(img, illumination.apply_illumination(t, gain, profile)))
-    img.tiles().write.mode("overwrite").parquet(f"{out}/tiles")
-    new.build(len(img.levels))
-    new.record("correct_illumination", {"z_correction": z_correction})
-    if erase:
-        shutil.rmtree(path)
-    return out
+        low = img.levels[-1]
+        raw = blocks.plane_medians(img.chunks(len(img.levels) - 1), {"z": low["nz"], "y": low["ny"], "x": low["nx"]}, n)
+        f = img.shape["z"] / low["nz"]
+        at = {(r["c"], r["z"]): r["profile"] for r in illumination.smoothed_profile(raw).collect()}  # a row per plane of the lowest level
+        profile = {(c, z): at[c, int(z // f)] for c in range(n) for z in range(img.shape["z"])}
+    return _finish(img, out, blocks.apply_illumination(img.chunks(0), img.boxes(), gain, profile), "correct_illumination", {"z_correction": z_correction}, erase)
 
 
 def crop_regions(spark: SparkSession, path: str, regions: DataFrame, out: str, power: int = 0, levels: int | None = None) -> list[str]:
     """An image per region (roi, <axis>_start, <axis>_end in um): ends in order, snapped to tiles, in whole pixels, shrunk to multiples of 2 ** power."""
     img, made = Image.open(spark, path), []
-    snapped = crop.snapped_to_tiles(regions, img.tiles())
-    for r in snapped.orderBy("roi").collect():  # a row per region asked for
-        s = img.attrs["scale"]
-        box = {}
-        for a in "zyx":
-            lo, hi = round(r[f"{a}_start"] / s[a]), min(img.shape[a], round(r[f"{a}_end"] / s[a]))
-            cut = (hi - lo) % (1 << power) if a != "z" else 0
-            box[a] = (lo + cut // 2, hi - (cut - cut // 2))
+    s = img.attrs["scale"]
+    for r in crop.snapped_to_tiles(regions, img.tiles()).orderBy("roi").collect():  # a row per region asked for
+        box = _pixels(r, s, img.shape, power)
         name = r["roi"] or crop.unique_name([Path(m).name for m in made])
-        v = slicing.box_slice(storage.to_voxels(slicing.chunk_slice(img.chunks(0), box)).select("c", "z", "y", "x", "v"), box)
-        v = v.select("c", *[(F.col(a) - box[a][0]).alias(a) for a in "zyx"], "v")
         tiles = crop.rebased_tiles(img.tiles(), {a: (box[a][0] * s[a], box[a][1] * s[a]) for a in "yx"})
         tiles = tiles.withColumn("z_um", F.lit(0.0)).withColumn("len_z_um", F.lit((box["z"][1] - box["z"][0]) * s["z"]))
-        new = from_voxels(spark, v, tiles, f"{out}/{name}", {a: box[a][1] - box[a][0] for a in "zyx"}, s, img.attrs["channels"], Size(*img.chunk), levels)
+        new = from_chunks(spark, blocks.cropped(img.chunks(0), box, img.chunk), tiles, f"{out}/{name}", {a: box[a][1] - box[a][0] for a in "zyx"}, s, img.attrs["channels"], Size(*img.chunk), levels)
         new.attrs["crop"] = {a: list(box[a]) for a in "zyx"}
         new.record("crop_regions", {"roi": name})
         made.append(new.path)
     return made
 
 
-def mask_regions(spark: SparkSession, path: str, regions: DataFrame) -> DataFrame:
-    """Label voxels (z, y, x, v) of the regions in pixels (z0, z1, y0, y1, x0, x1) over the image's box."""
-    from voxloom.derive import grid
-
-    s = Image.open(spark, path).shape
-    return crop.roi_mask(grid(spark, 1, s["z"], s["y"], s["x"]).drop("c"), regions)
+def _pixels(r, scale: dict[str, float], shape: dict[str, int], power: int = 0) -> dict[str, tuple[int, int]]:
+    """A region's box in whole pixels."""
+    box = {}
+    for a in "zyx":
+        lo, hi = sorted((round(r[f"{a}_start"] / scale[a]), round(r[f"{a}_end"] / scale[a])))
+        lo, hi = max(0, lo), min(shape[a], hi)
+        extra = (hi - lo) % (1 << power) if a != "z" else 0
+        box[a] = (lo + extra // 2, hi - (extra - extra // 2))
+    return box
 
 
-def stitch(spark: SparkSession, path: str, out: str, channel: Channel, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, blend: bool = True, erase: bool = False) -> str:
-    """Register tiles by phase correlation of their overlaps' projections and fuse them at their true places."""
+def mask_regions(spark: SparkSession, path: str, regions: DataFrame, name: str = "regions", power: int = 0) -> str:
+    """Store the regions (as for `crop_regions`) as a label image of the image: 1 inside any, 0 outside, with a level for each of the image's by block maxima. Its path is returned."""
     img = Image.open(spark, path)
-    if level:
-        raise NotImplementedError("registration runs at full resolution")
-    scale = img.attrs["scale"]
-    t, (h, w) = _tile_voxels(img)
-    c = img.channel(channel)
-    pairs = layout.overlap_pairs(img.tiles(), scale["y"])
-    kept = {None: lambda p: p, "axis_aligned": lambda p: p.join(layout.axis_aligned(p, img.tiles()), ["i", "j"]), "alternating": lambda p: p.join(layout.without_every_other(p, img.tiles(), scale["y"]), ["i", "j"])}
-    if pruning not in kept:
-        raise ValueError(f"pruning must be one of {[k for k in kept if k]}")
-    flat = slicing.zmax_projection(t.where(F.col("c") == c).withColumn("c", F.col("tile_id"))).withColumnRenamed("c", "tile_id")
-    found = fuse.pair_shifts(flat, kept[pruning](pairs), h, w).where(F.col("quality") >= least_quality).collect()  # a row per pair of neighbours
+    rows = crop.ordered_ends(regions).collect()  # a row per region asked for
+    if not rows:
+        raise ValueError("no regions")
+    boxes = [_pixels(r, img.attrs["scale"], img.shape, power) for r in rows]
+    return write_label(img, name, blocks.box_mask(spark, boxes, img.chunk, img.shape))
+
+
+def write_label(img: Image, name: str, chunks: DataFrame, color: tuple[int, int, int, int] = (255, 0, 0, 128)) -> str:
+    """Store level-0 label chunks (c = 0) below labels/<name> of the image, with the image's levels by block maxima and its own metadata."""
+    at = f"{img.path}/labels/{name}"
+    if img.store.exists(at):
+        raise FileExistsError(at)
+    label = Image(img.spark, at, {"shape": img.shape, "scale": img.attrs["scale"], "chunk": list(img.chunk), "channels": [], "levels": img.levels, "label": {"name": name, "colors": [{"value": 1, "rgba": list(color)}], "source": {"image": "../../"}}})
+    label.save_attrs()
+    label.write_level(chunks, 0)
+    for k in range(1, len(img.levels)):
+        p = img.levels[k - 1]
+        up = {"z": p["factor_z"], "y": p["factor_yx"], "x": p["factor_yx"]}
+        label.write_level(blocks.coarsened(label.chunks(k - 1), img.chunk, {"z": p["nz"], "y": p["ny"], "x": p["nx"]}, up, how="max"), k)
+    labels = f"{img.path}/labels/labels.json"
+    img.store.write(labels, {"labels": [*(img.store.read(labels)["labels"] if img.store.exists(labels) else []), name]})
+    return at
+
+
+PRUNING = (None, "axis_aligned", "alternating", "shortest_paths", "large_overlaps")
+
+
+def pruned(tiles: DataFrame, pixel: float, how: str | None) -> list[tuple[int, int]]:
+    """Pairs of neighbouring tiles that are registered."""
+    if how not in PRUNING:
+        raise ValueError(f"pruning must be one of {[k for k in PRUNING if k]}")
+    pairs = layout.overlap_pairs(tiles, pixel)
+    if how == "axis_aligned":
+        return [tuple(r) for r in layout.axis_aligned(pairs, tiles).collect()]
+    if how == "alternating":
+        return [tuple(r) for r in layout.without_every_other(pairs, tiles, pixel).collect()]
+    rows = sorted(tuple(r) for r in pairs.collect())  # pairs of neighbours
+    return layout.shortest_paths(rows) if how == "shortest_paths" else layout.large_overlaps(rows) if how else [r[:2] for r in rows]
+
+
+def register_tiles(img: Image, c: int, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, on_projection: bool = True, upsample: int = 1) -> dict[int, tuple[float, float, float]]:
+    """Shift (z, y, x) of every tile from its original place, in full-resolution voxels, by phase correlation of neighbours' overlaps at a level."""
+    spark, s = img.spark, img.levels[level]
     ids = sorted(r[0] for r in img.tiles().select("tile_id").collect())
-    solved = fuse.resolve_shifts([(r["i"], r["j"], r["dy"], r["dx"], max(r["quality"], 1e-3)) for r in found], ids)
-    place = img.tiles().select("tile_id", F.round(F.col("y_orig_um") / scale["y"]).cast("int").alias("oy"), F.round(F.col("x_orig_um") / scale["x"]).cast("int").alias("ox")).collect()
-    at = {r["tile_id"]: (r["oy"] + round(solved[r["tile_id"]][0]), r["ox"] + round(solved[r["tile_id"]][1])) for r in place}
-    y0, x0 = min(a[0] for a in at.values()), min(a[1] for a in at.values())
-    rows = [(k, 0, a[0] - y0, a[1] - x0) for k, a in at.items()]
-    shifts = spark.createDataFrame(rows, "tile_id int, sz int, sy int, sx int")
-    shape = {"z": img.shape["z"], "y": max(r[2] for r in rows) + h, "x": max(r[3] for r in rows) + w}
-    moved = fuse.placed(t, shifts)
-    tile = spark.createDataFrame([(0, 0.0, 0.0, 0.0, 0.0, 0.0, shape["x"] * scale["x"], shape["y"] * scale["y"], shape["z"] * scale["z"])], "tile_id int, x_um double, y_um double, z_um double, x_orig_um double, y_orig_um double, len_x_um double, len_y_um double, len_z_um double")
-    new = from_voxels(spark, fuse.fused_mean(moved, h, w) if blend else fuse.fused_mean(moved), tile, out, shape, scale, img.attrs["channels"], Size(*img.chunk), len(img.levels))
-    new.record("stitch", {"channel": channel, "pruning": pruning})
+    pairs = pruned(img.tiles(), img.attrs["scale"]["y"], pruning)
+    if not pairs:
+        return dict.fromkeys(ids, (0.0, 0.0, 0.0))
+    keep = spark.createDataFrame(pairs, "i int, j int")
+    sides = spark.createDataFrame(layout.overlap_sides(img.tiles(), s["scale_y"]).join(keep, ["i", "j"]).select("i", "j", "side", "tile_id", "y0", "y1", "x0", "x1").collect(), "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")  # two rows a pair
+    depth = 1 if on_projection else s["nz"]
+    images = blocks.overlap_images(_parts(img, level).where(F.col("c") == c), sides, depth, on_projection)
+    found = blocks.pair_shifts(images, sides, depth, upsample).where(F.col("quality") >= least_quality).collect()  # a row per pair
+    up = [s[f"scale_{a}"] / img.attrs["scale"][a] for a in "zyx"]
+    edges = [(r["i"], r["j"], tuple(r[f"d{a}"] * u for a, u in zip("zyx", up, strict=True)), max(r["quality"], 1e-3)) for r in found]
+    return fuse.resolve_shifts(edges, ids)
+
+
+def stitch(spark: SparkSession, path: str, out: str, channel: Channel, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, blend: bool = True, erase: bool = False, on_projection: bool = True, upsample: int = 1, transform: str = "translation") -> str:
+    """Register tiles by phase correlation of their overlaps (or of the overlaps' projections along z) at a level and fuse them at their true places, to the nearest voxel."""
+    if transform != "translation":
+        raise NotImplementedError(f"registration finds translations, not {transform} transforms")
+    img = Image.open(spark, path)
+    scale = img.attrs["scale"]
+    solved = register_tiles(img, img.channel(channel), pruning, level, least_quality, on_projection, upsample)
+    rows = img.tiles().select("tile_id", F.bround(F.col("y_orig_um") / scale["y"]).cast("int").alias("oy"), F.bround(F.col("x_orig_um") / scale["x"]).cast("int").alias("ox")).collect()
+    at = {r["tile_id"]: tuple(o + round(d) for o, d in zip((0, r["oy"], r["ox"]), solved[r["tile_id"]], strict=True)) for r in rows}
+    low = [min(a[k] for a in at.values()) for k in range(3)]
+    places = {t: tuple(x - y for x, y in zip(a, low, strict=True)) for t, a in at.items()}
+    sizes = {r["tile_id"]: (img.shape["z"], r["y1"] - r["y0"], r["x1"] - r["x0"]) for r in img.boxes().collect()}
+    shape = {a: max(p[k] + sizes[t][k] for t, p in places.items()) for k, a in enumerate("zyx")}
+    chunks = blocks.fused(_parts(img), places, sizes, img.chunk, shape, "blend" if blend else "mean")
+    new = from_chunks(spark, chunks, _one_tile(spark, shape, scale), out, shape, scale, img.attrs["channels"], Size(*img.chunk), len(img.levels))
+    new.attrs["shifts"] = {str(t): list(d) for t, d in solved.items()}
+    new.record("stitch", {"channel": channel, "pruning": pruning, "level": level})
     if erase:
-        shutil.rmtree(path)
+        img.store.delete(path)
     return out
 
 
+#: Voxels of a view that one task registers; views are taken from the first level that has no more.
+MOST_VIEW = 1 << 24
+
+
+def register_views(images: list[Image], channel: Channel) -> list[tuple[int, int, int]]:
+    """Place (z, y, x) of each view relative to the first, in its voxels: every view is laid on the first by phase correlation of whole volumes at a level of MOST_VIEW voxels at most."""
+    first, spark = images[0], images[0].spark
+    level = next((k for k, s in enumerate(first.levels) if s["nz"] * s["ny"] * s["nx"] <= MOST_VIEW), len(first.levels) - 1)
+    if any(len(i.levels) <= level for i in images):
+        raise ValueError("views have different levels")
+    shapes = [i.levels[level] for i in images]
+    box = [max(s[f"n{a}"] for s in shapes) for a in "zyx"]
+    parts = None
+    for k, i in enumerate(images):
+        p = i.chunks(level).where(F.col("c") == i.channel(channel)).withColumn("tile_id", F.lit(k))
+        parts = p if parts is None else parts.unionByName(p)
+    sides = spark.createDataFrame([(0, k, side, t, 0, box[1], 0, box[2]) for k in range(1, len(images)) for side, t in ((1, 0), (2, k))], "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")
+    found = blocks.pair_shifts(blocks.overlap_images(parts, sides, box[0], project=False), sides, box[0]).collect() if len(images) > 1 else []
+    s = first.levels[level]
+    up = [s[f"scale_{a}"] / first.attrs["scale"][a] for a in "zyx"]
+    out = {r["j"]: tuple(round(r[f"d{a}"] * u) for a, u in zip("zyx", up, strict=True)) for r in found}
+    return [out.get(k, (0, 0, 0)) for k in range(len(images))]
+
+
 def fuse_images(spark: SparkSession, paths: list[str], out: str, shifts: dict[str, tuple[int, int, int]] | None = None, registration_channel: Channel | None = None, overwrite: bool = False) -> str:
-    """Several images into one: with a registration channel as views of one object (mean where they overlap), else as channels, one label each."""
-    if Path(out).exists() and not overwrite:
-        raise FileExistsError(out)
+    """Several images into one: with a registration channel as views of one object (mean where they overlap), else as channels, one label each.
+
+    Views lie where `shifts` says (by path); without it they are registered on
+    the channel.
+    """
+    store = Store(spark)
+    if store.exists(out):
+        if not overwrite:
+            raise FileExistsError(out)
+        store.delete(out)
     images = [Image.open(spark, p) for p in paths]
-    moves = [(shifts or {}).get(p, (0, 0, 0)) for p in paths]
-    shape = {a: max(i.shape[a] + m[k] for i, m in zip(images, moves, strict=True)) for k, a in enumerate("zyx")}
-    first = images[0]
-    if registration_channel is not None:
+    first, views = images[0], registration_channel is not None
+    if views:
         labels = [sorted(c["label"] for c in i.attrs["channels"]) for i in images]
         if any(x != labels[0] for x in labels):
             raise ValueError("views have different channels")
-        for i in images:
-            i.channel(registration_channel)
+        moves = [shifts.get(p, (0, 0, 0)) for p in paths] if shifts is not None else register_views(images, registration_channel)
+    else:
+        moves = [(shifts or {}).get(p, (0, 0, 0)) for p in paths]
+    low = [min(0, *(m[k] for m in moves)) for k in range(3)]
+    places = {k: tuple(x - y for x, y in zip(m, low, strict=True)) for k, m in enumerate(moves)}
+    sizes = {k: tuple(i.shape[a] for a in "zyx") for k, i in enumerate(images)}
+    shape = {a: max(places[k][n] + sizes[k][n] for k in places) for n, a in enumerate("zyx")}
     parts, channels = None, []
-    for k, (i, m) in enumerate(zip(images, moves, strict=True)):
-        v = i.voxels()
-        if registration_channel is None:
+    for k, i in enumerate(images):
+        if views:
+            to = {j: first.channel(Channel(label=c["label"])) for j, c in enumerate(i.attrs["channels"])} if k else {j: j for j in range(len(i.attrs["channels"]))}
+            channels = first.attrs["channels"]
+        else:
             new = [(j, c) for j, c in enumerate(i.attrs["channels"]) if c["label"] not in {x["label"] for x in channels}]
             to = {j: len(channels) + n for n, (j, _) in enumerate(new)}
-            channels += [c for _, c in new]
-            if not to:  # every label is there already
-                continue
-            v = v.where(F.col("c").isin(list(to))).withColumn("c", F.create_map(*[F.lit(x) for kv in to.items() for x in kv])[F.col("c")])
-        v = v.select(F.lit(k).alias("tile_id"), "c", (F.col("z") + m[0]).alias("z"), (F.col("y") + m[1]).alias("y"), (F.col("x") + m[2]).alias("x"), "v")
-        parts = v if parts is None else parts.unionByName(v)
-    fused = fuse.fused_mean(parts) if registration_channel is not None else parts.select("c", "z", "y", "x", "v")
-    img = from_voxels(spark, fused, first.tiles(), out, shape, first.attrs["scale"], channels or first.attrs["channels"], Size(*first.chunk), len(first.levels))
+            channels = [*channels, *(c for _, c in new)]
+        if not to:  # every label is there already
+            continue
+        p = i.chunks(0).where(F.col("c").isin(list(to))).withColumn("c", F.create_map(*[F.lit(x) for kv in to.items() for x in kv])[F.col("c")]).withColumn("tile_id", F.lit(k))
+        parts = p if parts is None else parts.unionByName(p)
+    chunks = blocks.fused(parts, places, sizes, first.chunk, shape, "mean" if views else "max")
+    img = from_chunks(spark, chunks, first.tiles(), out, shape, first.attrs["scale"], channels, Size(*first.chunk), len(first.levels))
+    img.attrs["places"] = [list(places[k]) for k in range(len(images))]
     img.record("fuse_images", {"paths": paths})
     return out
 
 
 def modify_structure(spark: SparkSession, path: str, name: str | None = None, chunk: Size | None = None, levels: int | None = None, channels: list[dict] | None = None) -> str:
-    """Re-chunk, rebuild the levels that are absent or incomplete, rename, replace channel labels and colours."""
+    """Re-chunk, rebuild the levels that are absent or incomplete, drop levels beyond those asked for, rename, replace channel labels and colours."""
     img = Image.open(spark, path)
     if chunk and (chunk.z, chunk.y, chunk.x) != img.chunk:
-        new = f"{path}.rechunk"
+        new = f"{path}/chunks.new"
+        img.store.delete(new)
         for s in img.levels:
             c = storage.rechunked(img.chunks(s["level"]), (chunk.z, chunk.y, chunk.x), {"z": s["nz"], "y": s["ny"], "x": s["nx"]})
-            storage.write_chunks(c, f"{new}/chunks")
-        shutil.rmtree(f"{path}/chunks")
-        shutil.move(f"{new}/chunks", f"{path}/chunks")  # swapped only after all levels are written
-        shutil.rmtree(new)
+            storage.write_chunks(c, new)
+        img.store.swap(new, f"{path}/chunks")  # only when all levels are written
         img.attrs["chunk"] = [chunk.z, chunk.y, chunk.x]
         img.save_attrs()
     want = levels or len(img.levels)
     plan = pyramid.pyramid_plan(spark, img.shape, img.attrs["scale"], want)
     bad = sorted(r["level"] for r in storage.missing_levels(img.chunks(), plan).select("level").collect())
     if want != len(img.levels) or bad:
-        img.build(want, start=max(1, min(bad, default=1)))
+        img.build(want, start=max(1, min(bad, default=want)))
     for k, c in enumerate(channels or []):
         img.attrs["channels"][k] |= {x: c[x] for x in ("label", "color", "wavelength_id") if x in c}
     if name:
@@ -447,20 +657,21 @@ def modify_structure(spark: SparkSession, path: str, name: str | None = None, ch
     return path
 
 
-def archive(spark: SparkSession, path: str, into: str, compression: str = "zstd", preview: bool = True) -> str:
-    """The image with other compression in one tar; beside it, if asked, a preview image of its deepest level."""
+def archive(spark: SparkSession, path: str, into: str, compression: str = "zstd", preview: bool = True, level: int | None = None) -> str:
+    """The image with other compression (at a level of it, where the codec has levels) in one tar; beside it, if asked, a preview image of its deepest level. Tars are made on the driver's file system."""
     src, name = Path(path), Path(path).name
     work = Path(into) / name
-    storage.recompressed(spark, f"{path}/chunks", f"{work}/chunks", compression)
     for p in src.iterdir():
         if p.name != "chunks":
+            work.mkdir(parents=True, exist_ok=True)
             (shutil.copytree if p.is_dir() else shutil.copy)(p, work / p.name)
+    storage.recompressed(spark, f"{path}/chunks", f"{work}/chunks", compression, level)
     tar = storage.archive(str(work), f"{work}.tar")
     if preview:
         img = Image.open(spark, path)
         top = img.levels[-1]
         small = img.like(f"{into}/{name}_preview", shape={"z": top["nz"], "y": top["ny"], "x": top["nx"]}, scale={a: top[f"scale_{a}"] for a in "zyx"}, levels=[top | {"level": 0}])
-        storage.write_chunks(storage.preview(img.chunks()), f"{small.path}/chunks")
+        storage.write_chunks(img.chunks(len(img.levels) - 1).withColumn("level", F.lit(0)), f"{small.path}/chunks")
     shutil.rmtree(work)
     return tar
 
@@ -469,8 +680,7 @@ def restore(spark: SparkSession, tar: str, into: str, compression: str = "lz4",
     """An archived image unpacked, with compression for fast reading."""
     path = storage.restore(tar, into)
     storage.recompressed(spark, f"{path}/chunks", f"{path}/chunks.new", compression)
-    shutil.rmtree(f"{path}/chunks")
-    shutil.move(f"{path}/chunks.new", f"{path}/chunks")
+    Store(spark).swap(f"{path}/chunks.new", f"{path}/chunks")
     if not keep_tar:
         Path(tar).unlink()
     return path
@@ -481,7 +691,6 @@ def changed_parameters(given: object, default: object) -> dict:
     return {k: v for k, v in vars(given).items() if v != vars(default)[k]}
 
 
-def map_tiles(img: Image, f: Callable, schema: str = "tile_id int, c int, z int, y int, x int, v int") -> DataFrame:
-    """f (pandas frame of one plane of one tile -> the same) over all planes of all tiles: a group is one plane."""
-    t, _ = _tile_voxels(img)
-    return t.groupBy("tile_id", "c", "z").applyInPandas(f, schema)
+def map_tiles(img: Image, f: Callable[[int, int, slice, slice, slice, np.ndarray], np.ndarray]) -> DataFrame:
+    """Level-0 chunks with f(c, tile_id, z, y, x, voxels) in place of each tile's voxels, chunk by chunk."""
+    return blocks.corrected(img.chunks(0), img.boxes(), f)

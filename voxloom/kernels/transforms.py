@@ -44,6 +44,17 @@ def resized(a: np.ndarray, shape: tuple[int, ...], order: int = 1) -> np.ndarray
     return out
 
 
+def gaussian_2d(a: np.ndarray, sigma: float = 1.0, radius: int = 4) -> np.ndarray:
+    """a smoothed along both axes; past an edge it is mirrored, the edge counting twice."""
+    k = np.arange(-radius, radius + 1)
+    w = np.exp(-0.5 * (k / sigma) ** 2)
+    w /= w.sum()
+    for axis in (0, 1):
+        p = np.pad(a, [(radius, radius) if axis == d else (0, 0) for d in (0, 1)], mode="symmetric")
+        a = sum(x * np.take(p, range(i, i + a.shape[axis]), axis) for i, x in enumerate(w))
+    return a
+
+
 def resampled_profile(flat: np.ndarray, shape: tuple[int, int], order: int = 3) -> np.ndarray:
     """A profile at another size, not below 0."""
     return np.maximum(resized(flat, shape, order), 0)

@@ -133,8 +133,8 @@ def overlap_sums(chunks: DataFrame, boxes: DataFrame, sides: DataFrame) -> DataF
     return g.groupBy("c", "i", "j", "side").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
 
 
-def coarsened(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, int], factor: dict[str, int]) -> DataFrame:
-    """The next level's chunks: block means cut to whole numbers, edges repeated to whole blocks. Blocks lie within chunks, so only finished means move."""
+def coarsened(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, int], factor: dict[str, int], how: str = "mean") -> DataFrame:
+    """The next level's chunks: block means cut to whole numbers, or block maxima (labels), edges repeated to whole blocks. Blocks lie within chunks, so only finished values move."""
     f = [factor.get(a, 1) for a in "zyx"]
     if any(s % k and s < shape[a] for s, k, a in zip(size, f, "zyx", strict=True)):
         whole = tuple(-(-s // k) * k for s, k in zip(size, f, strict=True))
@@ -144,7 +144,8 @@ def coarsened(chunks: DataFrame, size: tuple[int, int, int], shape: dict[str, in
     def one(r: dict, a: np.ndarray) -> list[tuple]:
         a = np.pad(a, [(0, -n % k) for n, k in zip(a.shape, f, strict=True)], mode="edge").astype(np.int64)
         z, y, x = a.shape
-        m = a.reshape(z // f[0], f[0], y // f[1], f[1], x // f[2], f[2]).sum(axis=(1, 3, 5)) // (f[0] * f[1] * f[2])
+        a = a.reshape(z // f[0], f[0], y // f[1], f[1], x // f[2], f[2])
+        m = a.max(axis=(1, 3, 5)) if how == "max" else a.sum(axis=(1, 3, 5)) // (f[0] * f[1] * f[2])
         return list(cut(r["image"], r["level"] + 1, r["c"], (r["z0"] // f[0], r["y0"] // f[1], r["x0"] // f[2]), m, size))
 
     return assembled(_mapped(chunks, one), size, new)
@@ -309,6 +310,64 @@ def planes(parts: DataFrame, wanted: DataFrame, height: int, width: int, work: t
     return some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "c int, tile_id int, z int, plane binary")
 
 
+def plane_median(found: DataFrame, n: int, work: tuple[int, int], rows: int = 64) -> dict[int, np.ndarray]:
+    """channel -> median over n planes of `planes`; those that are not there are zeros. A task holds n bands of `rows` rows."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c, _, _, plane in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                a = np.frombuffer(plane, "<f8").reshape(work)
+                bands = [a[i : i + rows].astype("<f8").tobytes() for i in range(0, work[0], rows)]
+                yield pa.RecordBatch.from_arrays([pa.array([c] * len(bands), pa.int32()), pa.array(range(len(bands)), pa.int32()), pa.array(bands, pa.binary())], names=["c", "band", "data"])
+
+    def middle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out() -> pa.RecordBatch:
+            stack = np.stack([np.frombuffer(x, "<f8") for x in held] + [np.zeros(len(held[0]) // 8)] * (n - len(held)))
+            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([np.median(stack, axis=0).astype("<f8").tobytes()], pa.binary())], names=["c", "band", "data"])
+
+        for b in batches:
+            for c, band, x in zip(*(k.to_pylist() for k in b.columns), strict=True):
+                if (c, band) != now:
+                    if now is not None:
+                        yield out()
+                    now, held = (c, band), []
+                held.append(x)
+        if now is not None:
+            yield out()
+
+    schema = "c int, band int, data binary"
+    got = found.mapInArrow(split, schema).repartition("c", "band").sortWithinPartitions("c", "band").mapInArrow(middle, schema).collect()  # one plane a channel
+    out: dict[int, np.ndarray] = {}
+    for r in got:
+        a = np.frombuffer(r["data"], "<f8").reshape(-1, work[1])
+        out.setdefault(r["c"], np.zeros(work))[r["band"] * rows : r["band"] * rows + len(a)] = a
+    return out
+
+
+def low_percentile(found: DataFrame, n: int, work: tuple[int, int], flats: dict[int, np.ndarray], p: float = 0.01, step: int = 4, fine: int = 16) -> dict[int, float]:
+    """channel -> percentile p, to a whole number, of n planes over their flatfield at every step-th pixel; from counts of values to 1 / fine, summed map-side."""
+    shared = found.sparkSession.sparkContext.broadcast(flats)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c, _, _, plane in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                v = np.frombuffer(plane, "<f8").reshape(work)[::step, ::step] / (shared.value[c][::step, ::step] + 1e-6)
+                k, m = np.unique(np.rint(v * fine).astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), c, np.int32)), pa.array(k), pa.array(m)], names=["c", "v", "n"])
+
+    got: dict[int, list] = {}
+    for r in found.mapInArrow(count, "c int, v long, n long").groupBy("c", "v").agg(F.sum("n").alias("n")).toLocalIterator():  # a row per value of 16 bits and its sixteenths
+        got.setdefault(r["c"], []).append((r["v"], r["n"]))
+    out = {}
+    pixels = -(-work[0] // step) * -(-work[1] // step)
+    for c, rows in got.items():
+        v, m = np.array(sorted([*rows, (0, n * pixels - sum(k for _, k in rows))])).reshape(-1, 2).T
+        out[c] = float(np.round(_percentile(v, m, p) / fine))
+    return out
+
+
 def overlap_images(parts: DataFrame, sides: DataFrame, depth: int, project: bool = True) -> DataFrame:
     """(i, j, side, z, y, x, nz, ny, nx, data): parts of both sides of each pair's overlap, in the overlap's coordinates; project: largest values over z.
 
@@ -362,6 +421,28 @@ def pair_shifts(images: DataFrame, sides: DataFrame, depth: int = 1, upsample: i
     return t.mapInArrow(run, "i int, j int, dz double, dy double, dx double, quality double")
 
 
+def box_mask(spark: SparkSession, boxes: list[dict[str, tuple[int, int]]], size: tuple[int, int, int], shape: dict[str, int]) -> DataFrame:
+    """Label chunks: 1 inside any of the boxes (half-open, z y x), which are few. Only chunks that meet a box are made, each in its task."""
+    cells = sorted({(z, y, x) for b in boxes for z in _span(b["z"], size[0]) for y in _span(b["y"], size[1]) for x in _span(b["x"], size[2])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                o = [k * s for k, s in zip(cell, size, strict=True)]
+                dims = [min(s, shape[a] - i) for s, a, i in zip(size, "zyx", o, strict=True)]
+                m = np.zeros(dims, "<u2")
+                for b in boxes:
+                    m[tuple(slice(max(0, b[a][0] - i), max(0, b[a][1] - i)) for a, i in zip("zyx", o, strict=True))] = 1
+                if m.any():
+                    yield _rows([("image", 0, 0, *cell, *o, *dims, m.tobytes())])
+
+    return spark.createDataFrame(cells, "cz int, cy int, cx int").mapInArrow(run, CHUNKS)
+
+
+def _span(ends: tuple[int, int], size: int) -> range:
+    return range(ends[0] // size, -(-ends[1] // size))
+
+
 def plane_medians(chunks: DataFrame, shape: dict[str, int], channels: int) -> DataFrame:
     """(c, z, raw): median over x of the medians over y, plus 1, of every plane of a low level; a task holds one plane. A plane that is not stored has 1."""
 

@@ -50,15 +50,15 @@ def pair_shifts(tile_images: DataFrame, pairs: DataFrame, height: int, width: in
     return left.union(right).groupBy("i", "j").applyInPandas(one, "i int, j int, dy int, dx int, quality double")
 
 
-def resolve_shifts(edges: list[tuple[int, int, float, float, float]], tiles: list[int]) -> dict[int, tuple[float, float]]:
-    """Shift of each tile from pair shifts (i, j, dy, dx, weight): weighted least squares, the first tile of each connected group fixed at 0."""
+def resolve_shifts(edges: list[tuple[int, int, tuple[float, ...], float]], tiles: list[int], axes: int = 3) -> dict[int, tuple[float, ...]]:
+    """Shift of each tile from pair shifts (i, j, shift, weight): weighted least squares, the first tile of each connected group fixed at 0."""
     at = {t: k for k, t in enumerate(tiles)}
     if not edges:
-        return dict.fromkeys(tiles, (0.0, 0.0))
-    a, b = np.zeros((len(edges), len(tiles))), np.zeros((len(edges), 2))
-    for k, (i, j, dy, dx, w) in enumerate(edges):
+        return dict.fromkeys(tiles, (0.0,) * axes)
+    a, b = np.zeros((len(edges), len(tiles))), np.zeros((len(edges), axes))
+    for k, (i, j, d, w) in enumerate(edges):
         s = max(w, 1e-6) ** 0.5
-        a[k, at[j]], a[k, at[i]], b[k] = s, -s, (dy * s, dx * s)
+        a[k, at[j]], a[k, at[i]], b[k] = s, -s, np.array(d) * s
     x = np.linalg.lstsq(a, b, rcond=None)[0]
     group: dict[int, int] = {t: t for t in tiles}
 
@@ -69,20 +69,35 @@ def resolve_shifts(edges: list[tuple[int, int, float, float, float]], tiles: lis
 
     for i, j, *_ in edges:
         group[max(top(i), top(j))] = min(top(i), top(j))
-    return {t: tuple(x[at[t]] - x[at[top(t)]]) for t in tiles}
+    return {t: tuple((x[at[t]] - x[at[top(t)]]).tolist()) for t in tiles}
 
 
-def affine_fused(tile_voxels: DataFrame, affine: dict[int, np.ndarray], shape: tuple[int, int], block: int = 256) -> DataFrame:
+def lifted(affine: np.ndarray) -> np.ndarray:
+    """A 2-d affine (y, x; homogeneous or 2 by 3), as found on projections along z, as a 3-d one (z, y, x) that leaves z alone."""
+    out = np.eye(4)
+    out[1:3, 1:] = np.asarray(affine, float)[:2]
+    return out
+
+
+def physical(affine: np.ndarray, scale: tuple[float, ...]) -> np.ndarray:
+    """An affine over voxels as one over lengths, for voxels of these sides."""
+    s = np.diag([*scale, 1.0])
+    return s @ affine @ np.linalg.inv(s)
+
+
+def affine_fused(tile_voxels: DataFrame, affine: dict[int, np.ndarray], shape: tuple[int, int], tile: tuple[int, int], block: int = 256) -> DataFrame:
     """(c, z, y, x, v): plane-wise fusion under a 2-d affine per tile (output = A @ (y, x, 1)), linear interpolation, mean where tiles overlap.
 
     Output is made in blocks; each voxel goes to the blocks it can touch, and
-    a block is one bounded group.
+    a block is one bounded group. Tiles are of size `tile` (height, width); voxels
+    that are not there are zeros.
     """
     maps = {t: np.vstack([a, [0, 0, 1]]) for t, a in affine.items()}
     rows = [(t, *map(float, a.ravel())) for t, a in affine.items()]
     m = tile_voxels.sparkSession.createDataFrame(rows, "tile_id int, a double, b double, c0 double, d double, e double, f0 double")
     v = tile_voxels.join(F.broadcast(m), "tile_id").withColumn("oy", F.expr("a * y + b * x + c0")).withColumn("ox", F.expr("d * y + e * x + f0"))
-    near = lambda o: F.array_distinct(F.array(F.floor((F.col(o) - 2) / block), F.floor((F.col(o) + 2) / block)))
+    reach = 1 + max(float(np.abs(a[:, :2]).sum(axis=1).max()) for a in affine.values())  # an output voxel uses input voxels this far away at most
+    near = lambda o: F.sequence(F.floor((F.col(o) - reach) / block), F.floor((F.col(o) + reach) / block))
     v = v.withColumn("by", F.explode(near("oy"))).withColumn("bx", F.explode(near("ox")))
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
@@ -92,20 +107,19 @@ def affine_fused(tile_voxels: DataFrame, affine: dict[int, np.ndarray], shape: t
             return pd.DataFrame({"c": [], "z": [], "y": [], "x": [], "v": []})
         total, count = np.zeros((h, w)), np.zeros((h, w))
         gy, gx = np.mgrid[y0 : y0 + h, x0 : x0 + w]
-        for t, p in g.groupby("tile_id"):
-            ty, tx = p["y"].to_numpy(), p["x"].to_numpy()
-            ly, lx = ty.min(), tx.min()
-            img = np.full((ty.max() - ly + 1, tx.max() - lx + 1), np.nan)
-            img[ty - ly, tx - lx] = p["v"]
+        own = dict(list(g.groupby("tile_id")))
+        for t in maps:  # a tile without a stored voxel here still covers what it covers
+            img = np.zeros(tile)
+            if t in own:
+                img[own[t]["y"], own[t]["x"]] = own[t]["v"]
             inv = np.linalg.inv(maps[t])
-            sy, sx = inv[0, 0] * gy + inv[0, 1] * gx + inv[0, 2] - ly, inv[1, 0] * gy + inv[1, 1] * gx + inv[1, 2] - lx
+            sy, sx = inv[0, 0] * gy + inv[0, 1] * gx + inv[0, 2], inv[1, 0] * gy + inv[1, 1] * gx + inv[1, 2]
             iy, ix = np.floor(sy + 1e-9).astype(int), np.floor(sx + 1e-9).astype(int)
             fy, fx = np.clip(sy - iy, 0, 1), np.clip(sx - ix, 0, 1)
             ok = (iy >= 0) & (ix >= 0) & (iy < img.shape[0]) & (ix < img.shape[1])
             iy, ix = np.where(ok, iy, 0), np.where(ok, ix, 0)
             jy, jx = np.minimum(iy + 1, img.shape[0] - 1), np.minimum(ix + 1, img.shape[1] - 1)
             val = (1 - fy) * ((1 - fx) * img[iy, ix] + fx * img[iy, jx]) + fy * ((1 - fx) * img[jy, ix] + fx * img[jy, jx])
-            ok &= ~np.isnan(val)
             total[ok] += val[ok]
             count[ok] += 1
         yy, xx = np.nonzero(count)

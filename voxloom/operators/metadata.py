@@ -27,7 +27,7 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     return t.where(F.col("key").isin(list(KEYS))).select("path", "line_no", "block", "key", "value")
 
 
-def acquisition_table(lines: DataFrame) -> DataFrame:
+def acquisition_table(lines: DataFrame, with_path: bool = False) -> DataFrame:
     """One typed row per block, numbered over all files in order; null where a key is missing, the last value where it is repeated."""
     p = parsed_lines(lines).groupBy("path", "block").pivot("key", list(KEYS)).agg(F.max_by("value", "line_no"))
     for k, name in KEYS.items():
@@ -35,7 +35,7 @@ def acquisition_table(lines: DataFrame) -> DataFrame:
             p = p.withColumnRenamed(k, name)
     number = lambda c: F.col(c).cast("double")
     t = p.select(
-        (F.row_number().over(Window.orderBy("path", "block")) - 1).alias("row"), "channel", number("intensity").alias("intensity"),
+        *(["path"] if with_path else []), (F.row_number().over(Window.orderBy("path", "block")) - 1).alias("row"), "channel", number("intensity").alias("intensity"),
         F.substring_index("zoom", "_", 1).alias("zoom"), "filter", "shutter", number("pixelsize").alias("x_scale"), number("pixelsize").alias("y_scale"), number("z_scale").alias("z_scale"),
         number("x_pos").alias("x_pos"), number("y_pos").alias("y_pos"), *[F.col(c).cast("int").alias(c) for c in ("x_n_pixels", "y_n_pixels", "z_n_pixels")],
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.schemas import CHUNKS
+from voxloom.sources.files import Store
 
 
 def to_chunks(voxels: DataFrame, size: tuple[int, int, int], shape: dict[str, int], image: str = "image", level: int = 0) -> DataFrame:
@@ -141,6 +142,23 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNKS).parquet(path).select(*names)
 
 
+def read_tiles(spark: SparkSession, paths: dict[int, str], level: int) -> DataFrame:
+    """(tile_id, chunk columns) of a level of several images, in one scan; which image a row is of is told by its file's path."""
+    names = [f.split()[0] for f in CHUNKS.split(", ")]
+    inside = ", ".join(f for f in CHUNKS.split(", ") if f.split()[0] not in ("image", "level", "c"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    root = spark.createDataFrame([(k, p.rstrip("/")) for k, p in paths.items()], "tile_id int, r_path string").withColumn("r_path", plain(F.col("r_path")))
+    store = Store(spark)
+    there = [f"{p.rstrip('/')}/chunks/image=image/level={level}" for p in paths.values()]
+    there = [p for p in there if store.exists(p)]  # an image of zeros has no chunk
+    if not there:
+        return spark.createDataFrame([], "tile_id int, " + CHUNKS)
+    d = spark.read.schema(inside).option("recursiveFileLookup", "true").parquet(*there)
+    at = F.col("_metadata.file_path")
+    d = d.select("*", F.regexp_extract(plain(at), "^(.*)/chunks/image=", 1).alias("f_path"), F.lit("image").alias("image"), F.lit(level).alias("level"), F.regexp_extract(at, "/c=([0-9]+)/", 1).cast("int").alias("c"))
+    return d.join(root, F.col("f_path") == F.col("r_path")).select("tile_id", *names)
+
+
 def level_completeness(chunks: DataFrame) -> DataFrame:
     """(image, level, stored, bad, complete): a level is complete when every stored chunk has as many bytes as voxels need; chunks not stored are zeros."""
     bad = F.length("data") != F.col("nz") * F.col("ny") * F.col("nx") * 2
@@ -160,9 +178,17 @@ def preview(chunks: DataFrame) -> DataFrame:
     return chunks.join(F.broadcast(top), "image").where("level = deepest").withColumn("level", F.lit(0)).drop("deepest")
 
 
-def recompressed(spark: SparkSession, path: str, out: str, compression: str) -> None:
-    """The chunk table with another compression; the same partitions."""
-    write_chunks(read_chunks(spark, path), out, compression=compression)
+def recompressed(spark: SparkSession, path: str, out: str, compression: str, level: int | None = None) -> None:
+    """The chunk table with another compression; the same partitions. level: of zstd."""
+    conf, key = spark._jsc.hadoopConfiguration(), "parquet.compression.codec.zstd.level"
+    before = conf.get(key)
+    if level is not None:
+        conf.set(key, str(level))
+    try:
+        write_chunks(read_chunks(spark, path), out, compression=compression)
+    finally:
+        if level is not None:
+            conf.set(key, before) if before is not None else conf.unset(key)
 
 
 def archive(folder: str, tar: str) -> str:

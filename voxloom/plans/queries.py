@@ -496,7 +496,7 @@ def fuse_affine(spark, d):
     import numpy as np
 
     t = tile_voxels(spark, d)
-    return fuse.affine_fused(t, {k: np.array([[1, 0, 8.0 * (k % 5)], [0, 1, 8.0 * (k // 5)]]) for k in range(25)}, (42, 42))
+    return fuse.affine_fused(t, {k: np.array([[1, 0, 8.0 * (k % 5)], [0, 1, 8.0 * (k // 5)]]) for k in range(25)}, (42, 42), (SIDE, SIDE))
 
 
 # --- structure

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from voxloom.functions.text import channel_of, tile_of, view_of
 from voxloom.operators.metadata import acquisition_table
 
+#: Fixed value: the place of a tile's number in the name of its metadata file.
+TILE_NAME = re.compile(r"_s(\d+)-t\d+_meta\.txt$")
 EXTENSIONS = {"h5": ["h5"], "tif": ["tif", "tiff"], "tiff": ["tif", "tiff"], "raw": ["raw"]}
 
 
@@ -40,36 +43,57 @@ def read_metadata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return acquisition_table(metadata_lines(spark, paths))
 
 
+def image_metadata(spark: SparkSession, folder: str, files: list[str], extension: str) -> DataFrame:
+    """The metadata table of image files: of the one file named after them, else of all that are, in name order; h5 tiles in the order of their numbers, without gaps."""
+    stem = Path(files[0]).stem.split("_Mag")[0]
+    ends = EXTENSIONS[extension]
+    names = sorted(r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*_meta.txt").load(folder).select("path").collect())  # only names are read
+    base = lambda p: p.rpartition("/")[2]
+    one = [p for p in names if base(p).startswith(stem) and any(base(p).endswith(f".{e}_meta.txt") for e in ends)]
+    if len(one) == 1:
+        return read_metadata(spark, one)
+    some = [p for p in names if base(p).startswith(stem) and any(e in base(p)[len(stem) :] for e in ends)] or names
+    if not some:
+        raise FileNotFoundError(f"no metadata of {stem} in {folder}")
+    if extension != "h5":
+        return read_metadata(spark, some)
+    at = {int(m[1]): p for p in some if (m := TILE_NAME.search(base(p)))}
+    if gaps := tile_index_gaps([base(p) for p in some]):
+        raise FileNotFoundError(f"no metadata of tiles {gaps}")
+    if not at:
+        raise FileNotFoundError(f"no metadata of {stem} in {folder}")
+    order = spark.createDataFrame([(f"{k:09d}", p) for k, p in at.items()], "place string, o_path string")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    lines = metadata_lines(spark, list(at.values()))
+    j = lines.join(F.broadcast(order), plain(F.col("path")) == plain(F.col("o_path")))  # a row per tile
+    return acquisition_table(j.select(F.col("place").alias("path"), "line_no", "line"))
+
+
 def tile_index_gaps(names: list[str]) -> list[int]:
     """Tile numbers of `..._s<k>-t<n>_meta.txt` names that are missing from 0 on."""
-    import re
-
-    at = {int(m[1]) for n in names if (m := re.search(r"_s(\d+)-t\d+_meta\.txt$", n))}
+    at = {int(m[1]) for n in names if (m := TILE_NAME.search(n))}
     return [k for k in range(max(at, default=-1) + 1) if k not in at]
 
 
-def per_tile_stores(spark: SparkSession, folder: str) -> DataFrame:
-    """Metadata of per-tile stores with tile, file channel and view from their names; names and metadata have to agree on the channel."""
-    t = read_metadata_with_path(spark, f"{folder}/*.ome.zarr_meta.txt")
-    t = t.select("*", tile_of(F.col("path")).alias("tile_id"), channel_of(F.col("path")).alias("file_channel"), view_of(F.col("path")).alias("view"))
+def per_tile_stores(spark: SparkSession, folder: str, stores: list[str] | None = None) -> DataFrame:
+    """Metadata of per-tile stores with tile, file channel and view from their names, a row per block.
+
+    Names and metadata have to agree on the channel; with the names of the
+    stores that are there, as many files as stores have to be.
+    """
+    t = acquisition_table(metadata_lines(spark, f"{folder}/*.ome.zarr_meta.txt"), with_path=True)
+    t = t.where(F.col("path").rlike(r"Tile\d+_Ch\d+_")).select("*", tile_of(F.col("path")).alias("tile_id"), channel_of(F.col("path")).alias("file_channel"), view_of(F.col("path")).alias("view"))
     laser = F.regexp_extract("channel", r"(\d+)", 1).cast("int")
-    if bad := t.where(laser != F.col("file_channel")).count():
-        raise ValueError(f"{bad} stores whose name and metadata disagree on the channel")
+    found = t.agg(F.count_distinct("path"), F.count_if(laser != F.col("file_channel"))).first()
+    if not found[0]:
+        raise FileNotFoundError(f"no metadata of tile stores in {folder}")
+    if found[1]:
+        raise ValueError(f"{found[1]} stores whose name and metadata disagree on the channel")
+    if stores is not None and found[0] != len(stores):
+        raise ValueError(f"metadata of {found[0]} stores, but {len(stores)} stores")
     return t
 
 
-def read_metadata_with_path(spark: SparkSession, paths: str) -> DataFrame:
-    lines = metadata_lines(spark, paths)
-    order = lines.select("path").distinct().withColumn("row", F.row_number().over(_by("path")) - 1)
-    return acquisition_table(lines).join(F.broadcast(order), "row")  # a row per file
-
-
-def _by(column: str):
-    from pyspark.sql.window import Window
-
-    return Window.orderBy(column)
-
-
 def crop_table(spark: SparkSession, path: str) -> DataFrame:
     """Regions of interest from CSV: roi and start and end in um along z, y and x."""
     return spark.read.csv(path, header=True, schema="roi string, z_start double, z_end double, y_start double, y_end double, x_start double, x_end double")
@@ -99,6 +123,8 @@ def checked_settings(text: str) -> dict:
     """A channel settings map; every entry needs label, laser_wavelength and color as strings."""
     m = json.loads(text)
     for k, v in m.items():
+        if not isinstance(v, dict):
+            raise ValueError(f"channel {k} must be a map")
         bad = [f for f in ("label", "laser_wavelength", "color") if not isinstance(v.get(f), str)]
         if bad:
             raise ValueError(f"channel {k}: {', '.join(bad)} must be a string")

@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,25 @@ from voxloom.schemas import CHUNKS
 
 
 class Planes(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+    """A range of planes; more says what else a reader needs to find them."""
+
+    def __init__(self, first: int, last: int, more: object = None):
+        self.first, self.last, self.more = first, last, more
+
+
+def opened(path: str) -> BinaryIO:
+    """A file to read from and seek in: local, or in a store that pyarrow.fs knows where the path has a scheme."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(path)
+    return store.open_input_file(at)
+
+
+def _at(f: BinaryIO, where: int, size: int) -> bytes:
+    f.seek(where)
+    return f.read(size)
 
 
 def _row(image: str, c: int, z: int, plane: np.ndarray, size: tuple[int, int]) -> Iterator[tuple]:
@@ -49,80 +67,78 @@ class _StackReader(DataSourceReader):
     def __init__(self, options: dict):
         self.o = {k.lower(): v for k, v in options.items()}
         self.path, self.c, self.image = self.o["path"], int(self.o.get("channel", 0)), self.o.get("image", Path(self.o["path"]).stem)
-        self.size = (int(self.o.get("chunk_y", 1024)), int(self.o.get("chunk_x", 1024)))
+        self.size, self.per = (int(self.o.get("chunk_y", 1024)), int(self.o.get("chunk_x", 1024))), int(self.o.get("planes", 16))
 
-    def count(self) -> int:
+    def planes(self, p: Planes) -> Iterator[np.ndarray]:
         raise NotImplementedError
 
-    def planes(self, first: int, last: int) -> Iterator[np.ndarray]:
-        raise NotImplementedError
-
-    def partitions(self) -> list[InputPartition]:
-        n, per = self.count(), int(self.o.get("planes", 16))
-        return [Planes(i, min(n, i + per)) for i in range(0, n, per)]
-
     def read(self, partition: Planes) -> Iterator[pa.RecordBatch]:
-        return _batches(r for z, p in enumerate(self.planes(partition.first, partition.last), partition.first) for r in _row(self.image, self.c, z, p, self.size))
+        return _batches(r for z, p in enumerate(self.planes(partition), partition.first) for r in _row(self.image, self.c, z, p, self.size))
 
 
 class RawReader(_StackReader):
-    """Little-endian unsigned 16-bit (z, y, x); options nz, ny, nx. Only the planes of a partition are mapped."""
-
-    def shape(self) -> tuple[int, int, int]:
-        return tuple(int(self.o[k]) for k in ("nz", "ny", "nx"))
+    """Little-endian unsigned 16-bit (z, y, x); options nz, ny, nx. A partition reads its planes only, one at a time."""
 
-    def count(self) -> int:
-        return self.shape()[0]
-
-    def planes(self, first: int, last: int) -> Iterator[np.ndarray]:
-        m = np.memmap(self.path, "<u2", "r", shape=self.shape())
-        for z in range(first, last):
-            yield np.asarray(m[z])
-
-
-def tiff_pages(raw: bytes) -> list[dict[int, list[int]]]:
-    """Tags of each page of a baseline TIFF: number -> values."""
-    e = "<" if raw[:2] == b"II" else ">"
-    if struct.unpack(e + "H", raw[2:4])[0] != 42:
+    def partitions(self) -> list[InputPartition]:
+        n = int(self.o["nz"])
+        return [Planes(i, min(n, i + self.per)) for i in range(0, n, self.per)]
+
+    def planes(self, p: Planes) -> Iterator[np.ndarray]:
+        ny, nx = int(self.o["ny"]), int(self.o["nx"])
+        with opened(self.path) as f:
+            for z in range(p.first, p.last):
+                raw = _at(f, z * ny * nx * 2, ny * nx * 2)
+                if len(raw) < ny * nx * 2:
+                    raise ValueError(f"{self.path} ends within plane {z}")
+                yield np.frombuffer(raw, "<u2").reshape(ny, nx)
+
+
+def tiff_pages(f: BinaryIO) -> tuple[str, list[dict[int, list[int]]]]:
+    """Byte order and the tags of each page (number -> values) of a baseline TIFF; only the directories are read."""
+    head = _at(f, 0, 8)
+    e = "<" if head[:2] == b"II" else ">"
+    if struct.unpack(e + "H", head[2:4])[0] != 42:
         raise ValueError("not a baseline TIFF")
-    at, pages = struct.unpack(e + "I", raw[4:8])[0], []
+    at, pages = struct.unpack(e + "I", head[4:8])[0], []
     sizes = {1: "B", 3: "H", 4: "I"}
     while at:
-        (n,) = struct.unpack(e + "H", raw[at : at + 2])
-        tags: dict[int, list[int]] = {}
+        (n,) = struct.unpack(e + "H", _at(f, at, 2))
+        raw, tags = _at(f, at + 2, 12 * n + 4), {}
         for k in range(n):
-            p = at + 2 + 12 * k
-            tag, kind, count = struct.unpack(e + "HHI", raw[p : p + 8])
+            tag, kind, count = struct.unpack(e + "HHI", raw[12 * k : 12 * k + 8])
             if kind in sizes:
-                size = struct.calcsize(sizes[kind]) * count
-                where = p + 8 if size <= 4 else struct.unpack(e + "I", raw[p + 8 : p + 12])[0]
-                tags[tag] = list(struct.unpack(f"{e}{count}{sizes[kind]}", raw[where : where + size]))
+                form = f"{e}{count}{sizes[kind]}"
+                size = struct.calcsize(form)
+                value = raw[12 * k + 8 : 12 * k + 8 + size] if size <= 4 else _at(f, struct.unpack(e + "I", raw[12 * k + 8 : 12 * k + 12])[0], size)
+                tags[tag] = list(struct.unpack(form, value))
         pages.append(tags)
-        (at,) = struct.unpack(e + "I", raw[at + 2 + 12 * n : at + 6 + 12 * n])
-    return pages
+        (at,) = struct.unpack(e + "I", raw[12 * n :])
+    return e, pages
 
 
-def tiff_plane(raw: bytes, tags: dict[int, list[int]]) -> np.ndarray:
-    """Page of 8- or 16-bit grey strips, not compressed or deflated."""
-    e = "<" if raw[:2] == b"II" else ">"
+def tiff_plane(f: BinaryIO, e: str, tags: dict[int, list[int]]) -> np.ndarray:
+    """Page of 8- or 16-bit grey strips, not compressed or deflated; only its strips are read."""
     width, height, bits, how = tags[256][0], tags[257][0], tags.get(258, [1])[0], tags.get(259, [1])[0]
     if bits not in (8, 16) or how not in (1, 8, 32946):
         raise ValueError(f"TIFF with {bits} bits and compression {how} is not supported")
-    parts = [raw[o : o + n] for o, n in zip(tags[273], tags[279], strict=True)]
+    parts = [_at(f, o, n) for o, n in zip(tags[273], tags[279], strict=True)]
     data = b"".join(zlib.decompress(p) if how != 1 else p for p in parts)
     return np.frombuffer(data, f"{e}u{bits // 8}", width * height).reshape(height, width).astype(np.uint16)
 
 
 class TiffReader(_StackReader):
-    """A page per plane."""
+    """A page per plane. The driver goes along the directories once; a partition gets those of its pages."""
 
-    def count(self) -> int:
-        return len(tiff_pages(Path(self.path).read_bytes()))
+    def partitions(self) -> list[InputPartition]:
+        with opened(self.path) as f:
+            e, pages = tiff_pages(f)
+        return [Planes(i, min(len(pages), i + self.per), (e, pages[i : i + self.per])) for i in range(0, len(pages), self.per)]
 
-    def planes(self, first: int, last: int) -> Iterator[np.ndarray]:
-        raw = Path(self.path).read_bytes()
-        for tags in tiff_pages(raw)[first:last]:
-            yield tiff_plane(raw, tags)
+    def planes(self, p: Planes) -> Iterator[np.ndarray]:
+        e, pages = p.more
+        with opened(self.path) as f:
+            for tags in pages:
+                yield tiff_plane(f, e, tags)
 
 
 class ZarrReader(DataSourceReader):
@@ -190,8 +206,8 @@ def _source(label: str, kind: type) -> type[DataSource]:
 
 
 def register(spark: SparkSession) -> None:
-    """Make the formats voxraw, voxtiff and voxzarr known to spark.read.format()."""
-    for label, kind in (("voxraw", RawReader), ("voxtiff", TiffReader), ("voxzarr", ZarrReader)):
+    """Make the formats voxraw, voxtiff, voxzarr and voxh5 known to spark.read.format()."""
+    for label, kind in (("voxraw", RawReader), ("voxtiff", TiffReader), ("voxzarr", ZarrReader), ("voxh5", H5Reader)):
         spark.dataSource.register(_source(label, kind))
 
 
@@ -212,17 +228,26 @@ def h5_layout(n_tiles: int, n_channels: int) -> list[tuple[int, int, str]]:
 
 
 class H5Reader(_StackReader):
-    """One tile of a multi-tile h5 file; needs h5py."""
+    """Datasets (z, y, x) of one h5 file, option `datasets`: JSON rows [channel, tile, dataset]; a chunk's image is its tile. Needs h5py."""
 
-    def count(self) -> int:
+    def partitions(self) -> list[InputPartition]:
         import h5py
 
-        with h5py.File(self.path) as f:
-            return f[self.o["dataset"]].shape[0]
+        out: list[InputPartition] = []
+        with h5py.File(self.path, "r") as f:
+            for c, tile, name in json.loads(self.o["datasets"]):
+                n = f[name].shape[0]
+                out += [Planes(i, min(n, i + self.per), (c, tile, name)) for i in range(0, n, self.per)]
+        return out
 
-    def planes(self, first: int, last: int) -> Iterator[np.ndarray]:
+    def read(self, partition: Planes) -> Iterator[pa.RecordBatch]:
         import h5py
 
-        with h5py.File(self.path) as f:
-            for z in range(first, last):
-                yield f[self.o["dataset"]][z].astype(np.uint16)
+        c, tile, name = partition.more
+
+        def rows() -> Iterator[tuple]:
+            with h5py.File(self.path, "r") as f:
+                for z in range(partition.first, partition.last):
+                    yield from _row(str(tile), c, z, np.asarray(f[name][z]).astype(np.uint16), self.size)
+
+        return _batches(rows())
