@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from voxloom.kernels import basic, phasecorr, transforms
-from voxloom.operators import fuse, illumination, storage
+from voxloom.operators import fuse, illumination, layout, storage
 
 
 def test_cosine_transform_is_orthonormal():
@@ -51,6 +51,8 @@ def test_basic_fit_recovers_a_smooth_field():
     assert np.isclose(got.mean(), 1)
     assert np.abs(got - flat).max() < 0.05
     assert (b > 0).all()
+    got, _, b = basic.fit_basic(planes, basic.BasicParams(approximate=True))
+    assert np.isclose(got.mean(), 1) and np.abs(got - flat).max() < 0.1 and (b > 0).all()
 
 
 def test_gains_by_component():
@@ -60,8 +62,54 @@ def test_gains_by_component():
 
 
 def test_shifts_are_resolved_over_a_cycle():
-    s = fuse.resolve_shifts([(0, 1, 2, 0, 1), (1, 2, 0, 3, 1), (0, 2, 2, 3, 1)], [0, 1, 2, 9])
+    s = fuse.resolve_shifts([(0, 1, (2, 0), 1), (1, 2, (0, 3), 1), (0, 2, (2, 3), 1)], [0, 1, 2, 9], axes=2)
     assert np.allclose(s[2], (2, 3)) and s[9] == (0, 0)
+    assert fuse.resolve_shifts([], [4]) == {4: (0.0, 0.0, 0.0)}
+
+
+@pytest.mark.parametrize("shift", [(0.5, -0.25), (1.75, 2.5)])
+def test_shifts_below_a_voxel(shift):
+    f = lambda y, x: sum(np.sin(2 * np.pi * (k * y + j * x) / 32 + k * j) for k in range(1, 6) for j in range(1, 6))
+    y, x = np.mgrid[:32, :32].astype(float)
+    a, b = f(y, x) + 50, f(y + shift[0], x + shift[1]) + 50
+    got = phasecorr.shift_between(a, b, upsample=8)[:2]
+    assert np.allclose(got, shift, atol=0.13)
+
+
+def test_background_that_is_not_stored_is_left_out():
+    rng = np.random.default_rng(5)
+    thing = rng.integers(1, 999, (9, 9)).astype(float)
+    a, b = np.zeros((64, 64)), np.zeros((64, 64))
+    a[30:39, 30:39] = thing
+    b[27:36, 32:41] = thing
+    assert phasecorr.shift_between(a, b)[:2] == (3, -2)
+
+
+def test_shortest_paths_span_the_tiles():
+    grid = {(r, c): 3 * c + r for r in range(3) for c in range(3)}
+    pairs = [(grid[a], grid[b], 10 - abs(a[0] - b[0]) * 8, 10 - abs(a[1] - b[1]) * 8) for a in grid for b in grid if grid[a] < grid[b] and 0 <= b[0] - a[0] <= 1 and 0 <= b[1] - a[1] <= 1]
+    got = layout.shortest_paths(pairs + [(20, 21, 4, 4)])
+    assert len(got) == 8 + 1 and (20, 21) in got
+    assert not {(grid[0, 0], grid[1, 1]), (grid[1, 1], grid[2, 2])} & set(got)  # small overlaps cost more than a way round
+    assert layout.large_overlaps([(0, 1, 10, 2), (0, 2, 2, 10), (0, 3, 2, 2)]) == [(0, 1), (0, 2)]
+    assert layout.large_overlaps([(0, 1, 5, 5)]) == [(0, 1)] and layout.shortest_paths([]) == []
+
+
+def test_an_affine_of_projections_is_lifted():
+    a = np.array([[0.9, -0.1, 5.0], [0.1, 0.9, -3.0]])
+    b = fuse.lifted(a)
+    assert np.allclose(b @ [7, 2, 3, 1], [7, *(a @ [2, 3, 1]), 1])
+    p = fuse.physical(b, (4.0, 2.0, 2.0))
+    assert np.allclose(p @ [28, 4, 6, 1], [28, *(2 * (a @ [2, 3, 1])), 1])
+
+
+def test_brightness_alone():
+    rng = np.random.default_rng(6)
+    flat = 1 + 0.2 * np.linspace(-1, 1, 16)[:, None] * np.ones(16)
+    b = rng.uniform(100, 300, 9)
+    planes = b[:, None, None] * flat + 7 + rng.normal(0, 1, (9, 16, 16))
+    planes[:, 3:6, 3:6] += 2000
+    assert np.abs(basic.brightness(planes, flat, 7.0) / b - 1).max() < 0.05
 
 
 def test_archive_needs_one_top_level_entry(tmp_path):

@@ -46,6 +46,8 @@ def _split(d: np.ndarray, w: np.ndarray, p: BasicParams, smooth: float) -> tuple
     b = np.median(d, axis=(1, 2))
     b = np.where(b > 0, b, d.mean(axis=(1, 2)))
     flat = np.median(d / np.where(b > 0, b, 1)[:, None, None], axis=0)
+    if not flat.any():  # mostly zeros
+        flat = d.mean(axis=0)
     flat /= flat.mean() or 1.0
     r = shrunk(d - b[:, None, None] * flat, w * p.sparsity / mu)
     for _ in range(p.most_steps):
@@ -70,12 +72,11 @@ def _split(d: np.ndarray, w: np.ndarray, p: BasicParams, smooth: float) -> tuple
 
 
 def _approximate(d: np.ndarray, w: np.ndarray, p: BasicParams, smooth: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Like `_split`, but the brightness of planes is their weighted mean and the flatfield one shrunk weighted mean of planes over it: no inner loop."""
+    """Like `_split`, but planes are brought to one brightness and the flatfield is their shrunk median: no inner loop."""
     dark = np.zeros(d.shape[1:])
-    b = (w * d).sum((1, 2)) / np.maximum(w.sum((1, 2)), 1e-12)
-    live = np.where(b > 0, b, 1)[:, None, None]
-    weight = np.where(b > 0, b, 0)[:, None, None] * w
-    flat = (weight * (d / live)).sum(0) / np.maximum(weight.sum(0), 1e-12)
+    b = np.median(d, axis=(1, 2))
+    live = b > 0
+    flat = np.median(d[live] / b[live, None, None], axis=0) if live.any() else np.ones(d.shape[1:])
     c = dct(flat)
     keep = c[0, 0]
     c = shrunk(c, smooth / max(float((b**2).sum()), 1e-12) * p.sparsity)
@@ -122,4 +123,5 @@ def fit_basic(planes: np.ndarray, params: BasicParams | None = None) -> tuple[np
             break
         last = flat
     flat = resized(flat, shape, 3)
-    return flat / flat.mean(), resized(dark, shape) * scale, b * scale
+    flat = flat / flat.mean() if flat.mean() > 0 else np.ones(shape)
+    return flat, resized(dark, shape) * scale, b * scale
