@@ -52,6 +52,8 @@ from voxloom.llm.components import connected
 TREES, DEPTH, LEAST_DEPTH = 24, 7, 4
 #: 64-bit numbers of a sketch; rows to either side that a row is compared with in the sweep, and at the borders of partitions.
 SKETCH, REACH, BORDER = -(-TREES * DEPTH // 64), 64, 4
+#: Bytes of a signature value and of a sketch, and shingles that one unit of a stored size stands for.
+VALUE, BITS, UNIT = 3, -(-TREES * DEPTH // 8), 16
 #: Shingles to a block of a region, and the least that a row counts there (rows compare by sketches too).
 BLOCK, LEAST_WEIGHT = 200_000, 50
 #: Hash values of texts that are told to a scan at most: the bound of what is broadcast.
@@ -83,19 +85,20 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(s)
 
 
-def signature(s: np.ndarray) -> bytes:
-    """TREES * DEPTH least values, big-endian, so that bytes sort like the numbers."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """TREES * DEPTH least values."""
     low = np.full(len(_A), 0xFFFFFFFF, np.uint32)
     x = (s >> np.uint64(16)).astype(np.uint32)
     for i in range(0, len(x), 512):
         np.minimum(low, (x[i : i + 512, None] * _A + _B).min(axis=0), out=low)
-    return low.astype(">u4").tobytes()
+    return low
 
 
-def sketch(sig: bytes) -> bytes:
-    """One bit of each signature value, in 64-bit numbers."""
-    v = np.frombuffer(sig, ">u4").astype(np.uint32) * np.uint32(0x9E3779B1)
-    return np.packbits(np.concatenate([v >> np.uint32(31), np.zeros(64 * SKETCH - len(v), np.uint32)]).astype(np.uint8)).tobytes()
+def packed(low: np.ndarray, size: int) -> bytes:
+    """Signature values in VALUE bytes each, the sketch (one bit of each value) and the size in units, in 2 bytes."""
+    values = low.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - VALUE :]
+    bits = np.packbits(((low * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8))
+    return values.tobytes() + bits.tobytes() + min(-(-size // UNIT), 0xFFFF).to_bytes(2, "big")
 
 
 def least_bits(percent: int, lost: float = 1e-6) -> int:
@@ -117,7 +120,7 @@ def text_keys(text: Column) -> list[Column]:
 def digests(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, h1, h2, n_shingles, digest, sig): hashes of the text, digest of the shingle set, null for an empty one.
 
-    sig is signature, sketch and size in 32 bits; a set that a task has met
+    sig is what `packed` makes of the signature; a set that a task has met
     before (as far as it remembers) gets none.
     """
     import xxhash
@@ -137,30 +140,33 @@ def digests(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id"
                 if len(met) >= REMEMBERED:
                     met.clear()
                 met.add(d)
-                values = signature(s)
-                sig.append(values + sketch(values) + min(len(s), 0xFFFFFFFF).to_bytes(4, "big"))
+                sig.append(packed(signature(s), len(s)))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "h1", "h2", "n_shingles", "digest", "sig"])
 
     d = docs.select(F.col(key).alias("doc_id"), *text_keys(F.col(text)), F.col(text).alias("text"))
     return d.mapInArrow(run, StructType([d.schema["doc_id"], *StructType.fromDDL("h1 long, h2 long, n_shingles long, digest binary, sig binary").fields]))
 
 
-# A row of an order, as bytes that sort like (tree, values, digest): tree 1, values 4 * DEPTH, digest 16, sketch 8 * SKETCH, size 4.
-_KEY = slice(1, 1 + 4 * DEPTH)
+# A row of an order, as bytes that sort like (tree, values, digest): tree 1, values VALUE * DEPTH, digest 16, sketch BITS, size 2.
+_KEY = slice(1, 1 + VALUE * DEPTH)
 _NODE = slice(_KEY.stop, _KEY.stop + 16)
-_BITS = slice(_NODE.stop, _NODE.stop + 8 * SKETCH)
-_WIDTH = _BITS.stop + 4
-_REGION = 1 + 4 * LEAST_DEPTH
+_BITS = slice(_NODE.stop, _NODE.stop + BITS)
+_WIDTH = _BITS.stop + 2
+_REGION = 1 + VALUE * LEAST_DEPTH
 FOUND = "kind int, r binary, o binary, agree int, part int, nth int"
 _ROW, _HEAD, _TAIL = range(3)
 
 
 def orders(rows: DataFrame) -> DataFrame:
-    """(r): every class in each of the forest's orders."""
-    width = 4 * DEPTH
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.first("sig", ignorenulls=True).alias("sig"))
-    each = F.array(*[F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("sig", t * width + 1, width), "digest", F.substring("sig", TREES * width + 1, 8 * SKETCH + 4)) for t in range(TREES)])
-    return classes.select(F.explode(each).alias("r"))
+    """(r): every set in each of the forest's orders; a set that several tasks have met is there more than once."""
+    width = VALUE * DEPTH
+    each = F.array(*[F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("sig", t * width + 1, width), "digest", F.substring("sig", TREES * width + 1, BITS + 2)) for t in range(TREES)])
+    return rows.where("sig is not null").select(F.explode(each).alias("r"))
+
+
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Sketches (n, BITS bytes) as 64-bit numbers."""
+    return np.pad(bits, [(0, 0), (0, 8 * SKETCH - BITS)]).view(np.uint64)
 
 
 def _binary(x: np.ndarray) -> pa.Array:
@@ -180,6 +186,11 @@ def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return TREES * DEPTH - np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int32)
 
 
+def _once(r: np.ndarray) -> np.ndarray:
+    """Sorted rows without repeated ones."""
+    return r[np.concatenate([[True], (r[1:] != r[:-1]).any(axis=1)])]
+
+
 def _regions(r: np.ndarray) -> np.ndarray:
     """Number of each sorted row's region."""
     return np.concatenate([[0], np.cumsum((r[1:, :_REGION] != r[:-1, :_REGION]).any(axis=1))])
@@ -188,7 +199,7 @@ def _regions(r: np.ndarray) -> np.ndarray:
 def _likeliest(r: np.ndarray, region: np.ndarray, least: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
     """For each sorted row the row up to reach apart in its region whose sketch agrees best (-1: in `least` bits with none), and in how many bits."""
     n = len(r)
-    bits = np.ascontiguousarray(r[:, _BITS]).view(np.uint64)
+    bits = _words(r[:, _BITS])
     best, agree = np.full(n, -1), np.full(n, least - 1, np.int32)
     j = np.arange(n)
     for d in range(1, min(reach, n - 1) + 1):
@@ -227,6 +238,7 @@ def sweep(rows: DataFrame, percent: int) -> DataFrame:
         if not some:
             return
         r, part = np.concatenate(some), TaskContext.get().partitionId()
+        r = _once(r)
         n, region = len(r), _regions(r)
         best, agree = _likeliest(r, region, least, REACH)
         size = np.bincount(region)[region]
@@ -246,7 +258,7 @@ def sweep(rows: DataFrame, percent: int) -> DataFrame:
     parts, more = sorted(edge), []
     for k, p in enumerate(parts[:-1]):
         left, right = sorted(edge[p][_TAIL]), sorted(edge[parts[k + 1]][_HEAD])
-        r = np.frombuffer(b"".join(x for _, x in left + right), np.uint8).reshape(-1, _WIDTH)
+        r = _once(np.frombuffer(b"".join(x for _, x in left + right), np.uint8).reshape(-1, _WIDTH))
         best, agree = _likeliest(r, _regions(r), least, 2 * BORDER)
         more += [(bytearray(r[i, _NODE].tobytes()), bytearray(r[b, _NODE].tobytes()), int(agree[i])) for i, b in enumerate(best.tolist()) if b >= 0]
     if more:
@@ -268,17 +280,27 @@ def pairs_of(named: DataFrame) -> DataFrame:
     return materialise(u.select(F.col("b").alias("a"), F.when(F.col("b") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")))  # the one that was named is the base
 
 
-def in_buckets(keys: DataFrame) -> DataFrame:
-    """Of keys (h1): the BUCKETS hash values at most that a scan is told, so broadcasting them is bounded."""
-    return F.broadcast(keys.select(F.pmod("h1", F.lit(BUCKETS)).alias("n_bucket")).distinct())
+def in_buckets(key: Column) -> Column:
+    return F.pmod(key, F.lit(BUCKETS))
+
+
+def told(keys: DataFrame, key: Column) -> DataFrame:
+    """(n_bucket): the BUCKETS hash values of keys at most that a scan is told, so broadcasting them is bounded."""
+    return F.broadcast(keys.select(in_buckets(key).alias("n_bucket")).distinct())
 
 
-def candidate_texts(found: DataFrame, rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+def texts_of(members: DataFrame, pool: DataFrame) -> DataFrame:
+    """members (m, ...) with their texts as d_text; of the pool only what may be asked for is shuffled."""
+    some = pool.join(told(members, F.xxhash64("m")), in_buckets(F.xxhash64("digest")) == F.col("n_bucket"), "left_semi")
+    return members.join(some.select(F.col("digest").alias("m"), F.col("text").alias("d_text")), "m")
+
+
+def candidate_texts(found: DataFrame, classes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(digest, text) of the classes that are alike some other, stored: later steps never go through all texts again."""
     like = found.where((F.col("kind") == _ROW) & F.col("r").isNotNull()).select(F.col("a").alias("digest")).distinct()
-    need = materialise(rows.where("digest is not null").join(like, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("h1", "h2")).alias("h")).select("digest", "h.h1", "h.h2"))
+    need = materialise(classes.join(like, "digest", "left_semi").select("digest", "h.h1", "h.h2"))
     d = docs.select(F.col(text).alias("text")).where("text is not null").select(*text_keys(F.col("text")), "text")
-    near = d.join(in_buckets(need), F.pmod("h1", F.lit(BUCKETS)) == F.col("n_bucket"), "left_semi")
+    near = d.join(told(need, F.col("h1")), in_buckets(F.col("h1")) == F.col("n_bucket"), "left_semi")
     one = near.groupBy("h1", "h2").agg(F.first("text").alias("text"))  # copies go before the shuffle
     out = materialise(one.join(need, ["h1", "h2"]).select("digest", "text"))
     release(need)
@@ -294,7 +316,7 @@ def confirmed(pairs: DataFrame, pool: DataFrame, words: int, percent: int) -> Da
     hot = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL).alias("salts")).where("salts > 1")
     p = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).alias("salt"))
     members = p.select("a", "salt", F.col("a").alias("m"), F.lit(0).alias("nth")).distinct().union(p.select("a", "salt", F.col("b").alias("m"), F.lit(1).alias("nth")))
-    texts = members.join(pool, F.col("m") == F.col("digest")).select("a", "salt", "nth", "m", F.col("text").alias("d_text"))
+    texts = texts_of(members, pool).select("a", "salt", "nth", "m", "d_text")
     dealt = texts.repartition("a", "salt").sortWithinPartitions("a", "salt", "nth", "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,8 +382,8 @@ def links_between(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray |
 def mixed_regions(crowd: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
     """(region, digest, label, bits, blocks, side), stored: crowd's rows (r, a) in regions that hold more than one component. A region is dealt into blocks of about `block` shingles."""
     rows = crowd.join(labels, F.col("a") == F.col("node"), "left")
-    size = F.greatest(F.conv(F.hex(F.substring("r", _BITS.stop + 1, 4)), 16, 10).cast("long"), F.lit(LEAST_WEIGHT))
-    rows = materialise(rows.select(F.substring("r", 1, _REGION).alias("region"), F.col("a").alias("digest"), F.coalesce("label", "a").alias("label"), F.substring("r", _BITS.start + 1, 8 * SKETCH).alias("bits"), size.alias("n")))
+    size = F.greatest(F.conv(F.hex(F.substring("r", _BITS.stop + 1, 2)), 16, 10).cast("long") * UNIT, F.lit(LEAST_WEIGHT))
+    rows = materialise(rows.select(F.substring("r", 1, _REGION).alias("region"), F.col("a").alias("digest"), F.coalesce("label", "a").alias("label"), F.substring("r", _BITS.start + 1, BITS).alias("bits"), size.alias("n")))
     mark = F.xxhash64("label")
     mixed = rows.groupBy("region").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.ceil(F.sum("n") / block).alias("blocks")).where("lo <> hi").select("region", "blocks")
     out = materialise(rows.join(mixed, "region").select("region", "digest", "label", "bits", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).alias("side")))
@@ -383,7 +405,7 @@ class _Cell:
         self.digest = [r[0] for r in rows]
         self.label, self.number = [r[1] for r in rows], np.unique([r[1] for r in rows], return_inverse=True)[1]
         self.side = np.array([r[2] for r in rows])
-        bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(-1, SKETCH)
+        bits = _words(np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, BITS))
         two, n = self.side.min() != self.side.max(), len(rows)
         self.agree = np.zeros((n, n), np.uint8)
         for i in range(0, n, 256):
@@ -439,26 +461,32 @@ def best_between(mixed: DataFrame, percent: int) -> DataFrame:
     return pairs_of(cells(mixed).mapInArrow(run, "who binary, agree int, a binary, b binary"))
 
 
-def clusters_of(mixed: DataFrame, percent: int) -> DataFrame:
-    """(cluster, digest, label, side), stored: rows of whole regions that may be linked with another component; clusters that several regions hold are there once."""
+def clusters_of(mixed: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """(cluster, digest, label, side), stored: rows of whole regions that may be linked with another component.
+
+    Clusters that several regions hold are there once; a cluster of two rows
+    that were compared already, a pair (a, b) of tried, is left out.
+    """
     least = least_bits(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+        from hashlib import md5
 
         for cell in _by_cell(batches, least):
             two = cell.side.min() != cell.side.max()
             for at in cell.clusters():
-                digest, side = [cell.digest[i] for i in at], [int(cell.side[i]) if two else 0 for i in at]
-                name = xxhash.xxh3_128_digest(b"".join(digest) + np.array(side, "<i8").tobytes())
+                digest, side = [cell.digest[i] for i in at], [int(cell.side[i]) if two and len(at) > 2 else 0 for i in at]
+                name = md5(b"".join(digest) + np.array(side, "<i8").tobytes()).digest()
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.binary()), pa.array(digest, pa.binary()), pa.array([cell.label[i] for i in at], pa.binary()), pa.array(side, pa.int64())], names=["cluster", "digest", "label", "side"])
 
-    return materialise(cells(mixed).mapInArrow(run, "cluster binary, digest binary, label binary, side long").dropDuplicates(["cluster", "digest"]))
+    found = cells(mixed).mapInArrow(run, "cluster binary, digest binary, label binary, side long").dropDuplicates(["cluster", "digest"])
+    done = tried.select(F.unhex(F.md5(F.concat(F.least("a", "b"), F.greatest("a", "b"), F.unhex(F.lit("00" * 16))))).alias("cluster")).distinct()
+    return materialise(found.join(done, "cluster", "left_anti"))
 
 
 def crossing(clusters: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between components over all pairs of the clusters' rows, on whole sets; a cluster is two blocks of a region at most."""
-    spread = clusters.join(pool, "digest").select("cluster", "digest", "label", "side", F.col("text").alias("d_text")).repartition("cluster").sortWithinPartitions("cluster", "digest")
+    spread = texts_of(clusters.withColumnRenamed("digest", "m"), pool).select("cluster", "m", "label", "side", "d_text").repartition("cluster").sortWithinPartitions("cluster", "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -488,8 +516,9 @@ def crossing(clusters: DataFrame, pool: DataFrame, words: int, percent: int) ->
 def grouped(docs: DataFrame, words: int, percent: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, h1, h2, n_shingles, digest, label, component), a row per row of docs: label names the group, null where it is the row's class alone; component is its smallest doc_id."""
     rows = materialise(digests(docs, words, text, key))
+    classes = materialise(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min(F.struct("h1", "h2")).alias("h"), F.count("*").alias("n_rows")))
     found = sweep(orders(rows), percent)
-    pool = candidate_texts(found, rows, docs, text)
+    pool = candidate_texts(found, classes, docs, text)
     named = found.where((F.col("kind") == _ROW) & F.col("o").isNotNull()).select(F.col("a").alias("who"), "agree", "a", F.col("o").alias("b"))
     first = pairs_of(named)
     links = confirmed(first, pool, words, percent)
@@ -503,11 +532,10 @@ def grouped(docs: DataFrame, words: int, percent: int, text: str = "text", key:
         labels = connected(links)
         release(mixed)
         mixed = mixed_regions(crowd, labels)
-    clusters = clusters_of(mixed, percent)
+    clusters = clusters_of(mixed, first.union(second), percent)
     more = crossing(clusters, pool, words, percent)
     if not more.isEmpty():
         labels = connected(materialise(links.union(more)))
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"))
     member = materialise(classes.join(labels, F.col("digest") == F.col("node"), "left").where("n_rows > 1 or label is not null").select("digest", "rep", "label"))
     smallest = member.where("label is not null").groupBy("label").agg(F.min("rep").alias("component"))
     smallest = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -516,7 +544,7 @@ def grouped(docs: DataFrame, words: int, percent: int, text: str = "text", key:
     out = rows.drop("sig").join(known, "digest", "left")
     component = F.when(F.col("there"), F.col("k_component")).otherwise(F.col("doc_id"))
     out = materialise(out.select("doc_id", "h1", "h2", "n_shingles", "digest", F.coalesce("k_label", "digest").alias("label"), component.alias("component")))
-    release(rows, found, pool, first, second, links, mixed, clusters, more, member, known)
+    release(rows, classes, found, pool, first, second, links, mixed, clusters, more, member, known)
     return out
 
 
@@ -542,10 +570,9 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = PERCENT, text: s
     judged = materialise(judged.select(F.col("doc_id").alias("v_id"), F.col("h1").alias("v_h1"), F.col("h2").alias("v_h2"), stays.alias("stays"), "n_rows").where("NOT stays OR n_rows > 1"))
     release(g, ident)
     d = docs.select(F.struct("*").alias("row"), F.col(key).alias("v_key"), *text_keys(F.col(text)))
-    told = in_buckets(judged.select(F.col("v_h1").alias("h1")))
-    at = F.pmod(F.coalesce("h1", F.lit(0)), F.lit(BUCKETS)) == F.col("n_bucket")
-    free = d.join(told, at, "left_anti").select("row.*")
-    hit = d.join(told, at, "left_semi").join(judged, (F.col("h1") == F.col("v_h1")) & (F.col("h2") == F.col("v_h2")) & F.col("v_key").eqNullSafe(F.col("v_id")), "left")
+    some, at = told(judged, F.col("v_h1")), in_buckets(F.col("h1")) == F.col("n_bucket")
+    free = d.join(some, at, "left_anti").select("row.*")
+    hit = d.join(some, at, "left_semi").join(judged, (F.col("h1") == F.col("v_h1")) & (F.col("h2") == F.col("v_h2")) & F.col("v_key").eqNullSafe(F.col("v_id")), "left")
     once = hit.where("stays IS NULL").select("row.*")
     again = hit.where("stays").groupBy("v_id", "h1", "h2").agg(F.first("row").alias("row")).select("row.*")
     return free.unionByName(once).unionByName(again)
