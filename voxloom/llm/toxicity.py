@@ -101,13 +101,17 @@ def fit_chain(docs: list[np.ndarray], labels: np.ndarray, words: dict[str, int],
             held[here] = [1 / (1 + np.exp(-(w[docs[i]].sum() + earlier[i] @ w[len(words) : -1] + w[-1]))) for i in here]
         weights.append(_logistic(docs, earlier, labels[:, k], len(words)))
         earlier = np.column_stack([earlier, held])
-    # threshold: best F1 of the last category's out-of-fold probabilities
-    order = np.argsort(-held, kind="stable")
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + max(y.sum(), 1))
+    return Chain(words, names, weights, threshold(held, y))
+
+
+def threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """Between two different probabilities, where F1 is best of all that are right at least as often as wrong; above all where there is none."""
+    order = np.argsort(-p, kind="stable")
+    hit, at = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    next_ = np.append(p[order][1:], 0.0)
+    f1 = np.where((p[order] > next_) & (2 * hit >= at), 2 * hit / (at + max(y.sum(), 1)), 0.0)
     best = int(f1.argmax()) if len(y) else 0
-    low = held[order[best + 1]] if best + 1 < len(y) else 0.0
-    return Chain(words, names, weights, float((held[order[best]] + low) / 2) if len(y) and y.sum() else 1.1)
+    return float((p[order[best]] + next_[best]) / 2) if len(y) and f1[best] > 0 else 1.1
 
 
 def fit(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, text: str = "text", key: str = "doc_id", train_rows: int = TRAIN_ROWS) -> Chain | None:
