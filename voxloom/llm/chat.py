@@ -42,7 +42,9 @@ def turns(conversations: DataFrame) -> DataFrame:
     t = t.withColumn("digest", F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text").cast("binary")))  # the length tells where the role ends
     # a null conv_id can't be joined on: it goes by a flag and a stand-in
     t = t.withColumn("c_null", F.col("conv_id").isNull()).withColumn("conv_id", F.coalesce("conv_id", F.lit(0)))
-    t = t.withColumn("c_bucket", F.floor(F.col("turn") / BUCKET)).withColumn("c_one", F.lit(1).cast("long"))
+    # turns without a number all have one turn: they are bucketed by digest, in which order they are
+    within = F.when(F.col("turn") == -1, 65536 + F.conv(F.substring("digest", 1, 4), 16, 10).cast("long")).otherwise(0)
+    t = t.withColumn("c_bucket", F.floor(F.col("turn") / BUCKET) * 131072 + within).withColumn("c_one", F.lit(1).cast("long"))
     t = running_total(t, ["c_null", "conv_id"], "c_bucket", ["turn", "digest"], "c_one", "position")
     return t.select("c_null", "conv_id", "position", "role", "text", "digest")
 

@@ -36,21 +36,39 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/voxloom-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables stored by this driver, in order.
+_STORED: list[str] = []
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df once as Parquet to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(StructType(df.schema.fields)).parquet(path)
 
 
+def stored_alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """What make() gives, stored; the tables that were stored on the way to it are deleted."""
+    start = len(_STORED)
+    out = materialise(make())
+    for path in _STORED[start:-1]:
+        _delete(out.sparkSession, path)
+    del _STORED[start:-1]
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(*stored: DataFrame) -> None:
     """Delete the tables behind DataFrames that only read what `materialise` wrote; nothing may read them afterwards."""
     for df in stored:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if re.search(r"/voxloom-[0-9a-f]{32}$", folder):
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
+                _delete(df.sparkSession, folder)
 
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -97,19 +115,22 @@ def running_total(df: DataFrame, part: Sequence[str], bucket: str, order: Sequen
 def ranged_total(df: DataFrame, part: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """df with `out`: the sum of `value` over the rows of the same `part` up to and including this one, in `order` (which begins with `part`, or part is empty).
 
-    Rows are range-partitioned by the whole order, so ranges hold about as many
-    rows each whatever the keys; a range's rows are summed by a window of its
-    own and the sums of the ranges before it are added. Which range a row is in
-    is stored before it is used, so a lost executor changes nothing. `order`
-    has to be total but for equal rows.
+    Rows are range-partitioned by the whole order, and equal ones by their place
+    in df (which has to be stored, so that it is the same each time), so ranges
+    hold about as many rows each whatever the keys; a range's rows are summed by
+    a window of its own and the sums of the ranges before it are added. Which
+    range a row is in is stored before it is used, so a lost executor changes
+    nothing. `order` has to be total but for equal rows.
     """
-    dealt = materialise(df.repartitionByRange(*order).withColumn("rt_range", F.spark_partition_id()))
+    order = [*order, "rt_tie"]
+    numbered = df.withColumn("rt_tie", F.monotonically_increasing_id())
+    dealt = materialise(numbered.repartitionByRange(*order).withColumn("rt_range", F.spark_partition_id()))
     sums = dealt.groupBy(*part, "rt_range").agg(F.sum(value).alias("rt_sum"))
     w = Window.partitionBy(*part) if part else Window.partitionBy()  # a row per range, and per part in it
     sums = sums.withColumn("rt_off", F.coalesce(F.sum("rt_sum").over(w.orderBy("rt_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.sum(value).over(Window.partitionBy(*part, "rt_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     rows = dealt.withColumn("rt_in", inside)
-    return rows.join(sums.select(*part, "rt_range", "rt_off"), [*part, "rt_range"]).withColumn(out, F.col("rt_in") + F.col("rt_off")).drop("rt_in", "rt_off", "rt_range")
+    return rows.join(sums.select(*part, "rt_range", "rt_off"), [*part, "rt_range"]).withColumn(out, F.col("rt_in") + F.col("rt_off")).drop("rt_in", "rt_off", "rt_range", "rt_tie")
 
 
 _KEPT: dict[str, object] = {}

@@ -7,7 +7,7 @@ to a sequence, longest first with the longest partner that fits; shorter ones
 then go, longest first, into the smallest gap that takes them, and into new
 sequences where none does. The plan says, for each length, which ranks go to
 which sequences and at what offset; every piece finds its place by its rank
-among pieces of its length, counted bucket by bucket.
+among pieces of its length, counted range by range of rows.
 
 Edge cases: a null or empty text is one piece, its end id; longer documents
 are cut into pieces of the capacity; repeated rows are packed as often as they
@@ -25,11 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from voxloom.llm.common import materialise, running_total
+from voxloom.llm.common import materialise, ranged_total
 from voxloom.llm.tokens import encode_column
 
 CAPACITY = 4096
-BUCKET_ROWS = 2_000
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
@@ -128,12 +127,9 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """cut (doc_id, piece, start, length and more, stored) with sequence_id and offset."""
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     table = plan(counts, capacity)
-    slots = max(1, sum(counts.values()) // BUCKET_ROWS)
-    mixed = F.shiftrightunsigned(F.xxhash64("doc_id", "piece"), 1)
-    # a length with a share of all rows gets that share of the slots
-    c = cut.withColumn("p_slot", F.floor(mixed / (2.0**63) * slots).cast("long")).withColumn("p_one", F.lit(1).cast("long"))
-    others = [x for x in cut.columns if x not in ("length",)]
-    c = running_total(c, ["length"], "p_slot", ["doc_id", "piece", *[x for x in others if x not in ("doc_id", "piece")]], "p_one", "p_rank")
+    others = [x for x in cut.columns if x not in ("length", "doc_id", "piece", "ids")]
+    c = cut.withColumn("p_mixed", F.xxhash64("doc_id", "piece")).withColumn("p_one", F.lit(1).cast("long"))
+    c = ranged_total(c, ["length"], ["length", "p_mixed", "doc_id", "piece", *others], "p_one", "p_rank")
     names = list(cut.columns)
     key, rest = table[:, 0] * (1 << 48) + table[:, 1], table[:, 1:]
 
@@ -144,7 +140,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             cols = [*(b.column(x) for x in names), pa.array(seq + (r - first) // per, pa.int64()), pa.array(off + (r - first) % per * n, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "sequence_id", "offset"])
 
-    return c.drop("p_slot", "p_one").mapInArrow(run, StructType([*cut.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
+    return c.drop("p_mixed", "p_one").mapInArrow(run, StructType([*cut.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, ids: bool = True) -> DataFrame:
