@@ -5,11 +5,14 @@ Measured numbers of every document go into mergeable quantile sketches, one per
 so within 1/16 of the true value), summed natively. Sums of sketches are
 sketches, so groups too small for a quantile of their own use the sketch of
 their language, or of everything. The thresholds, outer fences around the
-middle half of a group, are joined to the documents and filter them.
+middle half of a group, are joined to the documents and filter them. A fence is
+as wide as the group's own middle half asks; beyond that a document is only
+allowed what its size makes uncertain, the same for all groups.
 
 Edge cases: a null or empty text has no words and fails the base rules; null
 lang or source are groups of their own; repeated rows get the same verdict
-each; an empty table gives an empty result; other columns are untouched.
+each; an empty table gives an empty result; other columns are untouched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +30,17 @@ from voxloom.llm.profile import measure
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echoes"]
 
-#: measure -> (value per thousand or per hundred as a long, least distance of a fence from the middle half, which fences count).
+#: measure -> (value per thousand or per hundred as a long, its resolution in a document of that size, which fences count).
+#: The resolution of a share is half a standard error of one event in as many places (a repeat is an event of 8 words), that of
+#: the mean word length is its standard error as a count of letters. So a short text may stray farther than a long one.
 MEASURES = {
-    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 60, "high"),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 500, "high"),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 300, "high"),
-    "echoes": ("1000 * n_echoes div greatest(n_words, 1)", 200, "high"),
-    "word_length": ("100 * word_chars div greatest(n_words, 1)", 200, "both"),
+    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", "500.0e0 / sqrt(greatest(word_chars, 1))", "high"),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", "500.0e0 / sqrt(greatest(n_lines, 1))", "high"),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", "500.0e0 / sqrt(greatest(n_words, 8) / 8.0e0)", "high"),
+    "echoes": ("1000 * n_echoes div greatest(n_words, 1)", "500.0e0 / sqrt(greatest(n_words, 1))", "high"),
+    "word_length": ("100 * word_chars div greatest(n_words, 1)", "100.0e0 * sqrt(word_chars) / greatest(n_words, 1)", "both"),
 }
-#: Fences lie this many times the width of the middle half away from it.
+#: Fences lie this many times (width of the middle half + the document's resolution) away from the middle half.
 REACH = 3.0
 #: A group with fewer documents uses the thresholds of its language, then of all documents.
 LEAST_DOCS = 200
@@ -44,7 +49,8 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 
 
 def with_counts(docs: DataFrame, text: str = "text", prefix: str = "q_") -> DataFrame:
-    """docs with the counts of `profile.measure` as long columns named prefix + name; all columns of docs stay."""
+    """docs with the counts of `profile.measure` as long columns named prefix + name; all other columns of docs stay."""
+    docs = docs.drop(*(prefix + c for c in COUNTS))
     schema = pa.schema([(prefix + c, pa.int64()) for c in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,14 +92,14 @@ def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row per (lang, source): low_<measure> and high_<measure> fences, from the smallest group that has LEAST_DOCS documents."""
+    """One row per (lang, source): low_<measure> and high_<measure> fences, without a document's resolution, from the smallest group that has LEAST_DOCS documents."""
     own = quantiles(sketch, [lang, source, "measure"])
     by_lang = quantiles(sketch, [lang, "measure"]).select(F.col(lang).alias("l_lang"), F.col("measure").alias("l_measure"), *[F.col(c).alias(f"l_{c}") for c in ("docs", "q25", "q75")])
     of_all = quantiles(sketch, ["measure"]).select(F.col("measure").alias("a_measure"), *[F.col(c).alias(f"a_{c}") for c in ("q25", "q75")])
     t = own.join(by_lang, own[lang].eqNullSafe(by_lang["l_lang"]) & (own["measure"] == by_lang["l_measure"])).join(F.broadcast(of_all), F.col("measure") == F.col("a_measure"))
     pick = lambda c: F.when(F.col("docs") >= LEAST_DOCS, F.col(c)).when(F.col("l_docs") >= LEAST_DOCS, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
     t = t.select(lang, source, "measure", pick("q25").alias("q25"), pick("q75").alias("q75"))
-    reach = F.greatest((F.col("q75") - F.col("q25")) * REACH, F.create_map(*[F.lit(x) for m, (_, d, _) in MEASURES.items() for x in (m, float(d))])[F.col("measure")])
+    reach = (F.col("q75") - F.col("q25")) * REACH
     t = t.select(lang, source, "measure", (F.col("q25") - reach).alias("low"), (F.col("q75") + reach).alias("high"))
     cols = [F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"{side}_{m}") for m in MEASURES for side in ("low", "high")]
     return t.groupBy(lang, source).agg(*cols)
@@ -109,11 +115,11 @@ def judged(counted: DataFrame, fences: DataFrame, n_fences: int, lang: str = "la
     f = fences.select(lang, source, *[F.col(c).alias(n) for c, n in names.items()])
     j = keyed_join(counted, f, [lang, source], n_fences)
     ok = F.lit(True)
-    for m, (e, _, sides) in MEASURES.items():
-        v = F.expr(_named(e, prefix))
-        ok = ok & F.coalesce(v <= F.col(f"{prefix}high_{m}"), F.lit(True))
+    for m, (e, fine, sides) in MEASURES.items():
+        v, slack = F.expr(_named(e, prefix)), F.lit(REACH) * F.expr(_named(fine, prefix))
+        ok = ok & F.coalesce(v <= F.col(f"{prefix}high_{m}") + slack, F.lit(True))
         if sides == "both":
-            ok = ok & F.coalesce(v >= F.col(f"{prefix}low_{m}"), F.lit(True))
+            ok = ok & F.coalesce(v >= F.col(f"{prefix}low_{m}") - slack, F.lit(True))
     j = j.withColumn(f"{prefix}base_failed", base_failed(prefix))
     return j.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & ok).drop(*names.values())
 
@@ -124,10 +130,11 @@ def fit(counted: DataFrame, lang: str = "lang", source: str = "source", prefix:
     return t, t.count()
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with the columns of docs (text, lang, source are read)."""
-    counted = with_counts(docs)
-    return judged(counted, *fit(with_counts(docs.select("text", "lang", "source")).drop("text"))).where("q_kept").select(*docs.columns)
+def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The documents that the rules keep, with the columns of docs."""
+    d = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    fences = fit(with_counts(d.select("text", "lang", "source")).drop("text"))
+    return judged(with_counts(d), *fences).where("q_kept").select("row.*")
 
 
 def _named(expr: str, prefix: str) -> str:

@@ -91,11 +91,11 @@ _SPLIT = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x
 
 
 def _measure_sql() -> str:
-    each = {m: (e.replace(" div ", " // "), least, sides) for m, (e, least, sides) in quality_rules.MEASURES.items()}
+    each = {m: (e.replace(" div ", " // "), f"{quality_rules.REACH} * ({fine})", sides) for m, (e, fine, sides) in quality_rules.MEASURES.items()}
     values = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, CAST({e} AS BIGINT) AS v FROM c WHERE NOT base_failed" for m, (e, _, _) in each.items())
-    reach = " ".join(f"WHEN '{m}' THEN {float(least)}" for m, (_, least, _) in each.items())
-    bounds = " AND ".join(f"coalesce({e} <= (SELECT any_value(high) FROM f WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM c.lang AND f.source IS NOT DISTINCT FROM c.source), true)" for m, (e, _, _) in each.items())
-    bounds += "".join(f" AND coalesce({e} >= (SELECT any_value(low) FROM f WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM c.lang AND f.source IS NOT DISTINCT FROM c.source), true)" for m, (e, _, sides) in each.items() if sides == "both")
+    fence = lambda side, m: f"(SELECT any_value({side}) FROM f WHERE f.measure = '{m}' AND f.lang IS NOT DISTINCT FROM c.lang AND f.source IS NOT DISTINCT FROM c.source)"
+    bounds = " AND ".join(f"coalesce({e} <= {fence('high', m)} + {fine}, true)" for m, (e, fine, _) in each.items())
+    bounds += "".join(f" AND coalesce({e} >= {fence('low', m)} - {fine}, true)" for m, (e, fine, sides) in each.items() if sides == "both")
     rank = lambda p: f"min(value) FILTER (upto * 100 >= docs * {p}) AS q{p}"
 
     def level(name: str, keys: str) -> str:
@@ -106,7 +106,7 @@ def _measure_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, {_SPLIT.format("text")} AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
-g AS (SELECT row, i, array_to_string(words[i : i + 7], ' ') AS gram FROM w, range(1, 100000) r(i) WHERE i <= len(words) - 7),
+g AS (SELECT row, i, array_to_string(words[i : i + 7], ' ') AS gram FROM (SELECT *, unnest(range(1, len(words) - 6)) AS i FROM w)),
 again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, gram) AS n FROM g) WHERE n > 1),
 rep AS (SELECT row, count(DISTINCT i + k) AS n FROM again, range(8) r(k) GROUP BY row),
 c0 AS (SELECT row, doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
@@ -118,14 +118,14 @@ sketch AS (SELECT lang, source, measure, 16 * e + (v >> CAST(e AS INT)) AS bin,
 q AS (SELECT o.lang, o.source, o.measure,
       CASE WHEN o.docs >= {quality_rules.LEAST_DOCS} THEN o.q25 WHEN l.docs >= {quality_rules.LEAST_DOCS} THEN l.q25 ELSE a.q25 END AS q25, CASE WHEN o.docs >= {quality_rules.LEAST_DOCS} THEN o.q75 WHEN l.docs >= {quality_rules.LEAST_DOCS} THEN l.q75 ELSE a.q75 END AS q75
       FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure JOIN of_all a ON a.measure = o.measure),
-f AS (SELECT *, q25 - greatest({quality_rules.REACH} * (q75 - q25), CASE measure {reach} END) AS low, q75 + greatest({quality_rules.REACH} * (q75 - q25), CASE measure {reach} END) AS high FROM q)
+f AS (SELECT *, q25 - {quality_rules.REACH} * (q75 - q25) AS low, q75 + {quality_rules.REACH} * (q75 - q25) AS high FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {bounds} AS kept FROM c
 """
 
 
 NEAR_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_SPLIT.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
-s AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ') ELSE array_to_string(words[i : i + 3], ' ') END AS gram FROM w, range(1, 100000) r(i) WHERE len(words) > 0 AND (i = 1 OR i <= len(words) - 3)),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ') ELSE array_to_string(words[i : i + 3], ' ') END AS gram FROM (SELECT *, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS k FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
 links AS (SELECT i, j FROM both_ JOIN n a ON a.doc_id = i JOIN n b ON b.doc_id = j WHERE 100 * k >= 80 * (a.n + b.n - k)),
