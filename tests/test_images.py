@@ -309,6 +309,9 @@ def test_a_virtual_mosaic_and_its_missing_level(spark, tmp_path):
     quarter = half.reshape(1, 1, 2, 4, 2, 6, 2).sum(axis=(2, 4, 6)) // 8  # z is finer than y by now
     assert (array(storage.to_voxels(m.chunks(2)).select("c", "z", "y", "x", "v"), quarter.shape) == quarter).all()
     assert api.Image.open(spark, stores[5]).attrs["translation"] == [0.0, 8.0, 16.0]
+    n = m.ngff()["multiscales"][0]
+    assert [d["coordinateTransformations"][0]["scale"] for d in n["datasets"]] == [[1.0, 1.0, 1.0, 1.0], [1.0, 1.0, 2.0, 2.0]] and n["name"] == "m"
+    assert api.Image.open(spark, stores[5]).ngff()["multiscales"][0]["datasets"][0]["coordinateTransformations"][1]["translation"] == [0.0, 0.0, 8.0, 16.0]
     flat = api.correct_flatfield(spark, m.path, str(tmp_path / "mf"), profiles={0: api.Profiles(np.ones((8, 8)) - 1e-6)})
     assert (array(api.Image.open(spark, flat).voxels(), whole.shape) == whole).all()
 
@@ -454,3 +457,34 @@ def test_tile_stores_have_to_match(spark, tmp_path):
     (tmp_path / "a_Tile2_Ch640_x.ome.zarr_meta.txt").write_text(META.format(f="a", l=561))
     with pytest.raises(ValueError, match="disagree"):
         metafiles.per_tile_stores(spark, str(tmp_path))
+
+
+def test_arrivals_are_counted_by_minute(spark, tmp_path):
+    src, out = str(tmp_path / "s"), str(tmp_path / "o")
+    rows = [("2024-01-01 00:00:10", 0, b"ab"), ("2024-01-01 00:00:50", 0, b"c"), ("2024-01-01 00:01:10", 1, b"defg")]
+    spark.createDataFrame(rows, "t string, c int, data binary").select(F.to_timestamp("t").alias("seen"), "c", "data").write.parquet(src)
+    q = ingest.arrivals(spark.readStream.schema("seen timestamp, c int, data binary").parquet(src)).writeStream.outputMode("complete").format("memory").queryName("arrived").option("checkpointLocation", out).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r["window"]["start"].minute, r["c"], r["chunks"], r["bytes"]) for r in spark.table("arrived").collect())
+    assert got == [(0, 0, 2, 3), (1, 1, 1, 4)]
+
+
+def test_a_folder_of_tile_images_is_a_mosaic(spark, tmp_path):
+    (tmp_path / "st").mkdir(), (tmp_path / "meta").mkdir()
+    whole = np.random.default_rng(14).integers(1, 999, (2, 1, 8, 8))
+    block = META.replace("[x_pos] 4", "[x_pos] {x}").replace("[y_pos] 3", "[y_pos] {y}").replace("[x_pixels] 3", "[x_pixels] 4").replace("[z_planes] 2", "[z_planes] 1")
+    for t in range(4):
+        for k, c in enumerate((561, 640)):
+            r, q = t % 2, t // 2
+            tile = whole[k : k + 1, :, 4 * r : 4 * r + 4, 4 * q : 4 * q + 4]
+            name = f"a_Tile{t}_Ch{c}_Sh0"
+            api.from_voxels(spark, frame(spark, tile), tiles(spark, [(0, 0, 0, 0, 0, 4, 4)]), str(tmp_path / "st" / name), {"z": 1, "y": 4, "x": 4}, SCALE, [CHANNELS[k]], api.Size(1, 4, 4), levels=1)
+            (tmp_path / "meta" / f"{name}.ome.zarr_meta.txt").write_text(block.format(f="a", l=c, x=50 - 3 * q, y=40 - 3 * r))
+    m = api.prepare_folder(spark, str(tmp_path / "meta"), str(tmp_path / "st"), str(tmp_path / "m"))
+    assert (array(m.voxels() if "manifest" not in m.attrs else storage.to_voxels(m.chunks(0)).select("c", "z", "y", "x", "v"), whole.shape) == whole).all()
+    assert [c["label"] for c in m.attrs["channels"]] == ["red", "far red"]
+    t = {r["tile_id"]: (r["y_um"], r["x_um"], r["y_orig_um"], r["x_orig_um"]) for r in m.tiles().collect()}
+    assert t == {0: (0, 0, 0, 0), 1: (4, 0, 3, 0), 2: (0, 4, 0, 3), 3: (4, 4, 3, 3)}
+    (tmp_path / "meta" / "a_Tile3_Ch640_Sh0.ome.zarr_meta.txt").unlink()
+    with pytest.raises(ValueError):
+        api.prepare_folder(spark, str(tmp_path / "meta"), str(tmp_path / "st"), str(tmp_path / "m2"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from voxloom.kernels.basic import BasicParams, fit_basic
 from voxloom.kernels.transforms import gaussian_2d, resampled_profile
 from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
+from voxloom.settings import find as find_settings
 from voxloom.sources import metafiles, planes
 from voxloom.sources.files import Store
 
@@ -129,7 +130,9 @@ class Image:
         m = self.attrs["manifest"]
         have = min(level, len(m["levels"]) - 1)
         s, t = self.levels[have], m["levels"][have]
-        parts = storage.read_tiles(self.spark, {x["tile_id"]: x["path"] for x in m["tiles"]}, have)
+        n = len(m["tiles"][0]["paths"])
+        of = [storage.read_tiles(self.spark, {x["tile_id"]: x["paths"][k] for x in m["tiles"]}, have) for k in range(n)]
+        parts = reduce(DataFrame.unionByName, (p.withColumn("c", F.lit(k)) for k, p in enumerate(of))) if n > 1 else of[0]
         places = {x["tile_id"]: (0, x["row"] * t["ny"], x["col"] * t["nx"]) for x in m["tiles"]}
         shape = {a: s[f"n{a}"] for a in "zyx"}
         c = blocks.fused(parts, places, dict.fromkeys(places, (t["nz"], t["ny"], t["nx"])), self.chunk, shape, "max").withColumn("level", F.lit(have))
@@ -187,6 +190,14 @@ class Image:
             self.attrs["channels"][c]["window"] = {"min": 0, "max": min(65535, 10 * end), "start": start_, "end": end}
         self.save_attrs()
 
+    def ngff(self) -> dict:
+        """The image's metadata in the layout of multiscale image attributes: axes, a scale (and a place, where it is known) per level, channels with display windows."""
+        move = [{"type": "translation", "translation": [0.0, *self.attrs["translation"]]}] if "translation" in self.attrs else []
+        sets = [{"path": str(s["level"]), "coordinateTransformations": [{"type": "scale", "scale": [1.0, s["scale_z"], s["scale_y"], s["scale_x"]]}, *move]} for s in self.levels]
+        axes = [{"name": "c", "type": "channel"}, *({"name": a, "type": "space", "unit": "micrometer"} for a in "zyx")]
+        channels = [{"active": True, "index": k, **c} for k, c in enumerate(self.attrs["channels"])]
+        return {"multiscales": [{"name": self.attrs.get("name", self.path.rstrip("/").rpartition("/")[2]), "axes": axes, "datasets": sets}], "omero": {"channels": channels}, "tasks": self.attrs.get("tasks", {})}
+
     def record(self, task: str, parameters: dict) -> None:
         self.attrs.setdefault("tasks", {})[task] = {"version": VERSION, "parameters": {k: str(v) for k, v in parameters.items()}}
         self.save_attrs()
@@ -256,7 +267,7 @@ def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "", extens
             raise ValueError(f"excluded tiles {at} of channel {ch} are not in the metadata")
     meta = metadata.checked_pixels(metadata.flagged(meta, excluded or {}))
     if settings:
-        meta = metadata.with_channel_settings(meta.withColumn("wave", F.regexp_extract("channel", r"(\d+)", 1)).withColumn("laser", F.col("channel")).withColumn("channel", F.col("wave")), metafiles.channel_settings(spark, settings).drop("laser_wavelength")).withColumn("channel", F.col("laser")).drop("wave", "laser")
+        meta = metadata.with_channel_settings(meta.withColumn("wave", F.regexp_extract("channel", r"(\d+)", 1)).withColumn("laser", F.col("channel")).withColumn("channel", F.col("wave")), metafiles.channel_settings(spark, settings if "://" in settings else str(find_settings(settings))).drop("laser_wavelength")).withColumn("channel", F.col("laser")).drop("wave", "laser")
     else:
         meta = meta.withColumn("label", F.col("channel")).withColumn("color", F.lit("FFFFFF"))
     rows = meta.orderBy("row").collect()  # a row per tile and channel
@@ -319,34 +330,57 @@ def from_voxels(spark: SparkSession, voxels: DataFrame, tiles: DataFrame, out: s
     return from_chunks(spark, storage.to_chunks(voxels, (chunk.z, chunk.y, chunk.x), shape), tiles, out, shape, scale, channels, chunk, levels)
 
 
-def prepare_mosaic(spark: SparkSession, stores: dict[int, str], positions: DataFrame, out: str) -> Image:
+def prepare_mosaic(spark: SparkSession, stores: dict[int, str | list[str]], positions: DataFrame, out: str) -> Image:
     """A virtual mosaic over per-tile images by their stage positions (tile_id, x_pos, y_pos, x_n_pixels, y_n_pixels): a manifest and a tile table, no voxels.
 
-    Tiles go down columns first. Its levels are the tiles'; a deeper one is
-    made of the deepest when it is read. The tiles' own images are told where
-    they lie.
+    A tile is one image with all channels, or a list of images with one channel
+    each. Tiles go down columns first. Its levels are the tiles'; a deeper one
+    is made of the deepest when it is read. The tiles' own images are told
+    where they lie.
     """
     store = Store(spark)
-    images = {t: Image.open(spark, p) for t, p in sorted(stores.items())}
-    one = next(iter(images.values()))
+    paths = {t: [p] if isinstance(p, str) else list(p) for t, p in sorted(stores.items())}
+    images = {t: [Image.open(spark, p) for p in ps] for t, ps in paths.items()}
+    one = next(iter(images.values()))[0]
+    if len({len(ps) for ps in paths.values()}) != 1:
+        raise ValueError("tiles have different numbers of channels")
+    channels = [c for i in next(iter(images.values())) for c in i.attrs["channels"]]
+    if any([c["label"] for i in x for c in i.attrs["channels"]] != [c["label"] for c in channels] for x in images.values()):
+        raise ValueError("tiles have different channels")
     s, n_rows = one.attrs["scale"], positions.select("y_pos").distinct().count()
     if len(images) != n_rows * positions.select("x_pos").distinct().count():
         raise ValueError("the tiles do not fill a grid")
     n_cols = len(images) // n_rows
-    grid = [{"tile_id": t, "path": stores[t], "row": t % n_rows, "col": t // n_rows} for t in images]
+    grid = [{"tile_id": t, "paths": paths[t], "row": t % n_rows, "col": t // n_rows} for t in images]
     levels = [{**x, "ny": x["ny"] * n_rows, "nx": x["nx"] * n_cols} for x in one.levels]
     shape = {"z": one.shape["z"], "y": one.shape["y"] * n_rows, "x": one.shape["x"] * n_cols}
-    img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": one.attrs["channels"], "levels": levels, "manifest": {"tiles": grid, "levels": one.levels}})
+    img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": json.loads(json.dumps(channels)), "levels": levels, "manifest": {"tiles": grid, "levels": one.levels}})
     store.folder(out)
     img.save_attrs()
     _grid_tiles(layout.layout_cursor(positions), positions, s, shape["z"]).write.mode("overwrite").parquet(f"{out}/tiles")
     place = {r["tile_id"]: (r["y_um"], r["x_um"]) for r in img.tiles().select("tile_id", "y_um", "x_um").collect()}
-    for t, i in images.items():
-        i.attrs["translation"] = [0.0, *place[t]]
-        i.save_attrs()
+    for t, x in images.items():
+        for i in x:
+            i.attrs["translation"] = [0.0, *place[t]]
+            i.save_attrs()
     return img
 
 
+def prepare_folder(spark: SparkSession, folder: str, stores: str, out: str) -> Image:
+    """A virtual mosaic of the tile images in `stores`, named `<...>Tile<t>_Ch<c>_<...>`, by the metadata files of `folder` that are named after them (`<image>.ome.zarr_meta.txt`)."""
+    names = Store(spark).names(stores)
+    meta = metafiles.per_tile_stores(spark, folder, names).withColumn("name", F.regexp_extract("path", r"([^/]+)\.ome\.zarr_meta\.txt$", 1))
+    rows = sorted(metadata.checked_pixels(metadata.require(meta)).collect(), key=lambda r: (r["tile_id"], r["file_channel"]))  # a row per tile and channel
+    if missing := {r["name"] for r in rows} - set(names):
+        raise FileNotFoundError(f"no images {sorted(missing)} in {stores}")
+    of: dict[int, list[str]] = {}
+    for r in rows:
+        of.setdefault(r["tile_id"], []).append(f"{stores}/{r['name']}")
+    first = {r["tile_id"]: (r["tile_id"], r["x_pos"], r["y_pos"], r["x_n_pixels"], r["y_n_pixels"]) for r in reversed(rows)}
+    positions = spark.createDataFrame(sorted(first.values()), "tile_id int, x_pos double, y_pos double, x_n_pixels int, y_n_pixels int")
+    return prepare_mosaic(spark, of, positions, out)
+
+
 def _parts(img: Image, level: int = 0) -> DataFrame:
     return blocks.tile_parts(img.chunks(level), img.boxes(level))
 

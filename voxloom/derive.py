@@ -14,6 +14,14 @@ SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS c, CAST(l
        CAST(least(65535, sum(CAST(l_quantity AS BIGINT)) * 100) AS INT) AS v
 FROM lineitem GROUP BY 1, 2, 3, 4
 """
+#: A wider image, whose stored voxels grow with the tables.
+WIDE = 1024
+VOXELS_WIDE = f"""
+SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS c, CAST(l_linenumber - 1 AS INT) AS z,
+       CAST(l_partkey % {WIDE} AS INT) AS y, CAST(l_orderkey % {WIDE} AS INT) AS x,
+       CAST(least(65535, sum(CAST(l_quantity AS BIGINT)) * 100) AS INT) AS v
+FROM lineitem GROUP BY 1, 2, 3, 4
+"""
 TILES = """
 SELECT CAST(n_nationkey AS INT) AS tile_id,
        20.0e0 * floor(n_nationkey / 5.0e0) AS x_um, 20.0e0 * (n_nationkey % 5) AS y_um, 0.0e0 AS z_um,
@@ -29,6 +37,7 @@ FROM nation
 #: Prefix of oracle queries: the same views for DuckDB.
 DUCK = f"""
 WITH voxels_sparse AS ({VOXELS_SPARSE}),
+voxels_wide AS ({VOXELS_WIDE}),
 grid AS (SELECT CAST(a.c AS INT) AS c, CAST(b.z AS INT) AS z, CAST(d.y AS INT) AS y, CAST(e.x AS INT) AS x
          FROM range({NC}) a(c), range({NZ}) b(z), range({NY}) d(y), range({NX}) e(x)),
 voxels AS (SELECT g.c, g.z, g.y, g.x, coalesce(s.v, 0) AS v FROM grid g LEFT JOIN voxels_sparse s USING (c, z, y, x)),
@@ -52,6 +61,11 @@ def voxels_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, "lineitem", VOXELS_SPARSE)
 
 
+def voxels_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored voxels of the wider image."""
+    return _sql(spark, sf_dir, "lineitem", VOXELS_WIDE)
+
+
 def grid(spark: SparkSession, nc: int = NC, nz: int = NZ, ny: int = NY, nx: int = NX) -> DataFrame:
     """All (c, z, y, x) of a box, generated in parallel from one number range."""
     i = spark.range(nc * nz * ny * nx)

@@ -651,5 +651,45 @@ def z_profile_chunks(spark, d):
     return blocks.plane_medians(chunked(spark, d), SHAPE, NC)
 
 
+# --- a wider image, 128 by 128 voxels to a tile, that grows with the tables
+
+WIDE_SHAPE = {"z": NZ, "y": derive.WIDE, "x": derive.WIDE}
+WIDE_CHUNK = (8, 256, 256)
+WIDE_TILE = 128
+
+
+def wide_boxes(spark: SparkSession) -> DataFrame:
+    n = derive.WIDE // WIDE_TILE
+    t = spark.range(n * n).selectExpr("CAST(id AS INT) AS tile_id", f"CAST(id % {n} AS INT) * {WIDE_TILE} AS y0", f"CAST(id DIV {n} AS INT) * {WIDE_TILE} AS x0")
+    return t.withColumn("y1", F.col("y0") + WIDE_TILE).withColumn("x1", F.col("x0") + WIDE_TILE)
+
+
+def wide_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return storage.to_chunks(derive.voxels_wide(spark, d), WIDE_CHUNK, WIDE_SHAPE)
+
+
+@query("""SELECT * FROM (SELECT c, CAST(z // 2 AS INT) AS z, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, CAST(floor(sum(v * CASE WHEN z = 6 THEN 2 ELSE 1 END)::DOUBLE / 8) AS INT) AS v
+FROM voxels_wide GROUP BY 1, 2, 3, 4) WHERE v <> 0""")
+def pyramid_wide(spark, d):
+    return unchunked(blocks.coarsened(wide_chunks(spark, d), WIDE_CHUNK, WIDE_SHAPE, HALVE))
+
+
+@query(f"""SELECT * FROM (SELECT c, z, y, x, CAST(floor(least(65535, greatest(0, v * (1.0e0 / (1 + (c + (x // {WIDE_TILE}) * {derive.WIDE // WIDE_TILE} + y // {WIDE_TILE}) % 4))))) AS INT) AS v FROM voxels_wide) WHERE v <> 0""")
+def illum_wide(spark, d):
+    gains = {(c, t): 1.0 / (1 + (c + t) % 4) for c in range(NC) for t in range((derive.WIDE // WIDE_TILE) ** 2)}
+    return unchunked(blocks.apply_illumination(wide_chunks(spark, d), wide_boxes(spark), gains))
+
+
+@query(f"""SELECT * FROM (SELECT c, z, y, x, CAST(floor(sum(v)::DOUBLE / any_value(cy.n * cx.n)) AS INT) AS v FROM
+(SELECT c, z, CAST(y - 32 * (y // {WIDE_TILE}) AS INT) AS y, CAST(x - 32 * (x // {WIDE_TILE}) AS INT) AS x, v FROM voxels_wide) m
+JOIN (SELECT p, count(*) AS n FROM range(8) t(k), range(1024) r(p) WHERE p >= 96 * k AND p < 96 * k + {WIDE_TILE} GROUP BY p) cy ON cy.p = m.y
+JOIN (SELECT p, count(*) AS n FROM range(8) t(k), range(1024) r(p) WHERE p >= 96 * k AND p < 96 * k + {WIDE_TILE} GROUP BY p) cx ON cx.p = m.x GROUP BY 1, 2, 3, 4) WHERE v <> 0""")
+def fuse_wide(spark, d):
+    n, side = derive.WIDE // WIDE_TILE, 96 * (derive.WIDE // WIDE_TILE - 1) + WIDE_TILE
+    parts = blocks.tile_parts(wide_chunks(spark, d), wide_boxes(spark))
+    places = {t: (0, 96 * (t % n), 96 * (t // n)) for t in range(n * n)}
+    return unchunked(blocks.fused(parts, places, dict.fromkeys(places, (NZ, WIDE_TILE, WIDE_TILE)), WIDE_CHUNK, {"z": NZ, "y": side, "x": side}))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gain_edges(spark, sf_dir)

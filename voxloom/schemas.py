@@ -4,9 +4,4 @@ from __future__ import annotations
 
 #: One row per stored chunk; a chunk that is absent is all zeros. data: little-endian unsigned 16-bit values, z-major.
 CHUNKS = "image string, level int, c int, cz int, cy int, cx int, z0 int, y0 int, x0 int, nz int, ny int, nx int, data binary"
-#: One row per voxel.
-VOXELS = "c int, z int, y int, x int, v int"
-TILES = "tile_id int, x_um double, y_um double, z_um double, x_orig_um double, y_orig_um double, len_x_um double, len_y_um double, len_z_um double"
-PYRAMID = "image string, level int, scale_z double, scale_y double, scale_x double, factor_z int, factor_yx int"
-ACQ_META = "row int, channel string, intensity double, zoom string, filter string, shutter string, x_scale double, y_scale double, z_scale double, x_pos double, y_pos double, x_n_pixels int, y_n_pixels int, z_n_pixels int"
 U16_MAX = 65535

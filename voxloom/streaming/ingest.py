@@ -26,6 +26,6 @@ def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, pattern:
     q.awaitTermination()
 
 
-def running_overlap_counts(chunks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def arrivals(chunks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Per minute and channel of a stream of chunks (seen timestamp, c, data): chunks and bytes that arrived, late ones up to the delay."""
     return chunks.withWatermark("seen", delay).groupBy(F.window("seen", "1 minute"), "c").agg(F.count("*").alias("chunks"), F.sum(F.length("data")).alias("bytes"))
