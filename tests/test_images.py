@@ -322,6 +322,10 @@ def test_views_are_registered(spark, tmp_path):
     paths = []
     for k, v in enumerate((a, b)):
         paths.append(api.from_voxels(spark, frame(spark, v), tiles(spark, [(0, 0, 0, 0, 0, 20, 20)]), str(tmp_path / f"v{k}"), {"z": 5, "y": 20, "x": 20}, SCALE, CHANNELS[:1], api.Size(2, 8, 8), levels=1).path)
+    for k in (0, 1):
+        api.shutil.copytree(paths[k], tmp_path / "sib" / f"obj_sh{k}")
+    api.shutil.copytree(paths[0], tmp_path / "sib" / "other")
+    assert api.sibling_images(spark, str(tmp_path / "sib")) == {"obj": [f"{tmp_path}/sib/obj_sh{k}" for k in (0, 1)], "other": [f"{tmp_path}/sib/other"]}
     out = api.Image.open(spark, api.fuse_images(spark, paths, str(tmp_path / "w"), registration_channel=api.Channel(label="red")))
     assert out.attrs["places"] == [[0, 0, 0], [1, 3, 2]]
     got = array(out.voxels(), (1, 6, 23, 22))

@@ -21,6 +21,17 @@ def test_resize_keeps_constants_lines_and_corners():
     assert np.allclose(b[::10, ::10], a[::4, ::4])
 
 
+def test_cubic_resizing_is_a_spline():
+    x = np.linspace(0, np.pi, 9)
+    fine = transforms.resized(np.cos(x), (65,), 3)  # mirrored at both ends, as the cosine is
+    assert np.abs(fine - np.cos(np.linspace(0, np.pi, 65))).max() < 1e-3
+    a = np.random.default_rng(8).normal(size=(6, 7))
+    b = transforms.resized(a, (51, 61), 3)
+    assert np.allclose(b[::10, ::10], a)
+    d = np.diff(b[:, 0], 2)  # the second derivative has no jumps at the knots
+    assert np.abs(np.diff(d)).max() < 3 * np.abs(d).max() / 10 + 1e-9
+
+
 def test_otsu_splits_two_levels():
     assert 10 <= transforms.otsu(np.array([10.0] * 50 + [90.0] * 30)) < 90
 

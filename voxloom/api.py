@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.functions.text import common_name
 from voxloom.kernels.basic import BasicParams, fit_basic
 from voxloom.kernels.transforms import gaussian_2d, resampled_profile
 from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
@@ -315,6 +316,16 @@ def images_of(spark: SparkSession, group: str) -> list[str]:
     return Store(spark).read(f"{group}/group.json")["images"]
 
 
+def sibling_images(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Paths of the images in a folder by what their names have in common: views and channels of one object are siblings."""
+    store = Store(spark)
+    names = [n for n in store.names(folder) if store.exists(f"{folder}/{n}/attrs.json")]
+    if not names:
+        return {}
+    t = spark.createDataFrame([(n,) for n in names], "name string").groupBy(common_name(F.col("name")).alias("common")).agg(F.sort_array(F.collect_list("name")).alias("names"))
+    return {r["common"]: [f"{folder}/{n}" for n in r["names"]] for r in t.collect()}  # names of one folder
+
+
 def from_chunks(spark: SparkSession, chunks: DataFrame, tiles: DataFrame, out: str, shape: dict[str, int], scale: dict[str, float], channels: list[dict], chunk: Size, levels: int | None = None) -> Image:
     """An image from level-0 chunks of the given size and a tile table."""
     img = Image(spark, out, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": json.loads(json.dumps(channels))})
@@ -408,15 +419,15 @@ def fit_profiles(img: Image, tiles: list[int] | None = None, z_levels: tuple[int
     Planes are put together and resized in the tasks; a channel's fit gets
     n_planes planes of the working size.
     """
-    spark, (h, w), nz = img.spark, _tile_size(img, level), img.levels[level]["nz"]
+    (h, w), nz = _tile_size(img, level), img.levels[level]["nz"]
     ids = tiles or [r[0] for r in (layout.corner_tiles(img.tiles()) if empty_tiles else img.tiles()).select("tile_id").collect()]
     known = {r[0] for r in img.tiles().select("tile_id").collect()}
     if set(ids) - known:
         raise ValueError(f"no tiles {sorted(set(ids) - known)}")
     every = img.tiles().where(F.col("tile_id").isin(ids)).select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(nz - 1))).alias("z"))
     drawn = flatfield.sampled_planes(flatfield.bottom_top_planes(every, nz, *z_levels) if z_levels else every, n_planes)
-    wanted = spark.createDataFrame(drawn.collect(), "tile_id int, z int")  # n_planes rows at most
-    n = wanted.count()
+    wanted = {tuple(r) for r in drawn.collect()}  # n_planes rows at most
+    n = len(wanted)
     p = params or BasicParams()
     side = (p.working_size,) * 2 if isinstance(p.working_size, int) else p.working_size
     work = (h, w) if empty_tiles or side is None else (min(h, side[0]), min(w, side[1]))

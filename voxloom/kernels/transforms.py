@@ -21,29 +21,45 @@ def dct(a: np.ndarray, inverse: bool = False) -> np.ndarray:
     return a
 
 
-def _cubic(t: np.ndarray) -> np.ndarray:
-    """Catmull-Rom weights of the four neighbours at fraction t."""
-    return np.stack([((-0.5 * t + 1) * t - 0.5) * t, (1.5 * t - 2.5) * t * t + 1, ((-1.5 * t + 2) * t + 0.5) * t, (0.5 * t - 0.5) * t * t])
+def _spline(t: np.ndarray) -> np.ndarray:
+    """Weights of the four neighbours' spline coefficients at fraction t."""
+    return np.stack([(1 - t) ** 3, (3 * t - 6) * t * t + 4, ((-3 * t + 3) * t + 3) * t + 1, t**3]) / 6
+
+
+def spline_coefficients(a: np.ndarray, axis: int) -> np.ndarray:
+    """Coefficients of the cubic spline through a along an axis, mirrored past its ends."""
+    n = a.shape[axis]
+    if n == 1:
+        return a
+    m = np.diag(np.full(n, 4.0)) + np.diag(np.ones(n - 1), 1) + np.diag(np.ones(n - 1), -1)
+    m[0, 1] = m[-1, -2] = 2.0
+    return np.moveaxis(np.linalg.solve(m / 6, np.moveaxis(a, axis, 0).reshape(n, -1)).reshape(n, *np.delete(a.shape, axis)), 0, axis)
 
 
 def resized(a: np.ndarray, shape: tuple[int, ...], order: int = 1) -> np.ndarray:
-    """a at another size, corners on corners: linear (1) or cubic (3) interpolation, edges repeated."""
+    """a at another size, corners on corners: linear (1) or cubic spline (3) interpolation."""
     out = np.asarray(a, float)
     for axis, n in enumerate(shape):
         m = out.shape[axis]
         at = np.linspace(0, m - 1, n) if n > 1 else np.zeros(1)
         i = np.minimum(np.floor(at).astype(int), max(m - 2, 0))
         t = at - i
-        take = lambda k: np.take(out, np.clip(i + k, 0, m - 1), axis)  # noqa: E731, B023
         side = [-1 if k == axis else 1 for k in range(out.ndim)]
-        if order == 1:
+        if order == 1 or m == 1:
+            take = lambda k: np.take(out, np.clip(i + k, 0, m - 1), axis)  # noqa: E731, B023
             out = take(0) * (1 - t).reshape(side) + take(1) * t.reshape(side)
         else:
-            w = _cubic(t)
-            out = sum(take(k - 1) * w[k].reshape(side) for k in range(4))
+            c, w = spline_coefficients(out, axis), _spline(t)
+            mirrored = lambda k: m - 1 - np.abs(m - 1 - np.abs(i + k))  # noqa: E731, B023
+            out = sum(np.take(c, mirrored(k - 1), axis) * w[k].reshape(side) for k in range(4))
     return out
 
 
+def resampled_profile(flat: np.ndarray, shape: tuple[int, int], order: int = 3) -> np.ndarray:
+    """A profile at another size, not below 0."""
+    return np.maximum(resized(flat, shape, order), 0)
+
+
 def gaussian_2d(a: np.ndarray, sigma: float = 1.0, radius: int = 4) -> np.ndarray:
     """a smoothed along both axes; past an edge it is mirrored, the edge counting twice."""
     k = np.arange(-radius, radius + 1)
@@ -55,11 +71,6 @@ def gaussian_2d(a: np.ndarray, sigma: float = 1.0, radius: int = 4) -> np.ndarra
     return a
 
 
-def resampled_profile(flat: np.ndarray, shape: tuple[int, int], order: int = 3) -> np.ndarray:
-    """A profile at another size, not below 0."""
-    return np.maximum(resized(flat, shape, order), 0)
-
-
 def otsu(values: np.ndarray, bins: int = 256) -> float:
     """Threshold with the greatest variance between classes."""
     h, e = np.histogram(values, bins)

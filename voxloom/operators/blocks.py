@@ -283,15 +283,15 @@ def fused(parts: DataFrame, places: dict[int, tuple[int, int, int]], sizes: dict
     return _mapped(parts, move, PARTS).repartition(*keys).sortWithinPartitions(*keys, "tile_id").mapInArrow(gather, CHUNKS)
 
 
-def planes(parts: DataFrame, wanted: DataFrame, height: int, width: int, work: tuple[int, int]) -> DataFrame:
-    """(c, tile_id, z, plane): wanted planes (tile_id, z) of tiles, resized to `work` where they lie; plane holds little-endian doubles. A group is one plane."""
+def planes(parts: DataFrame, wanted: set[tuple[int, int]], height: int, width: int, work: tuple[int, int]) -> DataFrame:
+    """(c, tile_id, z, plane): wanted planes (tile_id, z; a sample) of tiles, resized to `work`; plane holds little-endian doubles. Only they leave their chunks; a group is one plane."""
     from voxloom.kernels.transforms import resized
 
     def cut_planes(r: dict, a: np.ndarray) -> list[tuple]:
-        return [(r["tile_id"], r["c"], r["z0"] + k, r["y0"], r["x0"], r["ny"], r["nx"], p.astype("<u2").tobytes()) for k, p in enumerate(a)]
+        return [(r["tile_id"], r["c"], r["z0"] + k, r["y0"], r["x0"], r["ny"], r["nx"], p.astype("<u2").tobytes()) for k, p in enumerate(a) if (r["tile_id"], r["z0"] + k) in wanted]
 
     flat = _mapped(parts, cut_planes, "tile_id int, c int, z int, y0 int, x0 int, ny int, nx int, data binary")
-    some = flat.join(wanted.select("tile_id", "z"), ["tile_id", "z"], "left_semi").select("c", "tile_id", "z", "y0", "x0", "ny", "nx", "data")
+    some = flat.select("c", "tile_id", "z", "y0", "x0", "ny", "nx", "data")
     keys = ["c", "tile_id", "z"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
