@@ -7,9 +7,10 @@ import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -136,16 +137,33 @@ def ranged_total(df: DataFrame, part: Sequence[str], order: Sequence[str], value
 _KEPT: dict[str, object] = {}
 
 
+def forget_kept() -> None:
+    """Give the memory of what this Python worker keeps back; operators that keep nothing call it when their tasks begin."""
+    _KEPT.clear()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept_in_worker(key: str, make: Callable[[], object]) -> object:
     """make(), kept by this Python worker from task to task. Only the last key is kept: a worker that goes on to another operator gives its memory back."""
     if key not in _KEPT:
-        _KEPT.clear()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        forget_kept()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def texts_in(column: pa.Array, step: int = 512) -> Iterator[list[bytes | None]]:
+    """A text column as UTF-8, a few rows at a time."""
+    for i in range(0, len(column), step):
+        yield column.slice(i, step).cast(pa.binary()).to_pylist()
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns named d0, d1, ... and the new name of each: names that no operator uses. Their order is kept."""
+    new = {c: f"d{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*new.values()), new
+
+
 def crc_mod(doc_id: str | Column, m: int) -> Column:
     """crc32 of doc_id as text, modulo m; null for a null doc_id."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from voxloom.llm.common import crc_mod, kept_in_worker
+from voxloom.llm.common import crc_mod, kept_in_worker, numbered
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
@@ -42,7 +42,7 @@ LONGEST = 40
 TRAIN_DOCS = 250
 ROUNDS = 2
 #: Words remembered by a Python worker before it starts over.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 UND = "und"
 #: Probabilities are carried times this for each letter, so that a run of LONGEST letters that no language knows does not vanish.
 SCALE = 1e6
@@ -296,7 +296,7 @@ def with_language(docs: DataFrame, model: Model | None, text: str = "text", out:
 
 def filter_documents(docs: DataFrame, vocab_path: str, least_score: float = 0.5, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
     """The documents whose language is told with at least this score, with the columns of docs; `und` goes."""
-    d = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("doc_id"))
-    model = fit(d.select("text", "lang", "doc_id").where(crc_mod("doc_id", 5) != 0), vocab_path)
-    found = with_language(d.select("row", "text"), model)
-    return found.where((F.col("lang_pred") != UND) & (F.col("lang_score") >= least_score)).select("row.*")
+    d, new = numbered(docs)
+    model = fit(d.where(crc_mod(new[key], 5) != 0), vocab_path, new[text], new[lang], new[key])
+    found = with_language(d, model, new[text])
+    return found.where((F.col("lang_pred") != UND) & (F.col("lang_score") >= least_score)).select(*new.values()).toDF(*docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voxloom.llm.common import WORD, keyed_join, materialise, ranged_total
+from voxloom.llm.common import WORD, keyed_join, materialise, numbered, ranged_total
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -123,8 +123,8 @@ def in_mixing_order(m: Mix) -> DataFrame:
 def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
     """The rows of docs as often as the mix takes them (0 to 3 times), with the columns of docs; a scan of docs beside the cuts."""
     m = mix(docs, text, key, source, seed=seed)
-    size = _size(F.col(text))
-    d = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), _place(F.col(key), size, seed).alias("m_place"))
+    d, new = numbered(docs)
+    d = d.withColumn("m_place", _place(F.col(new[key]), _size(F.col(new[text])), seed)).withColumn("source", F.col(new[source]))
     j = keyed_join(d, m.cuts.select("source", "m_cuts"), ["source"], m.n_sources)
     copies = F.filter(F.coalesce("m_cuts", F.array()), lambda x: x >= F.col("m_place"))
-    return j.select("row", F.explode(copies)).select("row.*")
+    return j.select(*new.values(), F.explode(copies)).select(*new.values()).toDF(*docs.columns)

@@ -38,6 +38,7 @@ result; columns besides text and doc_id are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from math import comb
 
 import numpy as np
@@ -46,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from voxloom.llm.common import SALTS, materialise, release
+from voxloom.llm.common import SALTS, forget_kept, materialise, release, texts_in
 from voxloom.llm.components import connected
 
 TREES, DEPTH, LEAST_DEPTH = 24, 7, 4
@@ -55,7 +56,7 @@ SKETCH, REACH, BORDER = -(-TREES * DEPTH // 64), 64, 4
 #: Bytes of a signature value and of a sketch, and shingles that one unit of a stored size stands for.
 VALUE, BITS, UNIT = 3, -(-TREES * DEPTH // 8), 16
 #: Shingles to a block of a region, and the least that a row counts there (rows compare by sketches too).
-BLOCK, LEAST_WEIGHT = 200_000, 50
+BLOCK, LEAST_WEIGHT = 200_000, 100
 #: Hash values of texts that are told to a scan at most: the bound of what is broadcast.
 BUCKETS = 1 << 21
 #: Texts that a task holds against one base text, and digests that a task remembers having given a signature.
@@ -126,10 +127,11 @@ def digests(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id"
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         met: set[bytes] = set()
         for b in batches:
             n, dig, sig = [], [], []
-            for t in b.column(3).cast(pa.binary()).to_pylist():
+            for t in chain.from_iterable(texts_in(b.column(3))):
                 s = shingles(t, words)
                 n.append(len(s))
                 d = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
@@ -142,6 +144,8 @@ def digests(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id"
                 met.add(d)
                 sig.append(packed(signature(s), len(s)))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(dig, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "h1", "h2", "n_shingles", "digest", "sig"])
+        met.clear()
+        forget_kept()
 
     d = docs.select(F.col(key).alias("doc_id"), *text_keys(F.col(text)), F.col(text).alias("text"))
     return d.mapInArrow(run, StructType([d.schema["doc_id"], *StructType.fromDDL("h1 long, h2 long, n_shingles long, digest binary, sig binary").fields]))
@@ -408,12 +412,12 @@ class _Cell:
         bits = _words(np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, BITS))
         two, n = self.side.min() != self.side.max(), len(rows)
         self.agree = np.zeros((n, n), np.uint8)
-        for i in range(0, n, 256):
-            got = _agree(bits[i : i + 256, None], bits[None])
-            off = self.number[i : i + 256, None] == self.number[None]
+        for i in range(0, n, 64):
+            got = _agree(bits[i : i + 64, None], bits[None])
+            off = self.number[i : i + 64, None] == self.number[None]
             if two:
-                off |= self.side[i : i + 256, None] == self.side[None]
-            self.agree[i : i + 256] = np.where((got < least) | off, 0, got)
+                off |= self.side[i : i + 64, None] == self.side[None]
+            self.agree[i : i + 64] = np.where((got < least) | off, 0, got)
 
     def best(self) -> dict[bytes, tuple[int, bytes, bytes]]:
         """label -> (agree, a, b): its row's best pair with another component."""

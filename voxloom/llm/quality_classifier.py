@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from voxloom.llm import gam
-from voxloom.llm.common import crc_mod
+from voxloom.llm.common import crc_mod, forget_kept, texts_in
 from voxloom.llm.profile import measure
 
 TRAIN_ROWS = 20_000
@@ -80,8 +80,9 @@ def with_score(docs: DataFrame, model: gam.Additive | None, text: str = "text",
     docs = docs.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for b in batches:
-            x = np.array([features(t) for t in b.column(text).cast(pa.binary()).to_pylist()]).reshape(-1, len(FEATURES))
+            x = np.array([features(t) for some in texts_in(b.column(text)) for t in some]).reshape(-1, len(FEATURES))
             s = model.score(x) if model is not None else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=[*b.schema.names, out])
 

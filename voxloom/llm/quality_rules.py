@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from voxloom.llm.common import keyed_join, materialise
+from voxloom.llm.common import forget_kept, keyed_join, materialise, numbered, texts_in
 from voxloom.llm.profile import measure
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echoes"]
@@ -54,10 +54,12 @@ def with_counts(docs: DataFrame, text: str = "text", prefix: str = "q_") -> Data
     schema = pa.schema([(prefix + c, pa.int64()) for c in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for b in batches:
-            got = [measure(t) for t in b.column(text).cast(pa.binary()).to_pylist()]
+            got = [measure(t) for some in texts_in(b.column(text)) for t in some]
             cols = [pa.array([g[i] for g in got], pa.int64()) for i in range(len(COUNTS))]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *schema.names])
+        forget_kept()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in schema.names]]))
 
@@ -132,9 +134,10 @@ def fit(counted: DataFrame, lang: str = "lang", source: str = "source", prefix:
 
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents that the rules keep, with the columns of docs."""
-    d = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    fences = fit(with_counts(d.select("text", "lang", "source")).drop("text"))
-    return judged(with_counts(d), *fences).where("q_kept").select("row.*")
+    d, new = numbered(docs)
+    t, x, s = new[text], new[lang], new[source]
+    fences = fit(with_counts(d.select(t, x, s), t).drop(t), x, s)
+    return judged(with_counts(d, t), *fences, x, s).where("q_kept").select(*new.values()).toDF(*docs.columns)
 
 
 def _named(expr: str, prefix: str) -> str:
