@@ -1,18 +1,26 @@
 """Exact top-k search by BM25 over a sharded inverted index with block-max WAND pruning.
 
 Every partition of documents becomes shards of at most SHARD_DOCS documents,
-and of SHARD_TERMS words but for the last document:
-postings by term, stored as one row each. Document frequencies, the number of
-documents and their mean length are summed over all shards, so scores are
-global. Each shard answers all queries, read from shared storage in blocks:
-
-* lists of rare terms are essential: they are merged first, which gives every
-  document the exact part of its score that they contribute;
-* lists of the shard's most frequent terms have block maxima, the most a term
-  contributes in each block of BLOCK documents. A document is a pivot only if
-  its essential part and its block's maxima together reach the k-th best score
-  known so far (the WAND condition, tested for all documents of a block at
-  once); only pivots are scored in full.
+and of SHARD_TERMS words but for the last document: postings by term, stored
+as one row each. Document frequencies, the number of documents and their mean
+length are summed over all shards, so scores are global.
+
+Each shard answers all queries, read from shared storage in blocks. A query
+goes through a shard's documents in order, WINDOW documents at a time; every
+list has a cursor to where each window begins in it and the most it can
+contribute there, frequent lists the most in every BLOCK documents.
+
+* A window whose lists cannot reach the k-th best score known so far together
+  is skipped: all cursors move on and none of its postings is read.
+* Else lists are sorted by what they can contribute. Those at the low end that
+  cannot reach that score together with the frequent lists are not read: a
+  document has to be in one of the others. Those are merged.
+* A document is a pivot if its sum so far, the block maxima of the frequent
+  lists and what the lists left out can add reach the score. Only pivots are
+  looked up in those lists.
+* While fewer than k scores are known, the likeliest documents of the window
+  are scored first. The score known rises from window to window and from shard
+  to shard of a task.
 
 The shards' own top k merge into the whole top k exactly: a document among the
 best k overall is among the best k of its shard. Contributions are rounded to
@@ -41,12 +49,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from voxloom.llm.common import materialise, shared_dir
+from voxloom.llm.common import forget_kept, materialise, shared_dir
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_TERMS, BLOCK, QUERY_BLOCK = 16_384, 6_000_000, 128, 256
-#: Lists that are not essential: at most so many of a shard's terms, each in an eighth of its documents at least.
+SHARD_DOCS, SHARD_TERMS, WINDOW, BLOCK, QUERY_BLOCK = 16_384, 6_000_000, 4096, 4, 256
+#: Lists that have maxima for each block and are looked up by document: so many of a shard's terms at most, each in an eighth of its documents at least.
 FREQUENT, FREQUENT_SHARE = 256, 8
 _ONE = float(1 << 32)
 
@@ -92,6 +100,7 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one.values(), kinds, strict=True)], names=list(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         ids, texts, numbers, n_terms = [], [], _Numbers(), 0
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -103,6 +112,8 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                     ids, texts, numbers, n_terms = [], [], _Numbers(), 0
         if ids:
             yield batch(ids, texts, numbers)
+        del ids, texts, numbers
+        forget_kept()
 
     schema = "n_docs long, n_terms long, ids array<long>, lengths array<int>, words string, df binary, docs binary, tf binary"
     return materialise(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema))
@@ -139,62 +150,101 @@ class Searcher:
         self.n = len(lengths)
         self.words = pa.array(row["words"].split("\n") if row["words"] else [], pa.string())
         df = np.frombuffer(row["df"], "<i4").astype(np.int64)
-        self.ptr = np.concatenate([[0], np.cumsum(df)])
         self.docs = np.frombuffer(row["docs"], "<u2")
         tf = np.frombuffer(row["tf"], "<i4").astype(float)
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.gain = tf * (K1 + 1) / (tf + norm[self.docs])
+        # where each window begins in each list, and the most the list contributes there
+        self.windows = max(1, -(-self.n // WINDOW))
+        part = np.repeat(np.arange(len(df)) * self.windows, df) + self.docs // WINDOW
+        size = np.bincount(part, minlength=len(df) * self.windows)
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        self.top = np.zeros(len(size))
+        some = np.flatnonzero(size)
+        if len(some):
+            self.top[some] = np.maximum.reduceat(self.gain, self.start[some])
         often = np.argsort(-df, kind="stable")[:FREQUENT]
         often = often[df[often] * FREQUENT_SHARE >= self.n]
         self.row_of = np.full(len(df), -1)
         self.row_of[often] = np.arange(len(often))
-        blocks = -(-self.n // BLOCK)
-        dense = np.zeros((len(often), blocks * BLOCK))
+        blocks = self.windows * WINDOW // BLOCK
+        self.dense = np.zeros((len(often), blocks * BLOCK))
         for k, t in enumerate(often):
-            s = slice(self.ptr[t], self.ptr[t + 1])
-            dense[k, self.docs[s]] = self.gain[s]
-        self.dense, self.most = dense[:, : self.n], dense.reshape(len(often), blocks, BLOCK).max(axis=2) if len(often) else np.zeros((0, blocks))
-        self.block = np.arange(self.n) // BLOCK
-        self.scored = 0
-
-    def answer(self, terms: list[list[str]], weights: list[np.ndarray], k: int) -> list[list[tuple[int | None, float]]]:
-        """The best k (doc_id, score) of each query."""
+            s = slice(self.start[t * self.windows], self.start[(t + 1) * self.windows])
+            self.dense[k, self.docs[s]] = self.gain[s]
+        self.most = self.dense.reshape(len(often), blocks, BLOCK).max(axis=2) if len(often) else np.zeros((0, blocks))
+        self.read = self.scored = 0
+
+    def answer(self, terms: list[list[str]], weights: list[np.ndarray], k: int, known: list[float] | None = None) -> list[list[tuple[int | None, float]]]:
+        """The best k (doc_id, score) of each query; known: scores that k documents of other shards reach already, raised here."""
         import pyarrow.compute as pc
 
+        known = known if known is not None else [0.0] * len(terms)
         lens = [len(t) for t in terms]
         at = pc.index_in(pa.array([x for t in terms for x in t], pa.string()), value_set=self.words)
         at = np.split(at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(lens)[:-1]) if lens else []
-        return [self._one(a[a >= 0], w[a >= 0], k) for a, w in zip(at, weights, strict=True)]
-
-    def _one(self, at: np.ndarray, w: np.ndarray, k: int) -> list[tuple[int | None, float]]:
+        out = []
+        for q, (a, w) in enumerate(zip(at, weights, strict=True)):
+            found, known[q] = self._one(a[a >= 0], w[a >= 0], k, known[q])
+            out.append(found)
+        return out
+
+    def _merged(self, lo: np.ndarray, hi: np.ndarray, w: np.ndarray, first: int) -> np.ndarray:
+        """Sums of the postings lo to hi of lists with weights w, by document of the window that begins at `first`."""
+        size = hi - lo
+        total = int(size.sum())
+        self.read += total
+        if not total:
+            return np.zeros(WINDOW)
+        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(total)
+        return np.bincount(self.docs[at] - first, np.rint(self.gain[at] * np.repeat(w * _ONE, size)), WINDOW)
+
+    def _one(self, at: np.ndarray, w: np.ndarray, k: int, theta: float) -> tuple[list[tuple[int | None, float]], float]:
         if not len(at):
-            return []
+            return [], theta
+        slack = len(at) + 1.0  # for roundings
         row = self.row_of[at]
-        rare, r, rw = at[row < 0], row[row >= 0], w[row >= 0]
-        parts = [slice(self.ptr[t], self.ptr[t + 1]) for t in rare]
-        if parts:
-            long = [p.stop - p.start for p in parts]
-            docs = np.concatenate([self.docs[p] for p in parts])
-            add = np.rint(np.concatenate([self.gain[p] for p in parts]) * np.repeat(w[row < 0], long) * _ONE)
-            sure = np.bincount(docs, add, self.n)
-        else:
-            sure = np.zeros(self.n)
-        slack = len(at) + 1.0  # roundings
-        bound = sure + ((rw @ self.most[r]) * _ONE)[self.block] + slack
-        full = lambda c: sure[c] + np.rint(self.dense[np.ix_(r, c)] * rw[:, None] * _ONE).sum(axis=0)
-        seed = np.argpartition(-bound, min(k, self.n) - 1)[:k]
-        known = np.sort(full(seed))
-        theta = known[0] if len(known) == k else 0.0
-        pivots = np.flatnonzero(bound >= max(theta, 1.0))
-        self.scored += len(pivots)
-        best: list[tuple[float, bool, int]] = []
-        score = np.concatenate([full(pivots[i : i + 4096]) for i in range(0, len(pivots), 4096)]) if len(pivots) else np.zeros(0)
-        if len(score) > k:
-            least = -np.partition(-score, k - 1)[k - 1]
-            keep = score >= least
-            pivots, score = pivots[keep], score[keep]
-        best = sorted((-s, self.ids[d] is not None, self.ids[d] or 0) for s, d in zip(score.tolist(), pivots.tolist(), strict=True) if s > 0)
-        return [(i if there else None, -s / _ONE) for s, there, i in best[:k]]
+        often, v = row[row >= 0], w[row >= 0] * _ONE
+        at, w = at[row < 0], w[row < 0]
+        cursor = at[:, None] * self.windows + np.arange(self.windows)
+        lo, hi, top = self.start[cursor], self.start[cursor + 1], self.top[cursor] * (w * _ONE)[:, None]
+        block = (v @ self.most[often] if len(often) else np.zeros(self.most.shape[1])).reshape(self.windows, -1) + slack
+        reach = block.max(axis=1) + top.sum(axis=0)
+        docs, scores = np.zeros(0, np.int64), np.zeros(0)
+        for j in range(self.windows):
+            if reach[j] < max(theta, 1.0):
+                continue
+            first = j * WINDOW
+            order = np.argsort(top[:, j], kind="stable")
+            upto = np.cumsum(top[order, j])
+            out = int(np.searchsorted(upto + block[j].max(), theta))  # so many lists and the frequent ones cannot reach theta together
+            low, lists = order[:out], order[out:]
+            sure = self._merged(lo[lists, j], hi[lists, j], w[lists], first)
+            bound = sure.reshape(-1, BLOCK) + (block[j] + (upto[out - 1] if out else 0.0))[:, None]
+            bound = bound.ravel()
+            if len(scores) < k < self.n - first:  # the likeliest documents raise theta before others are looked up
+                some = np.argpartition(-bound[: self.n - first], k)[: 2 * k]
+                theta = max(theta, -np.partition(-(sure[some] + np.rint(self.dense[np.ix_(often, some + first)] * v[:, None]).sum(axis=0)), k - 1)[k - 1])
+            pivots = np.flatnonzero(bound >= max(theta, slack + 1.0))
+            if len(pivots) and out:
+                sure = sure + self._merged(lo[low, j], hi[low, j], w[low], first)
+                pivots = pivots[sure[pivots] + block[j][pivots // BLOCK] >= theta]
+            pivots = pivots[pivots + first < self.n]
+            if not len(pivots):
+                continue
+            self.scored += len(pivots)
+            held = self.dense[np.ix_(often, pivots + first)]
+            near = sure[pivots] + v @ held + slack
+            keep = np.flatnonzero(near >= theta)  # the others need no exact sum
+            pivots = pivots[keep]
+            total = sure[pivots] + np.rint(held[:, keep] * v[:, None]).sum(axis=0)
+            docs, scores = np.concatenate([docs, pivots + first]), np.concatenate([scores, total])
+            if len(scores) >= k:
+                theta = max(theta, -np.partition(-scores, k - 1)[k - 1])
+                keep = scores >= theta
+                docs, scores = docs[keep], scores[keep]
+        best = sorted((-s, self.ids[d] is not None, self.ids[d] or 0) for s, d in zip(scores.tolist(), docs.tolist(), strict=True) if s > 0)
+        return [(i if there else None, -s / _ONE) for s, there, i in best[:k]], theta
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -214,13 +264,20 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(folder)
+        forget_kept()
+        known: dict[int, float] = {}  # query -> score of its k-th best so far: a number for each query
         for b in batches:
-            for row in b.to_pylist():
-                shard = Searcher(row, mean)
-                for q in ds.dataset(path, filesystem=store, format="parquet").to_batches(batch_size=QUERY_BLOCK):
-                    found = shard.answer(q.column("terms").to_pylist(), [np.array(x) for x in q.column("weights").to_pylist()], k)
+            for one in range(b.num_rows):
+                shard = Searcher(b.slice(one, 1).to_pylist()[0], mean)
+                for q in ds.dataset(path, filesystem=store, format="parquet").to_batches(batch_size=QUERY_BLOCK, batch_readahead=1, fragment_readahead=1, use_threads=False):
+                    ids = q.column("query_id").to_pylist()
+                    theta = [known.get(i, 0.0) for i in ids]
+                    found = shard.answer(q.column("terms").to_pylist(), [np.array(x) for x in q.column("weights").to_pylist()], k, theta)
+                    known.update(zip(ids, theta, strict=True))
                     rows = [(i, d, s) for i, f in zip(q.column("query_id").to_pylist(), found, strict=True) for d, s in f]
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())], names=["query_id", "doc_id", "score"])
+                del shard
+        forget_kept()
 
     best = index.mapInArrow(run, StructType.fromDDL("query_id long, doc_id long, score double"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id"))

@@ -138,10 +138,16 @@ _KEPT: dict[str, object] = {}
 
 
 def forget_kept() -> None:
-    """Give the memory of what this Python worker keeps back; operators that keep nothing call it when their tasks begin."""
+    """Give the memory of what this Python worker keeps back, and what it has freed; operators call it where they are done with much of it.
+
+    Where the C library has such calls, arrays of a megabyte or more are from
+    then on given back as soon as they are freed.
+    """
     _KEPT.clear()
-    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-        ctypes.CDLL(None).malloc_trim(0)
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.malloc_trim(0)
 
 
 def kept_in_worker(key: str, make: Callable[[], object]) -> object:
