@@ -21,8 +21,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from voxloom.llm.common import kept_in_worker
 
-#: Words, and parts of words (which are fewer and cost more), remembered by a Python worker before it starts over.
-CACHE_WORDS, CACHE_PARTS = 150_000, 400_000
+#: Words, and parts of words, remembered by a Python worker before it starts over.
+CACHE_WORDS, CACHE_PARTS = 200_000, 200_000
 END_ID = 1
 SIMPLE = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # without < and >, so no special mark
 #: Fixed value: the file's splitting pattern for lower-case simple words.
