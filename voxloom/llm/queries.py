@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bm25, chat, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
+from voxloom.llm import bm25, bpe, chat, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
 from voxloom.llm.common import crc_mod, documents, materialise
 
 
@@ -74,6 +74,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path("byte_bpe_50k.json")
+    back = bpe.decoded(bpe.encoded(documents(spark, sf_dir).select("doc_id", "text"), path), path)
+    ids, text = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), F.col("text").cast("binary")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(text, 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_near_dedup": op10_near_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 _SPLIT = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
