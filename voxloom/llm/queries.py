@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bm25, bpe, chat, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
+from voxloom.llm import bm25, bpe, chat, dual_tree, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
 from voxloom.llm.common import crc_mod, documents, materialise
 
 
@@ -81,6 +81,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(text, 256).alias("decoded_sha256"))
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=8, rounds=10, salt="3:")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_near_dedup": op10_near_dedup,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_centroid_clusters": op12_centroid_clusters,
 }
 
 _SPLIT = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -143,4 +148,25 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(c.leas
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op4_chat_formatting": chat.SQL, "op5_quality_rules": _measure_sql(), "op10_near_dedup": NEAR_SQL}
+def _cluster_sql(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's rounds written out, every vector against every centroid."""
+    steps = "".join(
+        f"""
+d{t} AS (SELECT r, k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{t} c USING (j) GROUP BY r, k),
+a{t} AS MATERIALIZED (SELECT r, k, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, k) AS place FROM d{t}) WHERE place = 1),"""
+        + (f"""
+m{t} AS (SELECT k, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{t} JOIN v USING (r) GROUP BY k, j),
+c{t + 1} AS MATERIALIZED (SELECT c.k, c.j, coalesce((s - (s % n + n) % n) // n, c.x) AS x FROM c{t} c LEFT JOIN m{t} USING (k, j)),""" if t < rounds else "")
+        for t in range(rounds + 1)
+    )
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (SELECT r, i AS j, CAST(floor(1024 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x FROM e, range(64) t(i)),
+c0 AS MATERIALIZED (SELECT k - 1 AS k, j, x FROM (SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id)) AS k FROM e) JOIN v USING (r) WHERE k <= {k}),{steps}
+sha AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS h FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN e USING (r) JOIN sha USING (k)
+"""
+
+
+SQL: dict[str, str] = {"op12_centroid_clusters": _cluster_sql(), "op4_chat_formatting": chat.SQL, "op5_quality_rules": _measure_sql(), "op10_near_dedup": NEAR_SQL}
