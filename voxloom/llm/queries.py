@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bm25, bpe, chat, dual_tree, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
+from voxloom.llm import align, bm25, bpe, chat, dual_tree, language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, sstable, toxicity
 from voxloom.llm.common import crc_mod, documents, materialise
 
 
@@ -85,6 +85,10 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_tree.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=8, rounds=10, salt="3:")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.linked(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _SPLIT = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
