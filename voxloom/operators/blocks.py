@@ -239,6 +239,10 @@ def fused(parts: DataFrame, places: dict[int, tuple[int, int, int]], sizes: dict
         a = a[tuple(slice(s, max(s, shape[x] - o)) for s, o, x in zip(skip, at, "zyx", strict=True))]
         return [(k, *p) for p in cut(r["image"], 0, r["c"], tuple(o + s for o, s in zip(at, skip, strict=True)), a, size)] if a.size else []
 
+    ids = list(places)
+    first = np.array([places[k] for k in ids], np.int64).reshape(-1, 3)
+    past = first + np.array([sizes[k] for k in ids], np.int64).reshape(-1, 3)
+
     def weights(k: int, lo: list[int], hi: list[int]) -> np.ndarray:
         """Of tile k over an output box inside its own."""
         (_, ny, nx), (_, sy, sx) = sizes[k], places[k]
@@ -258,11 +262,10 @@ def fused(parts: DataFrame, places: dict[int, tuple[int, int, int]], sizes: dict
             else:
                 top[at] += a.astype(np.int64) * weights(k, lo, [i + n for i, n in zip(lo, a.shape, strict=True)])
         if how != "max":
-            for k, place in places.items():
-                lo = [max(i, j) for i, j in zip(o, place, strict=True)]
-                hi = [min(i + n, j + m) for i, n, j, m in zip(o, dims, place, sizes[k], strict=True)]
-                if all(i < j for i, j in zip(lo, hi, strict=True)):
-                    low[tuple(slice(i - x, j - x) for i, j, x in zip(lo, hi, o, strict=True))] += weights(k, lo, hi)
+            end = np.add(o, dims)
+            for i in np.flatnonzero(((first < end) & (past > o)).all(axis=1)).tolist():  # tiles that meet the chunk
+                lo, hi = np.maximum(first[i], o).tolist(), np.minimum(past[i], end).tolist()
+                low[tuple(slice(a - x, b - x) for a, b, x in zip(lo, hi, o, strict=True))] += weights(ids[i], lo, hi)
             top = np.floor(top / np.maximum(low, 1)).astype(np.int64)
         return ("image", 0, c, *to, *o, *dims, np.minimum(top, U16_MAX).astype("<u2").tobytes()) if top.any() else None
 

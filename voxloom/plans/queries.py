@@ -12,7 +12,7 @@ from voxloom import derive
 from voxloom.derive import DUCK, NC, NX, NY, NZ
 from voxloom.functions import text as tx
 from voxloom.functions.numeric import truncated
-from voxloom.operators import blocks, contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
+from voxloom.operators import blocks, contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage, warp
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -491,14 +491,6 @@ def phase_corr(spark, d):
     return fuse.pair_shifts(t, overlap_pairs(spark, d), SIDE, SIDE)
 
 
-@query()
-def fuse_affine(spark, d):
-    import numpy as np
-
-    t = tile_voxels(spark, d)
-    return fuse.affine_fused(t, {k: np.array([[1, 0, 8.0 * (k % 5)], [0, 1, 8.0 * (k // 5)]]) for k in range(25)}, (42, 42), (SIDE, SIDE))
-
-
 # --- structure
 
 
@@ -646,6 +638,70 @@ def fuse_sparse_max(spark, d):
     return fused_sparse(spark, d, "max")
 
 
+WARPED_SHAPE = {"z": NZ, "y": 44, "x": 44}
+#: Backward maps of the tiles, (z, y, x) rows: place in the tile = rows @ (place in the output less the tile's corner); z of odd tiles is half a voxel off where there is a third number.
+PLANEWISE = (((1, 0, 0), (0, 1, -0.25), (0, 0.5, 1)), 0.0)
+SHEARED = (((1, 0.125, 0), (0, 1, -0.25), (0.25, 0.5, 1)), 0.5)
+BETWEEN_VOXELS = (((1, 0, 0), (0, 1, 0), (0, 0, 1)), 0.5)
+
+
+def warp_sql(back: tuple, how: str, part: float = 0.0) -> str:
+    """Tiles at 8 (+ part) voxels from each other, seen through `back`, between voxels linearly."""
+    rows, odd = back
+    at = (f"z - {odd} * (t % 2)", f"y - {8 + part} * (t % 5)", f"x - {8 + part} * (t // 5)")
+    s = ", ".join(" + ".join(f"{k}::DOUBLE * ({e})" for k, e in zip(r, at) if k) + f" AS s{a}" for r, a in zip(rows, "zyx"))
+    weight = "least(sy + 1, 10 - sy) * least(sx + 1, 10 - sx)" if how == "blend" else "1"
+    near = " * ".join(f"CASE d{a} WHEN 0 THEN 1 - (s{a} - floor(s{a})) ELSE s{a} - floor(s{a}) END" for a in "zyx")
+    i = ", ".join(f"CAST(floor(s{a}) AS INT) + d{a} AS i{a}" for a in "zyx")
+    value = "max(m)" if how == "max" else "sum(m * g) / any_value(low)"
+    return TILE_VOXELS + f""", places AS (SELECT z, y, x, t, {s} FROM range({NZ}) a(z), range(44) b(y), range(44) e(x), range(25) f(t)),
+seen AS (SELECT *, {weight} AS g FROM places WHERE sz BETWEEN 0 AND {NZ - 1} AND sy BETWEEN 0 AND 9 AND sx BETWEEN 0 AND 9),
+low AS (SELECT z, y, x, sum(g) AS low FROM seen GROUP BY 1, 2, 3),
+corners AS (SELECT z, y, x, t, g, {i}, {near} AS w FROM seen, range(2) k(dz), range(2) l(dy), range(2) m(dx)),
+each AS (SELECT v.c, q.z, q.y, q.x, q.t, any_value(q.g) AS g, sum(q.w * v.v) AS m FROM corners q JOIN tile_voxels v ON v.tile_id = q.t AND v.z = q.iz AND v.y = q.iy AND v.x = q.ix WHERE q.w > 0 GROUP BY 1, 2, 3, 4, 5)
+SELECT * FROM (SELECT c, CAST(z AS INT) AS z, CAST(y AS INT) AS y, CAST(x AS INT) AS x, CAST(floor({value} + 1e-6) AS INT) AS v FROM each JOIN low USING (z, y, x) GROUP BY 1, 2, 3, 4) WHERE v <> 0"""
+
+
+def fused_warped(spark: SparkSession, d: str, back: tuple, how: str, part: float = 0.0) -> DataFrame:
+    import numpy as np
+
+    rows, odd = back
+    maps = {}
+    for k in range(25):
+        m = np.eye(4)
+        m[:3, :3] = rows
+        maps[k] = warp.shifted((odd * (k % 2), (8 + part) * (k % 5), (8 + part) * (k // 5))) @ np.linalg.inv(m)
+    parts = blocks.tile_parts(chunked(spark, d), tile_boxes(spark, d))
+    return unchunked(warp.warped(parts, maps, dict.fromkeys(range(25), (NZ, SIDE, SIDE)), CHUNK, WARPED_SHAPE, how))
+
+
+@query(without_zeros("fuse_translation_mean"))
+def fuse_affine(spark, d):
+    parts = blocks.tile_parts(chunked(spark, d), tile_boxes(spark, d))
+    maps = {k: warp.shifted((0, 8 * (k % 5), 8 * (k // 5))) for k in range(25)}
+    return unchunked(warp.warped(parts, maps, dict.fromkeys(range(25), (NZ, SIDE, SIDE)), CHUNK, FUSED_SHAPE))
+
+
+@query(warp_sql(PLANEWISE, "mean"))
+def fuse_affine_planewise(spark, d):
+    return fused_warped(spark, d, PLANEWISE, "mean")
+
+
+@query(warp_sql(SHEARED, "blend"))
+def fuse_affine_chunks(spark, d):
+    return fused_warped(spark, d, SHEARED, "blend")
+
+
+@query(warp_sql(SHEARED, "max"))
+def fuse_affine_max(spark, d):
+    return fused_warped(spark, d, SHEARED, "max")
+
+
+@query(warp_sql(BETWEEN_VOXELS, "blend", 0.25))
+def fuse_subvoxel(spark, d):
+    return fused_warped(spark, d, BETWEEN_VOXELS, "blend", 0.25)
+
+
 @query(f"WITH {RAW} SELECT c, z, raw FROM raw_")
 def z_profile_chunks(spark, d):
     return blocks.plane_medians(chunked(spark, d), SHAPE, NC)
