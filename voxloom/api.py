@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import common_name
 from voxloom.kernels.basic import BasicParams, fit_basic
+from voxloom.kernels.graph import KINDS
 from voxloom.kernels.transforms import gaussian_2d, resampled_profile
-from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage
+from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage, warp
 from voxloom.settings import find as find_settings
 from voxloom.sources import metafiles, planes
 from voxloom.sources.files import Store
@@ -96,7 +97,9 @@ class Image:
     def open(cls, spark: SparkSession, path: str) -> Image:
         store = Store(spark)
         store.settle(f"{path}/chunks")
-        return cls(spark, path, store.read(f"{path}/attrs.json"))
+        img = cls(spark, path, store.read(f"{path}/attrs.json"))
+        img.settle_levels()
+        return img
 
     @property
     def store(self) -> Store:
@@ -163,11 +166,28 @@ class Image:
         return v.select("*", *[(F.col(a) * s[f"scale_{a}"]).alias(f"{a}_um") for a in "zyx"])
 
     def write_level(self, chunks: DataFrame, level: int) -> None:
-        """Store a level in the place of what was there of it, channels that are all zeros now included."""
-        for image in self.store.names(f"{self.path}/chunks"):
-            if image.startswith("image="):
-                self.store.delete(f"{self.path}/chunks/{image}/level={level}")
-        storage.write_chunks(chunks, f"{self.path}/chunks")
+        """Store a level in the place of what was there of it, channels that are all zeros now included. What was there goes when the new level is whole."""
+        new = f"{self.path}/chunks.level"
+        self.store.delete(new)
+        storage.write_chunks(chunks.withColumn("image", F.lit("image")).withColumn("level", F.lit(level)), new)
+        made, to, old = f"{new}/image=image/level={level}", f"{self.path}/chunks/image=image/level={level}", f"{self.path}/chunks.replaced/level={level}"
+        self.store.folder(made)  # a level of zeros has no files
+        self.store.folder(f"{self.path}/chunks/image=image")
+        self.store.folder(f"{self.path}/chunks.replaced")
+        self.store.delete(old)
+        if self.store.exists(to):
+            self.store.move(to, old)
+        self.store.move(made, to)
+        self.settle_levels()
+        self.store.delete(new)
+
+    def settle_levels(self) -> None:
+        """Drop levels that new ones have replaced; put one back whose new one did not come."""
+        replaced = f"{self.path}/chunks.replaced"
+        for name in self.store.names(replaced):
+            if not self.store.exists(to := f"{self.path}/chunks/image=image/{name}"):
+                self.store.move(f"{replaced}/{name}", to)
+        self.store.delete(replaced)
 
     def drop_levels(self, count: int) -> None:
         """Delete levels from `count` on."""
@@ -186,7 +206,7 @@ class Image:
             self.write_level(blocks.coarsened(self.chunks(k - 1), self.chunk, {"z": p["nz"], "y": p["ny"], "x": p["nx"]}, up), k)
         self.drop_levels(len(plan))
         top = plan[-1]
-        limits = blocks.contrast(self.chunks(len(plan) - 1), {"z": top["nz"], "y": top["ny"], "x": top["nx"]}, len(self.attrs["channels"]))
+        limits = blocks.contrast(self.chunks(len(plan) - 1), {"z": top["nz"], "y": top["ny"], "x": top["nx"]}, len(self.attrs["channels"]), segment=True)
         for c, (start_, end) in limits.items():
             self.attrs["channels"][c]["window"] = {"min": 0, "max": min(65535, 10 * end), "start": start_, "end": end}
         self.save_attrs()
@@ -197,7 +217,7 @@ class Image:
         sets = [{"path": str(s["level"]), "coordinateTransformations": [{"type": "scale", "scale": [1.0, s["scale_z"], s["scale_y"], s["scale_x"]]}, *move]} for s in self.levels]
         axes = [{"name": "c", "type": "channel"}, *({"name": a, "type": "space", "unit": "micrometer"} for a in "zyx")]
         channels = [{"active": True, "index": k, **c} for k, c in enumerate(self.attrs["channels"])]
-        return {"multiscales": [{"name": self.attrs.get("name", self.path.rstrip("/").rpartition("/")[2]), "axes": axes, "datasets": sets}], "omero": {"channels": channels}, "tasks": self.attrs.get("tasks", {})}
+        return {"multiscales": [{"name": self.attrs.get("name", self.path.rstrip("/").rpartition("/")[2]), "axes": axes, "datasets": sets}], "omero": {"channels": channels}, "tasks": self.attrs.get("tasks", {}), **({"acquisition_metadata": self.attrs["acquisition_metadata"]} if "acquisition_metadata" in self.attrs else {})}
 
     def record(self, task: str, parameters: dict) -> None:
         self.attrs.setdefault("tasks", {})[task] = {"version": VERSION, "parameters": {k: str(v) for k, v in parameters.items()}}
@@ -233,6 +253,19 @@ def _grid_tiles(cursor: DataFrame, positions: DataFrame, scale: dict[str, float]
     return cursor.join(positions, "tile_id").select("tile_id", *origin, F.lit(0.0).alias("z_um"), F.col("x_orig").cast("double").alias("x_orig_um"), F.col("y_orig").cast("double").alias("y_orig_um"), *size, F.lit(nz * scale["z"]).alias("len_z_um"))
 
 
+def _acquisition(r) -> dict[str, str]:
+    """How a channel was taken, by its first row of metadata."""
+    laser = "".join(x for x in r["channel"] if x.isdigit()) or r["channel"]
+    return {"label": r["label"], "excitation_wavelength": laser, "emission_wavelength": str(r["filter"]), "shutter": str(r["shutter"]), "zoom": str(r["zoom"]), "laser_intensity": str(r["intensity"])}
+
+
+def _with_acquisition(new: Image, sources: list[Image]) -> None:
+    """Give a new image what its sources know of how its channels were taken, one entry a label."""
+    known = {c["label"]: c for i in reversed(sources) for c in i.attrs.get("acquisition_metadata", {}).get("channels", [])}
+    if found := [known[c["label"]] for c in new.attrs["channels"] if c["label"] in known]:
+        new.attrs["acquisition_metadata"] = {"channels": json.loads(json.dumps(found))}
+
+
 def stacks_of(files: list[str], channels: list[str]) -> list[str]:
     """The file of each channel, by the channel's digits in the file's name; as many files as channels, else a ValueError."""
     if len(files) != len(channels):
@@ -278,6 +311,7 @@ def ingest(spark: SparkSession, folder: str, out: str, pattern: str = "", extens
     names = list(dict.fromkeys(r["channel"] for r in rows))
     by = {r["channel"]: r for r in reversed(rows)}
     img = Image(spark, path, {"shape": shape, "scale": scale, "chunk": [chunk.z, chunk.y, chunk.x], "channels": [{"wavelength_id": n, "label": by[n]["label"], "color": by[n]["color"]} for n in names]})
+    img.attrs["acquisition_metadata"] = {"channels": [_acquisition(by[n]) for n in names]}
     local = lambda f: f.removeprefix("file:")
     if extension == "h5":
         if not planes.h5_available():
@@ -367,6 +401,7 @@ def prepare_mosaic(spark: SparkSession, stores: dict[int, str | list[str]], posi
     shape = {"z": one.shape["z"], "y": one.shape["y"] * n_rows, "x": one.shape["x"] * n_cols}
     img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": json.loads(json.dumps(channels)), "levels": levels, "manifest": {"tiles": grid, "levels": one.levels}})
     store.folder(out)
+    _with_acquisition(img, next(iter(images.values())))
     img.save_attrs()
     _grid_tiles(layout.layout_cursor(positions), positions, s, shape["z"]).write.mode("overwrite").parquet(f"{out}/tiles")
     place = {r["tile_id"]: (r["y_um"], r["x_um"]) for r in img.tiles().select("tile_id", "y_um", "x_um").collect()}
@@ -511,6 +546,7 @@ def crop_regions(spark: SparkSession, path: str, regions: DataFrame, out: str, p
         tiles = tiles.withColumn("z_um", F.lit(0.0)).withColumn("len_z_um", F.lit((box["z"][1] - box["z"][0]) * s["z"]))
         new = from_chunks(spark, blocks.cropped(img.chunks(0), box, img.chunk), tiles, f"{out}/{name}", {a: box[a][1] - box[a][0] for a in "zyx"}, s, img.attrs["channels"], Size(*img.chunk), levels)
         new.attrs["crop"] = {a: list(box[a]) for a in "zyx"}
+        _with_acquisition(new, [img])
         new.record("crop_regions", {"roi": name})
         made.append(new.path)
     return made
@@ -570,7 +606,7 @@ def pruned(tiles: DataFrame, pixel: float, how: str | None) -> list[tuple[int, i
     return layout.shortest_paths(rows) if how == "shortest_paths" else layout.large_overlaps(rows) if how else [r[:2] for r in rows]
 
 
-def register_tiles(img: Image, c: int, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, on_projection: bool = True, upsample: int = 1) -> dict[int, tuple[float, float, float]]:
+def register_tiles(img: Image, c: int, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, on_projection: bool = True, upsample: int = 1, most: float = float("inf")) -> dict[int, tuple[float, float, float]]:
     """Shift (z, y, x) of every tile from its original place, in full-resolution voxels, by phase correlation of neighbours' overlaps at a level."""
     spark, s = img.spark, img.levels[level]
     ids = sorted(r[0] for r in img.tiles().select("tile_id").collect())
@@ -584,61 +620,134 @@ def register_tiles(img: Image, c: int, pruning: str | None = None, level: int =
     found = blocks.pair_shifts(images, sides, depth, upsample).where(F.col("quality") >= least_quality).collect()  # a row per pair
     up = [s[f"scale_{a}"] / img.attrs["scale"][a] for a in "zyx"]
     edges = [(r["i"], r["j"], tuple(r[f"d{a}"] * u for a, u in zip("zyx", up, strict=True)), max(r["quality"], 1e-3)) for r in found]
-    return fuse.resolve_shifts(edges, ids)
+    return fuse.resolve_shifts(edges, ids, most=most)
+
+
+def _edges(found: list, corners: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]], up: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray, float]]:
+    """(i, j, points in i, in j, weight) in full-resolution voxels: the corners of each pair's overlap, and where the pair's map puts them. Voxels of a lower level lie in the middle of those they are made of."""
+    out = []
+    for r in found:
+        p, at_i, at_j = corners[r["i"], r["j"]]
+        m = np.array(r["m"]).reshape(3, 4)
+        q = p @ m[:, :3].T + m[:, 3]
+        out.append((r["i"], r["j"], (p + at_i) * up + (up - 1) / 2, (q + at_j) * up + (up - 1) / 2, max(r["quality"], 1e-3)))
+    return out
+
 
+def _corners(nz: int, ny: int, nx: int) -> np.ndarray:
+    return np.stack(np.meshgrid(*([0.0, n - 1.0] for n in (nz, ny, nx)), indexing="ij"), axis=-1).reshape(-1, 3)
 
-def stitch(spark: SparkSession, path: str, out: str, channel: Channel, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, blend: bool = True, erase: bool = False, on_projection: bool = True, upsample: int = 1, transform: str = "translation") -> str:
-    """Register tiles by phase correlation of their overlaps (or of the overlaps' projections along z) at a level and fuse them at their true places, to the nearest voxel."""
-    if transform != "translation":
-        raise NotImplementedError(f"registration finds translations, not {transform} transforms")
+
+def register_maps(img: Image, c: int, transform: str, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, on_projection: bool = True, most: float = float("inf")) -> dict[int, np.ndarray]:
+    """A rigid, similarity or affine map (4 by 4) from every tile's voxels to the stage's, in full-resolution voxels: neighbours' overlaps are mapped on each other at a level, and all tiles' maps follow from the corners of these overlaps, without pairs that are off by more than `most` voxels."""
+    spark, s, scale = img.spark, img.levels[level], img.attrs["scale"]
+    first = {r["tile_id"]: warp.shifted((0, r["y_orig_um"] / scale["y"], r["x_orig_um"] / scale["x"])) for r in img.tiles().orderBy("tile_id").select("tile_id", "y_orig_um", "x_orig_um").collect()}
+    pairs = pruned(img.tiles(), scale["y"], pruning)
+    if not pairs:
+        return first
+    keep = spark.createDataFrame(pairs, "i int, j int")
+    rows = layout.overlap_sides(img.tiles(), s["scale_y"]).join(keep, ["i", "j"]).select("i", "j", "side", "tile_id", "y0", "y1", "x0", "x1").collect()  # two rows a pair
+    sides = spark.createDataFrame(rows, "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")
+    depth = 1 if on_projection else s["nz"]
+    images = blocks.overlap_images(_parts(img, level).where(F.col("c") == c), sides, depth, on_projection)
+    found = blocks.pair_maps(images, sides, dict.fromkeys(first, depth), transform).where(F.col("quality") >= least_quality).collect()  # a row per pair
+    up = np.array([s[f"scale_{a}"] / scale[a] for a in "zyx"])
+    at: dict[tuple, dict[int, tuple]] = {}
+    for r in rows:
+        at.setdefault((r["i"], r["j"]), {})[r["side"]] = r
+    corners = {k: (_corners(depth, x[1]["y1"] - x[1]["y0"], x[1]["x1"] - x[1]["x0"]), *(np.array([0, x[n]["y0"], x[n]["x0"]]) for n in (1, 2))) for k, x in at.items()}
+    return fuse.resolve_maps(_edges(found, corners, up), first, transform, most)
+
+
+def _placed(maps: dict[int, np.ndarray], sizes: dict[int, tuple[int, int, int]]) -> tuple[dict[int, np.ndarray], dict[str, int]]:
+    """Maps moved so that what they cover begins at 0, and the size of it."""
+    moves = warp.Moves(maps, sizes)
+    low = moves.lo.min(axis=0)
+    size = np.floor(moves.hi.max(axis=0) - low + 1e-6).astype(int) + 1
+    return {t: warp.shifted(tuple(-low)) @ m for t, m in maps.items()}, dict(zip("zyx", size.tolist(), strict=True))
+
+
+def _fused(parts: DataFrame, maps: dict[int, np.ndarray], sizes: dict[int, tuple[int, int, int]], chunk: tuple[int, int, int], shape: dict[str, int], how: str) -> DataFrame:
+    """Fusion by maps; those that shift by whole voxels need no interpolation."""
+    if all(np.array_equal(m, warp.shifted(tuple(np.rint(m[:3, 3])))) for m in maps.values()):
+        return blocks.fused(parts, {t: tuple(int(k) for k in np.rint(m[:3, 3])) for t, m in maps.items()}, sizes, chunk, shape, how)
+    return warp.warped(parts, maps, sizes, chunk, shape, how)
+
+
+def stitch(spark: SparkSession, path: str, out: str, channel: Channel, pruning: str | None = None, level: int = 0, least_quality: float = 0.0, blend: bool = True, erase: bool = False, on_projection: bool = True, upsample: int = 1, transform: str = "translation", most: float = float("inf")) -> str:
+    """Register tiles by their overlaps (or the overlaps' projections along z) at a level and fuse them where they belong, between voxels where that is not whole.
+
+    transform: `translation` by phase correlation, to 1 / upsample of a voxel of
+    that level; `rigid`, `similarity` and `affine` maps by least squares from
+    there. Pairs that are off by more than `most` voxels from what all others
+    say are left out.
+    """
+    if transform not in KINDS:
+        raise ValueError(f"transform must be one of {KINDS}")
     img = Image.open(spark, path)
-    scale = img.attrs["scale"]
-    solved = register_tiles(img, img.channel(channel), pruning, level, least_quality, on_projection, upsample)
-    rows = img.tiles().select("tile_id", F.bround(F.col("y_orig_um") / scale["y"]).cast("int").alias("oy"), F.bround(F.col("x_orig_um") / scale["x"]).cast("int").alias("ox")).collect()
-    at = {r["tile_id"]: tuple(o + round(d) for o, d in zip((0, r["oy"], r["ox"]), solved[r["tile_id"]], strict=True)) for r in rows}
-    low = [min(a[k] for a in at.values()) for k in range(3)]
-    places = {t: tuple(x - y for x, y in zip(a, low, strict=True)) for t, a in at.items()}
+    scale, c = img.attrs["scale"], img.channel(channel)
     sizes = {r["tile_id"]: (img.shape["z"], r["y1"] - r["y0"], r["x1"] - r["x0"]) for r in img.boxes().collect()}
-    shape = {a: max(p[k] + sizes[t][k] for t, p in places.items()) for k, a in enumerate("zyx")}
-    chunks = blocks.fused(_parts(img), places, sizes, img.chunk, shape, "blend" if blend else "mean")
+    if transform == "translation":
+        solved = register_tiles(img, c, pruning, level, least_quality, on_projection, upsample, most)
+        rows = img.tiles().select("tile_id", F.bround(F.col("y_orig_um") / scale["y"]).cast("int").alias("oy"), F.bround(F.col("x_orig_um") / scale["x"]).cast("int").alias("ox")).collect()
+        maps = {r["tile_id"]: warp.shifted(tuple(o + d for o, d in zip((0, r["oy"], r["ox"]), solved[r["tile_id"]], strict=True))) for r in rows}
+        if upsample == 1 and level == 0:  # shifts are means of whole ones
+            maps = {t: warp.shifted(tuple(np.rint(m[:3, 3]))) for t, m in maps.items()}
+    else:
+        maps = register_maps(img, c, transform, pruning, level, least_quality, on_projection, most)
+    maps, shape = _placed(maps, sizes)
+    chunks = _fused(_parts(img), maps, sizes, img.chunk, shape, "blend" if blend else "mean")
     new = from_chunks(spark, chunks, _one_tile(spark, shape, scale), out, shape, scale, img.attrs["channels"], Size(*img.chunk), len(img.levels))
-    new.attrs["shifts"] = {str(t): list(d) for t, d in solved.items()}
-    new.record("stitch", {"channel": channel, "pruning": pruning, "level": level})
+    if transform == "translation":
+        new.attrs["shifts"] = {str(t): list(d) for t, d in solved.items()}
+    new.attrs["maps"] = {str(t): m[:3].tolist() for t, m in maps.items()}
+    _with_acquisition(new, [img])
+    new.record("stitch", {"channel": channel, "pruning": pruning, "level": level, "transform": transform})
     if erase:
         img.store.delete(path)
     return out
 
 
-#: Voxels of a view that one task registers; views are taken from the first level that has no more.
-MOST_VIEW = 1 << 24
-
+def register_views(images: list[Image], channel: Channel, level: int | None = None, transform: str = "translation", least_quality: float = 0.0, most: float = float("inf"), upsample: int = 1) -> list[np.ndarray]:
+    """A map (4 by 4) from each view's voxels to the first's: all pairs of views are laid on each other at a level (the deepest that all have, unless given), and all views' maps follow from the graph of these pairs.
 
-def register_views(images: list[Image], channel: Channel) -> list[tuple[int, int, int]]:
-    """Place (z, y, x) of each view relative to the first, in its voxels: every view is laid on the first by phase correlation of whole volumes at a level of MOST_VIEW voxels at most."""
+    A task holds the volumes of one pair at that level.
+    """
     first, spark = images[0], images[0].spark
-    level = next((k for k, s in enumerate(first.levels) if s["nz"] * s["ny"] * s["nx"] <= MOST_VIEW), len(first.levels) - 1)
+    level = min(len(i.levels) for i in images) - 1 if level is None else level
     if any(len(i.levels) <= level for i in images):
         raise ValueError("views have different levels")
-    shapes = [i.levels[level] for i in images]
-    box = [max(s[f"n{a}"] for s in shapes) for a in "zyx"]
-    parts = None
-    for k, i in enumerate(images):
-        p = i.chunks(level).where(F.col("c") == i.channel(channel)).withColumn("tile_id", F.lit(k))
-        parts = p if parts is None else parts.unionByName(p)
-    sides = spark.createDataFrame([(0, k, side, t, 0, box[1], 0, box[2]) for k in range(1, len(images)) for side, t in ((1, 0), (2, k))], "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")
-    found = blocks.pair_shifts(blocks.overlap_images(parts, sides, box[0], project=False), sides, box[0]).collect() if len(images) > 1 else []
-    s = first.levels[level]
-    up = [s[f"scale_{a}"] / first.attrs["scale"][a] for a in "zyx"]
-    out = {r["j"]: tuple(round(r[f"d{a}"] * u) for a, u in zip("zyx", up, strict=True)) for r in found}
-    return [out.get(k, (0, 0, 0)) for k in range(len(images))]
-
-
-def fuse_images(spark: SparkSession, paths: list[str], out: str, shifts: dict[str, tuple[int, int, int]] | None = None, registration_channel: Channel | None = None, overwrite: bool = False) -> str:
+    start = {k: np.eye(4) for k in range(len(images))}
+    if len(images) < 2:
+        return [start[0]]
+    size = {k: tuple(i.levels[level][f"n{a}"] for a in "zyx") for k, i in enumerate(images)}
+    if transform == "translation":  # images of one size
+        size = dict.fromkeys(size, tuple(max(n[k] for n in size.values()) for k in range(3)))
+    parts = reduce(DataFrame.unionByName, (i.chunks(level).where(F.col("c") == i.channel(channel)).withColumn("tile_id", F.lit(k)) for k, i in enumerate(images)))
+    pairs = [(i, j) for i in range(len(images)) for j in range(i + 1, len(images))]  # of the images that were named
+    sides = spark.createDataFrame([(i, j, side, t, 0, size[t][1], 0, size[t][2]) for i, j in pairs for side, t in ((1, i), (2, j))], "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")
+    overlaps = blocks.overlap_images(parts, sides, 0, project=False)
+    good = F.col("quality") >= least_quality
+    up = np.array([first.levels[level][f"scale_{a}"] / first.attrs["scale"][a] for a in "zyx"])
+    if transform == "translation":
+        found = blocks.pair_shifts(overlaps, sides, size[0][0], upsample).where(good).collect()  # a row per pair
+        edges = [(r["i"], r["j"], tuple(np.array([r["dz"], r["dy"], r["dx"]]) * up), max(r["quality"], 1e-3)) for r in found]
+        shifts = fuse.resolve_shifts(edges, list(start), most=most)
+        return [warp.shifted(tuple(np.rint(shifts[k])) if upsample == 1 and not level else shifts[k]) for k in start]
+    found = blocks.pair_maps(overlaps, sides, {k: n[0] for k, n in size.items()}, transform).where(good).collect()  # a row per pair
+    corners = {(i, j): (_corners(*size[i]), np.zeros(3), np.zeros(3)) for i, j in pairs}
+    solved = fuse.resolve_maps(_edges(found, corners, up), start, transform, most)
+    return [solved[k] for k in range(len(images))]
+
+
+def fuse_images(spark: SparkSession, paths: list[str], out: str, shifts: dict[str, tuple[int, int, int]] | None = None, registration_channel: Channel | None = None, overwrite: bool = False, level: int | None = None, transform: str = "translation", least_quality: float = 0.0, most: float = float("inf"), upsample: int = 1) -> str:
     """Several images into one: with a registration channel as views of one object (mean where they overlap), else as channels, one label each.
 
     Views lie where `shifts` says (by path); without it they are registered on
-    the channel.
+    the channel (see `register_views`).
     """
+    if transform not in KINDS:
+        raise ValueError(f"transform must be one of {KINDS}")
     store = Store(spark)
     if store.exists(out):
         if not overwrite:
@@ -650,13 +759,12 @@ def fuse_images(spark: SparkSession, paths: list[str], out: str, shifts: dict[st
         labels = [sorted(c["label"] for c in i.attrs["channels"]) for i in images]
         if any(x != labels[0] for x in labels):
             raise ValueError("views have different channels")
-        moves = [shifts.get(p, (0, 0, 0)) for p in paths] if shifts is not None else register_views(images, registration_channel)
+    if views and shifts is None:
+        moves = register_views(images, registration_channel, level, transform, least_quality, most, upsample)
     else:
-        moves = [(shifts or {}).get(p, (0, 0, 0)) for p in paths]
-    low = [min(0, *(m[k] for m in moves)) for k in range(3)]
-    places = {k: tuple(x - y for x, y in zip(m, low, strict=True)) for k, m in enumerate(moves)}
+        moves = [warp.shifted((shifts or {}).get(p, (0, 0, 0))) for p in paths]
     sizes = {k: tuple(i.shape[a] for a in "zyx") for k, i in enumerate(images)}
-    shape = {a: max(places[k][n] + sizes[k][n] for k in places) for n, a in enumerate("zyx")}
+    maps, shape = _placed(dict(enumerate(moves)), sizes)
     parts, channels = None, []
     for k, i in enumerate(images):
         if views:
@@ -670,9 +778,11 @@ def fuse_images(spark: SparkSession, paths: list[str], out: str, shifts: dict[st
             continue
         p = i.chunks(0).where(F.col("c").isin(list(to))).withColumn("c", F.create_map(*[F.lit(x) for kv in to.items() for x in kv])[F.col("c")]).withColumn("tile_id", F.lit(k))
         parts = p if parts is None else parts.unionByName(p)
-    chunks = blocks.fused(parts, places, sizes, first.chunk, shape, "mean" if views else "max")
+    chunks = _fused(parts, maps, sizes, first.chunk, shape, "mean" if views else "max")
     img = from_chunks(spark, chunks, first.tiles(), out, shape, first.attrs["scale"], channels, Size(*first.chunk), len(first.levels))
-    img.attrs["places"] = [list(places[k]) for k in range(len(images))]
+    img.attrs["places"] = [maps[k][:3, 3].tolist() for k in range(len(images))]
+    img.attrs["maps"] = [maps[k][:3].tolist() for k in range(len(images))]
+    _with_acquisition(img, images)
     img.record("fuse_images", {"paths": paths})
     return out
 
@@ -695,6 +805,9 @@ def modify_structure(spark: SparkSession, path: str, name: str | None = None, ch
     if want != len(img.levels) or bad:
         img.build(want, start=max(1, min(bad, default=want)))
     for k, c in enumerate(channels or []):
+        for taken in img.attrs.get("acquisition_metadata", {}).get("channels", []):
+            if taken["label"] == img.attrs["channels"][k]["label"]:
+                taken["label"] = c.get("label", taken["label"])
         img.attrs["channels"][k] |= {x: c[x] for x in ("label", "color", "wavelength_id") if x in c}
     if name:
         img.attrs["name"] = name

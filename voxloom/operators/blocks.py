@@ -424,6 +424,35 @@ def pair_shifts(images: DataFrame, sides: DataFrame, depth: int = 1, upsample: i
     return t.mapInArrow(run, "i int, j int, dz double, dy double, dx double, quality double")
 
 
+def pair_maps(images: DataFrame, sides: DataFrame, depth: dict[int, int], kind: str) -> DataFrame:
+    """(i, j, m, quality) of `overlap_images`: the map of a kind from places in side 1 to places in side 2 (12 numbers, row by row) and how alike they then are. depth: planes of each tile's images. A group is one pair's overlap."""
+    from voxloom.kernels.register import map_between
+
+    boxes = {(r["i"], r["j"], r["side"]): (depth[r["tile_id"]], r["y1"] - r["y0"], r["x1"] - r["x0"]) for r in sides.collect()}  # two rows a pair
+    schema = "i int, j int, m array<double>, quality double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, pair = None, None
+
+        def out() -> pa.RecordBatch:
+            m, q = map_between(*pair, kind)
+            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int32()) for k in now), pa.array([m[:3].ravel().tolist()]), pa.array([q])], names=["i", "j", "m", "quality"])
+
+        for b in batches:
+            for r in b.to_pylist():
+                if (key := (r["i"], r["j"])) != now:
+                    if now is not None:
+                        yield out()
+                    now, pair = key, [np.zeros(boxes[(*key, side)], np.uint16) for side in (1, 2)]
+                at = tuple(slice(r[k], r[k] + r[f"n{k}"]) for k in "zyx")
+                place = pair[r["side"] - 1][at]
+                np.maximum(place, block(r), out=place)
+        if now is not None:
+            yield out()
+
+    return images.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(run, schema)
+
+
 def box_mask(spark: SparkSession, boxes: list[dict[str, tuple[int, int]]], size: tuple[int, int, int], shape: dict[str, int]) -> DataFrame:
     """Label chunks: 1 inside any of the boxes (half-open, z y x), which are few. Only chunks that meet a box are made, each in its task."""
     cells = sorted({(z, y, x) for b in boxes for z in _span(b["z"], size[0]) for y in _span(b["y"], size[1]) for x in _span(b["x"], size[2])})

@@ -18,13 +18,18 @@ def ordered_ends(crops: DataFrame) -> DataFrame:
 
 
 def snapped_to_tiles(crops: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Crop ends moved to the next tile edge inside where what is cut of a tile is less than the tiles' overlap.
+    """Crop ends moved to the next tile edge inside where what is cut of a tile is less than the tiles' overlap: its length less step_y (step_x) where that is given, else less the first step between original places.
 
     The tile table is small (stage positions); it is broadcast against the crops.
     """
     crops = ordered_ends(crops)
     for a in "yx":
-        starts = tiles.select(F.col(f"{a}_um").alias("t"), F.col(f"len_{a}_um").alias("len"), (F.col(f"len_{a}_um") - F.coalesce(F.col(f"step_{a}"), F.col(f"len_{a}_um"))).alias("lap")).distinct() if f"step_{a}" in tiles.columns else tiles.select(F.col(f"{a}_um").alias("t"), F.col(f"len_{a}_um").alias("len"), F.lit(0.0).alias("lap")).distinct()
+        length, step = F.col(f"len_{a}_um"), F.col(f"step_{a}") if f"step_{a}" in tiles.columns else F.lit(None)
+        t = tiles.select(F.col(f"{a}_um").alias("t"), length.alias("len"), step.cast("double").alias("step"), *([f"{a}_orig_um"] if f"{a}_orig_um" in tiles.columns else []))
+        if f"{a}_orig_um" in tiles.columns:  # tiles of a row (column) are as far apart as its first two
+            places = tiles.select(F.array_sort(F.collect_set(f"{a}_orig_um")).alias("p")).select((F.try_element_at("p", F.lit(2)) - F.col("p")[0]).alias("second"))
+            t = t.join(F.broadcast(places), F.lit(True)).withColumn("step", F.coalesce("step", "second"))  # one row
+        starts = t.select("t", "len", (F.col("len") - F.coalesce("step", "len")).alias("lap")).distinct()
         j = crops.join(F.broadcast(starts), F.lit(True))
         keep = crops.columns
         s = F.min(F.when((F.col("t") > F.col(f"{a}_start")) & (F.col("t") - F.col(f"{a}_start") < F.col("lap")), F.col("t")))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.numeric import truncated
+from voxloom.kernels import graph
 from voxloom.kernels.phasecorr import shift_between
 
 
@@ -50,26 +51,25 @@ def pair_shifts(tile_images: DataFrame, pairs: DataFrame, height: int, width: in
     return left.union(right).groupBy("i", "j").applyInPandas(one, "i int, j int, dy int, dx int, quality double")
 
 
-def resolve_shifts(edges: list[tuple[int, int, tuple[float, ...], float]], tiles: list[int], axes: int = 3) -> dict[int, tuple[float, ...]]:
-    """Shift of each tile from pair shifts (i, j, shift, weight): weighted least squares, the first tile of each connected group fixed at 0."""
-    at = {t: k for k, t in enumerate(tiles)}
+def resolve_shifts(edges: list[tuple[int, int, tuple[float, ...], float]], tiles: list[int], axes: int = 3, most: float = float("inf")) -> dict[int, tuple[float, ...]]:
+    """Shift of each tile from pair shifts (i, j, shift, weight): sparse weighted least squares, the first tile of each connected group fixed at 0; pairs that miss it by more than `most` are left out, worst first."""
     if not edges:
         return dict.fromkeys(tiles, (0.0,) * axes)
-    a, b = np.zeros((len(edges), len(tiles))), np.zeros((len(edges), axes))
-    for k, (i, j, d, w) in enumerate(edges):
-        s = max(w, 1e-6) ** 0.5
-        a[k, at[j]], a[k, at[i]], b[k] = s, -s, np.array(d) * s
-    x = np.linalg.lstsq(a, b, rcond=None)[0]
-    group: dict[int, int] = {t: t for t in tiles}
-
-    def top(t: int) -> int:
-        while group[t] != t:
-            t = group[t]
-        return t
-
-    for i, j, *_ in edges:
-        group[max(top(i), top(j))] = min(top(i), top(j))
-    return {t: tuple((x[at[t]] - x[at[top(t)]]).tolist()) for t in tiles}
+    at = {t: k for k, t in enumerate(tiles)}
+    i, j = (np.array([at[e[k]] for e in edges]) for k in (0, 1))
+    x, _ = graph.robust(len(tiles), i, j, np.array([e[2] for e in edges], float), np.maximum([e[3] for e in edges], 1e-6), most)
+    return {t: tuple((x[k] + 0.0).tolist()) for t, k in at.items()}
+
+
+def resolve_maps(edges: list[tuple[int, int, np.ndarray, np.ndarray, float]], first: dict[int, np.ndarray], kind: str, most: float = float("inf")) -> dict[int, np.ndarray]:
+    """A map of a kind for each tile from pairs (i, j, points in i, the same points in j, weight); `first` are the maps to start from, and the first tile of each connected group keeps its own."""
+    tiles = list(first)
+    if not edges:
+        return dict(first)
+    at = {t: k for k, t in enumerate(tiles)}
+    i, j = (np.array([at[e[k]] for e in edges]) for k in (0, 1))
+    maps, _ = graph.resolved_maps(len(tiles), i, j, np.array([e[2] for e in edges]), np.array([e[3] for e in edges]), np.maximum([e[4] for e in edges], 1e-6), kind, np.array([first[t] for t in tiles]), most)
+    return {t: maps[k] for t, k in at.items()}
 
 
 def lifted(affine: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.numeric import gained_value
+from voxloom.kernels import graph
 from voxloom.operators.layout import overlap_pairs, overlap_sides
 
 SIGMA, RADIUS = 15.0, 60
@@ -48,27 +49,17 @@ def gain_edges(stats: DataFrame, planes: int, least: float = 0.1) -> DataFrame:
 def solve_gains(edges: list[tuple[int, int, float]], tiles: list[int]) -> dict[int, float]:
     """Multiplier of each tile: least squares of log g_i - log g_j - log gain_ij, largest 1 in every connected group.
 
-    Linear in the logarithms, so solved directly; a tile without neighbours has 1.
+    Linear in the logarithms, so solved over the edges alone; a tile without neighbours has 1.
     """
     at = {t: k for k, t in enumerate(tiles)}
-    group = list(range(len(tiles)))
-
-    def top(k: int) -> int:
-        while group[k] != k:
-            group[k] = group[group[k]]
-            k = group[k]
-        return k
-
-    for i, j, _ in edges:
-        group[max(top(at[i]), top(at[j]))] = min(top(at[i]), top(at[j]))
-    a = np.zeros((len(edges), len(tiles)))
-    for k, (i, j, _) in enumerate(edges):
-        a[k, at[i]], a[k, at[j]] = 1, -1
-    g = np.exp(np.linalg.lstsq(a, np.log([e[2] for e in edges]), rcond=None)[0]) if edges else np.ones(len(tiles))
-    peak: dict[int, float] = {}
-    for k in range(len(tiles)):
-        peak[top(k)] = max(peak.get(top(k), 0.0), g[k])
-    return {t: float(g[k] / peak[top(k)]) for t, k in at.items()}
+    if not edges:
+        return dict.fromkeys(tiles, 1.0)
+    i, j = (np.array([at[e[k]] for e in edges]) for k in (0, 1))
+    g = graph.solved(len(tiles), i, j, -np.log([[e[2]] for e in edges]), np.ones(len(edges)))[:, 0]
+    group = graph.components(len(tiles), i, j)
+    peak = np.full(len(tiles), -np.inf)
+    np.maximum.at(peak, group, g)
+    return {t: float(np.exp(g[k] - peak[group[k]])) for t, k in at.items()}
 
 
 def gains(edges: DataFrame, tiles: DataFrame) -> DataFrame:

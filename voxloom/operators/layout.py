@@ -81,8 +81,10 @@ def axis_aligned(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
 def shortest_paths(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
     """Pairs (i, j) that lie on the shortest paths from a reference tile to all others, of pairs (i, j, oy, ox); a step costs less the more its tiles overlap.
 
-    The reference is the tile whose farthest tile is nearest. Each connected
-    group has one of its own. Pairs are neighbours, so they are few.
+    The reference lies in the middle of a longest way: that from the tile
+    farthest from the least one to the tile farthest from it, two walks at any
+    size. Each connected group has one of its own. Pairs are neighbours, so
+    they are few.
     """
     import heapq
 
@@ -92,25 +94,31 @@ def shortest_paths(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, in
         near.setdefault(i, []).append((j, cost))
         near.setdefault(j, []).append((i, cost))
 
-    def tree(start: int) -> tuple[float, dict[int, int]]:
-        far, by, todo, done = 0.0, {}, [(0.0, start, start)], set()
+    def tree(start: int) -> tuple[dict[int, float], dict[int, int]]:
+        """(length of the shortest path, the tile before) of each tile that start reaches, nearest first."""
+        far, by, todo = {}, {}, [(0.0, start, start)]
         while todo:
             d, t, before = heapq.heappop(todo)
-            if t in done:
+            if t in by:
                 continue
-            done.add(t)
-            far, by[t] = d, before
+            far[t], by[t] = d, before
             for k, c in near[t]:
-                if k not in done:
+                if k not in by:
                     heapq.heappush(todo, (d + c, k, t))
         return far, by
 
     left, out = set(near), []
     while left:
-        group = tree(min(left))[1]
-        by = min((tree(t) for t in sorted(group)), key=lambda x: x[0])[1] if len(group) <= 512 else group
+        end = lambda far: max(far, key=lambda t: (far[t], -t))
+        one = end(tree(min(left))[0])
+        far, by = tree(one)
+        way = [other := end(far)]
+        while way[-1] != one:
+            way.append(by[way[-1]])
+        middle = min(way, key=lambda t: (max(far[t], far[other] - far[t]), t))
+        by = tree(middle)[1]
         out += [(min(t, p), max(t, p)) for t, p in by.items() if t != p]
-        left -= set(group)
+        left -= set(by)
     return sorted(out)
 
 

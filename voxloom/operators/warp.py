@@ -20,12 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from voxloom.kernels.sample import NEAR, between, inside, places
 from voxloom.operators.blocks import MOST_TILES, PARTS, _mapped
 from voxloom.operators.storage import _rows, block
 from voxloom.schemas import CHUNKS, U16_MAX
 
-#: Places this near to a voxel or to a tile's edge are on it.
-NEAR = 1e-6
 Map = np.ndarray
 
 
@@ -73,47 +72,13 @@ class Moves:
         return np.clip(np.floor(a - NEAR), 0, self.sizes[k]).astype(int), np.clip(np.floor(b + NEAR) + 2, 0, self.sizes[k]).astype(int)
 
 
-def _places(back: Map, z: int, y: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-    """Where an output plane's voxels lie in a tile; whole places are whole. Axes that a coordinate does not depend on are left narrow."""
-    out = []
-    for r in back[:3]:
-        s = np.full((1, 1), r[0] * z + r[3])
-        if r[1]:
-            s = s + r[1] * y[:, None]
-        if r[2]:
-            s = s + r[2] * x[None]
-        whole = np.rint(s)
-        out.append(np.where(np.abs(s - whole) < NEAR, whole, s))
-    return out
-
-
-def _between(a: np.ndarray, origin: np.ndarray, size: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
-    """Values at places of a tile of `size`, of its voxels `a` from `origin` on, which hold what the places need."""
-    below, rest = [], []
-    for s, o, n, m in zip(places, origin, size, a.shape, strict=True):
-        i = np.floor(np.clip(s, 0, n - 1)).astype(np.int64)
-        rest.append(np.clip(s, 0, n - 1) - i)
-        below.append((np.clip(i - o, 0, m - 1), np.clip(np.minimum(i + 1, n - 1) - o, 0, m - 1)))
-    out = np.zeros(())
-    for corner in np.ndindex(2, 2, 2):
-        w = np.ones(())
-        for f, up in zip(rest, corner, strict=True):
-            w = w * (f if up else 1 - f)
-        if w.any():
-            out = out + w * a[tuple(i[up] for i, up in zip(below, corner, strict=True))]
-    return out
-
-
-def _weight(places: list[np.ndarray], size: np.ndarray, blend: bool) -> np.ndarray:
+def _weight(at: list[np.ndarray], size: np.ndarray, blend: bool) -> np.ndarray:
     """0 outside the tile; else 1, or the distance past the nearer edges in y and x."""
-    inside = np.ones(())
-    for s, n in zip(places, size, strict=True):
-        inside = inside * ((s >= -NEAR) & (s <= n - 1 + NEAR))
-    if not blend:
-        return inside
-    for s, n in zip(places[1:], size[1:], strict=True):
-        inside = inside * np.minimum(s + 1, n - s)
-    return inside
+    w = inside(at, size)
+    if blend:
+        for s, n in zip(at[1:], size[1:], strict=True):
+            w = w * np.minimum(s + 1, n - s)
+    return w
 
 
 def warped(parts: DataFrame, maps: dict[int, Map], sizes: dict[int, tuple[int, int, int]], size: tuple[int, int, int], shape: dict[str, int], how: str = "mean") -> DataFrame:
@@ -160,14 +125,14 @@ def warped(parts: DataFrame, maps: dict[int, Map], sizes: dict[int, tuple[int, i
                 continue
             s_lo, s_hi = moves.source(k, o, last)
             a = np.zeros(np.maximum(s_hi - s_lo, 0), np.uint16)
-            for at, p in own:
-                a[tuple(slice(i, i + m) for i, m in zip(np.array(at) - s_lo, p.shape, strict=True))] = p
+            for corner, p in own:
+                a[tuple(slice(i, i + m) for i, m in zip(np.array(corner) - s_lo, p.shape, strict=True))] = p
             for z in range(dims[0]):
-                places = _places(moves.back[k], int(o[0]) + z, y, x)
-                w = _weight(places, n, how == "blend")
+                at = places(moves.back[k], int(o[0]) + z, y, x)
+                w = _weight(at, n, how == "blend")
                 if not w.any():
                     continue
-                v = _between(a, s_lo, n, places) if own else 0.0
+                v = between(a, s_lo, n, at) if own else 0.0
                 if how == "max":
                     np.maximum(top[z], v * w, out=top[z])
                 else:
