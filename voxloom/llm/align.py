@@ -22,6 +22,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from voxloom.llm.common import kept_in_worker, materialise
 #: Bytes of text of a block; one longer text is a block of its own.
 BLOCK = 1 << 24
 #: Pieces between spaces that a Python worker remembers, and the letters of the longest one.
-CACHE, CACHE_LETTERS = 200_000, 64
+CACHE, CACHE_LETTERS = 400_000, 64
 PIECES = re.compile(" +[^ ]*")
 #: Fixed value: the letter that stands for a space in piece vocabularies.
 SPACE = "▁"
@@ -65,7 +67,7 @@ class PieceEncoder:
             self.known = {p: self.known[p] for p in {*there.difference(new), " "}}
         known, order, spell = self.known, list(new), self.bytes_of.__getitem__
         for p, ids in zip(order, self.model.encode([p[1:] for p in order], num_threads=1), strict=True):
-            known[p] = np.array(ids, "<i4").tobytes() if b"".join(map(spell, ids)) == p.encode() else None
+            known[p] = pack(f"<{len(ids)}i", *ids) if b"".join(map(spell, ids)) == p.encode() else None
         out = []
         for ps in cut:
             ids = [known[p] for p in ps]
@@ -97,6 +99,8 @@ class Aligner:
         sizes = self.a.merges.size_of
         self.size_a = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
         self.size_b = np.array([len(x) for x in self.b.bytes_of])
+        if max(len(self.size_a), len(self.size_b)) > 1 << 18:
+            raise ValueError("vocabularies of more than 2 ** 18 ids")
 
     def align(self, texts: list[str | None]) -> Alignment:
         none = np.zeros(0, np.int32)
@@ -120,6 +124,15 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return kept_in_worker(f"align {path_a} {path_b}", lambda: Aligner(path_a, path_b))
 
 
+@cache
+def _decimals(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of all numbers of up to `width` digits with room for a mark behind, and which of these places a number uses."""
+    n = np.arange(10**width)
+    tens = [10**k for k in reversed(range(width))]
+    digits = np.stack([*((n // t % 10 + ord("0")) for t in tens), 0 * n], axis=1).astype(np.uint8)
+    return digits, np.stack([*((n >= t) | (t == 1) for t in tens), n >= 0], axis=1)
+
+
 def spelled(x: Alignment) -> list[bytes]:
     """Each text's groups as `a1,a2|b1;a3|b2,b3`, without a Python object per token."""
     n, m = len(x.a), len(x.b)
@@ -130,13 +143,9 @@ def spelled(x: Alignment) -> list[bytes]:
     order = np.argsort(key, kind="stable")
     key, number = key[order], np.concatenate([x.a, x.b])[order].astype(np.int64)
     mark = np.where(np.append(key[1:] == key[:-1], False), ord(","), np.where(key % 2 == 0, ord("|"), ord(";"))).astype(np.uint8)
-    width = len(str(int(number.max())))
-    chars, used = np.empty((len(number), width + 1), np.uint8), np.ones((len(number), width + 1), bool)
-    for k in range(width):
-        tens = 10 ** (width - 1 - k)
-        chars[:, k] = number // tens % 10 + ord("0")
-        used[:, k] = (number >= tens) | (tens == 1)
-    chars[:, width] = mark
+    digits, shown = _decimals(len(str(int(number.max()))))
+    chars, used = digits[number], shown[number]
+    chars[:, -1] = mark
     data, ends = chars[used].tobytes(), np.concatenate([[0], np.cumsum(used.sum(axis=1))])[x.ends["a"] + x.ends["b"]]
     return [data[i : max(i, j - 1)] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -183,7 +192,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
             return pa.RecordBatch.from_arrays(cols, names=schema.names)
 
         for batch in batches:
-            for i, texts in bpe.text_steps(batch.column("text")):
+            for i, texts in bpe.text_steps(batch.column("text"), 1 << 21):
                 x = it.align(texts)
                 n = {k: np.diff(e) for k, e in x.ends.items()}
                 keys.append(batch.column("key").slice(i, len(texts)))
@@ -191,12 +200,12 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
                 digests += [hashlib.sha256(s).hexdigest() if k else "" for s, k in zip(spelled(x), n["a"], strict=True)]
                 pair = x.a[x.links_a] * wide + x.b[x.links_b]
                 of = np.repeat(np.arange(len(texts)), n["links"])
-                by = np.lexsort((pair, of))
-                pair, of = pair[by], of[by]
-                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(by)), bool), (pair[1:] != pair[:-1]) | (of[1:] != of[:-1])]))
-                pairs.append(pair[first])
-                times.append(np.diff(np.append(first, len(by))))
-                ends.append(np.bincount(of[first], minlength=len(texts)))
+                both = of << np.int64(36) | pair  # pairs of ids stay below 2 ** 36, texts of a step below 2 ** 27
+                both.sort()
+                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(both)), bool), both[1:] != both[:-1]]))
+                pairs.append(both[first] & ((1 << 36) - 1))
+                times.append(np.diff(np.append(first, len(both))))
+                ends.append(np.bincount(both[first] >> np.int64(36), minlength=len(texts)))
                 held += int(n["bytes"].sum())
                 if held >= size:
                     yield row()
