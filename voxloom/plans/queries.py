@@ -144,17 +144,21 @@ def pyramid_l2(spark, d):
     return pyramid.pyramid(derive.voxels(spark, d), SHAPE, [HALVE, HALVE])[2][0]
 
 
-@query("""WITH RECURSIVE p AS (SELECT 0 AS level, 1.0e0 AS scale_z, 4.0e0 AS scale_yx, 640 AS nz, 5400 AS nyx UNION ALL
-SELECT level + 1, CASE WHEN scale_z < scale_yx THEN scale_z * 2 ELSE scale_z END, scale_yx * 2, CASE WHEN scale_z < scale_yx THEN (nz + 1) // 2 ELSE nz END, (nyx + 1) // 2 FROM p WHERE level < 4)
-SELECT level, scale_z, scale_yx AS scale_y, scale_yx AS scale_x, CASE WHEN level < 4 AND scale_z < scale_yx THEN 2 ELSE 1 END AS factor_z, CASE WHEN level < 4 THEN 2 ELSE 1 END AS factor_yx, CAST(nz AS INT) AS nz, CAST(nyx AS INT) AS ny, CAST(nyx AS INT) AS nx FROM p""", views=False)
+#: An image with as many planes as suppliers, and as many rows and columns as orders.
+PLAN = """WITH RECURSIVE p AS (SELECT 0 AS level, 1.0e0 AS scale_z, 4.0e0 AS scale_yx, (SELECT count(*) FROM supplier) AS nz, (SELECT count(*) FROM orders) AS nyx UNION ALL
+SELECT level + 1, CASE WHEN scale_z < scale_yx THEN scale_z * 2 ELSE scale_z END, scale_yx * 2, CASE WHEN scale_z < scale_yx THEN (nz + 1) // 2 ELSE nz END, (nyx + 1) // 2 FROM p WHERE level < 4)"""
+
+
+@query(PLAN + """ SELECT level, scale_z, scale_yx AS scale_y, scale_yx AS scale_x, CASE WHEN level < 4 AND scale_z < scale_yx THEN 2 ELSE 1 END AS factor_z, CASE WHEN level < 4 THEN 2 ELSE 1 END AS factor_yx, CAST(nz AS INT) AS nz, CAST(nyx AS INT) AS ny, CAST(nyx AS INT) AS nx FROM p""", views=False)
 def pyramid_plan(spark, d):
-    return pyramid.pyramid_plan(spark, {"z": 640, "y": 5400, "x": 5400}, {"z": 1.0, "y": 4.0, "x": 4.0}, 5)
+    side = derive.table(spark, d, "orders").count()
+    return pyramid.pyramid_plan(spark, {"z": derive.table(spark, d, "supplier").count(), "y": side, "x": side}, {"z": 1.0, "y": 4.0, "x": 4.0}, 5)
 
 
-@query("""WITH l(level, scale_z, scale_y) AS (VALUES (0, 1.0e0, 4.0e0), (1, 2.0e0, 8.0e0), (2, 4.0e0, 16.0e0), (3, 4.0e0, 32.0e0))
+@query(PLAN + """, l AS (SELECT level, scale_z, scale_yx AS scale_y FROM p)
 SELECT level, CAST(coalesce(floor(lead(scale_z) OVER (ORDER BY level) / scale_z), 1) AS INT) AS factor_z, CAST(coalesce(floor(lead(scale_y) OVER (ORDER BY level) / scale_y), 1) AS INT) AS factor_yx FROM l""", views=False)
 def pyramid_structure(spark, d):
-    return pyramid.structure(spark.createDataFrame([(0, 1.0, 4.0), (1, 2.0, 8.0), (2, 4.0, 16.0), (3, 4.0, 32.0)], "level int, scale_z double, scale_y double"))
+    return pyramid.structure(pyramid_plan(spark, d).select("level", "scale_z", "scale_y"))
 
 
 def contrast_sql(extra: str) -> str:
@@ -177,11 +181,12 @@ def display_window(spark, d):
     return contrast.window_of(contrast.contrast(derive.voxels(spark, d))).select("c", "min", "max")
 
 
-LABELS = "labels_ AS (SELECT z, y, x, CAST(v % 7 AS INT) AS v FROM voxels WHERE c = 0)"
+#: Labels of all channels, one after the other along z.
+LABELS = f"labels_ AS (SELECT z + {NZ} * c AS z, y, x, CAST(v % 7 AS INT) AS v FROM voxels)"
 
 
 def labels_(spark: SparkSession, d: str) -> DataFrame:
-    return derive.voxels(spark, d).where("c = 0").select("z", "y", "x", (F.col("v") % 7).cast("int").alias("v"))
+    return derive.voxels(spark, d).select((F.col("z") + NZ * F.col("c")).alias("z"), "y", "x", (F.col("v") % 7).cast("int").alias("v"))
 
 
 @query(f"WITH {LABELS} SELECT CAST(z AS INT) AS z, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, max(v) AS v FROM labels_ GROUP BY 1, 2, 3")
@@ -191,7 +196,7 @@ def label_downscale_max(spark, d):
 
 @query(f"WITH {LABELS} SELECT CAST(z AS INT) AS z, CAST(y * 2 + a AS INT) AS y, CAST(x * 2 + b AS INT) AS x, v FROM labels_, range(2) r(a), range(2) q(b)")
 def label_upscale(spark, d):
-    return pyramid.label_upscale(labels_(spark, d), {"y": 2, "x": 2}, {"z": NZ, "y": 2 * NY, "x": 2 * NX})
+    return pyramid.label_upscale(labels_(spark, d), {"y": 2, "x": 2}, {"z": NC * NZ, "y": 2 * NY, "x": 2 * NX})
 
 
 # --- illumination
@@ -348,17 +353,18 @@ def basic_fit(spark, d):
 
 # --- metadata
 
-META = [
-    ("a_meta.txt", k, line)
-    for k, line in enumerate(
-        [x for laser, f, place in (("640 nm", "647LP", 4), ("561 nm", "562LP", 9)) for x in ("[Metadata for file] /data/a.tiff", f"[Laser] {laser}", "[Intensity (%)] 55", "[Zoom] 20x_sr", "[Pixelsize in um] 1.5", f"[Filter] {f} wide", "[Shutter] Right", f"[x_pos] {place}", "[y_pos] 3", "[f_start] 1", "[z_stepsize] 2", "[z_planes] 12", "[x_pixels] 4", "[y_pixels] 3", "")]
-    )
-]
-META_SQL = "meta(path, line_no, line) AS (VALUES " + ", ".join(f"('{p}', {k}, '{x}')" for p, k, x in META) + ")"
+#: A block of lines for every supplier, a file for every nation of suppliers; expressions that both engines read.
+BLOCK = [
+    "'[Metadata for file] /data/' || s_name || '.tiff'", "'[Laser] ' || CASE s_suppkey % 2 WHEN 0 THEN '640' ELSE '561' END || ' nm'", "'[Intensity (%)] ' || (5 + s_suppkey % 90)", "'[Zoom] 20x_' || s_suppkey",
+    "'[Pixelsize in um] 1.5'", "'[Filter] ' || CASE s_suppkey % 2 WHEN 0 THEN '647LP' ELSE '562LP' END || ' wide'", "'[Shutter] ' || CASE s_suppkey % 3 WHEN 0 THEN 'Left' ELSE 'Right' END", "'[x_pos] ' || (4 + s_suppkey)", "'[y_pos] 3'",
+    "'[f_start] 1'", "'[z_stepsize] 2'", "'[z_planes] ' || (12 + s_suppkey % 5)", "'[x_pixels] 4'", "'[y_pixels] 3'", "''",
+]
+META = " UNION ALL ".join(f"SELECT 'n' || s_nationkey || '_meta.txt' AS path, CAST({len(BLOCK)} * s_suppkey + {k} AS INT) AS line_no, {x} AS line FROM supplier" for k, x in enumerate(BLOCK))
+META_SQL = f"meta AS ({META})"
 
 
-def meta_lines(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(META, "path string, line_no int, line string")
+def meta_lines(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(META.replace("FROM supplier", "FROM {t}"), t=derive.table(spark, d, "supplier"))
 
 
 @query(f"""WITH {META_SQL}, k AS (SELECT path, line_no, replace(replace(replace(replace(lower(trim(line)), '[', ''), ']', ''), ' (%)', ''), ' in um', '') AS l FROM meta WHERE line <> ''),
@@ -369,7 +375,7 @@ max(value) FILTER (key = 'pixelsize')::DOUBLE AS x_scale, max(value) FILTER (key
 max(value) FILTER (key = 'x_pixels')::INT AS x_n_pixels, max(value) FILTER (key = 'y_pixels')::INT AS y_n_pixels, max(value) FILTER (key = 'z_planes')::INT AS z_n_pixels FROM b GROUP BY 1, 2)
 SELECT CAST(row_number() OVER (ORDER BY path, block) - 1 AS INT) AS row, channel, CASE WHEN first(intensity) OVER (ORDER BY path, block) > 1 THEN intensity / 100 ELSE intensity END AS intensity, zoom, filter, shutter, x_scale, x_scale AS y_scale, z_scale, x_pos, y_pos, z_n_pixels, y_n_pixels AS x_n_pixels, x_n_pixels AS y_n_pixels FROM t""", views=False)
 def meta_parse(spark, d):
-    return metadata.checked_pixels(metadata.require(metadata.acquisition_table(meta_lines(spark)))).withColumn("row", F.col("row").cast("int"))
+    return metadata.checked_pixels(metadata.require(metadata.acquisition_table(meta_lines(spark, d)))).withColumn("row", F.col("row").cast("int"))
 
 
 SETTINGS = [("640", "far red", "640", "FF0000"), ("561", "red", "561", "00FF00"), ("488", "green", "488", "0000FF")]
@@ -407,16 +413,17 @@ def exclusion_flags(spark, d):
     return metadata.flagged(t, {"640": [0, 2], "488": [1]})
 
 
-@query("SELECT CAST(row_number() OVER (ORDER BY s, i) - 1 AS INT) AS index, label, w AS wavelength_id FROM (SELECT label, min(ROW(s, i, w)) AS m, min(s) AS s, arg_min(i, s * 10 + i) AS i, arg_min(w, s * 10 + i) AS w FROM (VALUES (0, 0, 'red', '561'), (0, 1, 'green', '488'), (1, 0, 'red', '561'), (1, 1, 'far red', '640'), (2, 0, 'blue', '405')) v(s, i, label, w) GROUP BY label)", views=False)
+@query("SELECT CAST(row_number() OVER (ORDER BY s, i) - 1 AS INT) AS index, label, w AS wavelength_id FROM (SELECT label, min(s) AS s, arg_min(i, s * 1000000000000 + i) AS i, arg_min(w, s * 1000000000000 + i) AS w FROM (SELECT p_size % 5 AS s, p_partkey AS i, p_name || ' ' || p_type AS label, p_brand AS w FROM part) GROUP BY label)", views=False)
 def channel_merge(spark, d):
-    rows = [(0, 0, "red", "561"), (0, 1, "green", "488"), (1, 0, "red", "561"), (1, 1, "far red", "640"), (2, 0, "blue", "405")]
-    m = metadata.merged_channels(spark.createDataFrame(rows, "source int, index int, label string, wavelength_id string"))
+    """Parts as channels of five sources, a label for every name and type."""
+    m = metadata.merged_channels(derive.table(spark, d, "part").selectExpr("p_size % 5 AS source", "p_partkey AS index", "p_name || ' ' || p_type AS label", "p_brand AS wavelength_id"))
     return m.withColumn("index", F.col("index").cast("int"))
 
 
-@query("SELECT 'b' AS view, 'y' AS channel", views=False)
+@query("SELECT v.view, k.channel FROM (SELECT DISTINCT l_orderkey AS view FROM lineitem) v CROSS JOIN (SELECT DISTINCT l_returnflag AS channel FROM lineitem) k WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = v.view AND l.l_returnflag = k.channel)", views=False)
 def channel_alignment(spark, d):
-    return fuse.channels_alike(spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "view string, channel string"))
+    """Orders as views, their lines' flags as channels."""
+    return fuse.channels_alike(derive.table(spark, d, "lineitem").selectExpr("l_orderkey AS view", "l_returnflag AS channel"))
 
 
 @query("""SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2""", views=False)
@@ -454,9 +461,13 @@ def crop_snap(spark, d):
     return crop.snapped_to_tiles(c, t).drop("z_start", "z_end")
 
 
-@query("SELECT z, y, x, CAST((z < 3 AND y < 20 AND x < 20) OR (z >= 2 AND y >= 10 AND y < 40 AND x >= 15) AS INT) AS v FROM grid WHERE c = 0")
+ROIS = "SELECT tile_id % 5 AS z0, tile_id % 5 + 2 AS z1, CAST(y_um / 2 AS INT) + tile_id % 3 AS y0, CAST(y_um / 2 AS INT) + 6 AS y1, CAST(x_um / 2 AS INT) + 1 AS x0, CAST(x_um / 2 AS INT) + 4 + tile_id % 4 AS x1 FROM tiles"
+
+
+@query(f"WITH rois AS ({ROIS}) SELECT z, y, x, CAST(EXISTS (SELECT 1 FROM rois r WHERE g.z >= z0 AND g.z < z1 AND g.y >= y0 AND g.y < y1 AND g.x >= x0 AND g.x < x1) AS INT) AS v FROM grid g WHERE c = 0")
 def roi_mask(spark, d):
-    rois = spark.createDataFrame([(0, 3, 0, 20, 0, 20), (2, 7, 10, 40, 15, 50)], "z0 int, z1 int, y0 int, y1 int, x0 int, x1 int")
+    """A region in every tile."""
+    rois = spark.sql(ROIS.replace("FROM tiles", "FROM {t}"), t=derive.tiles(spark, d))
     return crop.roi_mask(derive.grid(spark, 1).drop("c"), rois)
 
 
@@ -528,16 +539,19 @@ def levels_to_rebuild(spark, d):
     return storage.missing_levels(have, spark.range(4).select(F.col("id").cast("int").alias("level")))
 
 
-@query("SELECT name, CAST(name = 'a/b' OR starts_with(name, 'a/b/') OR name = 'c' OR starts_with(name, 'c/') AS BOOLEAN) AS under FROM (VALUES ('a/b'), ('a/b/0'), ('a/bc'), ('c/x'), ('d')) t(name)", views=False)
+@query("SELECT page_id, CAST(trim(name, '/') IN ('es', 'en', 'de/1') OR starts_with(trim(name, '/'), 'es/') OR starts_with(trim(name, '/'), 'en/') OR starts_with(trim(name, '/'), 'de/1/') AS BOOLEAN) AS under FROM (SELECT page_id, regexp_replace(url, '^https?://[^/]*', '') AS name FROM pages)", views=False)
 def path_prefixes(spark, d):
-    t = spark.createDataFrame([("a/b",), ("a/b/0",), ("a/bc",), ("c/x",), ("d",)], "name string")
-    return t.select("name", tx.under_any(F.col("name"), ["a/b", "/c/"]).alias("under"))
+    p = derive.table(spark, d, "pages").select("page_id", F.regexp_replace("url", "^https?://[^/]*", "").alias("name"))
+    return p.select("page_id", tx.under_any(F.col("name"), ["es", "/en/", "de/1"]).alias("under"))
+
+
+#: Parts as images whose names end as views' and channels' do.
+NAMES = "SELECT p_partkey, replace(p_name, ' ', '_') || CASE p_partkey % 5 WHEN 0 THEN '_sh1' WHEN 1 THEN '_ch2' WHEN 2 THEN '_view_3' WHEN 3 THEN '_a' ELSE '' END AS name FROM part"
 
 
-@query("SELECT name, regexp_replace(regexp_replace(name, '(_?(sh|ch|view)_?)?[0-9]+$', ''), '_[a-zA-Z]$', '') AS common FROM (VALUES ('img_sh1'), ('img_ch2'), ('img_view_3'), ('img_a'), ('plain')) t(name)", views=False)
+@query(f"SELECT p_partkey, name, regexp_replace(regexp_replace(name, '(_?(sh|ch|view)_?)?[0-9]+$', ''), '_[a-zA-Z]$', '') AS common FROM ({NAMES})", views=False)
 def common_names(spark, d):
-    t = spark.createDataFrame([("img_sh1",), ("img_ch2",), ("img_view_3",), ("img_a",), ("plain",)], "name string")
-    return t.select("name", tx.common_name(F.col("name")).alias("common"))
+    return spark.sql(NAMES.replace("FROM part", "FROM {t}"), t=derive.table(spark, d, "part")).select("p_partkey", "name", tx.common_name(F.col("name")).alias("common"))
 
 
 @query("SELECT c, z, y, x, CAST(floor(least(65535, greatest(0, v * 3.7e0 - 1000))) AS INT) AS v FROM voxels")
