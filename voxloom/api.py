@@ -24,7 +24,7 @@ from voxloom.kernels.graph import KINDS
 from voxloom.kernels.transforms import gaussian_2d, resampled_profile
 from voxloom.operators import blocks, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage, warp
 from voxloom.settings import find as find_settings
-from voxloom.sources import metafiles, planes
+from voxloom.sources import arrays, metafiles, planes
 from voxloom.sources.files import Store
 
 VERSION = "0.1"
@@ -815,6 +815,41 @@ def modify_structure(spark: SparkSession, path: str, name: str | None = None, ch
     return path
 
 
+def export_arrays(img: Image, out: str, compression_level: int = 3) -> str:
+    """The image as a folder of chunked arrays that other viewers open: an array a level, with the multiscale attributes. A level is there whole or not at all."""
+    planes.register(img.spark)
+    store = Store(img.spark)
+    store.folder(out)
+    for s in img.levels:
+        shape = [len(img.attrs["channels"]), *(s[f"n{a}"] for a in "zyx")]
+        w = img.chunks(s["level"]).write.format("voxzarr").mode("overwrite").option("path", out).option("level", s["level"])
+        w.option("shape", json.dumps(shape)).option("chunks", json.dumps([1, *img.chunk])).option("compression_level", compression_level).save()
+    attrs = img.ngff()
+    attrs["multiscales"][0]["version"] = "0.4"
+    store.write(f"{out}/.zgroup", {"zarr_format": 2})
+    store.write(f"{out}/.zattrs", attrs)
+    return out
+
+
+def import_arrays(spark: SparkSession, path: str, out: str, chunk: Size | None = None, levels: int | None = None, tiles: DataFrame | None = None) -> Image:
+    """An image from a folder of chunked arrays with multiscale attributes: its full level is read chunk by chunk, lower ones are made anew. Without a tile table it is one tile."""
+    planes.register(spark)
+    attrs = Store(spark).read(f"{path}/.zattrs")
+    one = attrs["multiscales"][0]
+    full = one["datasets"][0]
+    scale = dict(zip("zyx", next(t["scale"] for t in full["coordinateTransformations"] if t["type"] == "scale")[-3:], strict=True))
+    layout_ = arrays.Layout.read(*arrays.located(f"{path}/{full['path']}"))
+    shape, size = dict(zip("zyx", layout_.shape[1:], strict=True)), chunk or Size(*layout_.chunks[1:])
+    known = attrs.get("omero", {}).get("channels", [])
+    channels = [{"wavelength_id": c.get("wavelength_id", str(k)), "label": c.get("label", str(k)), "color": c.get("color", "FFFFFF")} for k, c in enumerate(known)] or [{"wavelength_id": str(k), "label": str(k), "color": "FFFFFF"} for k in range(layout_.shape[0])]
+    parts = spark.read.format("voxzarr").option("path", path).option("level", full["path"]).option("image", "image").load()
+    img = from_chunks(spark, storage.rechunked(parts, (size.z, size.y, size.x), shape), tiles or _one_tile(spark, shape, scale), out, shape, scale, channels, size, levels or len(one["datasets"]))
+    if "acquisition_metadata" in attrs:
+        img.attrs["acquisition_metadata"] = attrs["acquisition_metadata"]
+    img.record("import_arrays", {"path": path})
+    return img
+
+
 def archive(spark: SparkSession, path: str, into: str, compression: str = "zstd", preview: bool = True, level: int | None = None) -> str:
     """The image with other compression (at a level of it, where the codec has levels) in one tar; beside it, if asked, a preview image of its deepest level. Tars are made on the driver's file system."""
     src, name = Path(path), Path(path).name

@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.schemas import CHUNKS
+from voxloom.schemas import CHUNKS, U16_MAX
 from voxloom.sources.files import Store
 
 
 def to_chunks(voxels: DataFrame, size: tuple[int, int, int], shape: dict[str, int], image: str = "image", level: int = 0) -> DataFrame:
-    """Chunk rows of voxels: one shuffle by chunk, then each chunk is filled as its voxels stream by; chunks of zeros are left out."""
+    """Chunk rows of voxels: one shuffle by chunk, then each chunk is filled as its voxels stream by; chunks of zeros are left out.
+
+    Values outside 16 bits, and two different values above 0 for one voxel, are errors.
+    """
     cz, cy, cx = size
     nz, ny, nx = shape["z"], shape["y"], shape["x"]
     at = [F.floor(F.col(a) / s).cast("int").alias(f"c{a}") for a, s in zip("zyx", size, strict=True)]
@@ -42,7 +45,13 @@ def to_chunks(voxels: DataFrame, size: tuple[int, int, int], shape: dict[str, in
                     if key is not None:
                         done.append(row())
                     key, block = now, np.zeros(size, np.uint16)
-                block[cols[4][i:j] - now[1] * cz, cols[5][i:j] - now[2] * cy, cols[6][i:j] - now[3] * cx] = cols[7][i:j]
+                v, at = cols[7][i:j], (cols[4][i:j] - now[1] * cz, cols[5][i:j] - now[2] * cy, cols[6][i:j] - now[3] * cx)
+                if v.min() < 0 or v.max() > U16_MAX:
+                    raise ValueError(f"voxels outside 0 to {U16_MAX}: {v.min()} to {v.max()}")
+                before = block[at]
+                block[at] = v
+                if ((before != 0) & (before != v)).any() or (block[at] != v).any():
+                    raise ValueError(f"a voxel of chunk {now} has more than one value")
             if done:
                 yield _rows(done)
                 done = []

@@ -1,4 +1,4 @@
-"""Image files as Spark data sources: raw 16-bit stacks, baseline TIFF, chunked-array folders."""
+"""Image files as Spark data sources: raw 16-bit stacks, TIFF, h5. Chunked-array folders are in `arrays`."""
 
 from __future__ import annotations
 
@@ -141,55 +141,6 @@ class TiffReader(_StackReader):
                 yield tiff_plane(f, e, tags)
 
 
-class ZarrReader(DataSourceReader):
-    """One level of a version-2 chunked-array folder (c, z, y, x): raw, zlib, gzip, zstd and lz4 chunks."""
-
-    def __init__(self, options: dict):
-        o = {k.lower(): v for k, v in options.items()}
-        self.level, self.image = int(o.get("level", 0)), o.get("image", Path(o["path"]).name)
-        self.dir = Path(o["path"]) / str(self.level)
-
-    def partitions(self) -> list[InputPartition]:
-        meta = json.loads((self.dir / ".zarray").read_text())
-        n = -(-meta["shape"][1] // meta["chunks"][1])
-        return [Planes(i, i + 1) for i in range(n)]
-
-    def read(self, partition: Planes) -> Iterator[pa.RecordBatch]:
-        meta = json.loads((self.dir / ".zarray").read_text())
-        sep, codec = meta.get("dimension_separator", "."), (meta.get("compressor") or {}).get("id")
-        shape, size = meta["shape"], meta["chunks"]
-
-        def rows() -> Iterator[tuple]:
-            for c in range(-(-shape[0] // size[0])):
-                for y in range(-(-shape[2] // size[2])):
-                    for x in range(-(-shape[3] // size[3])):
-                        f = self.dir / sep.join(map(str, (c, partition.first, y, x)))
-                        if not f.exists():
-                            continue
-                        a = np.frombuffer(decoded(f.read_bytes(), codec, 2 * int(np.prod(size))), np.dtype(meta["dtype"])).reshape(size)
-                        for k in range(min(size[0], shape[0] - c * size[0])):
-                            o = (partition.first * size[1], y * size[2], x * size[3])
-                            p = a[k][tuple(slice(0, s - i) for i, s in zip(o, shape[1:], strict=True))]
-                            if p.any():
-                                yield (self.image, self.level, c * size[0] + k, partition.first, y, x, *o, *p.shape, p.astype("<u2").tobytes())
-
-        return _batches(rows(), 4)
-
-
-def decoded(raw: bytes, codec: str | None, size: int) -> bytes:
-    if codec is None:
-        return raw
-    if codec in ("zlib", "gzip"):
-        return zlib.decompress(raw, 47)
-    if codec == "zstd":
-        import zstandard
-
-        return zstandard.ZstdDecompressor().decompress(raw, size)
-    if codec == "lz4":
-        return pa.decompress(raw[4:], struct.unpack("<I", raw[:4])[0], "lz4_raw", asbytes=True)
-    raise ValueError(f"compressor {codec} is not supported")
-
-
 def _source(label: str, kind: type) -> type[DataSource]:
     class Source(DataSource):
         @classmethod
@@ -206,9 +157,12 @@ def _source(label: str, kind: type) -> type[DataSource]:
 
 
 def register(spark: SparkSession) -> None:
-    """Make the formats voxraw, voxtiff, voxzarr and voxh5 known to spark.read.format()."""
-    for label, kind in (("voxraw", RawReader), ("voxtiff", TiffReader), ("voxzarr", ZarrReader), ("voxh5", H5Reader)):
+    """Make the formats voxraw, voxtiff, voxzarr and voxh5 known to spark.read.format(), and voxzarr to write.format()."""
+    from voxloom.sources.arrays import ArraySource
+
+    for label, kind in (("voxraw", RawReader), ("voxtiff", TiffReader), ("voxh5", H5Reader)):
         spark.dataSource.register(_source(label, kind))
+    spark.dataSource.register(ArraySource)
 
 
 def h5_available() -> bool:
