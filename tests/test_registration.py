@@ -220,3 +220,19 @@ def test_a_failed_write_leaves_the_old_level(spark, tmp_path):
     store.folder(f"{img.path}/chunks.replaced")
     store.move(f"{img.path}/chunks/image=image/level=0", f"{img.path}/chunks.replaced/level=0")
     assert [r["v"] for r in api.Image.open(spark, img.path).voxels().collect()] == [7]
+
+
+def test_only_chunks_that_are_needed_leave_the_scan(spark, tmp_path):
+    from voxloom.operators import blocks
+
+    a = np.ones((8, 80, 80), int)
+    img = image(spark, str(tmp_path / "m"), a, [(2 * c + r, 40 * r, 40 * c, 36 * r, 36 * c, 40) for r in range(2) for c in range(2)])
+    assert img.chunks(0).count() == 16  # of 2 by 40 by 40
+    rects = spark.createDataFrame([(0, 3, 41, 60), (5, 5, 0, 9)], "y0 int, y1 int, x0 int, x1 int")
+    got = blocks.near(img.chunks(0), rects, img.chunk, [3, 7])
+    assert sorted((r["z0"], r["y0"], r["x0"]) for r in got.collect()) == [(2, 0, 40), (6, 0, 40)]
+    plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    assert any("PushedFilters" in line and "x0,40)" in line and "In(z0, [2,6])" in line for line in plan.splitlines()), plan
+    assert blocks.near(img.chunks(0), rects.where("y0 > 99"), img.chunk).count() == 0
+    profiles = api.fit_profiles(img, n_planes=3, params=api.BasicParams(working_size=20))
+    assert profiles[0].flat.shape == (20, 20)

@@ -431,6 +431,13 @@ def _parts(img: Image, level: int = 0) -> DataFrame:
     return blocks.tile_parts(img.chunks(level), img.boxes(level))
 
 
+def _near_overlaps(img: Image, sides: DataFrame, level: int = 0) -> DataFrame:
+    """A level's chunks that overlaps of tiles (`layout.overlap_sides`) lie in."""
+    b = img.boxes(level).select(F.col("tile_id").alias("b_tile"), F.col("y0").alias("b_y"), F.col("x0").alias("b_x"))
+    rects = sides.join(b, F.col("tile_id") == F.col("b_tile")).select(*[(F.col(f"{a}{k}") + F.col(f"b_{a}")).alias(f"{a}{k}") for a in "yx" for k in "01"])
+    return blocks.near(img.chunks(level), rects, img.chunk)
+
+
 def _tile_size(img: Image, level: int = 0) -> tuple[int, int]:
     """(height, width) of the largest tile."""
     return tuple(img.boxes(level).agg(F.max(F.col("y1") - F.col("y0")), F.max(F.col("x1") - F.col("x0"))).first())
@@ -466,7 +473,9 @@ def fit_profiles(img: Image, tiles: list[int] | None = None, z_levels: tuple[int
     p = params or BasicParams()
     side = (p.working_size,) * 2 if isinstance(p.working_size, int) else p.working_size
     work = (h, w) if empty_tiles or side is None else (min(h, side[0]), min(w, side[1]))
-    found = blocks.planes(_parts(img, level), wanted, h, w, work)
+    boxes, drawn_tiles = img.boxes(level), sorted({t for t, _ in wanted})
+    some = blocks.near(img.chunks(level), boxes.where(F.col("tile_id").isin(drawn_tiles)), img.chunk, [z for _, z in wanted])
+    found = blocks.planes(blocks.tile_parts(some, boxes), wanted, h, w, work)
     channels = range(len(img.attrs["channels"]))
     if empty_tiles:
         out = {}
@@ -522,7 +531,8 @@ def correct_illumination(spark: SparkSession, path: str, out: str, z_correction:
     """Equalise tiles by their overlaps and, if asked, planes by the smoothed z profile; statistics come from the full level's overlaps and the lowest level's planes."""
     img = Image.open(spark, path)
     n, pixel = len(img.attrs["channels"]), img.attrs["scale"]["y"]
-    sums = blocks.overlap_sums(img.chunks(0), img.boxes(), layout.overlap_sides(img.tiles(), pixel))
+    sides = layout.overlap_sides(img.tiles(), pixel)
+    sums = blocks.overlap_sums(_near_overlaps(img, sides), img.boxes(), sides)
     stats = illumination.both_sides(sums, img.tiles(), pixel, spark.range(n).select(F.col("id").cast("int").alias("c")))
     gain = {(r["c"], r["tile_id"]): r["gain"] for r in illumination.gains(illumination.gain_edges(stats, img.shape["z"]), img.tiles()).collect()}  # a row per tile and channel
     profile = None
@@ -616,7 +626,8 @@ def register_tiles(img: Image, c: int, pruning: str | None = None, level: int =
     keep = spark.createDataFrame(pairs, "i int, j int")
     sides = spark.createDataFrame(layout.overlap_sides(img.tiles(), s["scale_y"]).join(keep, ["i", "j"]).select("i", "j", "side", "tile_id", "y0", "y1", "x0", "x1").collect(), "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")  # two rows a pair
     depth = 1 if on_projection else s["nz"]
-    images = blocks.overlap_images(_parts(img, level).where(F.col("c") == c), sides, depth, on_projection)
+    parts = blocks.tile_parts(_near_overlaps(img, sides, level).where(F.col("c") == c), img.boxes(level))
+    images = blocks.overlap_images(parts, sides, depth, on_projection)
     found = blocks.pair_shifts(images, sides, depth, upsample).where(F.col("quality") >= least_quality).collect()  # a row per pair
     up = [s[f"scale_{a}"] / img.attrs["scale"][a] for a in "zyx"]
     edges = [(r["i"], r["j"], tuple(r[f"d{a}"] * u for a, u in zip("zyx", up, strict=True)), max(r["quality"], 1e-3)) for r in found]
@@ -649,7 +660,8 @@ def register_maps(img: Image, c: int, transform: str, pruning: str | None = None
     rows = layout.overlap_sides(img.tiles(), s["scale_y"]).join(keep, ["i", "j"]).select("i", "j", "side", "tile_id", "y0", "y1", "x0", "x1").collect()  # two rows a pair
     sides = spark.createDataFrame(rows, "i int, j int, side int, tile_id int, y0 int, y1 int, x0 int, x1 int")
     depth = 1 if on_projection else s["nz"]
-    images = blocks.overlap_images(_parts(img, level).where(F.col("c") == c), sides, depth, on_projection)
+    parts = blocks.tile_parts(_near_overlaps(img, sides, level).where(F.col("c") == c), img.boxes(level))
+    images = blocks.overlap_images(parts, sides, depth, on_projection)
     found = blocks.pair_maps(images, sides, dict.fromkeys(first, depth), transform).where(F.col("quality") >= least_quality).collect()  # a row per pair
     up = np.array([s[f"scale_{a}"] / scale[a] for a in "zyx"])
     at: dict[tuple, dict[int, tuple]] = {}

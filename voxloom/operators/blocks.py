@@ -199,6 +199,29 @@ def cropped(chunks: DataFrame, box: dict[str, tuple[int, int]], size: tuple[int,
     return assembled(_mapped(chunks, one), size, {a: box[a][1] - box[a][0] for a in "zyx"})
 
 
+def near(chunks: DataFrame, rects: DataFrame, size: tuple[int, int, int], planes: list[int] | None = None) -> DataFrame:
+    """The chunks (of a grid of `size`) that rectangles (y0, y1, x0, x1; half-open) meet, and, where they are given, planes: the others leave the scan before any kernel.
+
+    Rectangles are a few per tile, whose number is checked where tiles are
+    read; there is a row for each chunk column that they meet. Ranges of
+    corners reach the scan as well, so files and row groups outside are not read.
+    """
+    at = [F.explode(F.sequence(F.floor(F.col(f"{a}0") / n), F.floor((F.col(f"{a}1") - 1) / n))).alias(f"k{a}") for a, n in zip("yx", size[1:], strict=True)]
+    cells = rects.where("y0 < y1 AND x0 < x1").select("x0", "x1", at[0]).select("ky", at[1]).distinct()
+    rows = [(r["ky"] * size[1], r["kx"] * size[2]) for r in cells.limit(16 * MOST_TILES + 1).collect()]
+    if len(rows) > 16 * MOST_TILES:
+        raise ValueError(f"rectangles meet more than {16 * MOST_TILES} chunk columns")
+    if not rows:
+        return chunks.where("false")
+    for a, k in (("y0", 0), ("x0", 1)):
+        chunks = chunks.where(F.col(a).between(min(r[k] for r in rows), max(r[k] for r in rows)))
+    if planes is not None:
+        layers = sorted({z // size[0] * size[0] for z in planes})
+        chunks = chunks.where(F.col("z0").isin(layers) & F.col("z0").between(min(layers, default=0), max(layers, default=-1)))
+    found = chunks.sparkSession.createDataFrame(rows, "y0 int, x0 int")
+    return chunks.join(F.broadcast(found), ["y0", "x0"], "left_semi")  # two numbers a row, their count just checked
+
+
 def tile_parts(chunks: DataFrame, boxes: DataFrame) -> DataFrame:
     """PARTS: chunks cut at tile borders, corners in the tile's coordinates; one part for each tile and chunk that meet."""
     tiles = Tiles.of(boxes)
