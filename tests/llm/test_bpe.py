@@ -80,7 +80,7 @@ def test_odd_tables(spark):
     assert got.columns == ["doc_id", "a b", "ids", "text"]
     assert sorted((r["doc_id"] or 0, r["text"], len(r["ids"])) for r in got.collect()) == [(0, "", 0), (1, "", 0), (1, "one two", 2), (1, "one two", 2)]
     assert bpe.decoded(bpe.encoded(df.where("false"), path), path).collect() == []
-    none = spark.createDataFrame([(1, None), (2, [-1, 99_999_999, 64])], "k int, ids array<int>")
+    none = spark.createDataFrame([(1, None), (2, [-1, None, 99_999_999, 64])], "k int, ids array<int>")
     assert sorted((r["k"], r["text"]) for r in bpe.decoded(none, path).collect()) == [(1, None), (2, "a")]
 
 

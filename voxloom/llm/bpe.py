@@ -11,7 +11,7 @@ remembered by their Python worker, up to CACHE; beyond that it forgets those tha
 Edge cases: a null or empty text has no tokens; strings of the file's added
 tokens inside a text are those tokens (or plain text, special=False); words of
 any length are encoded whole; repeated rows and ids are encoded alike; null ids
-decode to null, ids outside the vocabulary are skipped and bytes that are no
+decode to null, nulls among them and ids outside the vocabulary are skipped and bytes that are no
 UTF-8 become U+FFFD, as the library does; an empty table gives an empty result;
 other columns stay, and one with the output's name is replaced.
 """
@@ -257,7 +257,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "ids", sp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, special)
         for b in batches:
-            for i, texts in text_steps(b.column(text)):
+            for i, texts in text_steps(b.column(text), 1 << 22):
                 ids = enc.encode(texts)
                 part, ends = b.slice(i, len(ids)), np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))], names=[*(f.name for f in keep), out])
@@ -274,7 +274,12 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") ->
         for b in batches:
             for i in range(0, b.num_rows, 64):
                 part = b.slice(i, 64)
-                texts = [None if x is None else enc.decode(x) for x in part.column(ids).to_pylist()]
+                lists = part.column(ids)
+                numbers, lengths = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).tolist(), pc.list_value_length(lists).to_pylist()
+                texts, at = [], 0
+                for n in lengths:
+                    texts.append(None if n is None else enc.decode(numbers[at : at + n]))
+                    at += n or 0
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(texts, pa.string())], names=[*(f.name for f in keep), out])
 
     return rows.mapInArrow(run, StructType([*keep, StructField(out, StringType())]))
