@@ -36,7 +36,7 @@ from voxloom.llm.common import crc_mod, kept_in_worker, numbered
 
 LETTERS = regex.compile(r"\p{L}+")
 START = "▁"
-#: Longest letter run scored as one word; longer runs are scored in parts of this length, all of them.
+#: Letters up to which words go through arrays together; longer ones go one by one, in logarithms, to the same sums.
 LONGEST = 40
 #: Documents a language is fitted on at most, in expectation.
 TRAIN_DOCS = 250
@@ -44,7 +44,7 @@ ROUNDS = 2
 #: Words remembered by a Python worker before it starts over.
 CACHE_WORDS = 200_000
 UND = "und"
-#: Probabilities are carried times this for each letter, so that a run of LONGEST letters that no language knows does not vanish.
+#: Probabilities are carried times this for each letter, so that LONGEST letters that no language knows do not vanish.
 SCALE = 1e6
 
 
@@ -58,11 +58,8 @@ def vocabulary(path: str) -> list[str]:
 
 
 def letter_runs(token: str) -> list[str]:
-    """Words of a token: runs of letters in lower case, marked at their start, in parts of LONGEST letters."""
-    out = []
-    for w in LETTERS.findall(token.lower()):
-        out += [START + w] if len(w) <= LONGEST else [START + w[:LONGEST], *(w[i : i + LONGEST] for i in range(LONGEST, len(w), LONGEST))]
-    return out
+    """Words of a token: runs of letters in lower case, marked at their start."""
+    return [START + w for w in LETTERS.findall(token.lower())]
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -145,11 +142,43 @@ class Model:
             alpha[j][who] += alpha[i][who] * self.prob[rows] * SCALE ** (j - i)
         return alpha
 
+    def long_parts(self, word: str) -> list[np.ndarray]:
+        """For lengths from 1 on: the row of prob of the piece of that length that starts at each letter, -1 where there is none."""
+        code = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        out, h = [], np.zeros(len(code), np.uint64)
+        for k in range(min(self.longest, len(code))):
+            h = h[: len(code) - k] * _BASE + code[k:]
+            out.append(self.pieces.find(h))
+        out[0] = np.where(out[0] < 0, len(self.prob) - 1, out[0])
+        return out
+
+    def long_forward(self, parts: list[np.ndarray]) -> np.ndarray:
+        """Log probability of the first j letters for every j, a column per language."""
+        logs, n = np.log(self.prob), len(parts[0])
+        out = np.zeros((n + 1, len(self.langs)))
+        for j in range(1, n + 1):
+            out[j] = np.logaddexp.reduce([out[j - k] + logs[r] for k, rows in enumerate(parts[:j], 1) if (r := rows[j - k]) >= 0])
+        return out
+
+    def long_expected(self, word: str, weight: np.ndarray, got: np.ndarray) -> None:
+        """Add the expected piece counts of a word that occurs weight times."""
+        parts, logs = self.long_parts(word), np.log(self.prob)
+        n, alpha = len(parts[0]), self.long_forward(parts)
+        beta = np.zeros_like(alpha)
+        for i in range(n - 1, -1, -1):
+            beta[i] = np.logaddexp.reduce([beta[i + k] + logs[rows[i]] for k, rows in enumerate(parts[: n - i], 1) if rows[i] >= 0])
+        for k, rows in enumerate(parts, 1):
+            at = np.flatnonzero(rows >= 0)
+            np.add.at(got, rows[at], np.exp(alpha[at] + logs[rows[at]] + beta[at + k] - alpha[n]) * weight)
+
     def log_prob(self, words: list[str]) -> np.ndarray:
         """Log probability of each word, a column per language."""
         out = np.zeros((len(words), len(self.langs)))
         for at in _by_length(words):
             ws = [words[i] for i in at]
+            if len(ws[0]) > LONGEST + 1:
+                out[at] = [self.long_forward(self.long_parts(w))[-1] for w in ws]
+                continue
             out[at] = np.log(self.forward(len(ws), len(ws[0]), self.parts(ws))[-1]) - len(ws[0]) * np.log(SCALE)
         return out
 
@@ -158,6 +187,10 @@ class Model:
         got = np.zeros_like(self.prob)
         for at in _by_length(words):
             ws, wt = [words[i] for i in at], weight[at]
+            if len(ws[0]) > LONGEST + 1:
+                for w, many in zip(ws, wt, strict=True):
+                    self.long_expected(w, many, got)
+                continue
             n, parts = len(ws[0]), self.parts(ws)
             alpha = self.forward(len(ws), n, parts)
             beta = [np.zeros_like(alpha[0]) for _ in range(n)] + [np.ones_like(alpha[0])]
@@ -185,6 +218,11 @@ def fit_counts(counts: dict[str, dict[str, int]], vocab: list[str]) -> Model:
     got = np.zeros((len(vocab) + 1, len(langs)))
     m = Model(langs, Pieces(vocab), got, max(map(len, vocab)))
     for at in _by_length(words):
+        if len(words[at[0]]) > LONGEST + 1:
+            for i in at:
+                for rows in m.long_parts(words[i]):
+                    np.add.at(got, rows[rows >= 0], weight[i])
+            continue
         for who, rows in m.parts([words[i] for i in at]).values():
             np.add.at(got, rows, weight[at[who]])
     for k in range(ROUNDS + 1):
