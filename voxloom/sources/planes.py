@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -93,37 +94,123 @@ class RawReader(_StackReader):
                 yield np.frombuffer(raw, "<u2").reshape(ny, nx)
 
 
+#: Forms of a field's values by type, for counts, offsets and text.
+FORMS = {1: "B", 2: "B", 3: "H", 4: "I", 13: "I", 16: "Q", 18: "Q"}
+
+
 def tiff_pages(f: BinaryIO) -> tuple[str, list[dict[int, list[int]]]]:
-    """Byte order and the tags of each page (number -> values) of a baseline TIFF; only the directories are read."""
-    head = _at(f, 0, 8)
+    """Byte order and the tags of each page (number -> values) of a TIFF, with offsets of 32 or 64 bits; only the directories are read.
+
+    A single directory whose description tells of more images stands for that
+    many planes, one behind the other, as stacks above 4 GB are written too.
+    """
+    head = _at(f, 0, 16)
     e = "<" if head[:2] == b"II" else ">"
-    if struct.unpack(e + "H", head[2:4])[0] != 42:
-        raise ValueError("not a baseline TIFF")
-    at, pages = struct.unpack(e + "I", head[4:8])[0], []
-    sizes = {1: "B", 3: "H", 4: "I"}
+    magic = struct.unpack(e + "H", head[2:4])[0] if head[:2] in (b"II", b"MM") else 0
+    if magic not in (42, 43):
+        raise ValueError("not a TIFF")
+    word, count, lead = ("I", "H", 4) if magic == 42 else ("Q", "Q", 8)  # offsets, number of fields, and where the first offset is
+    size, room = struct.calcsize(word), 4 if magic == 42 else 8
+    at, pages, seen = struct.unpack(e + word, head[lead : lead + size])[0], [], set()
     while at:
-        (n,) = struct.unpack(e + "H", _at(f, at, 2))
-        raw, tags = _at(f, at + 2, 12 * n + 4), {}
+        if at in seen:
+            raise ValueError("directories go round in a circle")
+        seen.add(at)
+        (n,) = struct.unpack(e + count, _at(f, at, struct.calcsize(count)))
+        step = 4 + 2 * room
+        raw, tags = _at(f, at + struct.calcsize(count), step * n + size), {}
         for k in range(n):
-            tag, kind, count = struct.unpack(e + "HHI", raw[12 * k : 12 * k + 8])
-            if kind in sizes:
-                form = f"{e}{count}{sizes[kind]}"
-                size = struct.calcsize(form)
-                value = raw[12 * k + 8 : 12 * k + 8 + size] if size <= 4 else _at(f, struct.unpack(e + "I", raw[12 * k + 8 : 12 * k + 12])[0], size)
+            field = raw[step * k : step * (k + 1)]
+            tag, kind, many = struct.unpack(f"{e}HH{word}", field[: 4 + room])
+            if kind in FORMS:
+                form = f"{e}{many}{FORMS[kind]}"
+                long = struct.calcsize(form)
+                value = field[4 + room : 4 + room + long] if long <= room else _at(f, struct.unpack(e + word, field[4 + room :])[0], long)
                 tags[tag] = list(struct.unpack(form, value))
         pages.append(tags)
-        (at,) = struct.unpack(e + "I", raw[12 * n :])
+        (at,) = struct.unpack(e + word, raw[step * n :])
+    told = re.search(rb"(?:^|\n)images=(\d+)", bytes(pages[0].get(270, []))) if len(pages) == 1 else None
+    if told and int(told[1]) > 1 and pages[0].get(259, [1])[0] == 1 and 273 in pages[0]:
+        t = pages[0]
+        plane = t[256][0] * t[257][0] * t.get(258, [1])[0] // 8
+        pages = [{**t, 273: [t[273][0] + k * plane], 279: [plane], 278: [t[257][0]]} for k in range(int(told[1]))]
     return e, pages
 
 
+def lzw(raw: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, high bit first, that grow one code early; 256 starts over and 257 ends."""
+    out, table, before = bytearray(), [], b""
+    bits = held = 0
+    width = 9
+    for byte in raw:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & (1 << bits) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table, before, width = [], b"", 9
+            continue
+        if code < 256:
+            word = bytes([code])
+        elif code - 258 < len(table):
+            word = table[code - 258]
+        elif before and code - 258 == len(table):
+            word = before + before[:1]
+        else:
+            raise ValueError("an LZW code that is not there")
+        if before:
+            table.append(before + word[:1])
+        out += word
+        before = word
+        width = min(12, max(9, (259 + len(table)).bit_length()))
+    return bytes(out)
+
+
+def packbits(raw: bytes) -> bytes:
+    """Runs: a byte below 128 says that one more than so many follow, one above 128 how often the next is repeated."""
+    out, k = bytearray(), 0
+    while k < len(raw):
+        n = raw[k]
+        if n < 128:
+            out += raw[k + 1 : k + 2 + n]
+            k += 2 + n
+        else:
+            out += raw[k + 1 : k + 2] * (257 - n) if n > 128 else b""
+            k += 2 if n > 128 else 1
+    return bytes(out)
+
+
+def _zstd(raw: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompressobj().decompress(raw)
+
+
+#: Compressions by number.
+COMPRESSIONS = {1: bytes, 5: lzw, 8: zlib.decompress, 32946: zlib.decompress, 32773: packbits, 50000: _zstd}
+
+
 def tiff_plane(f: BinaryIO, e: str, tags: dict[int, list[int]]) -> np.ndarray:
-    """Page of 8- or 16-bit grey strips, not compressed or deflated; only its strips are read."""
-    width, height, bits, how = tags[256][0], tags[257][0], tags.get(258, [1])[0], tags.get(259, [1])[0]
-    if bits not in (8, 16) or how not in (1, 8, 32946):
-        raise ValueError(f"TIFF with {bits} bits and compression {how} is not supported")
-    parts = [_at(f, o, n) for o, n in zip(tags[273], tags[279], strict=True)]
-    data = b"".join(zlib.decompress(p) if how != 1 else p for p in parts)
-    return np.frombuffer(data, f"{e}u{bits // 8}", width * height).reshape(height, width).astype(np.uint16)
+    """Page of 8- or 16-bit grey strips or tiles, compressed or not, with or without horizontal differences; only they are read."""
+    width, height, bits, how, ahead = tags[256][0], tags[257][0], tags.get(258, [1])[0], tags.get(259, [1])[0], tags.get(317, [1])[0]
+    if bits not in (8, 16) or how not in COMPRESSIONS or ahead not in (1, 2) or tags.get(277, [1])[0] != 1:
+        raise ValueError(f"TIFF with {bits} bits, {tags.get(277, [1])[0]} samples, compression {how} and predictor {ahead} is not supported")
+    tiled = 324 in tags
+    across, down = (tags[322][0], tags[323][0]) if tiled else (width, min(height, tags.get(278, [height])[0]))
+    places, sizes = (tags[324], tags[325]) if tiled else (tags[273], tags[279])
+    out, row = np.zeros((height, width), np.uint16), -(-width // across)
+    for k, (at, n) in enumerate(zip(places, sizes, strict=True)):
+        y, x = k // row * down, k % row * across
+        rows = down if tiled else min(down, height - y)
+        a = np.frombuffer(COMPRESSIONS[how](_at(f, at, n)), f"{e}u{bits // 8}", rows * across).reshape(rows, across)
+        if ahead == 2:
+            a = np.cumsum(a, axis=1, dtype=a.dtype.newbyteorder("="))
+        p = a[: height - y, : width - x]
+        out[y : y + p.shape[0], x : x + p.shape[1]] = p
+    return out
 
 
 class TiffReader(_StackReader):
