@@ -236,3 +236,18 @@ def test_only_chunks_that_are_needed_leave_the_scan(spark, tmp_path):
     assert blocks.near(img.chunks(0), rects.where("y0 > 99"), img.chunk).count() == 0
     profiles = api.fit_profiles(img, n_planes=3, params=api.BasicParams(working_size=20))
     assert profiles[0].flat.shape == (20, 20)
+
+
+def test_tasks_tell_what_was_changed_and_tiles_are_mapped(spark, tmp_path):
+    a = np.arange(1, 1601).reshape(1, 40, 40)
+    img = image(spark, str(tmp_path / "m"), a, [(0, 0, 0, 0, 0, 20), (1, 0, 20, 0, 16, 20)])
+    out = api.map_tiles(img, lambda c, tile, z, y, x, v: v * (tile + 1) + np.arange(y.start, y.stop)[:, None])
+    got = np.zeros((40, 40), int)
+    for r in storage.to_voxels(out).collect():
+        got[r["y"], r["x"]] = r["v"]
+    rows = np.arange(20)[:, None]
+    assert np.array_equal(got[:20, :20], a[0, :20, :20] + rows) and np.array_equal(got[:20, 20:], 2 * a[0, :20, 20:] + rows) and not got[20:].any()
+    flat = api.Profiles(np.ones((20, 20)))
+    new = api.Image.open(spark, api.correct_flatfield(spark, img.path, str(tmp_path / "f"), profiles={0: flat}, params=api.BasicParams(working_size=64)))
+    told = new.attrs["tasks"]["correct_flatfield"]["parameters"]
+    assert told["working_size"] == "64" and "dark" not in told

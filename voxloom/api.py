@@ -524,7 +524,7 @@ def correct_flatfield(spark: SparkSession, path: str, out: str, tiles: list[int]
         for c, p in at.items():
             p.save(f"{save}/{img.attrs['channels'][c]['wavelength_id']}.npz")
     chunks = blocks.apply_flatfield(img.chunks(0), img.boxes(), {c: (p.flat, p.dark, p.baseline) for c, p in at.items()})
-    return _finish(img, out, chunks, "correct_flatfield", {"tiles": tiles, "n_planes": n_planes, "empty_tiles": empty_tiles}, erase, levels)
+    return _finish(img, out, chunks, "correct_flatfield", {"tiles": tiles, "n_planes": n_planes, "empty_tiles": empty_tiles, **changed_parameters(params or BasicParams(), BasicParams())}, erase, levels)
 
 
 def correct_illumination(spark: SparkSession, path: str, out: str, z_correction: bool = False, erase: bool = False) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voxloom import derive
 from voxloom.derive import DUCK, NC, NX, NY, NZ
 from voxloom.functions import text as tx
-from voxloom.functions.numeric import truncated
+from voxloom.functions.numeric import soft_threshold, truncated
 from voxloom.operators import blocks, contrast, crop, flatfield, fuse, illumination, layout, metadata, pyramid, slicing, storage, warp
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -398,6 +398,43 @@ def omero_meta(spark, d):
     return c.select(F.col("c.index").cast("int").alias("index"), "c.label", "c.wavelength_id", F.col("c.window.max").alias("max"))
 
 
+#: Suppliers as acquisitions, an image for every nation.
+SHOWN = """WITH s AS (SELECT 'n' || s_nationkey AS image, s_suppkey AS row, s_suppkey % 3 AS k FROM supplier),
+ch AS (SELECT image, ['640', '561', '488'][k + 1] AS wavelength_id, ['far red', 'red', 'green'][k + 1] AS label, CAST(row_number() OVER (PARTITION BY image ORDER BY min(row)) - 1 AS INT) AS index FROM s GROUP BY image, k)"""
+
+
+def shown(spark: SparkSession, d: str) -> DataFrame:
+    """(image, channels) of every nation's suppliers."""
+    s = derive.table(spark, d, "supplier").selectExpr("'n' || s_nationkey AS image", "s_suppkey AS row", "element_at(array('640', '561', '488'), CAST(s_suppkey % 3 + 1 AS INT)) AS channel")
+    return metadata.display_channels(metadata.with_channel_settings(s, spark.createDataFrame([(a, b, e) for a, b, _, e in SETTINGS], "wavelength string, label string, color string")))
+
+
+@query(SHOWN + " SELECT image, index AS position, label, index FROM ch", views=False)
+def channel_jobs(spark, d):
+    return metadata.jobs_by_channel(shown(spark, d)).withColumn("index", F.col("index").cast("int"))
+
+
+@query(SHOWN + " SELECT 'label' AS by, image, index, label FROM ch WHERE label LIKE '%red%' UNION ALL SELECT 'wavelength', image, index, label FROM ch WHERE wavelength_id = '488'", views=False)
+def channel_lookup(spark, d):
+    c = shown(spark, d).select("image", F.inline("channels")).select("image", F.col("index").cast("int").alias("index"), "label", "wavelength_id")
+    found = {"label": metadata.channel_index(c, label="RED"), "wavelength": metadata.channel_index(c, wavelength="488")}
+    one, two = (t.select(F.lit(k).alias("by"), "image", "index", "label") for k, t in found.items())
+    return one.union(two)
+
+
+@query(SHOWN + """ SELECT image, index, label, CASE index WHEN 1 THEN 7 ELSE 0 END AS start, CASE index WHEN 1 THEN 900 ELSE 65535 END AS "end", CASE index WHEN 1 THEN 9000 ELSE 65535 END AS "max" FROM ch""", views=False)
+def window_update(spark, d):
+    c = metadata.updated_windows(shown(spark, d), {1: (7, 900)}).select("image", F.inline("channels"))
+    return c.select("image", F.col("index").cast("int").alias("index"), "label", "window.start", "window.end", "window.max")
+
+
+@query(SHOWN + " SELECT DISTINCT image, 2 AS tasks, '2' AS planes, '0.2' AS version FROM ch", views=False)
+def provenance(spark, d):
+    m = metadata.with_provenance(metadata.with_provenance(shown(spark, d), "crop", {"planes": "1"}, "0.1"), "fuse", {}, "0.2")
+    m = metadata.with_provenance(m, "crop", {"planes": "2"}, "0.1")  # a task that ran again tells of its last run
+    return m.select("image", F.size("tasks").alias("tasks"), F.col("tasks")["crop"]["parameters"]["planes"].alias("planes"), F.col("tasks")["fuse"]["version"].alias("version"))
+
+
 @query("""SELECT tile_id, CAST(regexp_extract(p, 'Tile([0-9]+)_', 1) AS INT) AS tile, CAST(regexp_extract(p, '_Ch([0-9]+)_', 1) AS INT) AS ch, CAST(coalesce(nullif(regexp_extract(p, '_sh([0-9])', 1), ''), '0') AS INT) AS view
 FROM (SELECT tile_id, 'x/Tile' || tile_id || '_Ch' || (tile_id % 3 * 100 + 388) || CASE WHEN tile_id % 2 = 0 THEN '_sh1' ELSE '_' END || '_meta.txt' AS p FROM tiles)""")
 def tile_store_regex(spark, d):
@@ -559,6 +596,11 @@ def clip_cast(spark, d):
     return derive.voxels(spark, d).withColumn("v", truncated(F.col("v") * F.lit(3.7) - 1000))
 
 
+@query("SELECT c, z, y, x, CAST(sign(v - 3000) * greatest(abs(v - 3000) - 500, 0) AS DOUBLE) AS v FROM voxels")
+def shrunk_values(spark, d):
+    return derive.voxels(spark, d).withColumn("v", soft_threshold(F.col("v") - 3000, 500.0))
+
+
 # --- the same operators on chunks: the image is stored sparse, in chunks whose borders are not the tiles'
 
 CHUNK = (4, 16, 16)
