@@ -251,3 +251,21 @@ def test_tasks_tell_what_was_changed_and_tiles_are_mapped(spark, tmp_path):
     new = api.Image.open(spark, api.correct_flatfield(spark, img.path, str(tmp_path / "f"), profiles={0: flat}, params=api.BasicParams(working_size=64)))
     told = new.attrs["tasks"]["correct_flatfield"]["parameters"]
     assert told["working_size"] == "64" and "dark" not in told
+
+
+@pytest.mark.parametrize("side, shuffles", [(40, False), (36, True)])
+def test_mosaics_of_whole_chunks_are_read_without_a_shuffle(spark, tmp_path, side, shuffles):
+    rng = np.random.default_rng(8)
+    a = {k: rng.integers(1, 999, (2, side, side)) for k in range(4)}
+    paths = {k: image(spark, str(tmp_path / f"t{k}"), v, [(0, 0, 0, 0, 0, side)]).path for k, v in a.items()}
+    positions = spark.createDataFrame([(k, 100.0 - 30 * (k // 2), 100.0 - 30 * (k % 2), side, side) for k in range(4)], "tile_id int, x_pos double, y_pos double, x_n_pixels int, y_n_pixels int")
+    img = api.prepare_mosaic(spark, paths, positions, str(tmp_path / "m"))
+    chunks = img.chunks(0)
+    assert ("Exchange hashpartitioning" in chunks._jdf.queryExecution().executedPlan().toString()) == shuffles
+    got = np.zeros((2, 2 * side, 2 * side), int)
+    for r in storage.to_voxels(chunks).collect():
+        got[r["z"], r["y"], r["x"]] = r["v"]
+    want = np.concatenate([np.concatenate([a[0], a[1]], axis=1), np.concatenate([a[2], a[3]], axis=1)], axis=2)
+    assert np.array_equal(got, want)
+    keys = {(r["cz"], r["cy"], r["cx"], r["z0"], r["y0"], r["x0"]) for r in chunks.collect()}
+    assert all((z * 2, y * 40, x * 40) == at for z, y, x, *at in keys for at in [tuple(at)])

@@ -139,7 +139,11 @@ class Image:
         parts = reduce(DataFrame.unionByName, (p.withColumn("c", F.lit(k)) for k, p in enumerate(of))) if n > 1 else of[0]
         places = {x["tile_id"]: (0, x["row"] * t["ny"], x["col"] * t["nx"]) for x in m["tiles"]}
         shape = {a: s[f"n{a}"] for a in "zyx"}
-        c = blocks.fused(parts, places, dict.fromkeys(places, (t["nz"], t["ny"], t["nx"])), self.chunk, shape, "max").withColumn("level", F.lit(have))
+        if t["ny"] % self.chunk[1] == t["nx"] % self.chunk[2] == 0 and self.attrs["manifest"].get("chunk") == list(self.chunk):
+            c = layout.moved_chunks(parts, places, self.chunk).withColumn("image", F.lit("image"))
+        else:
+            c = blocks.fused(parts, places, dict.fromkeys(places, (t["nz"], t["ny"], t["nx"])), self.chunk, shape, "max")
+        c = c.withColumn("level", F.lit(have))
         plan = pyramid.pyramid_plan(self.spark, shape, {a: s[f"scale_{a}"] for a in "zyx"}, level - have + 1).orderBy("level").collect()
         for p in plan[:-1]:  # levels that no tile has
             c = blocks.coarsened(c, self.chunk, {a: p[f"n{a}"] for a in "zyx"}, {"z": p["factor_z"], "y": p["factor_yx"], "x": p["factor_yx"]})
@@ -399,7 +403,7 @@ def prepare_mosaic(spark: SparkSession, stores: dict[int, str | list[str]], posi
     grid = [{"tile_id": t, "paths": paths[t], "row": t % n_rows, "col": t // n_rows} for t in images]
     levels = [{**x, "ny": x["ny"] * n_rows, "nx": x["nx"] * n_cols} for x in one.levels]
     shape = {"z": one.shape["z"], "y": one.shape["y"] * n_rows, "x": one.shape["x"] * n_cols}
-    img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": json.loads(json.dumps(channels)), "levels": levels, "manifest": {"tiles": grid, "levels": one.levels}})
+    img = Image(spark, out, {"shape": shape, "scale": s, "chunk": list(one.chunk), "channels": json.loads(json.dumps(channels)), "levels": levels, "manifest": {"tiles": grid, "levels": one.levels, "chunk": list(one.chunk) if all(i.chunk == one.chunk for x in images.values() for i in x) else None}})
     store.folder(out)
     _with_acquisition(img, next(iter(images.values())))
     img.save_attrs()

@@ -44,6 +44,17 @@ def proxy_mosaic(tile_voxels: DataFrame, n_rows: int, height: int, width: int) -
     return tile_voxels.select("c", "z", (F.col("y") + row * height).cast("int").alias("y"), (F.col("x") + col * width).cast("int").alias("x"), "v")
 
 
+def moved_chunks(parts: DataFrame, places: dict[int, tuple[int, int, int]], size: tuple[int, int, int]) -> DataFrame:
+    """Chunks of tiles as the mosaic's, where tiles begin at whole chunks (of `size`): numbers and corners of chunks are moved, no voxel is touched and nothing is shuffled. places: a row per tile, of which a mosaic has hundreds."""
+    if any(k % n for p in places.values() for k, n in zip(p, size, strict=True)):
+        raise ValueError("tiles do not begin at whole chunks")
+    rows = [(t, *p, *(k // n for k, n in zip(p, size, strict=True))) for t, p in places.items()]
+    at = parts.sparkSession.createDataFrame(rows, "tile_id int, pz int, py int, px int, kz int, ky int, kx int")
+    j = parts.join(F.broadcast(at), "tile_id")
+    moved = {f"c{a}": F.col(f"c{a}") + F.col(f"k{a}") for a in "zyx"} | {f"{a}0": F.col(f"{a}0") + F.col(f"p{a}") for a in "zyx"}
+    return j.withColumns(moved).select(*[c for c in parts.columns if c != "tile_id"])
+
+
 def overlap_pairs(tiles: DataFrame, pixel: float) -> DataFrame:
     """(i, j, oy, ox): pairs i < j whose original boxes overlap down, right or down-right, by at most a tile's side.
 
