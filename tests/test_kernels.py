@@ -132,3 +132,30 @@ def test_archive_needs_one_top_level_entry(tmp_path):
         t.add(tmp_path / "a", "a"), t.add(tmp_path / "b", "b")
     with pytest.raises(ValueError):
         storage.restore(str(tmp_path / "x.tar"), str(tmp_path))
+
+
+def test_windows_tell_shifts_apart_that_slopes_hide():
+    """A steep slope makes whole overlaps alike at any shift; windows see the stripes on it."""
+    from voxloom.kernels import phasecorr as p
+
+    rng = np.random.default_rng(7)
+    y, x = np.mgrid[:64, :64]
+    scene = 40 * x + 300 * ((y // 4) % 2) + rng.integers(0, 300, (64, 64)) + 100.0
+    a, b = scene[:56], scene[8:]
+    true, wrong = (8, 0), (0, 0)  # stripes repeat every 8 rows, so only the grain tells
+    whole = [p.similarity(*p.overlap(a, b, d)) for d in (true, wrong)]
+    windows = [p.structure(*p.overlap(a, b, d)) for d in (true, wrong)]
+    assert whole[1] > 0.97 and windows[0] > 0.999 and windows[1] < 0.9
+    assert p.shift_between(a, b)[:2] == true and p.shift_between(a, b)[2] > 0.999
+
+
+def test_window_means_and_ranks():
+    from voxloom.kernels import phasecorr as p
+
+    a = np.random.default_rng(8).normal(size=(9, 4, 11))
+    want = np.array([[[a[i : i + 5, :, k : k + 5].mean() for k in range(7)]] for i in range(5)])
+    assert np.allclose(p.window_means(a, 5), want)
+    assert p.ranks(np.array([3, 1, 3, 2])).tolist() == [3.5, 1, 3.5, 2]
+    x = np.arange(1.0, 50)
+    assert p.rank_correlation(x, x**3) == pytest.approx(1) and p.rank_correlation(x, -x + 99) == pytest.approx(-1)
+    assert p.rank_correlation(x * 0, x * 0) == p.structure(x * 0, x * 0) == -1

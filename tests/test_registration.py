@@ -180,6 +180,8 @@ def test_shortest_paths_have_the_same_shape_at_any_size(side):
         return max(seen.values())
 
     assert min(map(far, near)) <= side + 1
+    one = [(0, 1, 10, 1), (1, 2, 10, 1), (2, 3, 10, 1), (3, 4, 10, 1), (2, 9, 10, 1)]
+    assert layout.shortest_paths(one) == sorted(p[:2] for p in one)
 
 
 def test_crops_snap_in_their_task(spark, tmp_path):

@@ -92,10 +92,10 @@ def axis_aligned(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
 def shortest_paths(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
     """Pairs (i, j) that lie on the shortest paths from a reference tile to all others, of pairs (i, j, oy, ox); a step costs less the more its tiles overlap.
 
-    The reference lies in the middle of a longest way: that from the tile
-    farthest from the least one to the tile farthest from it, two walks at any
-    size. Each connected group has one of its own. Pairs are neighbours, so
-    they are few.
+    The reference is a tile whose farthest tile is nearest (of several, the one
+    met first), found by bounds: a tile is as far from its farthest one as from
+    any other, so a few walks rule out nearly all. Each connected group has one
+    of its own. Pairs are neighbours, so they are few.
     """
     import heapq
 
@@ -118,16 +118,34 @@ def shortest_paths(pairs: list[tuple[int, int, int, int]]) -> list[tuple[int, in
                     heapq.heappush(todo, (d + c, k, t))
         return far, by
 
+    def centre(group: list[int]) -> dict[int, int]:
+        """The tree of the group's reference."""
+        low, best, found, done = dict.fromkeys(group, 0.0), float("inf"), {}, set()
+
+        def look(t: int) -> int:
+            """Walk from t, raise all bounds; its farthest tile."""
+            nonlocal best, found
+            far, by = tree(t)
+            done.add(t)
+            end = max(far, key=lambda k: (far[k], -k))
+            if far[end] < best:
+                best, found = far[end], by
+            for k, d in far.items():
+                low[k] = max(low[k], d, far[end] - d)
+            return end
+
+        while len(done) < len(group):
+            t = min((k for k in group if k not in done), key=lambda k: (low[k], k))
+            if low[t] >= best * (1 - 1e-12):
+                break
+            end = look(t)
+            if end not in done:
+                look(end)
+        return found
+
     left, out = set(near), []
     while left:
-        end = lambda far: max(far, key=lambda t: (far[t], -t))
-        one = end(tree(min(left))[0])
-        far, by = tree(one)
-        way = [other := end(far)]
-        while way[-1] != one:
-            way.append(by[way[-1]])
-        middle = min(way, key=lambda t: (max(far[t], far[other] - far[t]), t))
-        by = tree(middle)[1]
+        by = centre(sorted(tree(min(left))[0]))
         out += [(min(t, p), max(t, p)) for t, p in by.items() if t != p]
         left -= set(by)
     return sorted(out)
