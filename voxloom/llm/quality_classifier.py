@@ -6,7 +6,8 @@ looking up its measurements' bins and adding table entries, a batch at a time.
 
 Edge cases: a null text counts as empty and is scored like any other text;
 a document labelled more than once teaches its mean label, rounded up from a
-half; null labels teach nothing; without labels every score is 0.5; repeated
+half; null labels teach nothing; without labels every score is 0.5; measurements
+saturate (200 bytes a word and 500 words a line count like any more); repeated
 rows get equal scores; documents that share an identifier teach as one; other
 columns are untouched, but for one that has the name of the score, which is
 replaced.
