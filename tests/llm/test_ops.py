@@ -524,7 +524,7 @@ def test_pipeline_of_odd_documents(spark, docs, none, tmp_path):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_registered_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = c.sql(SQL[name])
     df = QUERIES[name](spark, DIR).select(want.columns)
