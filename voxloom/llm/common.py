@@ -150,6 +150,14 @@ def forget_kept() -> None:
         libc.malloc_trim(0)
 
 
+def keep_freed(mb: int) -> None:
+    """Let this Python worker keep `mb` megabytes that it has freed, for loops over arrays of up to that size; until `forget_kept`."""
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, mb << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, mb << 20)  # M_TRIM_THRESHOLD
+
+
 def kept_in_worker(key: str, make: Callable[[], object]) -> object:
     """make(), kept by this Python worker from task to task. Only the last key is kept: a worker that goes on to another operator gives its memory back."""
     if key not in _KEPT:
