@@ -61,9 +61,9 @@ from voxloom.llm.common import forget_kept, keep_freed, materialise, shared_dir
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_TERMS, WINDOW = 16_384, 6_000_000, 2048
+SHARD_DOCS, SHARD_TERMS, WINDOW = 16_384, 6_000_000, 4096
 #: Queries read at once, those whose frequent lists are multiplied at once, and those that are merged at once.
-QUERY_BLOCK, PRODUCT, MERGED = 1024, 256, 8
+QUERY_BLOCK, PRODUCT, MERGED = 512, 128, 8
 #: Lists whose contributions to all documents are multiplied: so many of a shard's terms at most, each in one of so many of its documents at least.
 FREQUENT, FREQUENT_SHARE = 512, 32
 #: Share of what a window's frequent lists lack to the score known that unread lists may reach where they lack all of it, and in proportion less where they lack less.
@@ -120,10 +120,15 @@ def shard_of(ids: list, texts: list[np.ndarray], numbers: _Numbers | pa.Array) -
     words = numbers if isinstance(numbers, pa.Array) else pa.array([*numbers], pa.large_string())
     lengths = np.array([len(t) for t in texts])
     order = np.argsort(lengths, kind="stable")
-    place = np.empty(len(ids), np.int64)
+    place = np.empty(len(ids), np.int32)
     place[order] = np.arange(len(ids))
-    key = np.concatenate(texts).astype(np.int64) << 16 | np.repeat(place, lengths) if lengths.any() else np.zeros(0, np.int64)
-    key, tf = np.unique(key, return_counts=True)
+    key = np.concatenate(texts).astype(np.int64)
+    key <<= 16  # in place, as this is the largest array there is
+    key |= np.repeat(place, lengths)
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    tf = np.diff(first, append=len(key))
+    key = key[first]
     df = np.bincount(key >> 16, minlength=len(words))
     lists = np.argsort(-df, kind="stable")[: np.count_nonzero(df)]
     at = _ranges((np.cumsum(df) - df)[lists], df[lists])
@@ -145,7 +150,8 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
     def batch(lot: int, ids: list, held: list[tuple]) -> pa.RecordBatch:
         coded = pa.chunked_array([pa.DictionaryArray.from_arrays(pa.array(n, pa.int32()), w) for n, _, w in held]).unify_dictionaries()
-        texts = np.split(np.concatenate([c.indices.to_numpy() for c in coded.chunks]), np.cumsum(np.concatenate([n for _, n, _ in held]))[:-1])
+        texts = [t for c, (_, n, _) in zip(coded.chunks, held, strict=True) for t in np.split(c.indices.to_numpy(), np.cumsum(n)[:-1])]
+        held.clear()
         one = {"lot": [lot]} | shard_of(ids, texts, coded.chunk(0).dictionary)
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one.values(), kinds, strict=True)], names=list(one))
 
@@ -156,7 +162,7 @@ def build(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
         for b in batches:
             at = 0
             while at < b.num_rows:
-                part = b.slice(at, min(512, SHARD_DOCS - len(ids)))
+                part = b.slice(at, min(256, SHARD_DOCS - len(ids)))
                 numbers, lengths, words = numbered_terms(part.column(1).to_pylist())
                 over = n_terms + np.cumsum(lengths) >= SHARD_TERMS
                 if over.any():  # the shard ends with this document
@@ -403,7 +409,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             from pyarrow import fs
 
             forget_kept()
-            keep_freed(8)
+            keep_freed(4)
             known: dict[int, float] = {}  # query -> score of its k-th best so far, times 2 ** 32: a number for each query
             for b in batches:
                 if not known and reached:
